@@ -163,7 +163,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
         return words
     k = min(n, len(words))
     size = len(words) - k + 1
-    h = np.full(size, _U(k) * _TURN[-1])
+    h = np.full(size, k, np.uint64) * _TURN[-1]
     for i in range(k):
         h += mix(words[i : i + size] ^ _TURN[i % 8]) * _TURN[(i + 1) % 8]
     return mix(h)
@@ -193,6 +193,25 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(parts)
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Of batches that are sorted by key: tables that hold each key's rows together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col = batch.column(key).to_numpy(zero_copy_only=False)
+        if held and held[-1].column(key)[-1].as_py() != col[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        last = int(np.flatnonzero(col != col[-1])[-1]) + 1 if (col != col[-1]).any() else 0
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 

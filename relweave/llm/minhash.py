@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import LOWER, WORD_SPACE, Sets, dropped, grouped, mix, shingles, slices, stored, text_buffer, word_hashes
+from relweave.llm.common import LOWER, WORD_SPACE, Sets, dropped, grouped, mix, shingles, slices, stored, text_buffer, whole_groups, word_hashes
 from relweave.llm.components import components
 
 #: log2 of the number of buckets, and bits of mantissa kept beside the count of leading zeros.
@@ -53,7 +53,7 @@ def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, mix(mix(key[row, band]) + band.astype(np.uint64)).view(np.int64)
 
 
-def estimate(one: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(one: np.ndarray, others: np.ndarray, n: int | np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of one sketch with others, less the matches expected by collision of compressed registers; and the number of buckets filled in either."""
     filled = ((others != 0) | (one != 0)).sum(1)
     same = ((others == one) & (one != 0)).sum(1)
@@ -86,14 +86,12 @@ def linked(sets: list[np.ndarray], regs: np.ndarray, percent: int, labels: np.nd
     sizes = np.array([len(s) for s in sets])
     comp = known.roots()
     for i in range(n):
-        rest = np.flatnonzero((comp != comp[i]) & (np.arange(n) > i) & (np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])))
+        rest = np.flatnonzero((comp != comp[i]) & (np.arange(n) > i))
         if side is not None:
             rest = rest[side[rest] != side[i]]
         if not len(rest) or not sizes[i]:
             continue
-        guess, filled = estimate(regs[i], regs[rest], int(sizes[i]), sizes[rest])
-        p = percent / 100
-        rest = rest[guess >= p - 6 * np.sqrt(p * (1 - p) / np.maximum(filled, 1)) - 2 / np.maximum(filled, 1)]
+        rest = rest[likely(regs[i], regs[rest], int(sizes[i]), sizes[rest], percent)]
         for a in range(0, len(rest), 256):
             part = rest[a : a + 256]
             yes = part[confirmed(sets[i], [sets[j] for j in part], percent)]
@@ -109,8 +107,6 @@ def _sign(n: int):
             sets = shingle_sets(b.column("text"), n)
             regs = registers(sets)
             digest = [s.tobytes() for s in sets]
-            import hashlib
-
             digest = [hashlib.blake2b(d, digest_size=16).digest() if d else None for d in digest]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())], ["doc_id", "n_shingles", "digest", "regs"])
 
@@ -126,8 +122,52 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key), part.column("rep").take(pa.array(row))], ["band", "rep"])
 
 
+def estimated(regs: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Roots of the components of rows whose estimates allow a link; each row is compared with all rows not yet in its component."""
+    comp = np.arange(len(regs))
+    for i in range(len(regs)):
+        rest = np.flatnonzero(comp != comp[i])
+        rest = rest[rest > i]
+        if not len(rest):
+            continue
+        yes = rest[likely(regs[i], regs[rest], int(sizes[i]), sizes[rest], percent)]
+        if len(yes):
+            roots = np.unique(np.append(comp[yes], comp[i]))
+            comp[np.isin(comp, roots)] = roots[0]
+    return comp
+
+
+def likely(one: np.ndarray, others: np.ndarray, n: int | np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether an estimate is not more than six standard errors below the bound, and the sizes allow the link."""
+    p = percent / 100
+    guess, filled = estimate(one, others, n, sizes)
+    filled = np.maximum(filled, 1)
+    return (guess >= p - 6 * np.sqrt(p * (1 - p) / filled) - 2 / filled) & (np.minimum(sizes, n) * 100 >= percent * np.maximum(sizes, n))
+
+
+def _refine(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "band"):
+            band, rep, size = (t.column(c).to_numpy() for c in ("band", "rep", "n"))
+            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(len(rep), -1)
+            first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            count = np.diff(np.append(first, len(band)))
+            lead = np.repeat(first, count)
+            fits = np.concatenate([likely(regs[lead[a : a + 8192]], regs[a : a + 8192], size[lead[a : a + 8192]], size[a : a + 8192], percent) for a in range(0, len(rep), 8192)])
+            fits[first] = True
+            to = np.where(fits, rep[lead], rep)
+            # Buckets in which some row does not go with the first one: all rows are compared.
+            for a, k in zip(first, count, strict=True):
+                if k > 2 and not fits[a : a + k].all():
+                    to[a : a + k] = rep[a : a + k][estimated(regs[a : a + k], size[a : a + k], percent)]
+            yes = to != rep
+            yield pa.RecordBatch.from_arrays([pa.array(rep[yes]), pa.array(to[yes])], ["a", "b"])
+
+    return run
+
+
 def _confirm(n: int, percent: int, across: bool):
-    keys = ["cluster", "x", "y"] if across else ["cluster", "x"]
+    keys = ["cluster", "kind", "x", "y"] if across else ["cluster", "x"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(batches, keys):
@@ -135,7 +175,7 @@ def _confirm(n: int, percent: int, across: bool):
             sets = shingle_sets(t.column("text").combine_chunks(), n)
             regs = registers(sets)
             if across:
-                comp = linked(sets, regs, percent, t.column("root").to_numpy(), t.column("side").to_numpy())
+                comp = linked(sets, regs, percent, t.column("root").to_numpy(), t.column("side").to_numpy() if t.column("kind")[0].as_py() == 0 else None)
             else:
                 comp = linked(sets, regs, percent)
             least = np.full(len(ids), np.iinfo(np.int64).max)
@@ -162,8 +202,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     usable = signed.where("digest is not null and doc_id is not null")
     classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
     bands = classes.select("rep", "regs").mapInArrow(_bands, "band bigint, rep bigint")
-    shared = bands.groupBy("band").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b <> top").drop("top")
-    candidates = bands.join(shared, "band").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
+    shared = bands.groupBy("band").agg(F.min("rep").alias("b"), F.max("rep").alias("top"), F.count("*").alias("rows")).where("b <> top").drop("top")
+    met = stored(bands.join(shared, "band"), "met")
+    # Estimates refine buckets of up to a block; what lies in a larger one goes on as it is.
+    small = met.where(F.col("rows") <= 2 * BLOCK_DOCS).select("band", "rep").join(classes.select("rep", "n", "regs"), "rep")
+    small = small.repartition("band").sortWithinPartitions("band", "rep").mapInArrow(_refine(percent), "a bigint, b bigint")
+    candidates = met.where(F.col("rows") > 2 * BLOCK_DOCS).select(F.col("rep").alias("a"), "b").where("a <> b").union(small)
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
     clusters = components(candidates).select(F.col("id").alias("rep"), F.col("root").alias("cluster"))
     sizes = classes.groupBy("rep").agg(F.sum("n").alias("n"))
@@ -176,15 +220,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     links = stored(within.mapInArrow(_confirm(n, percent, False), "a bigint, b bigint"), "confirmed")
     doubled = usable.join(several, "doc_id").join(classes.select("digest", F.col("rep").alias("b")), "digest").select(F.col("doc_id").alias("a"), "b")
     roots = components(links.union(doubled))
-    # Blocks of one large cluster between which links may be left: those whose rows are not all in one component.
+    # Of large clusters that are not in one component: the rows outside the largest one meet it and each other, in blocks.
     large = placed.where("parts > 1").join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    open_ = large.groupBy("cluster").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("cluster")
-    large = stored(large.join(open_, "cluster"), "open")
+    most = large.groupBy("cluster", "root").count().groupBy("cluster").agg(F.max(F.struct("count", (-F.col("root")).alias("r"))).alias("m"), F.count("*").alias("roots"), F.sum("count").alias("rows")).where("roots > 1")
+    most = most.select("cluster", (-F.col("m.r")).alias("main"), F.ceil((F.col("rows") - F.col("m.count")) / BLOCK_DOCS).cast("int").alias("outs"))
+    large = stored(large.join(most, "cluster"), "open")
     if not large.isEmpty():
-        own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("x"), F.greatest(k, F.col("own")).alias("y")))
-        across = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null").join(large.withColumn("own", own), "rep").withColumn("p", F.explode(F.filter(pairs, lambda p: p.x != p.y)))
-        across = across.select("cluster", "p.x", "p.y", "rep", "text", "root", (F.col("own") == F.col("p.x")).alias("first")).withColumn("side", F.col("first").cast("int")).drop("first").repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
+        own, out_own = (F.pmod(F.xxhash64("rep"), F.col(c)).cast("int") for c in ("parts", "outs"))
+        triple = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
+        outs, ins = F.sequence(F.lit(0), F.col("outs") - 1), F.sequence(F.lit(0), F.col("parts") - 1)
+        groups = F.when(F.col("root") == F.col("main"), F.transform(outs, lambda j: triple(0, own, j))).otherwise(F.concat(F.transform(ins, lambda i: triple(0, i, out_own)), F.transform(outs, lambda k: triple(1, F.least(k, out_own), F.greatest(k, out_own)))))
+        across = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null").join(large, "rep").withColumn("p", F.explode(groups))
+        across = across.select("cluster", "p.kind", "p.x", "p.y", "rep", "text", "root", (F.col("root") == F.col("main")).cast("int").alias("side")).repartition("cluster", "kind", "x", "y").sortWithinPartitions("cluster", "kind", "x", "y")
         more = stored(across.mapInArrow(_confirm(n, percent, True), "a bigint, b bigint"), "confirmed")
         roots = components(links.union(more).union(doubled))
     dropped(large)
