@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relweave.llm import langid, minhash, quality
+from relweave.llm import embeddings, langid, minhash, mixing, quality
 from relweave.llm.common import crc_mod, table
 
 
@@ -18,6 +18,14 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))[0].withColumn("target", F.round("target", 6))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
 
@@ -30,9 +38,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mix_sources": op3_mix_sources,
     "op4_quality_classifier": op4_quality_classifier,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # The mix without a schedule: what lies of each document's copies before its source's target.
+    "op3_mix_sources": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, (ARRAY[5, 2, 1])[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS weight FROM d GROUP BY source),
+fill(round, source, source_size, weight, target, stopped) AS (
+  SELECT 0, source, source_size, weight, weight * (sum(source_size) OVER ()) / (sum(weight) OVER ()), false FROM s
+  UNION ALL
+  SELECT round + 1, source, source_size, weight,
+         CASE WHEN stopped OR target > 3 * source_size THEN 3.0 * source_size
+              ELSE weight * ((sum(source_size) OVER ()) - (sum(CASE WHEN stopped OR target > 3 * source_size THEN 3.0 * source_size ELSE 0 END) OVER ())) / (sum(CASE WHEN stopped OR target > 3 * source_size THEN 0 ELSE weight END) OVER ()) END,
+         stopped OR target > 3 * source_size
+  FROM fill WHERE round < (SELECT count(*) FROM s)),
+t AS (SELECT source, source_size, target, CAST(round(target) AS BIGINT) AS goal FROM fill WHERE round = (SELECT count(*) FROM s)),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.goal,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       CAST(greatest(0, least(start + size, goal) - start) + greatest(0, least(start + source_size + size, goal) - start - source_size) + greatest(0, least(start + 2 * source_size + size, goal) - start - 2 * source_size) AS BIGINT) AS taken
+FROM p""",
+}
