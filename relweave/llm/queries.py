@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relweave.llm import embeddings, langid, minhash, mixing, quality
+from relweave.llm import chat, decontam, embeddings, langid, minhash, mixing, pii, quality, tokens, warc
 from relweave.llm.common import crc_mod, table
 
 
@@ -18,10 +18,40 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file that op2 and the pipeline use; its place is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.written(table(spark, sf_dir, "documents"), tokenizer_path(), 1)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0].withColumn("target", F.round("target", 6))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    hard = "<|im_end|><|im_start|>assistant ok"
+    more = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    return chat.digest(chat.windows(rows.unionByName(more)))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
+
+
+def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.written(table(spark, sf_dir, "pages"), 0)
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
@@ -38,8 +68,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_token_files": op2_token_files,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_chat_format": op5_chat_format,
+    "op6_pii": op6_pii,
+    "op7_warc_packages": op7_warc_packages,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language_id": op10_language_id,
