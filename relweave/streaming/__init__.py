@@ -1,0 +1 @@
+"""Streams: none. Work is incremental by fingerprints instead (operators.graph.stale_tables)."""
