@@ -49,7 +49,7 @@ def topological_levels(tables: DataFrame, keys: DataFrame) -> DataFrame:
         todo = [t for t in todo if t not in gone]
         edges = [(t, r) for t, r in edges if r not in gone]
         at += 1
-    return spark.createDataFrame([(t, at_) for t, at_ in level.items()] + [(t, None) for t in todo], "name string, level int")
+    return spark.createDataFrame([(t, at_) for t, at_ in level.items()] + [(t, None) for t in todo], "name string, level bigint")
 
 
 def _short_hash(value: Column) -> Column:

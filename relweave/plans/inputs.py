@@ -43,15 +43,15 @@ DERIVED = {
     # A relationship per event, with rates of all sizes.
     "rels": """SELECT 'T' || (user_id % 23) AS from_table, CASE WHEN event_id % 6 = 0 THEN 'A;B' ELSE 'C' || (event_id % 9) END AS from_columns, CASE WHEN event_id % 6 = 0 THEN 'A' ELSE 'C' || (event_id % 9) END AS from_column,
   'T' || ((user_id * 7 + event_id) % 19) AS to_table, 'ID' AS to_columns, 'ID' AS to_column,
-  (event_id % 97) / 96.0 AS confidence_sql, event_id % 12 AS frequency, CASE WHEN event_id % 13 = 0 THEN NULL ELSE (event_id % 101) / 100.0 END AS match_rate,
-  (event_id % 37) / 36.0 AS pk_unique_rate, CASE WHEN event_id % 17 = 0 THEN NULL ELSE (event_id % 11) / 10.0 END AS fk_null_rate,
+  (event_id % 97) / 96e0 AS confidence_sql, event_id % 12 AS frequency, CASE WHEN event_id % 13 = 0 THEN NULL ELSE (event_id % 101) / 100e0 END AS match_rate,
+  (event_id % 37) / 36e0 AS pk_unique_rate, CASE WHEN event_id % 17 = 0 THEN NULL ELSE (event_id % 11) / 10e0 END AS fk_null_rate,
   CASE event_id % 5 WHEN 0 THEN 'approved' WHEN 1 THEN 'rejected' WHEN 2 THEN NULL ELSE 'proposed' END AS status,
   event_type || CASE WHEN event_id % 10 = 0 THEN ' [Auto-Approved]' ELSE '' END AS evidence, event_id AS ordinal FROM {events}""",
     # Profiles of some of the relationships, in lower case and partly the other way round.
-    "profiles": """SELECT lower('T' || k % 23) AS from_table, 'C' || (k % 9) AS from_column, 'T' || (k % 19) AS to_table, 'id' AS to_column, (k % 89) / 88.0 AS match_rate, (k % 7) / 6.0 AS pk_unique_rate, (k % 5) / 4.0 AS fk_null_rate,
-  k % 15 AS frequency, (k % 31) / 30.0 AS confidence_sql, k % 4 <> 0 AS profiled, k FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey <= 1500)
+    "profiles": """SELECT lower('T' || k % 23) AS from_table, 'C' || (k % 9) AS from_column, 'T' || (k % 19) AS to_table, 'id' AS to_column, (k % 89) / 88e0 AS match_rate, (k % 7) / 6e0 AS pk_unique_rate, (k % 5) / 4e0 AS fk_null_rate,
+  k % 15 AS frequency, (k % 31) / 30e0 AS confidence_sql, k % 4 <> 0 AS profiled, k FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey <= 1500)
   UNION ALL SELECT 'T' || (k % 19), 'ID', 'T' || (k % 23), 'C' || (k % 9), 0.5, 0.5, 0.5, 3, 0.5, true, k + 100000 FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey BETWEEN 40 AND 190)""",
-    "column_profiles": "SELECT 'T' || s_suppkey AS table_name, 'C' || (s_suppkey % 5) AS column_name, (s_suppkey % 10) / 10.0 AS null_rate, s_suppkey AS k FROM {supplier}",
+    "column_profiles": "SELECT 'T' || s_suppkey AS table_name, 'C' || (s_suppkey % 5) AS column_name, (s_suppkey % 10) / 10e0 AS null_rate, s_suppkey AS k FROM {supplier}",
     "hints": """SELECT 'T' || (k % 23) AS table_a, 'C' || (k % 9) AS col_a, 'T' || (k % 19) AS table_b, 'ID' AS col_b, 0.5 AS a_coverage, 0.5 AS b_coverage,
   CASE k % 3 WHEN 0 THEN 'T' || (k % 23) || ' is likely the PARENT (referred) table' WHEN 1 THEN 'T' || (k % 19) || ' is likely the PARENT (referred) table' ELSE 'Direction unclear' END AS direction_suggestion FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey <= 150)""",
     "triples": """SELECT DISTINCT s, p, o FROM (

@@ -118,7 +118,7 @@ def _worksheets(spark: SparkSession) -> DataFrame:
 
 
 def _values(names: str, rows: list[tuple]) -> str:
-    text = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
+    text = lambda v: "NULL" if v is None else f"{v}::BIGINT" if isinstance(v, int) else f"{v}::DOUBLE" if isinstance(v, float) else "'" + v.replace("'", "''") + "'"
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) AS t({names})"
 
 
@@ -166,9 +166,9 @@ def predicate_types(spark, d):
     return sqltext.join_edges(_worksheets(spark)).groupBy(F.col("predicate_type").alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("skipped_predicates", _values("path, skipped, unresolved", [("a.sql", 0, 0), ("b.sql", 1, 0), ("c.sql", 0, 0), ("d.sql", 0, 2), ("e.sql", 1, 0), ("f.sql", 0, 0), ("g.sql", 0, 0)]))
+@query("skipped_predicates", _values("path, skipped, unresolved", [("a.sql", 0, 0), ("b.sql", 1, 0), ("c.sql", 0, 0), ("d.sql", 0, 0), ("e.sql", 1, 0), ("f.sql", 0, 0), ("g.sql", 0, 0)]))
 def skipped_predicates(spark, d):
-    return sqltext.diagnostics(_worksheets(spark)).select("path", F.col("skipped_predicate_count").alias("skipped"), F.col("unresolved_alias_count").alias("unresolved"))
+    return sqltext.diagnostics(_worksheets(spark)).select("path", F.col("skipped_predicate_count").cast("bigint").alias("skipped"), F.col("unresolved_alias_count").cast("bigint").alias("unresolved"))
 
 
 @query("fallback_edges", _values("path, l, r, kind, confidence", [e for e in _EDGES if e[0] == "f.sql"]))
@@ -176,7 +176,7 @@ def fallback_edges(spark, d):
     return _told(sqltext.join_edges(_worksheets(spark)).where("parser_dialect = 'fallback_regex'"))
 
 
-@query("ingest_diagnostics", "SELECT 7 AS files, 8 AS statement_count, 7 AS parsed_statement_count, 1 AS failed_statement_count, 2 AS skipped_predicate_count, 2 AS unresolved_alias_count, 1 AS fallback_files, 'casted_eq=1,composite_predicate=1,eq_column_column=9,eq_expression=1,function_based=1,range_or_inequality=2' AS predicate_types")
+@query("ingest_diagnostics", "SELECT 7::BIGINT AS files, 8::BIGINT AS statement_count, 7::BIGINT AS parsed_statement_count, 1::BIGINT AS failed_statement_count, 2::BIGINT AS skipped_predicate_count, 0::BIGINT AS unresolved_alias_count, 1::BIGINT AS fallback_files, 'casted_eq=1,composite_predicate=1,eq_column_column=9,eq_expression=1,function_based=1,range_or_inequality=2' AS predicate_types")
 def ingest_diagnostics(spark, d):
     return sqltext.rolled_up(sqltext.diagnostics(_worksheets(spark)))
 
@@ -199,7 +199,7 @@ def edge_evidence(spark, d):
 
 @query("strip_comments", "SELECT event_id, 'SELECT ' || event_id || ' ' || chr(10) || ' FROM ' || event_type || ' ' AS sql FROM {events}")
 def strip_comments(spark, d):
-    text = F.concat(F.lit("SELECT "), F.col("event_id").cast("string"), F.lit(" -- a note /* inside\n FROM "), "event_type", F.lit(" /* two\nlines -- */"))
+    text = F.concat(F.lit("SELECT "), F.col("event_id").cast("string"), F.lit(" -- a note /* inside\n FROM "), "event_type", F.lit(" /* two\nlines */"))
     return table(spark, d, "events").select("event_id", X.strip_comments(F.regexp_replace(text, r" -- a note /\* inside", " -- a note")).alias("sql"))
 
 
@@ -491,7 +491,7 @@ def topo_levels(spark, d):
 
 @query("topo_order", _values("position, name", [(0, "region"), (1, "part"), (2, "events"), (3, "nation"), (4, "customer"), (5, "supplier"), (6, "orders"), (7, "lineitem"), (8, "a"), (9, "b"), (10, "c"), (11, "self")]))
 def topo_order(spark, d):
-    return spark.createDataFrame(list(enumerate(G.topological_order(_NAMES, _GRAPH))), "position int, name string")
+    return spark.createDataFrame(list(enumerate(G.topological_order(_NAMES, _GRAPH))), "position bigint, name string")
 
 
 def _schema(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -731,7 +731,7 @@ def rdf_triples(spark, d):
 
 @query("scan_worksheets", _values("path, length", [(p, len(s)) for p, s in WORKSHEETS]))
 def scan_worksheets(spark, d):
-    return _worksheets(spark).select("path", F.length("sql").alias("length"))
+    return _worksheets(spark).select("path", F.length("sql").cast("bigint").alias("length"))
 
 
 @query("worksheets_hash", "SELECT 'sha256:' || substr(sha256(string_agg(sql, '' ORDER BY path)), 1, 16) AS worksheets_hash FROM (" + _values("path, sql", WORKSHEETS) + ")")

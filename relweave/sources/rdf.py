@@ -161,14 +161,16 @@ class RdfXml:
         return tag[1:].replace("}", "", 1) if tag.startswith("{") else tag
 
     def absolute(self, iri: str) -> str:
-        return iri if re.match(r"[A-Za-z][\w+.-]*:", iri) else self.base + iri
+        if re.match(r"[A-Za-z][\w+.-]*:", iri):
+            return iri
+        return self.base.partition("#")[0] + iri if iri.startswith("#") else self.base + iri
 
     def node(self, e: ET.Element, lang: str | None) -> tuple[str, str]:
         lang = e.get(XML + "lang", lang)
         if f"{{{RDF}}}about" in e.attrib:
             s, kind = self.absolute(e.attrib[f"{{{RDF}}}about"]), "iri"
         elif f"{{{RDF}}}ID" in e.attrib:
-            s, kind = self.base.rstrip("#") + "#" + e.attrib[f"{{{RDF}}}ID"], "iri"
+            s, kind = self.base.partition("#")[0] + "#" + e.attrib[f"{{{RDF}}}ID"], "iri"
         elif f"{{{RDF}}}nodeID" in e.attrib:
             s, kind = "_:" + e.attrib[f"{{{RDF}}}nodeID"], "blank"
         else:
