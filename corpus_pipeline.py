@@ -15,14 +15,14 @@ LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language: those without a letter, and those that no learned language fits with LANGUAGE_SCORE, go. The model is learned from these documents' lang."""
-    found = langid.identify(docs, langid.fit(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LANGUAGE_SCORE)).select(*docs.columns)
+    found = langid.identify(docs, langid.fit(docs), out=("_stage_lang", "_stage_score"))
+    return found.where((F.col("_stage_lang") != "und") & (F.col("_stage_score") >= LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word shingles, similarity 0.8): that with the smallest id. Repeated rows of an id that stays are one document and stay; rows without an id link with nothing and stay."""
-    gone = minhash.near_duplicates(docs.select("doc_id", "text"), 5, 80).where("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    gone = minhash.near_duplicates(docs.select("doc_id", "text"), 5, 80).where("not kept").select(F.col("doc_id").alias("_stage_gone"))
+    return docs.join(gone, docs["doc_id"] == gone["_stage_gone"], "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a row for each whole repeat, and one more if half of the words or more are taken once more. Sources that the mix takes less of lose the documents that no block holds."""
     taken, _ = mixing.mix(docs)
-    times = taken.where("taken > 0").groupBy(F.col("doc_id").alias("d"), F.col("size").alias("s")).agg(F.max(F.greatest(F.floor(F.col("taken") / F.col("size") + 0.5), F.lit(0))).cast("int").alias("times")).where("times > 0")
-    return docs.join(times, docs["doc_id"].eqNullSafe(F.col("d")) & (mixing.words(docs["text"]) == F.col("s"))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    times = taken.where("taken > 0").groupBy(F.col("doc_id").alias("_stage_id"), F.col("size").alias("_stage_size")).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_stage_times")).where("_stage_times > 0")
+    met = docs.join(times, docs["doc_id"].eqNullSafe(times["_stage_id"]) & (mixing.words(docs["text"]) == times["_stage_size"]))
+    return met.withColumn("_stage_n", F.explode(F.sequence(F.lit(1), F.col("_stage_times")))).select(*(docs[c] for c in docs.columns))
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,7 +139,9 @@ def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float =
         pair = np.unique(half[keep] * n_terms + term[keep])
         h, t = np.divmod(pair, n_terms)
         bound = np.bincount(h, c.top[t], minlength=int(halves[-1]) + 1)
-        passage = np.flatnonzero(bound[:-1] + bound[1:] >= threshold)
+        both = bound[:-1] + bound[1:]
+        both[halves[1:] - 1] = 0  # the empty half of a text begins no passage
+        passage = np.flatnonzero(both >= threshold)
         if not len(passage):
             continue
         first = np.searchsorted(h, np.arange(int(halves[-1]) + 2))

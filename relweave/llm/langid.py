@@ -98,7 +98,7 @@ def fit(docs: DataFrame, train: Column | None = None, train_docs: int = TRAIN_DO
     return LanguageModel(languages, np.log((c + SMOOTHING) / (c.sum(0) + SMOOTHING * BUCKETS)).astype(np.float32), np.log(n / n.sum()))
 
 
-def _score(shared, columns: list[str]):
+def _score(shared, columns: list[str], out: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for b in slices(batches, "_lid_text"):
@@ -111,22 +111,22 @@ def _score(shared, columns: list[str]):
                 best = p.argmax(1)
                 lang = [model.languages[k] if ok else "und" for k, ok in zip(best.tolist(), letters.tolist(), strict=True)]
                 score = np.where(letters, p[np.arange(len(p)), best], 0.0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*columns, *out])
 
     return run
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:
-    """The `keep` columns of docs (default: all but lang_pred and score, which are replaced) with lang_pred and score for each row's whole text.
+def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The `keep` columns of docs (default: all but those named in `out`, which are replaced) with lang_pred and score, under the names in `out`, for each row's whole text.
 
     - lang_pred: a learned language, the most probable, the first by name on a tie; `und` if the text is null or has no letter (Unicode category L), or nothing was learned
     - score: its posterior probability, 0 to 1; 0 for `und`
     - repeated rows are scored alike; an empty table gives no rows; other columns pass through, whatever their names
     The model is broadcast: its size is bounded by MAX_LANGUAGES and BUCKETS."""
     spark = docs.sparkSession
-    columns = keep or [c for c in docs.columns if c not in ("lang_pred", "score")]
+    columns = keep or [c for c in docs.columns if c not in out]
     shared = spark.sparkContext.broadcast(model)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     ready = docs.select(*(F.col(f"`{c}`") for c in columns), F.coalesce("text", F.lit("")).alias("_lid_text"), letter.alias("_lid_letter"))
-    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("lang_pred", "string").add("score", "double")
-    return ready.mapInArrow(_score(shared, columns), schema)
+    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add(out[0], "string").add(out[1], "double")
+    return ready.mapInArrow(_score(shared, columns, out), schema)

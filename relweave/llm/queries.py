@@ -102,4 +102,41 @@ p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.goal,
 SELECT doc_id, size, source_size, round(target, 6) AS target,
        CAST(greatest(0, least(start + size, goal) - start) + greatest(0, least(start + source_size + size, goal) - start - source_size) + greatest(0, least(start + 2 * source_size + size, goal) - start - 2 * source_size) AS BIGINT) AS taken
 FROM p""",
+    # Windows' lengths come from the same prefix sums; digests from the turns themselves.
+    "op5_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+s AS (SELECT *, 24 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<|', '<%7C')) AS chars FROM t),
+n AS (SELECT *, CAST(ceil(chars / 4) AS BIGINT) + 4 AS tokens, row_number() OVER w AS n, first_value(role) OVER w = 'system' AS led FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+p AS (SELECT *, CASE WHEN led THEN first_value(tokens) OVER w ELSE 0 END AS lead, CASE WHEN led THEN first_value(chars) OVER w ELSE 0 END AS lead_chars, sum(tokens) OVER w AS upto FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+q AS (SELECT *, led AND n = 1 AS is_lead, upto - lead AS done, CASE WHEN led AND n = 1 THEN 0 ELSE floor((upto - lead - tokens) / greatest(floor((2048 - 256 - lead) / 2), 1)) END AS span FROM p),
+e AS (SELECT conv_id, span, max(done) AS last, lead(span) OVER (PARTITION BY conv_id ORDER BY span) IS NOT NULL AS more, min(span) OVER (PARTITION BY conv_id) AS first FROM q GROUP BY conv_id, span),
+c AS (SELECT q.conv_id, sum(chars + CASE WHEN NOT is_lead AND more AND last - done + tokens <= 256 THEN chars ELSE 0 END) + max(lead_chars) * (count(DISTINCT q.span) - 1) AS formatted_chars FROM q JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id AND e.span = q.span GROUP BY q.conv_id)
+SELECT n.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(any_value(c.formatted_chars) AS BIGINT) AS formatted_chars
+FROM n JOIN c ON c.conv_id IS NOT DISTINCT FROM n.conv_id GROUP BY n.conv_id""",
+    "op7_warc_packages": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INT)) & 31 AS INT) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM g""",
+    "op8_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS reached FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, component_id = vec_id AS kept FROM (SELECT vec_id, min(reached) AS component_id FROM r GROUP BY vec_id) c""",
+    "op9_minhash_near_dedup": """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+o AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+f AS (SELECT doc_id, n, i, word || ' ' || lead(word, 1) OVER z || ' ' || lead(word, 2) OVER z || ' ' || lead(word, 3) OVER z AS g FROM o WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+y AS (SELECT DISTINCT doc_id, g FROM f WHERE i <= n - 3 UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 3),
+k AS (SELECT w.doc_id, count(g) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS m FROM w LEFT JOIN y ON y.doc_id = w.doc_id GROUP BY w.doc_id),
+d AS (SELECT min(doc_id) AS doc_id FROM k WHERE n > 0 GROUP BY m),
+x AS (SELECT y.doc_id, k.n, y.g FROM y JOIN d ON d.doc_id = y.doc_id JOIN k ON k.doc_id = y.doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+  UNION SELECT a.doc_id, b.doc_id FROM (SELECT m, min(doc_id) AS doc_id FROM k WHERE n > 0 GROUP BY m) a JOIN k b ON a.m = b.m AND b.n > 0 UNION SELECT b.doc_id, a.doc_id FROM (SELECT m, min(doc_id) AS doc_id FROM k WHERE n > 0 GROUP BY m) a JOIN k b ON a.m = b.m AND b.n > 0),
+r AS (SELECT doc_id, doc_id AS reached FROM k UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, min(reached) AS component_id, min(reached) = k.doc_id AS kept FROM r JOIN k ON k.doc_id = r.doc_id GROUP BY k.doc_id, k.n""",
 }
