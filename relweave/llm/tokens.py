@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relweave.llm.common import fresh_path, read_blobs, slices, write_blobs
+from relweave.llm.common import fresh_path, read_blobs, slices, stored, write_blobs
 
 #: Ids in a frame before it is closed (a longer document has a frame of its own), and frame bytes in a file before the next one begins.
 FRAME_IDS, FILE_BYTES = 1 << 16, 8 << 20
-#: Words whose ids a worker keeps at most; beyond that it starts anew.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps at most, the earliest met (about 100 MB).
+CACHE_WORDS = 500_000
 
 # Fixed values of the zstandard container: numbers that begin a skippable frame, and a frame.
 SKIPPABLE, TABLE_SKIPPABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x52575453
@@ -26,46 +32,136 @@ SKIPPABLE, TABLE_SKIPPABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x52575453
 TAIL = struct.pack("<II", SKIPPABLE, 0).decode("latin-1")
 
 
+class Known(dict):
+    """Strings numbered in the order they are first asked for, and the ids of each."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.at = np.zeros(1, np.int64)
+
+    def __missing__(self, text: str) -> int:
+        self[text] = n = len(self)
+        self.new.append(text)
+        return n
+
+    def numbers(self, texts: Iterable[str], count: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, texts), np.int64, count)
+
+    def learn(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of the strings in `new`, in their order."""
+        used = int(self.at[-1])
+        while used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[used : used + len(flat)] = flat
+        self.at = np.concatenate([self.at, used + np.cumsum(sizes)])
+        self.new = []
+
+    def sizes(self, numbers: np.ndarray) -> np.ndarray:
+        return self.at[numbers + 1] - self.at[numbers]
+
+    def gather(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The ids of these strings, one after another."""
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(self.at[numbers] - (ends - sizes), sizes)]
+
+    def shrink(self, most: int) -> None:
+        """Forget the latest beyond `most`: what is frequent came early."""
+        while len(self) > most:
+            self.popitem()
+        self.at = self.at[: most + 1]
+
+
 class WordEncoder:
-    """A tokenizer that knows the words it has met. Exact for tokenizers that never join text across a blank."""
+    """A tokenizer that knows the words it has met.
+
+    Tokenizers that mark the ends of words drop white space, so a text's ids are those of its words between blanks, one after another. Of new words, those of letters with or without a mark behind are encoded in lower case and without the mark, many in one text, whose ids the marked ends divide again; other words are encoded each by itself. With tokenizers of other kinds whole texts are encoded."""
+
+    #: Letters that stay one letter each when a text is normalised, and marks that make a piece of their own.
+    LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?"
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.at = np.zeros(1, np.int64)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and len(texts)+1 offsets into them."""
-        if len(self.number) > CACHE_WORDS:
-            self.clear()
-        number = self.number
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in split for w in ws if w not in number})
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            base = len(number)
-            number.update(zip(new, range(base, base + len(new)), strict=True))
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            used = int(self.at[-1])
-            flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(n.sum()))
-            while used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[used : used + len(flat)] = flat
-            self.at = np.concatenate([self.at, used + np.cumsum(n)])
-        counts = [len(ws) for ws in split]
-        words = np.fromiter((number[w] for ws in split for w in ws), np.int64, sum(counts))
-        start, size = self.at[words], self.at[words + 1] - self.at[words]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        out = self.ids[np.arange(total) + np.repeat(start - (ends - size), size)]
-        text_ends = np.cumsum(counts)
-        return out, np.concatenate([[0], np.concatenate([[0], ends])[text_ends]])
+        spec = json.loads(self.tokenizer.to_str())
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix) and "Lowercase" in json.dumps(spec["normalizer"])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.plain = re.compile(f"[{self.LETTERS}]+[{self.MARKS}]?").fullmatch
+        self.words, self.bases, self.marks = Known(), Known(), Known()
+        if self.by_word:
+            self.marks.numbers(["", *self.MARKS], 1 + len(self.MARKS))
+            self.marks.learn(*self.each(self.marks.new))
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many are of each text."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that are one piece each."""
+        flat, _ = self.each([" ".join(words)])
+        ends = np.flatnonzero(self.ends[flat]) + 1
+        return (flat, np.diff(ends, prepend=0)) if len(ends) == len(words) else self.each(words)
+
+    def learn(self) -> None:
+        new = self.words.new
+        base, mark, other = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), []
+        names: list[str] = []
+        for i, w in enumerate(new):
+            if self.plain(w):
+                if w[-1].isalpha():
+                    names.append(w.lower())
+                else:
+                    names.append(w[:-1].lower())
+                    mark[i] = self.marks[w[-1]]
+            else:
+                other.append(i)
+        is_plain = np.ones(len(new), bool)
+        is_plain[other] = False
+        base[is_plain] = self.bases.numbers(names, len(names))
+        if self.bases.new:
+            parts = [self.together(self.bases.new[a : a + 256]) for a in range(0, len(self.bases.new), 256)]
+            self.bases.learn(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        # A plain word's ids are its base's and its mark's; the others' follow in their places.
+        rest = Known()
+        rest.numbers([new[i] for i in other], len(other))
+        rest.learn(*self.each(rest.new))
+        sizes = np.zeros(len(new), np.int64)
+        n_base, n_mark = self.bases.sizes(base[is_plain]), self.marks.sizes(mark[is_plain])
+        sizes[is_plain] = n_base + n_mark
+        numbers = np.arange(len(other))
+        sizes[other] = rest.sizes(numbers)
+        at = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), np.uint32)
+        for where, n, ids in ((at[is_plain], n_base, self.bases.gather(base[is_plain], n_base)), (at[is_plain] + n_base, n_mark, self.marks.gather(mark[is_plain], n_mark)), (at[other], sizes[other], rest.gather(numbers, sizes[other]))):
+            flat[np.arange(len(ids)) + np.repeat(where - (np.cumsum(n) - n), n)] = ids
+        self.words.learn(flat, sizes)
+        self.bases.shrink(CACHE_WORDS)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an array of texts without nulls, and len(texts)+1 offsets into them. Arrow divides the texts and finds their distinct words; only those are looked up here."""
+        if not self.by_word:
+            flat, sizes = self.each(texts.to_pylist())
+            return flat, np.concatenate([[0], np.cumsum(sizes)])
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = self.words.numbers(distinct, len(distinct))[coded.indices.to_numpy()]
+        if self.words.new:
+            self.learn()
+        sizes = self.words.sizes(numbers)
+        out = self.words.gather(numbers, sizes)
+        self.words.shrink(CACHE_WORDS)
+        return out, np.concatenate([[0], np.cumsum(sizes)])[ends]
 
 
 class FileBuilder:
@@ -79,7 +175,7 @@ class FileBuilder:
         self.ids: list[np.ndarray] = []
         self.names: list[int | None] = []
         self.pending = 0
-        self.packer = zstandard.ZstdCompressor(level=3)
+        self.packer = zstandard.ZstdCompressor(level=1)
 
     def add(self, name: int | None, ids: np.ndarray) -> None:
         self.ids.append(ids)
@@ -149,18 +245,21 @@ class TokenFile:
                 yield from ((name, ids) for name, ids in self.frame(i) if wanted is None or name in wanted)
 
 
-_encoders: dict[str, WordEncoder] = {}
+@cache
+def encoder_for(path: str) -> WordEncoder:
+    """A worker's encoder of a vocabulary file: one for all its tasks (this function is found by its name, so its memory outlives a task's closure)."""
+    return WordEncoder(path)
 
 
 def _files(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
+        encoder = encoder_for(tokenizer)
         part = TaskContext.get().partitionId()
         order, file = part << 32, FileBuilder()
-        for b in slices(batches, "text", 1 << 20):
-            ids, at = encoder.encode(b.column("text").to_pylist())
+        for b in slices(batches, "text"):
+            ids, at = encoder.encode(b.column("text"))
             for i, name in enumerate(b.column("doc_id").to_pylist()):
                 file.add(name, np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
                 if file.bytes >= FILE_BYTES:
@@ -205,8 +304,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document in the token files at path: how many ids stand before its own, their number, and the crc32 of those ids as little-endian unsigned 32-bit integers.
 
-    Files are summed in their order by a window over one row per file."""
-    rows = read_blobs(spark, path).select("content").mapInArrow(_documents, "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint")
+    Files are decoded once, and summed in their order by a window over one row per file."""
+    rows = stored(read_blobs(spark, path).select("content").mapInArrow(_documents, "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"), "read")
     sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return rows.join(sums.select("file", before.cast("bigint").alias("before")), "file").select("doc_id", (F.col("before") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32")
