@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -212,6 +215,24 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
+def returned() -> None:
+    """Give memory that is free again back to the system: idle workers stay beside the JVM, and their memory counts."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which a worker returns its memory."""
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        returned()
+
+    return outer
+
+
 def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 

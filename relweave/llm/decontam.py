@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, word_hashes
+from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, tidied, word_hashes
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
@@ -247,7 +247,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = spark.createDataFrame([], schema)
     for k, index in enumerate(indexes(items)):
-        found = rows.mapInArrow(_matches(spark.sparkContext.broadcast(index)), schema)
+        found = rows.mapInArrow(tidied(_matches(spark.sparkContext.broadcast(index))), schema)
         out = found if k == 0 else out.unionByName(found)
     return out
 
@@ -265,5 +265,5 @@ def _clean(shared):
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that hold no item (see contaminated)."""
     for index in indexes(items):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+        docs = docs.mapInArrow(tidied(_clean(docs.sparkSession.sparkContext.broadcast(index))), docs.schema)
     return docs

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import grouped, stored
+from relweave.llm.common import grouped, stored, tidied
 from relweave.llm.components import components
 
 #: Vectors that the centroids are fitted on at most, about (by a hash of the id); every vector is assigned.
@@ -136,7 +136,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     Cells only spread the work: a vector also goes to each lower cell whose border is nearer than the distance that `cosine` allows, so that no pair is lost. Cells are compared in pairs of blocks; of the links only counts and one link per row and block are written."""
     spark = rows.sparkSession
-    units = stored(rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("bigint").alias("label"), "embedding").mapInArrow(_usable, "vec_id bigint, label bigint, dim bigint, unit binary"), "units")
+    units = stored(rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("bigint").alias("label"), "embedding").mapInArrow(tidied(_usable), "vec_id bigint, label bigint, dim bigint, unit binary"), "units")
     usable = units.where("unit is not null and label is not null and vec_id is not null")
     classes = stored(usable.groupBy("label", "dim", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "classes")
     dims = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
@@ -153,13 +153,13 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
             x = np.frombuffer(b"".join(bytes(u) for u in sample), np.float64).reshape(len(sample), dim)
             centroids = (dim, spherical_kmeans(x, min(MAX_CELLS, max(1, round(n / CELL_ROWS)), max(1, (8 << 20) // (8 * dim)))))
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    cells = stored(classes.mapInArrow(_assign(spark.sparkContext.broadcast(centroids), reach), "vec_id bigint, label bigint, dim bigint, copies bigint, unit binary, cell bigint, own boolean"), "cells")
+    cells = stored(classes.mapInArrow(tidied(_assign(spark.sparkContext.broadcast(centroids), reach)), "vec_id bigint, label bigint, dim bigint, copies bigint, unit binary, cell bigint, own boolean"), "cells")
     blocks = cells.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("side")).alias("x"), F.greatest(k, F.col("side")).alias("y")))
     keys = ["label", "dim", "cell", "x", "y"]
     met = cells.join(blocks, ["label", "dim", "cell"]).withColumn("side", own).withColumn("p", F.explode(pairs)).select("label", "dim", "cell", "p.x", "p.y", "vec_id", "copies", "unit", "own", "side").repartition(*keys).sortWithinPartitions(*keys)
-    links = stored(met.mapInArrow(_products(cosine), "a bigint, b bigint, n bigint"), "links")
+    links = stored(met.mapInArrow(tidied(_products(cosine)), "a bigint, b bigint, n bigint"), "links")
     roots = components(links.select("a", "b"))
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     # A vec_id on several rows may stand for several classes; counts are then of that id's classes together.

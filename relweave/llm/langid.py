@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import LOWER, slices, stored, text_buffer
+from relweave.llm.common import LOWER, slices, stored, text_buffer, tidied
 
 #: Hash buckets of the n-grams; n-grams are of 3 bytes of the lower-cased UTF-8 text, white space as one blank.
 BUCKETS = 1 << 16
@@ -85,7 +85,7 @@ def fit(docs: DataFrame, train: Column | None = None, train_docs: int = TRAIN_DO
     total = rows.count()
     if total > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(1_000_003 * train_docs / total))
-    counts = stored(rows.select("text", "lang").mapInArrow(_count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
+    counts = stored(rows.select("text", "lang").mapInArrow(tidied(_count), "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
     top = counts.where(f"bucket = {BUCKETS}").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not top:
         return None
@@ -129,4 +129,4 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | Non
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     ready = docs.select(*(F.col(f"`{c}`") for c in columns), F.coalesce("text", F.lit("")).alias("_lid_text"), letter.alias("_lid_letter"))
     schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add(out[0], "string").add(out[1], "double")
-    return ready.mapInArrow(_score(shared, columns, out), schema)
+    return ready.mapInArrow(tidied(_score(shared, columns, out)), schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import LOWER, WORD_SPACE, Sets, dropped, grouped, mix, shingles, slices, stored, text_buffer, whole_groups, word_hashes
+from relweave.llm.common import LOWER, WORD_SPACE, Sets, dropped, grouped, mix, shingles, slices, stored, text_buffer, tidied, whole_groups, word_hashes
 from relweave.llm.components import components
 
 #: log2 of the number of buckets, and bits of mantissa kept beside the count of leading zeros.
@@ -198,15 +198,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
     Sketches: 128 registers of 16 bits; 32 bands of 4 propose clusters; in a cluster the corrected estimate, six standard errors below the bound, goes before confirmation. Clusters beyond a block are compared block by block with their first member in each, and then pairs of blocks where more than one component is left."""
     spark = docs.sparkSession
-    signed = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_sign(n), "doc_id bigint, n_shingles bigint, digest binary, regs binary"), "signed")
+    signed = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(_sign(n)), "doc_id bigint, n_shingles bigint, digest binary, regs binary"), "signed")
     usable = signed.where("digest is not null and doc_id is not null")
     classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
-    bands = classes.select("rep", "regs").mapInArrow(_bands, "band bigint, rep bigint")
+    bands = classes.select("rep", "regs").mapInArrow(tidied(_bands), "band bigint, rep bigint")
     shared = bands.groupBy("band").agg(F.min("rep").alias("b"), F.max("rep").alias("top"), F.count("*").alias("rows")).where("b <> top").drop("top")
     met = stored(bands.join(shared, "band"), "met")
     # Estimates refine buckets of up to a block; what lies in a larger one goes on as it is.
     small = met.where(F.col("rows") <= 2 * BLOCK_DOCS).select("band", "rep").join(classes.select("rep", "n", "regs"), "rep")
-    small = small.repartition("band").sortWithinPartitions("band", "rep").mapInArrow(_refine(percent), "a bigint, b bigint")
+    small = small.repartition("band").sortWithinPartitions("band", "rep").mapInArrow(tidied(_refine(percent)), "a bigint, b bigint")
     candidates = met.where(F.col("rows") > 2 * BLOCK_DOCS).select(F.col("rep").alias("a"), "b").where("a <> b").union(small)
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
     clusters = components(candidates).select(F.col("id").alias("rep"), F.col("root").alias("cluster"))
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     x = F.when(F.col("rep") == F.col("cluster"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null").join(placed, "rep")
     within = texts.withColumn("x", F.explode(x)).select("cluster", "x", "rep", "text").repartition("cluster", "x").sortWithinPartitions("cluster", "x")
-    links = stored(within.mapInArrow(_confirm(n, percent, False), "a bigint, b bigint"), "confirmed")
+    links = stored(within.mapInArrow(tidied(_confirm(n, percent, False)), "a bigint, b bigint"), "confirmed")
     doubled = usable.join(several, "doc_id").join(classes.select("digest", F.col("rep").alias("b")), "digest").select(F.col("doc_id").alias("a"), "b")
     roots = components(links.union(doubled))
     # Of large clusters that are not in one component: the rows outside the largest one meet it and each other, in blocks.
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         groups = F.when(F.col("root") == F.col("main"), F.transform(outs, lambda j: triple(0, own, j))).otherwise(F.concat(F.transform(ins, lambda i: triple(0, i, out_own)), F.transform(outs, lambda k: triple(1, F.least(k, out_own), F.greatest(k, out_own)))))
         across = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null").join(large, "rep").withColumn("p", F.explode(groups))
         across = across.select("cluster", "p.kind", "p.x", "p.y", "rep", "text", "root", (F.col("root") == F.col("main")).cast("int").alias("side")).repartition("cluster", "kind", "x", "y").sortWithinPartitions("cluster", "kind", "x", "y")
-        more = stored(across.mapInArrow(_confirm(n, percent, True), "a bigint, b bigint"), "confirmed")
+        more = stored(across.mapInArrow(tidied(_confirm(n, percent, True)), "a bigint, b bigint"), "confirmed")
         roots = components(links.union(more).union(doubled))
     dropped(large)
     tops = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))

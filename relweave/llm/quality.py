@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import LOWER, mix, slices, stored, text_buffer, word_hashes
+from relweave.llm.common import LOWER, mix, slices, stored, text_buffer, tidied, word_hashes
 
 BUCKETS = 1 << 18
 #: Labelled documents that training takes, about (thinned by a hash of the id); passes over them.
@@ -99,8 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train: Colum
     if total > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * train_docs / total))
     found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(rows), "doc_id")
-    ready = stored(found.select("doc_id", "y", "text").mapInArrow(_extract, "doc_id bigint, y int, k array<int>, v array<double>"), "examples")
-    got = ready.repartition(1).sortWithinPartitions(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id", F.hash("k")).mapInArrow(_train, "k bigint, w double").toArrow()
+    ready = stored(found.select("doc_id", "y", "text").mapInArrow(tidied(_extract), "doc_id bigint, y int, k array<int>, v array<double>"), "examples")
+    got = ready.repartition(1).sortWithinPartitions(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id", F.hash("k")).mapInArrow(tidied(_train), "k bigint, w double").toArrow()
     w = np.zeros(BUCKETS + 1)
     w[got.column("k").to_numpy()] = got.column("w").to_numpy()
     return w
@@ -125,4 +125,4 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7, keep: li
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     ready = docs.select(*(F.col(f"`{c}`") for c in columns), F.coalesce("text", F.lit("")).alias("_q_text"))
     schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add("score", "double")
-    return ready.mapInArrow(_score(shared, columns), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return ready.mapInArrow(tidied(_score(shared, columns)), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relweave.llm.common import fresh_path, read_blobs, slices, stored, write_blobs
+from relweave.llm.common import fresh_path, read_blobs, returned, slices, stored, tidied, write_blobs
 
 #: Ids in a frame before it is closed (a longer document has a frame of its own), and frame bytes in a file before the next one begins.
 FRAME_IDS, FILE_BYTES = 1 << 16, 8 << 20
-#: Words whose ids a worker keeps at most, the earliest met (about 100 MB).
-CACHE_WORDS = 500_000
+#: Words whose ids a worker keeps at most, the earliest met (about 40 MB), and of their forms in lower case.
+CACHE_WORDS = 200_000
 
 # Fixed values of the zstandard container: numbers that begin a skippable frame, and a frame.
 SKIPPABLE, TABLE_SKIPPABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x52575453
@@ -62,9 +62,15 @@ class Known(dict):
 
     def gather(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The ids of these strings, one after another."""
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.arange(total) + np.repeat(self.at[numbers] - (ends - sizes), sizes)]
+        out, step = np.empty(int(sizes.sum()), np.uint32), 1 << 16
+        done = 0
+        for a in range(0, len(numbers), step):
+            n = sizes[a : a + step]
+            ends = np.cumsum(n)
+            total = int(ends[-1])
+            out[done : done + total] = self.ids[np.arange(total) + np.repeat(self.at[numbers[a : a + step]] - (ends - n), n)]
+            done += total
+        return out
 
     def shrink(self, most: int) -> None:
         """Forget the latest beyond `most`: what is frequent came early."""
@@ -101,9 +107,12 @@ class WordEncoder:
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many are of each text."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
+        flats, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(texts), 512):  # a library's encoding of one text takes a kilobyte
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[a : a + 512], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flats.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(flats), np.concatenate(sizes)
 
     def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same of words that are one piece each."""
@@ -248,7 +257,9 @@ class TokenFile:
 @cache
 def encoder_for(path: str) -> WordEncoder:
     """A worker's encoder of a vocabulary file: one for all its tasks (this function is found by its name, so its memory outlives a task's closure)."""
-    return WordEncoder(path)
+    encoder = WordEncoder(path)
+    returned()
+    return encoder
 
 
 def _files(tokenizer: str, end_id: int):
@@ -258,7 +269,7 @@ def _files(tokenizer: str, end_id: int):
         encoder = encoder_for(tokenizer)
         part = TaskContext.get().partitionId()
         order, file = part << 32, FileBuilder()
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 2 << 20):
             ids, at = encoder.encode(b.column("text"))
             for i, name in enumerate(b.column("doc_id").to_pylist()):
                 file.add(name, np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
@@ -279,7 +290,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
     tokenizer is the path of a vocabulary file of the tokenizers library, on every executor. A file's footer holds its place in the order, so files are ordered whatever their names."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    write_blobs(rows.mapInArrow(_files(tokenizer, end_id), "blob binary"), path, TAIL)
+    write_blobs(rows.mapInArrow(tidied(_files(tokenizer, end_id)), "blob binary"), path, TAIL)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +316,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document in the token files at path: how many ids stand before its own, their number, and the crc32 of those ids as little-endian unsigned 32-bit integers.
 
     Files are decoded once, and summed in their order by a window over one row per file."""
-    rows = stored(read_blobs(spark, path).select("content").mapInArrow(_documents, "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"), "read")
+    rows = stored(read_blobs(spark, path).select("content").mapInArrow(tidied(_documents), "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"), "read")
     sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return rows.join(sums.select("file", before.cast("bigint").alias("before")), "file").select("doc_id", (F.col("before") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32")

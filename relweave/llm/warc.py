@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relweave.llm.common import fresh_path, read_blobs, slices, write_blobs
+from relweave.llm.common import fresh_path, read_blobs, slices, tidied, write_blobs
 
 #: Record bytes in a package before the next one begins (a longer record is still whole).
 PACKAGE_BYTES = 8 << 20
@@ -178,7 +178,7 @@ def write(pages: DataFrame, path: str, least: int = 0) -> None:
 
     Records are compressed before the shuffle by digest, and a response's bytes go on unchanged."""
     spark_rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    rows = spark_rows.mapInArrow(_digests, "page_id bigint, url string, digest string, hex string, bytes bigint, member binary")
+    rows = spark_rows.mapInArrow(tidied(_digests), "page_id bigint, url string, digest string, hex string, bytes bigint, member binary")
     key = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page_id"), F.col("url").alias("url"))
     # A group's first record is found from ids and digests alone, aggregated before the shuffle.
     ids = spark_rows.select("page_id", "url", F.octet_length("html").alias("n"), F.sha1(F.col("html").cast("binary")).alias("hex")).where(F.col("n") >= least)
@@ -188,7 +188,7 @@ def write(pages: DataFrame, path: str, least: int = 0) -> None:
     response = F.col("first").isNull() | (key.eqNullSafe(F.col("first")) & (F.col("copy") == 1))
     out = rows.join(groups, "hex", "left").withColumn("copy", alike).withColumn("response", response)
     out = out.select("page_id", "url", "digest", "bytes", F.when(F.col("response"), F.col("member")).alias("member"), F.when(F.col("response"), "response").otherwise("revisit").alias("kind"), F.when(~F.col("response"), F.col("first.page_id")).alias("refers_to"))
-    write_blobs(out.mapInArrow(_packages, "blob binary"), path, TAIL)
+    write_blobs(out.mapInArrow(tidied(_packages), "blob binary"), path, TAIL)
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record in the packages at path; the payloads of responses are verified."""
-    return read_blobs(spark, path).select("content").mapInArrow(_pages, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return read_blobs(spark, path).select("content").mapInArrow(tidied(_pages), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
 def written(pages: DataFrame, least: int = 0, path: str | None = None) -> DataFrame:
