@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,8 @@ from relweave.llm.common import fresh_path, read_blobs, returned, slices, stored
 
 #: Ids in a frame before it is closed (a longer document has a frame of its own), and frame bytes in a file before the next one begins.
 FRAME_IDS, FILE_BYTES = 1 << 16, 8 << 20
-#: Words whose ids a worker keeps at most, the earliest met (about 40 MB), and of their forms in lower case.
-CACHE_WORDS = 200_000
+#: Words whose ids a worker keeps at most, the earliest met (about 80 MB).
+CACHE_WORDS = 400_000
 
 # Fixed values of the zstandard container: numbers that begin a skippable frame, and a frame.
 SKIPPABLE, TABLE_SKIPPABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x52575453
@@ -60,18 +59,6 @@ class Known(dict):
     def sizes(self, numbers: np.ndarray) -> np.ndarray:
         return self.at[numbers + 1] - self.at[numbers]
 
-    def gather(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The ids of these strings, one after another."""
-        out, step = np.empty(int(sizes.sum()), np.uint32), 1 << 16
-        done = 0
-        for a in range(0, len(numbers), step):
-            n = sizes[a : a + step]
-            ends = np.cumsum(n)
-            total = int(ends[-1])
-            out[done : done + total] = self.ids[np.arange(total) + np.repeat(self.at[numbers[a : a + step]] - (ends - n), n)]
-            done += total
-        return out
-
     def shrink(self, most: int) -> None:
         """Forget the latest beyond `most`: what is frequent came early."""
         while len(self) > most:
@@ -79,10 +66,22 @@ class Known(dict):
         self.at = self.at[: most + 1]
 
 
+def runs(flat: np.ndarray, at: np.ndarray, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at `at` of these numbers and have these sizes, one after another; some tens of thousands at a time, so that little is held beside the result."""
+    out, step, done = np.empty(int(sizes.sum()), np.uint32), 1 << 16, 0
+    for a in range(0, len(numbers), step):
+        n = sizes[a : a + step]
+        ends = np.cumsum(n)
+        total = int(ends[-1])
+        out[done : done + total] = flat[np.arange(total) + np.repeat(at[numbers[a : a + step]] - (ends - n), n)]
+        done += total
+    return out
+
+
 class WordEncoder:
     """A tokenizer that knows the words it has met.
 
-    Tokenizers that mark the ends of words drop white space, so a text's ids are those of its words between blanks, one after another. Of new words, those of letters with or without a mark behind are encoded in lower case and without the mark, many in one text, whose ids the marked ends divide again; other words are encoded each by itself. With tokenizers of other kinds whole texts are encoded."""
+    Tokenizers that mark the ends of words and lower the case drop white space, so a text's ids are those of its words between blanks, one after another. Arrow divides the texts and finds their distinct words; words of letters, with or without a mark behind, are known by their letters in lower case, other words as they are. New words of letters are encoded many in one text, whose ids the marked ends divide again. With tokenizers of other kinds whole texts are encoded."""
 
     #: Letters that stay one letter each when a text is normalised, and marks that make a piece of their own.
     LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?"
@@ -99,11 +98,11 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.plain = re.compile(f"[{self.LETTERS}]+[{self.MARKS}]?").fullmatch
-        self.words, self.bases, self.marks = Known(), Known(), Known()
-        if self.by_word:
-            self.marks.numbers(["", *self.MARKS], 1 + len(self.MARKS))
-            self.marks.learn(*self.each(self.marks.new))
+        self.known = Known()
+        flat, sizes = self.each(list(self.MARKS))
+        self.by_word &= bool((sizes == 1).all())
+        self.mark_ids, self.marks = flat, pa.array(list(self.MARKS), pa.large_string())
+        self.plain = f"^[{self.LETTERS}]+[{self.MARKS}]?$"
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many are of each text."""
@@ -115,62 +114,47 @@ class WordEncoder:
         return np.concatenate(flats), np.concatenate(sizes)
 
     def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same of words that are one piece each."""
+        """The same of words of letters: each is one piece or more, so as many ends as words are an end for each."""
         flat, _ = self.each([" ".join(words)])
         ends = np.flatnonzero(self.ends[flat]) + 1
         return (flat, np.diff(ends, prepend=0)) if len(ends) == len(words) else self.each(words)
 
     def learn(self) -> None:
-        new = self.words.new
-        base, mark, other = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), []
-        names: list[str] = []
-        for i, w in enumerate(new):
-            if self.plain(w):
-                if w[-1].isalpha():
-                    names.append(w.lower())
-                else:
-                    names.append(w[:-1].lower())
-                    mark[i] = self.marks[w[-1]]
-            else:
-                other.append(i)
-        is_plain = np.ones(len(new), bool)
-        is_plain[other] = False
-        base[is_plain] = self.bases.numbers(names, len(names))
-        if self.bases.new:
-            parts = [self.together(self.bases.new[a : a + 256]) for a in range(0, len(self.bases.new), 256)]
-            self.bases.learn(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        # A plain word's ids are its base's and its mark's; the others' follow in their places.
-        rest = Known()
-        rest.numbers([new[i] for i in other], len(other))
-        rest.learn(*self.each(rest.new))
-        sizes = np.zeros(len(new), np.int64)
-        n_base, n_mark = self.bases.sizes(base[is_plain]), self.marks.sizes(mark[is_plain])
-        sizes[is_plain] = n_base + n_mark
-        numbers = np.arange(len(other))
-        sizes[other] = rest.sizes(numbers)
-        at = np.cumsum(sizes) - sizes
-        flat = np.zeros(int(sizes.sum()), np.uint32)
-        for where, n, ids in ((at[is_plain], n_base, self.bases.gather(base[is_plain], n_base)), (at[is_plain] + n_base, n_mark, self.marks.gather(mark[is_plain], n_mark)), (at[other], sizes[other], rest.gather(numbers, sizes[other]))):
-            flat[np.arange(len(ids)) + np.repeat(where - (np.cumsum(n) - n), n)] = ids
-        self.words.learn(flat, sizes)
-        self.bases.shrink(CACHE_WORDS)
+        new = self.known.new
+        letters = np.fromiter(map(str.isalpha, new), bool, len(new))
+        words = list(compress(new, letters))
+        parts = [self.together(words[a : a + 256]) for a in range(0, len(words), 256)] + [self.each(list(compress(new, ~letters)))]
+        flat, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # Words of letters came first, the others after them; now in the order of their numbers.
+        order = np.argsort(np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)]))
+        self.known.learn(runs(flat, np.cumsum(sizes) - sizes, order, sizes[order]), sizes[order])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of an array of texts without nulls, and len(texts)+1 offsets into them. Arrow divides the texts and finds their distinct words; only those are looked up here."""
+        """All ids of an array of texts without nulls, and len(texts)+1 offsets into them."""
         if not self.by_word:
             flat, sizes = self.each(texts.to_pylist())
             return flat, np.concatenate([[0], np.cumsum(sizes)])
         split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        numbers = self.words.numbers(distinct, len(distinct))[coded.indices.to_numpy()]
-        if self.words.new:
+        distinct, words = coded.dictionary, coded.indices.to_numpy()
+        plain = pc.match_substring_regex(distinct, self.plain)
+        keys = pc.if_else(plain, pc.utf8_rtrim(pc.utf8_lower(distinct), self.MARKS), distinct).dictionary_encode()
+        mark = pc.if_else(plain, pc.index_in(pc.utf8_slice_codeunits(distinct, -1), self.marks), None).fill_null(-1).to_numpy()
+        names = keys.dictionary.to_pylist()
+        base = self.known.numbers(names, len(names))[keys.indices.to_numpy()]
+        if self.known.new:
             self.learn()
-        sizes = self.words.sizes(numbers)
-        out = self.words.gather(numbers, sizes)
-        self.words.shrink(CACHE_WORDS)
-        return out, np.concatenate([[0], np.cumsum(sizes)])[ends]
+        # The ids of each distinct word: those of its letters, and its mark's.
+        n_base = self.known.sizes(base)
+        sizes = n_base + (mark >= 0)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.empty(int(at[-1]), np.uint32)
+        flat[np.arange(int(n_base.sum())) + np.repeat(at[:-1] - (np.cumsum(n_base) - n_base), n_base)] = runs(self.known.ids, self.known.at, base, n_base)
+        flat[at[1:][mark >= 0] - 1] = self.mark_ids[mark[mark >= 0]]
+        self.known.shrink(CACHE_WORDS)
+        n = sizes[words]
+        return runs(flat, at, words, n), np.concatenate([[0], np.cumsum(n)])[ends]
 
 
 class FileBuilder:
@@ -269,7 +253,7 @@ def _files(tokenizer: str, end_id: int):
         encoder = encoder_for(tokenizer)
         part = TaskContext.get().partitionId()
         order, file = part << 32, FileBuilder()
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text"):
             ids, at = encoder.encode(b.column("text"))
             for i, name in enumerate(b.column("doc_id").to_pylist()):
                 file.add(name, np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
