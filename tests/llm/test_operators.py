@@ -233,8 +233,8 @@ def test_pii_terms(spark):
     rows += [(10 + i, f"the case number {i} went to the clerk and about nothing") for i in range(60)]
     rows += [(100, "zanzibar alone")]
     got = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert got[0].clean == "the clerk  [EMAIL] about the 0th case".replace("  ", "   to ").replace("   to ", "  wrote to ").replace("wrote", "").replace("  to", "   to") or "zanzibar" not in got[0].clean
-    assert "bob@" not in got[0].clean and "clerk" in got[0].clean
+    # zanzibar occurs once elsewhere (0.94 of the entity's information), wrote nowhere else.
+    assert got[0].clean == "the clerk [WORD]  to [EMAIL] about the 0th case"
     assert [s.kind for s in got[0].spans].count("email") == 1
     terms = {s.value for s in got[0].spans if s.kind == "term"}
     assert "zanzibar" in terms and "the" not in terms and "clerk" not in terms
@@ -312,7 +312,8 @@ def test_warc(spark, tmp_path):
         seen |= {h} if own else set()
         want.append((p, base[1], base[2], "response" if own else "revisit", None if own else first[h]))
     assert got == sorted(want, key=str)
-    assert sum(r[3] == "response" for r in warc.written(df, 5, f"file://{tmp_path}/warc5").collect() and [tuple(r) for r in warc.read(spark, f"file://{tmp_path}/warc5").collect()]) == 6
+    # From 5 bytes on: the two empty payloads are both responses.
+    assert sum(r.record_type == "response" for r in warc.written(df, 5, f"file://{tmp_path}/warc5").collect()) == 6
     for f in (tmp_path / "warc").iterdir():
         if f.name.startswith("part-"):
             with zipfile.ZipFile(f) as z:  # an independent reader agrees
