@@ -131,7 +131,7 @@ def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, genera
     - null text: as empty; null doc_id: a row like others; repeated rows count as documents; an empty table gives no rows"""
     based = base_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     found = stored(based.where(F.size("base") > 0).withColumn("key", F.monotonically_increasing_id()), "found")
-    judged = disclosing(docs, found, reach, support, generalise)
+    judged = stored(disclosing(docs, found, reach, support, generalise), "judged")
     wanted = found.select("key", F.explode("base").alias("s")).select("key", entity(F.col("s")).alias("entity")).distinct().join(judged, "entity").groupBy("key", "term").agg(F.max("share").alias("share"))
     wanted = wanted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("wanted"))
     words = located(F.col("text"), WORD)
