@@ -49,11 +49,11 @@ DERIVED = {
   event_type || CASE WHEN event_id % 10 = 0 THEN ' [Auto-Approved]' ELSE '' END AS evidence, event_id AS ordinal FROM {events}""",
     # Profiles of some of the relationships, in lower case and partly the other way round.
     "profiles": """SELECT lower('T' || k % 23) AS from_table, 'C' || (k % 9) AS from_column, 'T' || (k % 19) AS to_table, 'id' AS to_column, (k % 89) / 88e0 AS match_rate, (k % 7) / 6e0 AS pk_unique_rate, (k % 5) / 4e0 AS fk_null_rate,
-  k % 15 AS frequency, (k % 31) / 30e0 AS confidence_sql, k % 4 <> 0 AS profiled, k FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey <= 1500)
-  UNION ALL SELECT 'T' || (k % 19), 'ID', 'T' || (k % 23), 'C' || (k % 9), 0.5, 0.5, 0.5, 3, 0.5, true, k + 100000 FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey BETWEEN 40 AND 190)""",
+  k % 15 AS frequency, (k % 31) / 30e0 AS confidence_sql, k % 4 <> 0 AS profiled, k FROM (SELECT p_partkey AS k FROM {part})
+  UNION ALL SELECT 'T' || (k % 19), 'ID', 'T' || (k % 23), 'C' || (k % 9), 0.5, 0.5, 0.5, 3, 0.5, true, k + 1000000000 FROM (SELECT p_partkey AS k FROM {part})""",
     "column_profiles": "SELECT 'T' || s_suppkey AS table_name, 'C' || (s_suppkey % 5) AS column_name, (s_suppkey % 10) / 10e0 AS null_rate, s_suppkey AS k FROM {supplier}",
     "hints": """SELECT 'T' || (k % 23) AS table_a, 'C' || (k % 9) AS col_a, 'T' || (k % 19) AS table_b, 'ID' AS col_b, 0.5 AS a_coverage, 0.5 AS b_coverage,
-  CASE k % 3 WHEN 0 THEN 'T' || (k % 23) || ' is likely the PARENT (referred) table' WHEN 1 THEN 'T' || (k % 19) || ' is likely the PARENT (referred) table' ELSE 'Direction unclear' END AS direction_suggestion FROM (SELECT p_partkey AS k FROM {part} WHERE p_partkey <= 150)""",
+  CASE k % 3 WHEN 0 THEN 'T' || (k % 23) || ' is likely the PARENT (referred) table' WHEN 1 THEN 'T' || (k % 19) || ' is likely the PARENT (referred) table' ELSE 'Direction unclear' END AS direction_suggestion FROM (SELECT p_partkey AS k FROM {part})""",
     "triples": """SELECT DISTINCT s, p, o FROM (
   SELECT CASE WHEN p_size % 13 = 0 THEN 'http://other#C' ELSE '{base}C' END || p_partkey AS s, '{type}' AS p, '{owl}Class' AS o FROM {part}
   UNION ALL SELECT '{base}C' || p_partkey, '{rdfs}label', p_name FROM {part} WHERE p_size % 5 <> 0
@@ -68,7 +68,7 @@ DERIVED = {
   UNION ALL SELECT '{base}dp' || c_custkey, '{type}', '{owl}DatatypeProperty' FROM {customer}
   UNION ALL SELECT '{base}dp' || c_custkey, '{rdfs}label', c_name FROM {customer} WHERE c_custkey % 3 <> 0
   UNION ALL SELECT '{base}dp' || c_custkey, '{rdfs}domain', '{base}C' || (c_custkey * 17 % 2500) FROM {customer})""".replace("{base}", BASE_IRI).replace("{type}", RDF_TYPE).replace("{owl}", OWL).replace("{rdfs}", RDFS),
-    "approved_edges": "SELECT 'c' || (s_suppkey * 3 % 250 + 1) AS from_table, 'C' || (s_suppkey % 50 + 1) AS to_table, 'OP' || s_suppkey AS relation FROM {supplier} WHERE s_suppkey % 3 <> 0",
+    "approved_edges": "SELECT 'c' || (s_suppkey * 3 % 250 + 1) AS from_table, 'C' || (s_suppkey % 50 + 1) AS to_table, 'OP' || s_suppkey AS relation FROM {supplier}",
     # Names with endings of all sorts.
     "names": """SELECT p_partkey AS k, upper(replace(p_type, ' ', '_')) || CASE p_partkey % 9 WHEN 0 THEN 'IES' WHEN 1 THEN 'SSES' WHEN 2 THEN 'XES' WHEN 3 THEN 'CHES' WHEN 4 THEN 'SHES' WHEN 5 THEN 'S_ITEMS' WHEN 6 THEN 'SS' WHEN 7 THEN '_S' ELSE '' END AS name FROM {part}""",
 }

@@ -427,13 +427,13 @@ def status_summary(spark, d):
 
 
 _DEGREES = """(SELECT coalesce(o.t, i.t) AS "table", CAST(coalesce(o.n, 0) AS BIGINT) AS out_edges, CAST(coalesce(i.n, 0) AS BIGINT) AS in_edges FROM (SELECT from_table AS t, count(*) AS n FROM {few} GROUP BY 1) o FULL JOIN (SELECT to_table AS t, count(*) AS n FROM {few} GROUP BY 1) i ON o.t = i.t)"""
-_FEW = "(SELECT 'T' || (p_partkey * p_partkey % 53) AS from_table, 'T' || (p_partkey * 31 % 211) AS to_table FROM {part} WHERE p_partkey <= 200)"
+_FEW = "(SELECT 'T' || (p_partkey * p_partkey % 1009) AS from_table, 'T' || (p_partkey * 31 % 2003) AS to_table FROM {part})"
 _SCORED = f"(SELECT *, out_edges + in_edges AS total_edges, least(in_edges, out_edges) / CASE WHEN out_edges + in_edges = 0 THEN 1 ELSE out_edges + in_edges END AS bridge_score FROM {_DEGREES.replace('{few}', _FEW)})"
 
 
 def _degrees(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
-    few = table(spark, d, "part").where(k <= 200).select(F.concat(F.lit("T"), (k * k % 53).cast("string")).alias("from_table"), F.concat(F.lit("T"), (k * 31 % 211).cast("string")).alias("to_table"))
+    few = table(spark, d, "part").select(F.concat(F.lit("T"), (k * k % 1009).cast("string")).alias("from_table"), F.concat(F.lit("T"), (k * 31 % 2003).cast("string")).alias("to_table"))
     return V.degrees(few)
 
 
