@@ -47,7 +47,7 @@ class Validation:
 
 @dataclass
 class Ontology:
-    base_iri: str = "http://example.org/rigor#"
+    base_iri: str = "http://example.org/ontology#"
     format: str = "turtle"
 
 

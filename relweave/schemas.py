@@ -42,7 +42,7 @@ RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 RDFS = "http://www.w3.org/2000/01/rdf-schema#"
 OWL = "http://www.w3.org/2002/07/owl#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
-BASE_IRI = "http://example.org/rigor#"
+BASE_IRI = "http://example.org/ontology#"
 
 
 def conform(df: DataFrame, schema: StructType, blank: dict[str, object] | None = None) -> DataFrame:

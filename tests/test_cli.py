@@ -56,7 +56,7 @@ def test_failures(spark, site, monkeypatch):
     assert config.load(str(bad)).paths.tables == "x/y"
     cfg = yaml.safe_load((site / "c.yaml").read_text())
     assert run(["--config", str(site / "c.yaml"), "--phase", "infer", "--sql-dir", str(site / "sql")], spark) == OK
-    (site / "onto.ttl").write_text('<http://example.org/rigor#X> a <http://www.w3.org/2002/07/owl#Class> .')
+    (site / "onto.ttl").write_text('<http://example.org/ontology#X> a <http://www.w3.org/2002/07/owl#Class> .')
     cfg["paths"]["ontology"], cfg["ontology"] = str(site / "onto.ttl"), {"format": "turtle"}
     bad.write_text(yaml.safe_dump(cfg))
     assert run(["--config", str(bad), "--phase", "validate"], spark) == INVALID
