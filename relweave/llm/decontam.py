@@ -16,12 +16,14 @@ from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, tidie
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
-#: Share of an item's greatest possible score from which a passage retrieves it. An item of which 0.8 of the 5-word runs are there keeps more of its words' weight.
+#: Share of an item's greatest possible score from which a passage retrieves it. A question without its answer can stay below it: questions are also retrieved by their runs.
 RETRIEVE = 0.6
 #: Words in a run, and share of an item's runs (or of its question's) that a document must hold.
 RUN, OVERLAP = 5, 0.8
 #: Items in a block, items in an index, and bytes of text in an index at most: more items make more indexes, which are broadcast one after another.
 BLOCK_ITEMS, INDEX_ITEMS, INDEX_BYTES = 16, 2000, 8 << 20
+#: Runs of texts that are hashed at once, and entries of parts that are counted at once, about.
+RUNS_AT_ONCE, ENTRIES_AT_ONCE = 1 << 20, 1 << 21
 #: Document frequencies of items' terms are counted in a table of this many hashed places.
 DF_PLACES = 1 << 20
 
@@ -59,6 +61,19 @@ class LengthClass:
     n_blocks: int
 
 
+@dataclass
+class Parts:
+    """Runs of items' questions, by which a text retrieves an item wherever in it they stand."""
+
+    lengths: list[int]  # words of the runs
+    runs: np.ndarray
+    maybe: np.ndarray  # by the runs' low bits: whether there is any
+    ptr: np.ndarray  # by run: the parts that it is of
+    part: np.ndarray
+    item: np.ndarray  # by part: its item, and the runs that a text must hold
+    need: np.ndarray
+
+
 @dataclass
 class Index:
     terms: np.ndarray
@@ -67,13 +82,25 @@ class Index:
     runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: runs of the whole, the question and the answer
     long_question: list[bool]
     classes: list[LengthClass]
+    parts: Parts
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that are terms, and the terms' numbers."""
-        at = np.flatnonzero(self.maybe[(hashes & np.uint64(len(self.maybe) - 1)).astype(np.int64)])
-        t = np.minimum(np.searchsorted(self.terms, hashes[at]), len(self.terms) - 1)
-        yes = self.terms[t] == hashes[at]
-        return at[yes], t[yes]
+        return looked_up(self.terms, self.maybe, hashes)
+
+
+def looked_up(known: np.ndarray, maybe: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the hashes that are known, and their numbers."""
+    at = np.flatnonzero(maybe[(hashes & np.uint64(len(maybe) - 1)).astype(np.int64)])
+    t = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+    yes = known[t] == hashes[at]
+    return at[yes], t[yes]
+
+
+def low_bits(known: np.ndarray) -> np.ndarray:
+    maybe = np.zeros(1 << 20, bool)
+    maybe[(known & np.uint64(len(maybe) - 1)).astype(np.int64)] = True
+    return maybe
 
 
 def spread(ptr: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,8 +117,7 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
     words, at = term_hashes(pa.array(texts, pa.large_string()))
     per = [words[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
     terms = np.unique(words)
-    maybe = np.zeros(1 << 20, bool)
-    maybe[(terms & np.uint64(len(maybe) - 1)).astype(np.int64)] = True
+    maybe = low_bits(terms)
     idf = np.log1p((n_items - df[(terms % np.uint64(DF_PLACES)).astype(np.int64)] + 0.5) / (df[(terms % np.uint64(DF_PLACES)).astype(np.int64)] + 0.5))
     parts = [question_and_answer(t) for t in texts]
     q, qa = term_hashes(pa.array([x for x, _ in parts], pa.large_string()))
@@ -118,7 +144,19 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
         top = np.zeros(len(terms))
         np.maximum.at(top, t, w)
         classes.append(LengthClass(int(sizes[mine].max()), top, np.searchsorted(block_t, np.arange(len(terms) + 1)), block_id, np.maximum.reduceat(w, start), ptr, i, w, mine, len(mine) // BLOCK_ITEMS + 1))
-    return Index(terms, maybe, [i for i, _ in items], runs, [bool(qa[i + 1] - qa[i] >= RUN) for i in range(len(items))], classes)
+    long_question = [bool(qa[i + 1] - qa[i] >= RUN) for i in range(len(items))]
+    return Index(terms, maybe, [i for i, _ in items], runs, long_question, classes, parts_of([(i, x[1], RUN) for i, x in enumerate(runs) if long_question[i]]))
+
+
+def parts_of(parts: list[tuple[int, np.ndarray, int]]) -> Parts:
+    """Parts (item, distinct runs, words in a run) by their runs."""
+    size = np.array([len(x) for _, x, _ in parts], np.int64)
+    every = np.concatenate([np.zeros(0, np.uint64), *(x for _, x, _ in parts)])
+    known, number = np.unique(every, return_inverse=True)
+    order = np.argsort(number, kind="stable")
+    part = np.repeat(np.arange(len(parts)), size)[order]
+    need = np.ceil(OVERLAP * size - 1e-9).astype(np.int64)
+    return Parts(sorted({k for _, _, k in parts}), known, low_bits(known), np.searchsorted(number[order], np.arange(len(known) + 1)), part, np.array([i for i, _, _ in parts], np.int64), need)
 
 
 def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float = RETRIEVE) -> dict[tuple[int, int], float]:
@@ -167,10 +205,56 @@ def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float =
     return out
 
 
+def evidence(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """(text, item) of all parts that a text holds OVERLAP or more of the runs of, in whatever passages: runs are looked up one by one and joined per text."""
+    p = index.parts
+    texts, runs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in p.lengths:
+        for a in range(0, len(words) - k + 1, RUNS_AT_ONCE):
+            place, run = looked_up(p.runs, p.maybe, shingles(words[a : min(a + RUNS_AT_ONCE + k - 1, len(words))], k))
+            place += a
+            text = np.searchsorted(at, place, "right") - 1
+            whole = place + k <= at[text + 1]
+            texts.append(text[whole])
+            runs.append(run[whole])
+    text, run = np.divmod(np.unique(np.concatenate(texts) * max(len(p.runs), 1) + np.concatenate(runs)), max(len(p.runs), 1))
+    before = np.concatenate([[0], np.cumsum(p.ptr[run + 1] - p.ptr[run])])
+    bounds = np.append(np.flatnonzero(np.diff(text, prepend=-1)), len(text))
+    out: list[tuple[int, int]] = []
+    a = 0
+    while a < len(text):
+        # Whole texts, of about ENTRIES_AT_ONCE entries together.
+        z = int(bounds[max(np.searchsorted(before[bounds], before[a] + ENTRIES_AT_ONCE, "right") - 1, np.searchsorted(bounds, a, "right"))])
+        rows, entry = spread(p.ptr, run[a:z])
+        key, n = np.unique(text[a:z][rows] * len(p.item) + p.part[entry], return_counts=True)
+        doc, part = np.divmod(key, len(p.item))
+        enough = n >= p.need[part]
+        out += zip(doc[enough].tolist(), p.item[part[enough]].tolist(), strict=True)
+        a = z
+    return out
+
+
+def best_score(index: Index, words: np.ndarray, item: int) -> float:
+    """The best score of a passage of one text with an item."""
+    c = next(c for c in index.classes if item in c.items)
+    entry = np.flatnonzero(c.item == np.flatnonzero(c.items == item)[0])
+    impact = np.zeros(len(index.terms))
+    impact[np.searchsorted(c.ptr, entry, "right") - 1] = c.impact[entry]
+    place, term = index.lookup(words)
+    place, term = place[impact[term] > 0], term[impact[term] > 0]
+    half = place // c.words
+    # A half is in the passage that it begins and in the one before.
+    passage, term = np.divmod(np.unique(np.concatenate([half, half + 1]) * len(index.terms) + np.concatenate([term, term])), len(index.terms))
+    return float(np.bincount(passage, impact[term]).max()) if len(passage) else 0.0
+
+
 def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float, float]]:
     """(text, item, score, overlap, question overlap, answer overlap) of the items that a text holds."""
     words, at = term_hashes(column)
     found = retrieve(index, words, at)
+    for doc, item in evidence(index, words, at):
+        if (doc, item) not in found:
+            found[doc, item] = best_score(index, words[at[doc] : at[doc + 1]], item)
     out = []
     runs: dict[int, np.ndarray] = {}
     for (doc, item), score in sorted(found.items()):
@@ -239,7 +323,7 @@ def _matches(shared):
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, overlap, question_overlap, answer_overlap): a row for each row of docs (doc_id, text) and each row of items (item_id, text) that it holds; other columns are ignored.
 
-    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, and held if OVERLAP or more of its distinct runs of RUN words, or of its question's, are in the whole document. Case and marks between words don't matter.
+    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document OVERLAP or more of its question's runs, and held if OVERLAP or more of its distinct runs of RUN words, or of its question's, are in the whole document. Case and marks between words don't matter.
 
     - null or empty texts, and items without words: no rows; null ids stay null; repeated rows: a row each; an empty table on either side: no rows"""
     spark = docs.sparkSession

@@ -393,6 +393,20 @@ def test_decontamination(spark):
     assert decontam.contaminated(df.limit(0), it).count() == 0 and decontam.contaminated(df, it.limit(0)).count() == 0
 
 
+def test_questions_without_answers_are_found(spark):
+    """A question is held without its answer, however much of the item's weight the answer has."""
+    rng = random.Random(21)
+    asked = [" ".join(_words(rng, n, 5000)) + "?" for n in (5, 8, 12, 30)]
+    items = [(i, f"{q} Answer: {' '.join(_words(rng, 60, 5000))}") for i, q in enumerate(asked)]
+    rows = [(i, f"{' '.join(_words(rng, 400, 5000))} {q} {' '.join(_words(rng, 300, 5000))}") for i, q in enumerate(asked)]
+    rows += [(10, " ".join(asked)), (11, asked[0]), (12, " ".join(asked[2].split()[:8]))]
+    df, it = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.contaminated(df, it).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [*((i, i) for i in range(4)), *((10, i) for i in range(4)), (11, 0)]
+    assert all(r.question_overlap == 1 and r.answer_overlap < 0.1 and 0 < r.score < 0.6 for r in got if r.doc_id < 4)
+    assert [r.doc_id for r in decontam.cleaned(df, it).collect()] == [12]
+
+
 def test_retrieval_is_whole(monkeypatch):
     """Block-max bounds leave out nothing that scores at the threshold, however items are divided."""
     rng = random.Random(10)
