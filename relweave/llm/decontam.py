@@ -16,7 +16,7 @@ from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, tidie
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
-#: Share of an item's greatest possible score from which a passage retrieves it. A question without its answer can stay below it: questions are also retrieved by their runs.
+#: Share of an item's greatest possible score from which a passage retrieves it. An item whose parts stand apart, or a question without its answer, can stay below it: items and questions are also retrieved by their runs.
 RETRIEVE = 0.6
 #: Words in a run, and share of an item's runs (or of its question's) that a document must hold.
 RUN, OVERLAP = 5, 0.8
@@ -63,7 +63,7 @@ class LengthClass:
 
 @dataclass
 class Parts:
-    """Runs of items' questions, by which a text retrieves an item wherever in it they stand."""
+    """Runs of items and of their questions, by which a text retrieves an item wherever in it they stand."""
 
     lengths: list[int]  # words of the runs
     runs: np.ndarray
@@ -145,7 +145,7 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
         np.maximum.at(top, t, w)
         classes.append(LengthClass(int(sizes[mine].max()), top, np.searchsorted(block_t, np.arange(len(terms) + 1)), block_id, np.maximum.reduceat(w, start), ptr, i, w, mine, len(mine) // BLOCK_ITEMS + 1))
     long_question = [bool(qa[i + 1] - qa[i] >= RUN) for i in range(len(items))]
-    return Index(terms, maybe, [i for i, _ in items], runs, long_question, classes, parts_of([(i, x[1], RUN) for i, x in enumerate(runs) if long_question[i]]))
+    return Index(terms, maybe, [i for i, _ in items], runs, long_question, classes, parts_of([*((i, x[0], min(RUN, int(sizes[i]))) for i, x in enumerate(runs)), *((i, x[1], RUN) for i, x in enumerate(runs) if long_question[i])]))
 
 
 def parts_of(parts: list[tuple[int, np.ndarray, int]]) -> Parts:
@@ -252,7 +252,7 @@ def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, floa
     """(text, item, score, overlap, question overlap, answer overlap) of the items that a text holds."""
     words, at = term_hashes(column)
     found = retrieve(index, words, at)
-    for doc, item in evidence(index, words, at):
+    for doc, item in set(evidence(index, words, at)):
         if (doc, item) not in found:
             found[doc, item] = best_score(index, words[at[doc] : at[doc + 1]], item)
     out = []
@@ -323,7 +323,7 @@ def _matches(shared):
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, overlap, question_overlap, answer_overlap): a row for each row of docs (doc_id, text) and each row of items (item_id, text) that it holds; other columns are ignored.
 
-    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document OVERLAP or more of its question's runs, and held if OVERLAP or more of its distinct runs of RUN words, or of its question's, are in the whole document. Case and marks between words don't matter.
+    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document OVERLAP or more of its runs or its question's, in whatever passages, and held if OVERLAP or more of its distinct runs of RUN words, or of its question's, are in the whole document. Case and marks between words don't matter.
 
     - null or empty texts, and items without words: no rows; null ids stay null; repeated rows: a row each; an empty table on either side: no rows"""
     spark = docs.sparkSession

@@ -407,6 +407,37 @@ def test_questions_without_answers_are_found(spark):
     assert [r.doc_id for r in decontam.cleaned(df, it).collect()] == [12]
 
 
+def test_parts_that_stand_apart_are_found(monkeypatch):
+    """An item is held if its runs are anywhere in the document, with any number of words between its parts."""
+    monkeypatch.setattr(decontam, "RUNS_AT_ONCE", 7)
+    monkeypatch.setattr(decontam, "ENTRIES_AT_ONCE", 3)
+    rng = random.Random(22)
+    items = [(i, _words(rng, n, 5000)) for i, n in enumerate([50, 60, 100, 300, 3])]
+    texts = ["", "one"]
+    for _, w in items:
+        for cuts in (1, 2):
+            gap = [_words(rng, 900, 5000) for _ in range(cuts)]
+            at = [len(w) * k // (cuts + 1) for k in range(cuts + 2)]
+            texts.append(" ".join(x for k in range(cuts + 1) for x in [*w[at[k] : at[k + 1]], *(gap[k] if k < cuts else [])]))
+    texts.append(" ".join(w for _, x in items for w in x))
+    df = np.zeros(decontam.DF_PLACES, np.int32)
+    index = decontam.build([(i, " ".join(w)) for i, w in items], df, len(items), 100.0)
+    got = {(d, i): (score, overlap) for d, i, score, overlap, *_ in decontam.verified(index, pa.array(texts))}
+    own = [{tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in map(str.split, texts)]
+    want = set()
+    for d, t in enumerate(texts):
+        for i, w in items:
+            r = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+            if (len(r & own[d]) >= 0.8 * len(r)) if r else f" {' '.join(w)} " in f" {t} ":
+                want.add((d, i))
+    assert got.keys() == want and {(2 + 2 * i + c, i) for i in range(4) for c in (0, 1)} <= want
+    assert sum(score < 0.6 for score, _ in got.values()) >= 6
+    # The score is that of the best passage.
+    words, at = decontam.term_hashes(pa.array(texts))
+    every = decontam.retrieve(index, words, at, 1e-9)
+    assert all(abs(every[k] - score) < 1e-9 for k, (score, _) in got.items())
+
+
 def test_retrieval_is_whole(monkeypatch):
     """Block-max bounds leave out nothing that scores at the threshold, however items are divided."""
     rng = random.Random(10)
