@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from relweave.llm.common import stored
 
 #: Words on either side of an entity that count as occurring with it.
 REACH = 8
-#: Documents in which a term must occur with an entity before it can be judged.
+#: Documents in which a term must occur with an entity to be measured by the entity's content alone; rarer pairs are judged by their own.
 SUPPORT = 3
 #: Shares of the entity's information content: terms that give away so much are generalised, or removed.
 GENERALISE, REMOVE = 0.75, 0.999
@@ -29,8 +31,8 @@ MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Leftmost matches without overlap as array<struct<start, end, value>>, in code points.
+def located(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """Leftmost matches without overlap whose value is wanted, as array<struct<start, end, value>>, in code points.
 
     Splitting gives what lies between matches, so the sums of lengths give the places."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -39,7 +41,7 @@ def located(text: Column, pattern: str) -> Column:
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     step = lambda acc, x: F.struct(
         (acc.at + x.gap + F.length(x.value)).alias("at"),
-        F.concat(acc.out, F.array(F.struct((acc.at + x.gap).alias("start"), (acc.at + x.gap + F.length(x.value)).alias("end"), x.value.alias("value")))).alias("out"),
+        F.when(wanted(x.value), F.concat(acc.out, F.array(F.struct((acc.at + x.gap).alias("start"), (acc.at + x.gap + F.length(x.value)).alias("end"), x.value.alias("value"))))).otherwise(acc.out).alias("out"),
     )
     return F.when(F.size(found) == 0, empty).otherwise(F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc.out))
 
@@ -102,23 +104,24 @@ def entity(span: Column) -> Column:
 
 
 def disclosing(docs: DataFrame, found: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, share): terms near an entity that give it away, from counts over all docs.
+    """(entity, term, share): terms near an entity that give it away, from counts over all docs; every pair is judged.
 
-    docs (text) is the corpus, found (key, text, base) its documents with entities. With N documents, of which df(t) hold the term, df(e) the entity, and c hold the term within `reach` words of the entity, the disclosed information is log2(c * N / (df(t) * df(e))) and the entity's content log2(N / df(e)); share is their ratio. A term is judged from `support` such documents on. Counts of words are aggregated before each shuffle, and a window of words bounds the pairs that a mention gives."""
+    docs (text) is the corpus, found (key, text, base) its documents with entities. With N documents, of which df(t) hold the term, df(e) the entity, and c hold the term within `reach` words of the entity, the disclosed information is log2(c * N / (df(t) * df(e))) and the entity's content log2(N / df(e)); share is their ratio. Few documents are weak evidence: where c is below `support`, the content is that of the pair, log2(N / c), instead. That is the same if all the entity's documents hold the term, as with an entity of one document, and more, hence a smaller share, the more of them don't. Counts of words are aggregated before each shuffle, and a window of words bounds the pairs that a mention gives."""
     mentions = found.select("key", "text", F.explode("base").alias("s"))
     before = F.substring_index(F.substring(F.col("text"), F.lit(1), F.col("s.start")), " ", -(reach + 1))
     left, right = terms(before), terms(F.substring_index(F.substring(F.col("text"), F.col("s.end") + 1, F.lit(2**31 - 1)), " ", reach + 1))
     left, right = F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(right, F.lit(1), F.lit(reach))
     near = mentions.select("key", entity(F.col("s")).alias("entity"), F.explode(F.array_distinct(F.concat(left, right))).alias("term")).distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
-    pairs = stored(pairs, "pairs")
+    pairs = stored(near.groupBy("entity", "term").agg(F.count("*").alias("c")), "pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("share"))
     n = docs.count()
     of_entity = mentions.select("key", entity(F.col("s")).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
     of_term = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit("")))).alias("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
-    judged = of_term.join(pairs, "term").join(of_entity, "entity")
-    content = F.log2(F.lit(float(n)) / F.col("df_e"))
+    # Stored, so that the join reads plain rows and Spark can divide the pairs of a frequent term among tasks.
+    of_term = stored(of_term.join(pairs.select("term").distinct(), "term", "left_semi"), "terms")
+    judged = pairs.join(of_term, "term").join(of_entity, "entity")
+    content = F.log2(F.lit(float(n)) / F.when(F.col("c") >= support, F.col("df_e")).otherwise(F.col("c")))
     share = F.when(content > 0, F.log2(F.col("c") * F.lit(float(n)) / (F.col("df_t") * F.col("df_e"))) / content).otherwise(0.0)
     return judged.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
 
@@ -134,10 +137,10 @@ def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, genera
     judged = stored(disclosing(docs, found, reach, support, generalise), "judged")
     wanted = found.select("key", F.explode("base").alias("s")).select("key", entity(F.col("s")).alias("entity")).distinct().join(judged, "entity").groupBy("key", "term").agg(F.max("share").alias("share"))
     wanted = wanted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("wanted"))
-    words = located(F.col("text"), WORD)
-    hit = lambda w: F.element_at(F.col("wanted"), F.lower(trimmed(w.value)))
+    hit = lambda w: F.element_at(F.col("wanted"), F.lower(trimmed(w)))
+    words = located(F.col("text"), WORD, lambda w: hit(w).isNotNull())
     clear = lambda w: ~F.exists("base", lambda s: (s.start < w.end) & (w.start < s.end))
-    marked = F.transform(F.filter(words, lambda w: hit(w).isNotNull() & clear(w)), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
+    marked = F.transform(F.filter(words, clear), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
     more = found.join(wanted, "key").select("key", marked.alias("more"), "wanted")
     out = found.join(more, "key", "left").select("doc_id", "text", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")))).alias("spans"), "wanted")
     mark = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])

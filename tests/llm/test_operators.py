@@ -241,6 +241,18 @@ def test_pii_terms(spark):
     assert all(not got[i].spans and got[i].clean == dict(rows)[i] for i in range(10, 70)) and got[100].clean == "zanzibar alone"
 
 
+def test_pii_terms_of_rare_entities(spark):
+    """Terms of entities in one or two documents are judged: a name beside one address gives it away, and so do names that stand with it once each."""
+    rows = [(0, "ask zebulon about it at zeb@corp.example please"), (1, "call quentin now at 10.1.2.3 about it"), (2, "call rosalind now at 10.1.2.3 about it")]
+    rows += [(10 + i, f"please call now and ask about it at case number {i}") for i in range(300)]
+    got = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0].clean == "ask  about it at [EMAIL] please"
+    # 10.1.2.3 is in two documents, each name in one: log2(303 / 2) of log2(303).
+    assert got[1].clean == "call [WORD] now at [IP] about it" and got[2].clean == "call [WORD] now at [IP] about it"
+    assert [(s.kind, s.value) for s in got[1].spans] == [("term", "quentin"), ("ip", "10.1.2.3")]
+    assert all(got[i].clean == t for i, t in rows[3:])
+
+
 def test_tokens(spark, tmp_path):
     from tokenizers import Tokenizer
 
