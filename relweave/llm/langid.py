@@ -15,7 +15,9 @@ from relweave.llm.common import LOWER, slices, stored, text_buffer, tidied
 BUCKETS = 1 << 16
 #: Labelled documents that the counts come from, about. With fewer labelled documents all are used.
 TRAIN_DOCS = 20_000
-#: Languages that a model holds at most (the most frequent): with it the broadcast matrix is at most 256 * 65,536 * 4 bytes = 64 MB.
+#: Labelled documents of a language that are used at least, about, however many languages there are.
+LEAST_DOCS = 100
+#: Languages that are scored at once: with it a broadcast matrix is at most 256 * 65,536 * 4 bytes = 64 MB. More languages make more matrices, one after another.
 MAX_LANGUAGES = 256
 SMOOTHING = 0.5
 
@@ -51,14 +53,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(full), pa.string()), pa.array(full), pa.array(x[full])], ["lang", "bucket", "n"])
 
 
-class LanguageModel:
+class LanguageBlock:
     """Log probabilities of n-gram buckets by language, and of the languages."""
 
     def __init__(self, languages: list[str], log_p: np.ndarray, prior: np.ndarray) -> None:
         self.languages, self.log_p, self.prior = languages, log_p, prior
 
-    def posteriors(self, column: pa.Array) -> np.ndarray:
-        """A row for each text: the probabilities of the languages, from the text's sparse n-gram counts."""
+    def scores(self, column: pa.Array) -> np.ndarray:
+        """A row for each text: the logarithms of the languages' probabilities with the text, from its sparse n-gram counts."""
         grams, at = gram_buckets(column)
         out = np.tile(self.prior, (len(column), 1))
         n = np.diff(at)
@@ -70,48 +72,74 @@ class LanguageModel:
                 for a in range(int(at[i]), int(at[i + 1]), step):
                     z = min(a + step, int(at[i + 1]))
                     out[i] += self.log_p.take(grams[a:z], axis=0).sum(0, dtype=np.float64)
-        out -= out.max(1, keepdims=True)
-        p = np.exp(out)
-        return p / p.sum(1, keepdims=True)
+        return out
 
 
-def fit(docs: DataFrame, train: Column | None = None, train_docs: int = TRAIN_DOCS) -> LanguageModel | None:
+class LanguageModel:
+    """Counts (lang, bucket, n) in the shared folder, and the learned languages by name with their log probabilities."""
+
+    def __init__(self, counts: DataFrame, languages: list[str], prior: np.ndarray) -> None:
+        self.counts, self.languages, self.prior = counts, languages, prior
+
+    def blocks(self) -> Iterator[LanguageBlock]:
+        """MAX_LANGUAGES languages after another, by name."""
+        for a in range(0, len(self.languages), MAX_LANGUAGES):
+            languages = self.languages[a : a + MAX_LANGUAGES]
+            place = {x: i for i, x in enumerate(languages)}
+            c = np.zeros((BUCKETS, len(languages)), np.float64)
+            kept = self.counts.where(F.col("lang").isin(languages) & (F.col("bucket") < BUCKETS)).toArrow()
+            c[kept.column("bucket").to_numpy(), np.array([place[x] for x in kept.column("lang").to_pylist()], np.int64)] = kept.column("n").to_numpy()
+            yield LanguageBlock(languages, np.log((c + SMOOTHING) / (c.sum(0) + SMOOTHING * BUCKETS)).astype(np.float32), self.prior[a : a + MAX_LANGUAGES])
+
+
+def quota(sizes: list[int], train_docs: int, least: int) -> float:
+    """Documents that a language may give, so that all give about train_docs together and those with fewer give all."""
+    left, share = float(train_docs), float(train_docs)
+    for k, n in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - k)
+        if n > share:
+            break
+        left -= n
+    return max(share, least)
+
+
+def fit(docs: DataFrame, train: Column | None = None, train_docs: int = TRAIN_DOCS, least: int = LEAST_DOCS) -> LanguageModel | None:
     """A model from text and lang of the rows for which train holds; None if there is no such row with a language and text.
 
-    Labelled rows beyond train_docs are thinned to about that many by a hash of the text (the documented bound); counts are summed on the executors, and the driver gets a count for each language and bucket."""
+    Labelled rows beyond train_docs are thinned to about that many by a hash of doc_id (if there is one) and text (the documented bound): languages give the same number each, but rare ones all their rows, and none is thinned below about `least`. The languages' probabilities are those of all labelled rows. Counts are summed on the executors, and the driver gets a count for each language, and for each language and bucket of a block."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if train is not None:
         rows = rows.where(F.coalesce(train, F.lit(False)))
-    total = rows.count()
+    of = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not of:
+        return None
+    total = sum(of.values())
     if total > train_docs:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(1_000_003 * train_docs / total))
+        most = quota(list(of.values()), train_docs, least)
+        thin = [(x, int(1_000_003 * most / n)) for x, n in of.items() if n > most]
+        if thin:
+            part = docs.sparkSession.createDataFrame(thin, "lang string, _lid_part int")
+            key = F.xxhash64(*(["doc_id"] if "doc_id" in docs.columns else []), "text")
+            rows = rows.join(F.broadcast(part), "lang", "left").where(F.col("_lid_part").isNull() | (F.pmod(key, F.lit(1_000_003)) < F.col("_lid_part")))
     counts = stored(rows.select("text", "lang").mapInArrow(tidied(_count), "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
-    top = counts.where(f"bucket = {BUCKETS}").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not top:
-        return None
-    languages = sorted(r.lang for r in top)
-    place = {x: i for i, x in enumerate(languages)}
-    c = np.zeros((BUCKETS, len(languages)), np.float64)
-    kept = counts.where(F.col("lang").isin(languages) & (F.col("bucket") < BUCKETS)).toArrow()
-    c[kept.column("bucket").to_numpy(), np.array([place[x] for x in kept.column("lang").to_pylist()], np.int64)] = kept.column("n").to_numpy()
-    n = np.array([next(r.n for r in top if r.lang == x) for x in languages], np.float64)
-    return LanguageModel(languages, np.log((c + SMOOTHING) / (c.sum(0) + SMOOTHING * BUCKETS)).astype(np.float32), np.log(n / n.sum()))
+    languages = sorted(of)
+    n = np.array([of[x] for x in languages], np.float64)
+    return LanguageModel(counts, languages, np.log(n / n.sum()))
 
 
-def _score(shared, columns: list[str], out: tuple[str, str]):
+def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        block = shared.value
         for b in slices(batches, "_lid_text"):
-            text = b.column("_lid_text")
-            letters = b.column("_lid_letter").to_numpy(zero_copy_only=False)
-            if model is None:
-                lang, score = ["und"] * b.num_rows, np.zeros(b.num_rows)
-            else:
-                p = model.posteriors(text)
-                best = p.argmax(1)
-                lang = [model.languages[k] if ok else "und" for k, ok in zip(best.tolist(), letters.tolist(), strict=True)]
-                score = np.where(letters, p[np.arange(len(p)), best], 0.0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*columns, *out])
+            s = block.scores(b.column("_lid_text"))
+            best = s.argmax(1)
+            top = s[np.arange(len(s)), best]
+            # The sum of all languages' probabilities so far, and the best of them: on a tie the first stays.
+            total = top + np.log(np.exp(s - top[:, None]).sum(1))
+            was, was_total = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_lid_top", "_lid_total"))
+            lang = [block.languages[k] if new else old for k, new, old in zip(best.tolist(), (top > was).tolist(), b.column("_lid_lang").to_pylist(), strict=True)]
+            own = {"_lid_lang": pa.array(lang, pa.string()), "_lid_top": pa.array(np.maximum(top, was)), "_lid_total": pa.array(np.logaddexp(total, was_total))}
+            yield pa.RecordBatch.from_arrays([own.get(c, b.column(i)) for i, c in enumerate(b.schema.names)], b.schema.names)
 
     return run
 
@@ -122,11 +150,14 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | Non
     - lang_pred: a learned language, the most probable, the first by name on a tie; `und` if the text is null or has no letter (Unicode category L), or nothing was learned
     - score: its posterior probability, 0 to 1; 0 for `und`
     - repeated rows are scored alike; an empty table gives no rows; other columns pass through, whatever their names
-    The model is broadcast: its size is bounded by MAX_LANGUAGES and BUCKETS."""
-    spark = docs.sparkSession
+    Blocks of the model are broadcast, bounded by MAX_LANGUAGES and BUCKETS; with more than one the rows are stored between them."""
     columns = keep or [c for c in docs.columns if c not in out]
-    shared = spark.sparkContext.broadcast(model)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    ready = docs.select(*(F.col(f"`{c}`") for c in columns), F.coalesce("text", F.lit("")).alias("_lid_text"), letter.alias("_lid_letter"))
-    schema = docs.select(*(F.col(f"`{c}`") for c in columns)).schema.add(out[0], "string").add(out[1], "double")
-    return ready.mapInArrow(tidied(_score(shared, columns, out)), schema)
+    least = F.lit(float("-inf"))
+    ready = docs.select(*(F.col(f"`{c}`") for c in columns), F.coalesce("text", F.lit("")).alias("_lid_text"), letter.alias("_lid_letter"), F.lit(None).cast("string").alias("_lid_lang"), least.alias("_lid_top"), least.alias("_lid_total"))
+    for k, block in enumerate(model.blocks() if model else ()):
+        if k:
+            ready = stored(ready, "languages")
+        ready = ready.mapInArrow(tidied(_score(docs.sparkSession.sparkContext.broadcast(block))), ready.schema)
+    known = F.col("_lid_letter") & F.col("_lid_lang").isNotNull()
+    return ready.select(*(F.col(f"`{c}`") for c in columns), F.when(known, F.col("_lid_lang")).otherwise("und").alias(out[0]), F.when(known, F.exp(F.col("_lid_top") - F.col("_lid_total"))).otherwise(0.0).alias(out[1]))

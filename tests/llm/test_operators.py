@@ -515,6 +515,23 @@ def test_language(spark):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_all_languages_are_learned(spark, monkeypatch):
+    """Rare languages keep their rows when others are thinned, and languages beyond a block are scored too."""
+    rng = random.Random(31)
+    alphabets = {"aa": "abcde", "bb": "vwxyz", "cc": "klmno", "dd": "pqrst", "ee": "fghij"}
+    word = lambda a: "".join(rng.choice(a) for _ in range(5))
+    n = {"aa": 600, "bb": 300, "cc": 2, "dd": 1, "ee": 3}
+    rows = [(i, " ".join(word(alphabets[g]) for _ in range(20)), g) for i, g in enumerate(g for g, k in n.items() for _ in range(k))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    whole = {r.doc_id: r for r in langid.identify(df, langid.fit(df), ["doc_id"]).collect()}
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    blocks = {r.doc_id: r for r in langid.identify(df, langid.fit(df), ["doc_id"]).collect()}
+    assert all(blocks[i].lang_pred == whole[i].lang_pred == g and abs(blocks[i].score - whole[i].score) < 1e-9 for i, _, g in rows)
+    thinned = {r.doc_id: r.lang_pred for r in langid.identify(df, langid.fit(df, train_docs=40, least=5), ["doc_id"]).collect()}
+    assert all(thinned[i] == g for i, _, g in rows)
+    assert langid.quota([600, 300, 2, 1, 3], 40, 5) == 17 and langid.quota([50] * 10, 40, 5) == 5
+
+
 def test_gram_buckets_stay_in_their_texts():
     one = [langid.gram_buckets(pa.array([t]))[0].tolist() for t in ("abcd", "", "é", "xyz")]
     flat, at = langid.gram_buckets(pa.array(["abcd", "", "é", "xyz"]))
