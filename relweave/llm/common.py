@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 import zlib
@@ -33,22 +34,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a folder of our own only where that is unset (local runs)."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where that is unset, a local master gets a temporary folder; any other master is an error, as its executors would each write to a disk of their own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='relweave-')}"
-        try:
-            spark.conf.set("spark.checkpoint.dir", at)
-        except Exception:  # the setting is static in some versions: then the context keeps it
-            at = _own.setdefault(id(spark.sparkContext), at)
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master: {master})")
+        at = _own.setdefault(id(spark.sparkContext), None) or f"file://{tempfile.mkdtemp(prefix='relweave-')}"
+        _own[id(spark.sparkContext)] = at
     return at.rstrip("/")
 
 
-_own: dict[int, str] = {}
+_own: dict[int, str | None] = {}
+#: The folder of each session's own tables, and those in it that nothing has dropped yet.
+_work: dict[int, str] = {}
+_made: dict[int, list[str]] = {}
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/relweave/{what}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below one folder of this application, which goes when the driver's JVM ends (or with cleared())."""
+    me = id(spark.sparkContext)
+    if me not in _work:
+        _work[me] = f"{shared_dir(spark)}/relweave/{uuid.uuid4().hex}"
+        fs, p = _fs(spark, _work[me])
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    path = f"{_work[me]}/{what}-{uuid.uuid4().hex}"
+    _made.setdefault(me, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
@@ -64,9 +82,27 @@ def dropped(df: DataFrame) -> None:
     """Delete a table made by stored() that nothing needs any more."""
     path = getattr(df, "_relweave_path", None)
     if path:
-        jvm, spark = df.sparkSession._jvm, df.sparkSession
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        _remove(df.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+    made = _made.get(id(spark.sparkContext), [])
+    if path in made:
+        made.remove(path)
+
+
+def marked(spark: SparkSession) -> int:
+    """How many tables there are now, for cleared()."""
+    return len(_made.get(id(spark.sparkContext), []))
+
+
+def cleared(spark: SparkSession, since: int = 0, but: str | None = None) -> None:
+    """Delete the tables made since a mark: all that operators left for their lazy results, once those are written elsewhere."""
+    for path in _made.get(id(spark.sparkContext), [])[since:]:
+        if path != but:
+            _remove(spark, path)
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:

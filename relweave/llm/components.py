@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from relweave.llm.common import dropped, stored
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def _minima(links: DataFrame) -> DataFrame:
+    """(a, m) of links (a, b): the least b of each a. The sum below hides from the planner that these rows lie by a already, so that a join with links deals both sides out anew, and adaptive execution can divide a hub's links among tasks; it could not if one side were an aggregate. The minima are a row per id."""
+    return links.groupBy("a").agg(F.min("b").alias("m")).select((F.col("a") + F.lit(0).cast("bigint")).alias("a"), "m")
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(id, root): root is the smallest id that id reaches, for every id in edges (a, b).
 
-    Alternating large-star and small-star rounds. Minima are aggregated before the shuffle and joined back, so a hub with a large share of the links is never gathered in one task (adaptive skew joins split it). Each round is written to the shared folder. Null ends and loops add nothing; an empty table gives an empty one. Repeated links count once."""
+    Alternating large-star and small-star rounds until nothing changes: each round that changes something lowers an id's link, so the rounds end; their number grows as the logarithm of the ids. Minima are aggregated before the shuffle. Each round is written to the shared folder, and the one before it deleted. Null ends and loops add nothing; an empty table gives an empty one. Repeated links count once."""
     now = stored(edges.selectExpr("cast(greatest(a, b) as bigint) a", "cast(least(a, b) as bigint) b").where("a is not null and b is not null and a <> b").distinct(), "links")
     sign = None
-    for _ in range(most):
+    while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
+        large = both.join(_minima(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
+        small = large.join(_minima(large), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
         after = stored(small, "links")
         dropped(now)
         now = after
@@ -27,4 +30,13 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if mark == sign:
             return now.select(F.col("a").alias("id"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
         sign = mark
-    raise RuntimeError("components did not settle")
+
+
+def with_more(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """components() of links whose roots are known and of further edges (a, b): only the roots that the edges touch go through rounds again. Ids of edges that roots doesn't have stand for themselves."""
+    a, b = (roots.select(F.col("id").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    touched = edges.select("a", "b").join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    again = components(touched).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    old = roots.join(again, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    new = again.select(F.col("root").alias("id"), F.col("top").alias("root")).join(roots.select("id"), "id", "left_anti")
+    return old.unionByName(new)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relweave.llm.common import LOWER, WORD_SPACE, Sets, dropped, grouped, mix, shingles, slices, stored, text_buffer, tidied, whole_groups, word_hashes
-from relweave.llm.components import components
+from relweave.llm.components import components, with_more
 
 #: log2 of the number of buckets, and bits of mantissa kept beside the count of leading zeros.
 BUCKET_BITS, MANTISSA_BITS = 7, 10
@@ -211,6 +211,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     several = usable.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
     clusters = components(candidates).select(F.col("id").alias("rep"), F.col("root").alias("cluster"))
     sizes = classes.groupBy("rep").agg(F.sum("n").alias("n"))
+    dropped(met)
     members = clusters.join(sizes, "rep")
     parts = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("parts"))
     placed = stored(members.select("rep", "cluster").join(parts, "cluster"), "members")
@@ -233,8 +234,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         across = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").where("text is not null").join(large, "rep").withColumn("p", F.explode(groups))
         across = across.select("cluster", "p.kind", "p.x", "p.y", "rep", "text", "root", (F.col("root") == F.col("main")).cast("int").alias("side")).repartition("cluster", "kind", "x", "y").sortWithinPartitions("cluster", "kind", "x", "y")
         more = stored(across.mapInArrow(tidied(_confirm(n, percent, True)), "a bigint, b bigint"), "confirmed")
-        roots = components(links.union(more).union(doubled))
-    dropped(large)
+        roots = with_more(roots, more)
+        dropped(more)
+    for done in (large, links, placed):
+        dropped(done)
     tops = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     direct = roots.select(F.col("id").alias("doc_id"), F.col("root").alias("own_root"))
     # Classes of one document and no link need no lookup; the join is on the digest, whose hot values adaptive joins split.

@@ -34,7 +34,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))[0].withColumn("target", F.round("target", 6))
+    return mixing.mix(table(spark, sf_dir, "documents"))[0].drop("row").withColumn("target", F.round("target", 6))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    # The mix without a schedule: what lies of each document's copies before its source's target.
+    # What lies of each document's copies before its source's target, and the schedule's slots for the blocks that hold it.
     "op3_mix_sources": """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
@@ -96,12 +96,23 @@ fill(round, source, source_size, weight, target, stopped) AS (
          stopped OR target > 3 * source_size
   FROM fill WHERE round < (SELECT count(*) FROM s)),
 t AS (SELECT source, source_size, target, CAST(round(target) AS BIGINT) AS goal FROM fill WHERE round = (SELECT count(*) FROM s)),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.goal,
+p AS (SELECT d.doc_id, d.size, d.source, t.source_size, t.target, t.goal,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       CAST(greatest(0, least(start + size, goal) - start) + greatest(0, least(start + source_size + size, goal) - start - source_size) + greatest(0, least(start + 2 * source_size + size, goal) - start - 2 * source_size) AS BIGINT) AS taken
-FROM p""",
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS sid, sum(target) OVER (ORDER BY source IS NULL, source) / greatest(sum(target) OVER (), 1) AS hi, CAST(ceil(goal / 512) AS BIGINT) AS quota FROM t),
+i AS (SELECT sid, quota, coalesce(lag(hi) OVER (ORDER BY sid), 0) AS lo, CASE WHEN sid = max(sid) OVER () THEN 1 ELSE hi END AS hi FROM c),
+u AS (SELECT slot, (slot + 1) * 0.6180339887498949::DOUBLE - floor((slot + 1) * 0.6180339887498949::DOUBLE) AS u FROM range((SELECT CAST(sum(quota) AS BIGINT) FROM i)) r(slot)),
+k AS (SELECT slot, sid, quota, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM u JOIN i ON u.u >= i.lo AND u.u < i.hi),
+f AS (SELECT slot, row_number() OVER (ORDER BY slot) AS n FROM k WHERE rank >= quota),
+w AS (SELECT sid, rank, row_number() OVER (ORDER BY sid, rank) AS n FROM (SELECT sid, unnest(range(quota)) AS rank FROM i) q WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.sid = q.sid AND k.rank = q.rank)),
+z AS (SELECT sid, rank, slot FROM k WHERE rank < quota UNION ALL SELECT sid, rank, slot FROM w JOIN f ON w.n = f.n),
+y AS (SELECT p.*, c.sid, row_number() OVER () AS row FROM p JOIN c ON c.source IS NOT DISTINCT FROM p.source),
+x AS (SELECT row, sid, size, goal, start + pass * source_size AS a, least(start + pass * source_size + size, goal) AS z FROM y, (VALUES (0), (1), (2)) v(pass) WHERE size > 0),
+b AS (SELECT row, sid, CAST(z - a AS BIGINT) AS n, unnest(range(CAST(a // 512 AS BIGINT), CAST((z - 1) // 512 + 1 AS BIGINT))) AS rank FROM x WHERE a < z),
+g AS (SELECT b.row, min(slot) AS first_slot, count(DISTINCT b.rank) AS n_blocks FROM b JOIN z ON z.sid = b.sid AND z.rank = b.rank GROUP BY b.row),
+h AS (SELECT row, sum(z - a) AS taken FROM x WHERE a < z GROUP BY row)
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(coalesce(h.taken, 0) AS BIGINT) AS taken, g.first_slot, CAST(coalesce(g.n_blocks, 0) AS BIGINT) AS n_blocks
+FROM y LEFT JOIN g ON g.row = y.row LEFT JOIN h ON h.row = y.row""",
     # Windows' lengths come from the same prefix sums; digests from the turns themselves.
     "op5_chat_format": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
