@@ -1,67 +1,5 @@
-"""A corpus pipeline of five operators: each stage reads what the one before it wrote."""
+"""The corpus pipeline: its stages, and a run of them over documents."""
 
-from __future__ import annotations
+from relweave.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from relweave.llm import decontam, langid, minhash, mixing, tokens
-from relweave.llm.common import fresh_path, table
-from relweave.llm.queries import tokenizer_path
-
-#: Documents whose language is less probable than this are rejected.
-LANGUAGE_SCORE = 0.5
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language: those without a letter, and those that no learned language fits with LANGUAGE_SCORE, go. The model is learned from these documents' lang."""
-    found = langid.identify(docs, langid.fit(docs), out=("_stage_lang", "_stage_score"))
-    return found.where((F.col("_stage_lang") != "und") & (F.col("_stage_score") >= LANGUAGE_SCORE)).select(*docs.columns)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (5-word shingles, similarity 0.8): that with the smallest id. Repeated rows of an id that stays are one document and stay; rows without an id link with nothing and stay."""
-    gone = minhash.near_duplicates(docs.select("doc_id", "text"), 5, 80).where("not kept").select(F.col("doc_id").alias("_stage_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_stage_gone"], "left_anti")
-
-
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontam.cleaned(docs, table(spark, sf_dir, "benchmark"))
-
-
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: a row for each whole repeat, and one more if half of the words or more are taken once more. Sources that the mix takes less of lose the documents that no block holds."""
-    taken, _ = mixing.mix(docs)
-    times = taken.where("taken > 0").groupBy(F.col("doc_id").alias("_stage_id"), F.col("size").alias("_stage_size")).agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("_stage_times")).where("_stage_times > 0")
-    met = docs.join(times, docs["doc_id"].eqNullSafe(times["_stage_id"]) & (mixing.words(docs["text"]) == times["_stage_size"]))
-    return met.withColumn("_stage_n", F.explode(F.sequence(F.lit(1), F.col("_stage_times")))).select(*(docs[c] for c in docs.columns))
-
-
-def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents, and what a reader finds in them: doc_id, start, n_tokens, ids_crc32."""
-    return tokens.written(docs, tokenizer_path(), 1)
-
-
-STAGES = [
-    ("language_id", language),
-    ("minhash_near_dedup", near_duplicates),
-    ("decontamination", decontaminate),
-    ("mix_sources", mixed),
-    ("token_files", token_files),
-]
-
-#: Language models, tokenizers and sketches are beyond SQL; a test holds the stages against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = fresh_path(spark, name)
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
