@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Tokens in a window, and of those for repeated history; tokens are estimated from characters.
+#: Tokens in a window, and of those for repeated history; tokens are estimated from characters by default.
 BUDGET, HISTORY = 2048, 256
 CHARS_PER_TOKEN, TURN_TOKENS = 4, 4
-#: Turns in a step of the prefix sums.
+#: Turn numbers in a step: prefix sums and spans begin anew with each.
 STEP = 1024
 
 # The template's control strings.
@@ -34,51 +36,59 @@ def unescaped_role(role: Column) -> Column:
     return F.replace(F.replace(F.replace(role, F.lit("%7C"), F.lit("|")), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
-def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """(conv_id, window, text, repeated, loss) from rows (conv_id, turn, role, text; other columns are ignored).
+def estimated_tokens(shown: Column) -> Column:
+    """Tokens of a turn as it is formatted, from its characters: four of them a token, and four tokens a turn."""
+    return F.ceil(F.length(shown) / CHARS_PER_TOKEN) + TURN_TOKENS
+
+
+def _shown(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(START), escaped_role(role), F.lit("\n"), escaped(text), F.lit(END))
+
+
+def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
+    """(conv_id, window, text, tokens, over, repeated, loss) from rows (conv_id, turn, role, text; other columns are ignored).
 
-    A conversation's turns stand in the order of turn (nulls last), role and text. Prefix sums of their tokens give each to a span: half of what a window has beside the system turn and history, so that a span and its last turn fit. A window holds the system turn (the first turn, if its role is system), as many of the last turns of the span before as fit in `history`, and its span. repeated: how many turns at its beginning came in earlier windows; loss: array<struct<start, end>> in code points, the texts of assistant turns that are not repeated.
+    A conversation's turns stand in the order of turn (nulls last), role and text; `window` orders its windows. `tokens` counts a formatted turn's tokens. A window has `budget` tokens: the system turn (the first turn, if its role is system), as many of the last turns of the span before as fit in `history`, and its own span of whole turns. Prefix sums choose the spans: of the room that the system turn and history leave, turns up to a quarter long begin in the same three quarters; a longer turn has a span of its own. So a window keeps to the budget, unless a single turn is longer than the room: `over` tells. repeated: how many turns at its beginning came in earlier windows; loss: array<struct<start, end>> in code points, the texts of assistant turns that are not repeated.
 
-    - null text or role: empty; null conv_id: one conversation like others; a turn longer than half a window's room is whole all the same, and its window may exceed the budget by it
+    - null text or role: empty; null conv_id: one conversation like others
     - repeated rows: turns of their own; empty table: no rows
-    Prefix sums go in steps of turns, so a very long conversation is spread over tasks; no task gathers more of it than a window."""
-    turns = rows.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = turns.withColumn("shown", F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"), escaped(F.col("text")), F.lit(END)))
-    turns = turns.withColumn("tokens", F.ceil(F.length("shown") / CHARS_PER_TOKEN) + TURN_TOKENS).withColumn("late", F.col("turn").isNull()).withColumn("step", F.coalesce(F.floor(F.col("turn") / STEP), F.lit(0)).cast("bigint"))
-    order = [F.col("turn"), F.col("role"), F.col("text")]
-    inside = W.partitionBy("conv_id", "late", "step").orderBy(*order)
-    # Within steps first; then each step's sums go before the next one's.
-    turns = turns.withColumn("_n", F.row_number().over(inside)).withColumn("_t", F.sum("tokens").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    steps = turns.groupBy("conv_id", "late", "step").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"), F.min_by(F.struct("role", "tokens", "shown"), "_n").alias("head"))
-    over = W.partitionBy("conv_id").orderBy("late", "step")
-    before = over.rowsBetween(W.unboundedPreceding, -1)
-    steps = steps.withColumn("n0", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("t0", F.coalesce(F.sum("t").over(before), F.lit(0))).withColumn("head", F.first("head").over(over))
-    steps = steps.select(F.col("conv_id").alias("c"), F.col("late").alias("l"), F.col("step").alias("s"), "n0", "t0", "head")
-    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("late") == F.col("l")) & (F.col("step") == F.col("s"))
-    placed = turns.join(steps, same).withColumn("n", F.col("_n") + F.col("n0") - 1).withColumn("upto", F.col("_t") + F.col("t0"))
-    system = F.col("head.role") == "system"
-    lead = F.when(system, F.col("head.tokens")).otherwise(0)
-    # The system turn is outside the sums: it is in every window.
-    room = F.greatest(F.floor((budget - history - lead) / 2), F.lit(1))
-    placed = placed.withColumn("is_system", system & (F.col("n") == 0)).withColumn("upto", F.col("upto") - lead).withColumn("span", F.when(F.col("is_system"), 0).otherwise(F.floor((F.col("upto") - F.col("tokens")) / room)))
-    # Numbers of spans without gaps aren't needed, only their order; but history goes to the next span that has turns.
-    spans = placed.groupBy("conv_id", "span").agg(F.max("upto").alias("end"))
-    spans = spans.withColumn("next", F.lead("span").over(W.partitionBy("conv_id").orderBy("span"))).withColumn("first", F.min("span").over(W.partitionBy("conv_id")))
-    spans = spans.select(F.col("conv_id").alias("c"), F.col("span").alias("s"), "end", "next", "first")
-    placed = placed.select("conv_id", "n", "role", "text", "shown", "tokens", "upto", "is_system", "span", "head").join(spans, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("span") == F.col("s")))
+    Spans begin anew, without history, every STEP turn numbers and with the turns without a number: steps of a conversation are formatted apart, so a very long one is spread over tasks, and texts are dealt out once."""
+    turns = rows.select(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id").cast("bigint"), F.lit(0)).alias("c"), F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = turns.withColumn("late", F.col("turn").isNull()).withColumn("step", F.coalesce(F.floor(F.col("turn") / STEP), F.lit(0)).cast("bigint"))
+    conv, key = ["none", "c"], ["none", "c", "late", "step"]
+    # The first turn of each conversation; its text only where it is a system turn, so that what is aggregated is small.
+    heads = turns.groupBy(*conv).agg(F.min(F.struct("late", "turn", "role", F.when(F.col("role") == "system", F.col("text")).alias("text"), "step")).alias("h")).where("h.role = 'system'")
+    heads = turns.select(*key).distinct().join(heads, conv).select(*key, _shown(F.col("h.role"), F.col("h.text")).alias("head"), ((F.col("h.late") == F.col("late")) & (F.col("h.step") == F.col("step"))).alias("leads"))
+    turns = turns.join(heads, key, "left")
+    shown = _shown(F.col("role"), F.col("text"))
+    inside = W.partitionBy(*key).orderBy("turn", "role", "text")
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    turns = turns.withColumn("tokens", tokens(shown).cast("bigint")).withColumn("lead", F.when(F.col("head").isNotNull(), tokens(F.col("head")).cast("bigint")).otherwise(0))
+    room = F.greatest(F.lit(budget - history) - F.col("lead"), F.lit(1))
+    turns = turns.withColumn("n", F.row_number().over(inside)).withColumn("is_lead", F.coalesce("leads", F.lit(False)) & (F.col("n") == 1)).withColumn("most", F.greatest(F.floor(room / 4), F.lit(1)))
+    turns = turns.withColumn("is_long", ~F.col("is_lead") & (F.col("tokens") > F.col("most"))).withColumn("short", F.when(F.col("is_lead") | F.col("is_long"), 0).otherwise(F.col("tokens")))
+    turns = turns.withColumn("all", F.sum("tokens").over(upto)).withColumn("longs", F.sum(F.col("is_long").cast("bigint")).over(upto)).withColumn("before", F.sum("short").over(upto) - F.col("short"))
+    # Each long turn ends the span before it and begins one of its own.
+    span = (2 * F.col("longs") - F.col("is_long").cast("bigint")) * (1 << 32) + F.floor(F.col("before") / F.greatest(room - F.col("most"), F.lit(1)))
+    turns = turns.withColumn("span", F.when(~F.col("is_lead"), span))
+    turns = turns.withColumn("span", F.coalesce("span", F.lead("span").over(inside), F.lit(0)))
+    spans = W.partitionBy(*key).orderBy("span")
+    turns = turns.withColumn("end", F.max("all").over(spans.rangeBetween(0, 0))).withColumn("next", F.min("span").over(spans.rangeBetween(1, W.unboundedFollowing)))
     kind = lambda span, part: F.struct(span.alias("span"), F.lit(part).alias("part"))
-    # part: 0 the system turn again, 1 history, 2 the window's own turns.
-    again = ~F.col("is_system") & F.col("next").isNotNull() & (F.col("end") - F.col("upto") + F.col("tokens") <= history)
-    own = placed.withColumn("to", F.explode(F.when(again, F.array(kind(F.col("span"), 2), kind(F.col("next"), 1))).otherwise(F.array(kind(F.col("span"), 2)))))
-    own = own.select("conv_id", "to.span", "to.part", "n", "role", "shown", F.length(escaped("text")).alias("chars"))
-    leads = placed.where((F.col("head.role") == "system") & (F.col("span") != F.col("first"))).groupBy("conv_id", "span").agg(F.first("head").alias("head"))
-    leads = leads.select("conv_id", "span", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("n"), "head.role", "head.shown", F.lit(0).alias("chars"))
-    window = own.unionByName(leads).groupBy("conv_id", "span").agg(F.array_sort(F.collect_list(F.struct("part", "n", "shown", "chars", "role"))).alias("turns"))
+    # part: 1 history, 2 the window's own turns.
+    again = ~F.col("is_lead") & F.col("next").isNotNull() & (F.col("end") - F.col("all") + F.col("tokens") <= history)
+    own = turns.withColumn("to", F.explode(F.when(again, F.array(kind(F.col("span"), 2), kind(F.col("next"), 1))).otherwise(F.array(kind(F.col("span"), 2)))))
+    own = own.select(*key, "to.span", "head", "lead", "is_lead", "tokens", F.struct("to.part", "n", shown.alias("shown"), F.length(escaped(F.col("text"))).alias("chars"), "role").alias("t"))
+    made = own.groupBy(*key, "span").agg(F.array_sort(F.collect_list("t")).alias("turns"), F.sum("tokens").alias("tokens"), F.max("lead").alias("lead"), F.when(F.max("is_lead"), "").otherwise(F.coalesce(F.first("head"), F.lit(""))).alias("head"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     end = lambda acc, t: acc.at + F.length(t.shown) - len(END)
     mask = lambda acc, t: F.when((t.part == 2) & (t.role == "assistant"), F.array(F.struct((end(acc, t) - t.chars).alias("start"), end(acc, t).alias("end")))).otherwise(none)
-    loss = F.aggregate("turns", F.struct(F.lit(0).alias("at"), none.alias("loss")), lambda acc, t: F.struct((acc.at + F.length(t.shown)).alias("at"), F.concat(acc.loss, mask(acc, t)).alias("loss")), lambda acc: acc.loss)
-    return window.select("conv_id", F.col("span").alias("window"), F.array_join(F.transform("turns", lambda t: t.shown), "").alias("text"), F.size(F.filter("turns", lambda t: t.part < 2)).alias("repeated"), loss.alias("loss"))
+    loss = F.aggregate("turns", F.struct(F.length("head").alias("at"), none.alias("loss")), lambda acc, t: F.struct((acc.at + F.length(t.shown)).alias("at"), F.concat(acc.loss, mask(acc, t)).alias("loss")), lambda acc: acc.loss)
+    total = F.col("tokens") + F.when(F.col("head") != "", F.col("lead")).otherwise(0)
+    return made.select(
+        F.when(~F.col("none"), F.col("c")).alias("conv_id"), F.struct("late", "step", "span").alias("window"), F.concat("head", F.array_join(F.transform("turns", lambda t: t.shown), "")).alias("text"),
+        total.alias("tokens"), (total > budget).alias("over"), (F.size(F.filter("turns", lambda t: t.part < 2)) + (F.col("head") != "").cast("int")).alias("repeated"), loss.alias("loss"),
+    )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

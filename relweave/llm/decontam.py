@@ -20,8 +20,10 @@ K1, B = 1.2, 0.75
 RETRIEVE = 0.6
 #: Words in a run, and share of an item's runs (or of its question's) that a document must hold.
 RUN, OVERLAP = 5, 0.8
-#: Items in a block, items in an index, and bytes of text in an index at most: more items make more indexes, which are broadcast one after another.
-BLOCK_ITEMS, INDEX_ITEMS, INDEX_BYTES = 16, 2000, 8 << 20
+#: Share of a question's runs that is enough where the answer has OVERLAP of its own.
+HALF = 0.5
+#: Items in a block, and bytes of text in an index at most (some 25,000 items of 300 bytes, about 100 MB as an index): what is beyond makes more indexes, which are broadcast one after another.
+BLOCK_ITEMS, INDEX_BYTES = 16, 8 << 20
 #: Runs of texts that are hashed at once, and entries of parts that are counted at once, about.
 RUNS_AT_ONCE, ENTRIES_AT_ONCE = 1 << 20, 1 << 21
 #: Document frequencies of items' terms are counted in a table of this many hashed places.
@@ -70,8 +72,10 @@ class Parts:
     maybe: np.ndarray  # by the runs' low bits: whether there is any
     ptr: np.ndarray  # by run: the parts that it is of
     part: np.ndarray
-    item: np.ndarray  # by part: its item, and the runs that a text must hold
-    need: np.ndarray
+    item: np.ndarray  # by part: its item, the runs that a text must hold for the part alone, and those for it as one of a question and its answer (0: not such a part)
+    alone: np.ndarray
+    half: np.ndarray
+    answer: np.ndarray  # by part: whether it is an answer
 
 
 @dataclass
@@ -81,6 +85,7 @@ class Index:
     ids: list[int | None]
     runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: runs of the whole, the question and the answer
     long_question: list[bool]
+    long_answer: list[bool]
     classes: list[LengthClass]
     parts: Parts
 
@@ -144,19 +149,26 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
         top = np.zeros(len(terms))
         np.maximum.at(top, t, w)
         classes.append(LengthClass(int(sizes[mine].max()), top, np.searchsorted(block_t, np.arange(len(terms) + 1)), block_id, np.maximum.reduceat(w, start), ptr, i, w, mine, len(mine) // BLOCK_ITEMS + 1))
-    long_question = [bool(qa[i + 1] - qa[i] >= RUN) for i in range(len(items))]
-    return Index(terms, maybe, [i for i, _ in items], runs, long_question, classes, parts_of([*((i, x[0], min(RUN, int(sizes[i]))) for i, x in enumerate(runs)), *((i, x[1], RUN) for i, x in enumerate(runs) if long_question[i])]))
-
-
-def parts_of(parts: list[tuple[int, np.ndarray, int]]) -> Parts:
-    """Parts (item, distinct runs, words in a run) by their runs."""
-    size = np.array([len(x) for _, x, _ in parts], np.int64)
-    every = np.concatenate([np.zeros(0, np.uint64), *(x for _, x, _ in parts)])
+    long_question, long_answer = ([bool(z - a >= RUN) for a, z in zip(x[:-1], x[1:], strict=True)] for x in (qa, sa))
+    return Index(terms, maybe, [i for i, _ in items], runs, long_question, long_answer, classes, parts_of(runs, sizes, np.diff(qa), long_question, long_answer))
+
+
+def parts_of(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], sizes: np.ndarray, asked: np.ndarray, long_question: list[bool], long_answer: list[bool]) -> Parts:
+    """Items, questions and answers by their runs; an answer counts only beside its question, and a short one not at all."""
+    rows: list[tuple[int, np.ndarray, int, float, float, bool]] = []
+    for i, (whole, question, answer) in enumerate(runs):
+        rows.append((i, whole, min(RUN, int(sizes[i])), OVERLAP, 0.0, False))
+        if long_question[i] or (long_answer[i] and len(question)):
+            rows.append((i, question, min(RUN, int(asked[i])), OVERLAP if long_question[i] else 2.0, HALF if long_answer[i] else 0.0, False))
+        if long_answer[i] and len(question):
+            rows.append((i, answer, RUN, 2.0, OVERLAP, True))
+    size = np.array([len(x[1]) for x in rows], np.int64)
+    every = np.concatenate([np.zeros(0, np.uint64), *(x[1] for x in rows)])
     known, number = np.unique(every, return_inverse=True)
     order = np.argsort(number, kind="stable")
-    part = np.repeat(np.arange(len(parts)), size)[order]
-    need = np.ceil(OVERLAP * size - 1e-9).astype(np.int64)
-    return Parts(sorted({k for _, _, k in parts}), known, low_bits(known), np.searchsorted(number[order], np.arange(len(known) + 1)), part, np.array([i for i, _, _ in parts], np.int64), need)
+    part = np.repeat(np.arange(len(rows)), size)[order]
+    least = lambda k: np.ceil(np.array([x[k] for x in rows]) * size - 1e-9).astype(np.int64)
+    return Parts(sorted({x[2] for x in rows}), known, low_bits(known), np.searchsorted(number[order], np.arange(len(known) + 1)), part, np.array([x[0] for x in rows], np.int64), least(3), least(4), np.array([x[5] for x in rows], bool))
 
 
 def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float = RETRIEVE) -> dict[tuple[int, int], float]:
@@ -206,7 +218,7 @@ def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float =
 
 
 def evidence(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-    """(text, item) of all parts that a text holds OVERLAP or more of the runs of, in whatever passages: runs are looked up one by one and joined per text."""
+    """(text, item) of all items, questions, and questions with their answers, that a text holds enough runs of, in whatever passages: runs are looked up one by one and joined per text."""
     p = index.parts
     texts, runs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in p.lengths:
@@ -228,8 +240,11 @@ def evidence(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple[int,
         rows, entry = spread(p.ptr, run[a:z])
         key, n = np.unique(text[a:z][rows] * len(p.item) + p.part[entry], return_counts=True)
         doc, part = np.divmod(key, len(p.item))
-        enough = n >= p.need[part]
-        out += zip(doc[enough].tolist(), p.item[part[enough]].tolist(), strict=True)
+        pair = doc * (int(p.item.max()) + 1) + p.item[part]
+        half = (p.half[part] > 0) & (n >= p.half[part])
+        both = np.intersect1d(pair[half & p.answer[part]], pair[half & ~p.answer[part]])
+        got = np.unique(np.concatenate([pair[n >= p.alone[part]], both]))
+        out += zip((got // (int(p.item.max()) + 1)).tolist(), (got % (int(p.item.max()) + 1)).tolist(), strict=True)
         a = z
     return out
 
@@ -248,8 +263,19 @@ def best_score(index: Index, words: np.ndarray, item: int) -> float:
     return float(np.bincount(passage, impact[term]).max()) if len(passage) else 0.0
 
 
-def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float, float]]:
-    """(text, item, score, overlap, question overlap, answer overlap) of the items that a text holds."""
+def kind_of(index: Index, item: int, whole: float, question: float, answer: float) -> str | None:
+    """What of an item a text holds, by the shares of runs: `question and answer`, the `question`, the `answer` with half of its question, or the `whole` in another way; None if it is not held. A question or answer of fewer than RUN words is no evidence by itself."""
+    asked = index.long_question[item] and question >= OVERLAP
+    told = index.long_answer[item] and answer >= OVERLAP
+    if asked:
+        return "question and answer" if told else "question"
+    if told and question >= HALF:
+        return "answer"
+    return "whole" if whole >= OVERLAP else None
+
+
+def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float, float, str]]:
+    """(text, item, score, overlap, question overlap, answer overlap, kind) of the items that a text holds."""
     words, at = term_hashes(column)
     found = retrieve(index, words, at)
     for doc, item in set(evidence(index, words, at)):
@@ -262,8 +288,9 @@ def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, floa
         if len(index.runs[item][0]) and doc not in runs:
             runs[doc] = np.unique(shingles(own, RUN))
         share = [held(runs[doc], own, x) for x in index.runs[item]]
-        if share[0] >= OVERLAP or (index.long_question[item] and share[1] >= OVERLAP):
-            out.append((doc, item, score, *share))
+        kind = kind_of(index, item, *share)
+        if kind:
+            out.append((doc, item, score, *share, kind))
     return out
 
 
@@ -286,7 +313,7 @@ def indexes(items: DataFrame) -> Iterator[Index]:
         for r in rows.toLocalIterator():
             group.append((r.item_id, r.text))
             size += len(r.text)
-            if len(group) >= INDEX_ITEMS or size >= INDEX_BYTES:
+            if size >= INDEX_BYTES:
                 yield group
                 group, size = [], 0
         if group:
@@ -315,19 +342,20 @@ def _matches(shared):
             got = verified(index, b.column("text"))
             if got:
                 ids = b.column("doc_id").take(pa.array([x[0] for x in got]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[x[1]] for x in got], pa.int64()), *(pa.array([x[k] for x in got], pa.float64()) for k in (2, 3, 4, 5))], ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[x[1]] for x in got], pa.int64()), *(pa.array([x[k] for x in got], pa.float64()) for k in (2, 3, 4, 5)), pa.array([x[6] for x in got])], ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap", "kind"])
 
     return run
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, score, overlap, question_overlap, answer_overlap): a row for each row of docs (doc_id, text) and each row of items (item_id, text) that it holds; other columns are ignored.
+    """(doc_id, item_id, score, overlap, question_overlap, answer_overlap, kind): a row for each row of docs (doc_id, text) and each row of items (item_id, text) that it holds; other columns are ignored.
 
-    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document OVERLAP or more of its runs or its question's, in whatever passages, and held if OVERLAP or more of its distinct runs of RUN words, or of its question's, are in the whole document. Case and marks between words don't matter.
+    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document enough of its runs, in whatever passages. What is retrieved is verified: by the shares of the distinct runs of RUN words of the item, of its question and of its answer that are in the whole document, it is held if the question is (OVERLAP or more), or the answer with HALF of its question, or else OVERLAP or more of the whole (see kind_of). Case and marks between words don't matter.
 
-    - null or empty texts, and items without words: no rows; null ids stay null; repeated rows: a row each; an empty table on either side: no rows"""
+    - null or empty texts, and items without words: no rows; null ids stay null; repeated rows: a row each; an empty table on either side: no rows
+    The corpus is read once for every INDEX_BYTES of items' text."""
     spark = docs.sparkSession
-    schema = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double"
+    schema = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double, kind string"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = spark.createDataFrame([], schema)
     for k, index in enumerate(indexes(items)):

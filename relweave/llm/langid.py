@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import LOWER, slices, stored, text_buffer, tidied
+from relweave.llm.common import mix, slices, stored, text_buffer, tidied
 
-#: Hash buckets of the n-grams; n-grams are of 3 bytes of the lower-cased UTF-8 text, white space as one blank.
+#: Hash buckets of the n-grams; n-grams are of 3 characters of the lower-cased text, blanks and controls as blanks.
 BUCKETS = 1 << 16
 #: Labelled documents that the counts come from, about. With fewer labelled documents all are used.
 TRAIN_DOCS = 20_000
@@ -24,13 +25,15 @@ SMOOTHING = 0.5
 
 def gram_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all n-grams of all texts, and len(texts)+1 offsets into them."""
-    buf, offsets = text_buffer(column)
-    low = LOWER[buf].astype(np.uint32)
-    low[low < 33] = 32
-    if len(low) < 3:
+    low = pc.utf8_lower(column.fill_null("").cast(pa.large_string()))
+    buf, _ = text_buffer(low)
+    chars = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    chars[chars < 33] = 32
+    offsets = np.concatenate([[0], np.cumsum(pc.utf8_length(low).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    if len(chars) < 3:
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    h = (low[:-2] << np.uint32(16)) | (low[1:-1] << np.uint32(8)) | low[2:]
-    h = (h * np.uint32(2654435761)) >> np.uint32(16)
+    # Code points have 21 bits, so a run of three is a 63-bit number.
+    h = mix((chars[:-2] << np.uint64(42)) | (chars[1:-1] << np.uint64(21)) | chars[2:]) & np.uint64(BUCKETS - 1)
     # An n-gram belongs to the text it begins in; those that run over its end are left out.
     keep = np.ones(len(h), bool)
     for back in (1, 2):
@@ -40,14 +43,23 @@ def gram_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[keep].astype(np.int64), before[np.minimum(offsets, len(h))]
 
 
+def gram_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse counts: distinct (text, bucket) in this order, and how often each comes."""
+    grams, at = gram_buckets(column)
+    key, n = np.unique(np.repeat(np.arange(len(column)), np.diff(at)) * BUCKETS + grams, return_counts=True)
+    return key // BUCKETS, key % BUCKETS, n
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for b in slices(batches, "text"):
-        grams, at = gram_buckets(b.column("text"))
-        for i, lang in enumerate(b.column("lang").to_pylist()):
-            if lang not in sums:
-                sums[lang] = np.zeros(BUCKETS + 1, np.int64)
-            sums[lang] += np.append(np.bincount(grams[at[i] : at[i + 1]], minlength=BUCKETS), 1)
+        text, bucket, n = gram_counts(b.column("text"))
+        lang = np.array(b.column("lang").to_pylist(), object)
+        for x in set(lang.tolist()):
+            mine = (lang == x)[text]
+            if x not in sums:
+                sums[x] = np.zeros(BUCKETS, np.int64)
+            sums[x] += np.bincount(bucket[mine], n[mine], minlength=BUCKETS).astype(np.int64)
     for lang, x in sums.items():
         full = np.flatnonzero(x)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(full), pa.string()), pa.array(full), pa.array(x[full])], ["lang", "bucket", "n"])
@@ -60,18 +72,14 @@ class LanguageBlock:
         self.languages, self.log_p, self.prior = languages, log_p, prior
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        """A row for each text: the logarithms of the languages' probabilities with the text, from its sparse n-gram counts."""
-        grams, at = gram_buckets(column)
+        """A row for each text: the logarithms of the languages' probabilities with the text: its sparse n-gram counts times the matrix."""
+        text, bucket, n = gram_counts(column)
         out = np.tile(self.prior, (len(column), 1))
-        n = np.diff(at)
-        full = np.flatnonzero(n)
-        if len(full):
-            step = max(1, (8 << 20) // (4 * max(1, len(self.languages))))
-            # Whole texts a few at a time; a text longer than a step is summed in steps.
-            for i in full.tolist():
-                for a in range(int(at[i]), int(at[i + 1]), step):
-                    z = min(a + step, int(at[i + 1]))
-                    out[i] += self.log_p.take(grams[a:z], axis=0).sum(0, dtype=np.float64)
+        step = max(1, (8 << 20) // (8 * max(1, len(self.languages))))
+        for a in range(0, len(text), step):
+            rows = text[a : a + step]
+            first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            out[rows[first]] += np.add.reduceat(self.log_p[bucket[a : a + step]].astype(np.float64) * n[a : a + step, None], first, axis=0)
         return out
 
 
@@ -87,7 +95,7 @@ class LanguageModel:
             languages = self.languages[a : a + MAX_LANGUAGES]
             place = {x: i for i, x in enumerate(languages)}
             c = np.zeros((BUCKETS, len(languages)), np.float64)
-            kept = self.counts.where(F.col("lang").isin(languages) & (F.col("bucket") < BUCKETS)).toArrow()
+            kept = self.counts.where(F.col("lang").isin(languages)).toArrow()
             c[kept.column("bucket").to_numpy(), np.array([place[x] for x in kept.column("lang").to_pylist()], np.int64)] = kept.column("n").to_numpy()
             yield LanguageBlock(languages, np.log((c + SMOOTHING) / (c.sum(0) + SMOOTHING * BUCKETS)).astype(np.float32), self.prior[a : a + MAX_LANGUAGES])
 

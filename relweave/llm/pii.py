@@ -13,6 +13,8 @@ from relweave.llm.common import stored
 REACH = 8
 #: Documents in which a term must occur with an entity to be measured by the entity's content alone; rarer pairs are judged by their own.
 SUPPORT = 3
+#: Matches that are summed in one array.
+CHUNK = 256
 #: Shares of the entity's information content: terms that give away so much are generalised, or removed.
 GENERALISE, REMOVE = 0.75, 0.999
 
@@ -34,16 +36,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 def located(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
     """Leftmost matches without overlap whose value is wanted, as array<struct<start, end, value>>, in code points.
 
-    Splitting gives what lies between matches, so the sums of lengths give the places."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    Splitting gives what lies between matches, so the sums of lengths give the places. An array grows by copying, so matches are summed in groups of CHUNK, and the groups joined at the end: a text of n matches costs n * (CHUNK + n / CHUNK) instead of n * n copies."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    both = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(g.alias("gap"), m.alias("value")))
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     step = lambda acc, x: F.struct(
         (acc.at + x.gap + F.length(x.value)).alias("at"),
         F.when(wanted(x.value), F.concat(acc.out, F.array(F.struct((acc.at + x.gap).alias("start"), (acc.at + x.gap + F.length(x.value)).alias("end"), x.value.alias("value"))))).otherwise(acc.out).alias("out"),
     )
-    return F.when(F.size(found) == 0, empty).otherwise(F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc.out))
+    chunk = lambda acc, x: F.aggregate(x, F.struct(acc.at.alias("at"), empty.alias("out")), step, lambda got: F.struct(got.at.alias("at"), F.concat(acc.out, F.array(got.out)).alias("out")))
+    chunks = lambda both: F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / CHUNK).cast("int")), lambda i: F.slice(both, i * CHUNK + 1, F.lit(CHUNK)))
+    none = F.array().cast("array<array<struct<start:int,end:int,value:string>>>")
+    summed = lambda both: F.flatten(F.aggregate(chunks(both), F.struct(F.lit(0).alias("at"), none.alias("out")), chunk, lambda acc: acc.out))
+    pairs = lambda found: F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(g.alias("gap"), m.alias("value")))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) == 0, empty).otherwise(let(pairs(found), summed)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def luhn(digits: Column) -> Column:
@@ -90,8 +100,8 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def terms(text: Column) -> Column:
-    """The text's words in lower case without marks at their ends, those of three letters or digits or more."""
-    return F.filter(F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), trimmed), lambda w: F.length(w) >= 3)
+    """The text's words in lower case without marks at their ends, those of three characters or more: each from its first letter or digit to its last."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}][^\x20\x09-\x0D]+[\p{L}\p{N}]"), F.lit(0))
 
 
 def trimmed(word: Column) -> Column:
@@ -103,21 +113,25 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", span.kind, F.when(span.kind == "email", F.lower(span.value)).otherwise(F.regexp_replace(span.value, "[^0-9.]", "")))
 
 
+def contexts(text: Column, span: Column, reach: int) -> Column:
+    """The distinct terms within `reach` words on either side of a span."""
+    left = terms(F.substring_index(F.substring(text, F.lit(1), span.start), " ", -(reach + 1)))
+    right = terms(F.substring_index(F.substring(text, span.end + 1, F.lit(2**31 - 1)), " ", reach + 1))
+    return F.array_distinct(F.concat(F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(right, F.lit(1), F.lit(reach))))
+
+
 def disclosing(docs: DataFrame, found: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, share): terms near an entity that give it away, from counts over all docs; every pair is judged.
 
-    docs (text) is the corpus, found (key, text, base) its documents with entities. With N documents, of which df(t) hold the term, df(e) the entity, and c hold the term within `reach` words of the entity, the disclosed information is log2(c * N / (df(t) * df(e))) and the entity's content log2(N / df(e)); share is their ratio. Few documents are weak evidence: where c is below `support`, the content is that of the pair, log2(N / c), instead. That is the same if all the entity's documents hold the term, as with an entity of one document, and more, hence a smaller share, the more of them don't. Counts of words are aggregated before each shuffle, and a window of words bounds the pairs that a mention gives."""
-    mentions = found.select("key", "text", F.explode("base").alias("s"))
-    before = F.substring_index(F.substring(F.col("text"), F.lit(1), F.col("s.start")), " ", -(reach + 1))
-    left, right = terms(before), terms(F.substring_index(F.substring(F.col("text"), F.col("s.end") + 1, F.lit(2**31 - 1)), " ", reach + 1))
-    left, right = F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(right, F.lit(1), F.lit(reach))
-    near = mentions.select("key", entity(F.col("s")).alias("entity"), F.explode(F.array_distinct(F.concat(left, right))).alias("term")).distinct()
+    docs (text) is the corpus, found (key, text, base) its documents with entities. With N documents, of which df(t) hold the term, df(e) the entity, and c hold the term within `reach` words of the entity, the disclosed information is log2(c * N / (df(t) * df(e))) and the entity's content log2(N / df(e)); share is their ratio. Few documents are weak evidence: where c is below `support`, the content is that of the pair, log2(N / c), instead. That is the same if all the entity's documents hold the term, as with an entity of one document, and more, hence a smaller share, the more of them don't. Counts of words are aggregated before each shuffle, and a window of words bounds the pairs that a mention gives; texts stay where they are."""
+    mentions = found.select("key", F.explode(F.transform("base", lambda s: F.struct(entity(s).alias("entity"), contexts(F.col("text"), s, reach).alias("near")))).alias("m")).select("key", "m.entity", "m.near")
+    near = mentions.select("key", "entity", F.explode("near").alias("term")).distinct()
     pairs = stored(near.groupBy("entity", "term").agg(F.count("*").alias("c")), "pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("share"))
     n = docs.count()
-    of_entity = mentions.select("key", entity(F.col("s")).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
-    of_term = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit("")))).alias("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
+    of_entity = entities(found).groupBy("entity").agg(F.count("*").alias("df_e"))
+    of_term = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit(""))))).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
     # Stored, so that the join reads plain rows and Spark can divide the pairs of a frequent term among tasks.
     of_term = stored(of_term.join(pairs.select("term").distinct(), "term", "left_semi"), "terms")
     judged = pairs.join(of_term, "term").join(of_entity, "entity")
@@ -126,32 +140,38 @@ def disclosing(docs: DataFrame, found: DataFrame, reach: int = REACH, support: i
     return judged.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
 
 
+def entities(found: DataFrame) -> DataFrame:
+    """(key, entity) of the entities that each document holds."""
+    return found.select("key", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity"))
+
+
 def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(doc_id, spans, clean): one row for each row of docs (doc_id, text; other columns are ignored).
 
     spans: array<struct<start, rank, end, kind, value>> in code points, by start and then kind: the personal data that patterns find, and kind `term` for words (not overlapping those) that disclose an entity of the same document. clean: the text in which personal data became its kind's mark, terms that disclose `generalise` of an entity's information or more a mark of their sort ([NUMBER] or [WORD]), and those that disclose `remove` or more are gone.
 
-    - null text: as empty; null doc_id: a row like others; repeated rows count as documents; an empty table gives no rows"""
-    based = base_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    found = stored(based.where(F.size("base") > 0).withColumn("key", F.monotonically_increasing_id()), "found")
-    judged = stored(disclosing(docs, found, reach, support, generalise), "judged")
-    wanted = found.select("key", F.explode("base").alias("s")).select("key", entity(F.col("s")).alias("entity")).distinct().join(judged, "entity").groupBy("key", "term").agg(F.max("share").alias("share"))
+    - null text: as empty; null doc_id: a row like others; repeated rows count as documents; an empty table gives no rows
+    Patterns are looked for once, and their spans stored with the texts. A document meets the terms that it holds and that disclose an entity that it holds, not all terms of its entities."""
+    based = stored(base_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))).withColumn("key", F.monotonically_increasing_id()), "based")
+    found = based.where(F.size("base") > 0)
+    judged = stored(disclosing(based, found, reach, support, generalise), "judged")
+    held = found.select("key", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    wanted = held.join(judged, "term").join(entities(found), ["key", "entity"], "left_semi").groupBy("key", "term").agg(F.max("share").alias("share"))
     wanted = wanted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("wanted"))
     hit = lambda w: F.element_at(F.col("wanted"), F.lower(trimmed(w)))
     words = located(F.col("text"), WORD, lambda w: hit(w).isNotNull())
     clear = lambda w: ~F.exists("base", lambda s: (s.start < w.end) & (w.start < s.end))
+    kind = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     marked = F.transform(F.filter(words, clear), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
-    more = found.join(wanted, "key").select("key", marked.alias("more"), "wanted")
-    out = found.join(more, "key", "left").select("doc_id", "text", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")))).alias("spans"), "wanted")
+    out = found.join(wanted, "key", "left").select("doc_id", "text", "wanted", F.array_sort(F.concat("base", F.when(F.col("wanted").isNotNull(), marked).otherwise(F.array().cast(kind)))).alias("spans"))
     mark = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])
     term_mark = lambda s: F.when(F.element_at(F.col("wanted"), F.lower(trimmed(s.value))) >= remove, F.lit("")).otherwise(F.when(s.value.rlike("[0-9]"), "[NUMBER]").otherwise("[WORD]"))
     step = lambda acc, s: F.when(
         s.start >= acc.at, F.struct(s.end.alias("at"), F.concat(acc.out, F.array(F.substring(F.col("text"), acc.at + 1, s.start - acc.at), F.when(s.kind == "term", term_mark(s)).otherwise(mark[s.kind]))).alias("out"))
     ).otherwise(acc)
     clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc.out, ""), F.substring(F.col("text"), acc.at + 1, F.lit(2**31 - 1))))
-    with_spans = out.select("doc_id", "spans", clean.alias("clean"))
-    none = based.where(F.size("base") == 0).select("doc_id", "base", F.col("text").alias("clean")).withColumnRenamed("base", "spans")
-    return none.unionByName(with_spans)
+    none = based.where(F.size("base") == 0).select("doc_id", F.col("base").cast(kind).alias("spans"), F.col("text").alias("clean"))
+    return none.unionByName(out.select("doc_id", "spans", clean.alias("clean")))
 
 
 def digest(rows: DataFrame) -> DataFrame:

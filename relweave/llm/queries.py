@@ -19,7 +19,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumns({c: F.round(c, 6) for c in ("score", "overlap", "question_overlap", "answer_overlap")})
 
 
 def tokenizer_path() -> str:
@@ -81,6 +82,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # Runs by their words, joined with those of all documents; BM25 scores of the pairs that are held, over all their passages.
+    "op1_decontamination": r"""
+WITH i AS (SELECT row_number() OVER () AS item, item_id, text FROM benchmark WHERE text IS NOT NULL),
+s AS (SELECT *, CASE WHEN regexp_matches(text, '(?is)^.+?\banswer\s*:') AND NOT regexp_matches(text, '(?i)^answer\s*:') THEN '(?is)^(.+?)\banswer\s*:(.*)$' WHEN contains(text, '?') THEN '(?s)^(.*\?)([^?]*)$' WHEN regexp_matches(rtrim(text, E' \t\n\r'), '(?s)[.!]\s+') THEN '(?s)^(.*[.!]\s+)(\S.*)$' END AS cut FROM i),
+p AS (SELECT item, item_id, 0 AS kind, text FROM s UNION ALL
+  SELECT item, item_id, 1, CASE WHEN contains(cut, 'answer') THEN regexp_extract(text, '(?is)^(.+?)\banswer\s*:(.*)$', 1) WHEN contains(cut, '?]') THEN regexp_extract(text, '(?s)^(.*\?)([^?]*)$', 1) WHEN cut IS NOT NULL THEN regexp_extract(text, '(?s)^(.*[.!]\s+)(\S.*)$', 1) ELSE text END FROM s UNION ALL
+  SELECT item, item_id, 2, CASE WHEN contains(cut, 'answer') THEN regexp_extract(text, '(?is)^(.+?)\banswer\s*:(.*)$', 2) WHEN contains(cut, '?]') THEN regexp_extract(text, '(?s)^(.*\?)([^?]*)$', 2) WHEN cut IS NOT NULL THEN regexp_extract(text, '(?s)^(.*[.!]\s+)(\S.*)$', 2) ELSE '' END FROM s),
+w AS (SELECT item, item_id, kind, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM p),
+g AS (SELECT DISTINCT item, kind, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM w WHERE len(w) > 0)),
+z AS (SELECT w.item, w.item_id, w.kind, len(w.w) AS n_words, array_to_string(w.w, ' ') AS joined, count(g.g) AS n FROM w LEFT JOIN g ON g.item = w.item AND g.kind = w.kind GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents WHERE text IS NOT NULL),
+f AS (SELECT doc, array_to_string(w[k:k + 4], ' ') AS g, k FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 0) + 1)) AS k FROM d)),
+h AS (SELECT doc, item, kind, count(DISTINCT f.g) AS hits FROM g JOIN f ON f.g = g.g GROUP BY ALL
+  UNION ALL SELECT doc, item, kind, 1 FROM z JOIN d ON n_words BETWEEN 1 AND 4 AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || joined || ' ')),
+o AS (SELECT h.doc, h.item, max(CASE WHEN h.kind = 0 THEN hits / n ELSE 0 END) AS whole, max(CASE WHEN h.kind = 1 THEN hits / n ELSE 0 END) AS question, max(CASE WHEN h.kind = 2 THEN hits / n ELSE 0 END) AS answer FROM h JOIN z ON z.item = h.item AND z.kind = h.kind GROUP BY ALL),
+c AS (SELECT o.*, q.n_words >= 5 AND question >= 0.8 AS asked, a.n_words >= 5 AND answer >= 0.8 AS told FROM o JOIN z q ON q.item = o.item AND q.kind = 1 JOIN z a ON a.item = o.item AND a.kind = 2),
+k AS (SELECT *, CASE WHEN asked AND told THEN 'question and answer' WHEN asked THEN 'question' WHEN told AND question >= 0.5 THEN 'answer' WHEN whole >= 0.8 THEN 'whole' END AS kind FROM c),
+e AS (SELECT item, item_id, w, len(w) AS size, greatest(ceil(log2(len(w))), 4) AS level FROM w WHERE kind = 0 AND len(w) > 0),
+t AS (SELECT item, size, term, count(*) AS tf FROM (SELECT item, size, unnest(w) AS term FROM e) GROUP BY ALL),
+y AS (SELECT term, ln(1 + ((SELECT count(*) FROM e) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t GROUP BY term),
+m AS (SELECT t.item, t.term, greatest(idf, 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / (SELECT avg(size) FROM e))) AS impact FROM t JOIN y ON y.term = t.term),
+n AS (SELECT item, term, impact / sum(impact) OVER (PARTITION BY item) AS impact FROM m),
+l AS (SELECT item, max(size) OVER (PARTITION BY level) AS step FROM e),
+u AS (SELECT k.doc, k.item, step, unnest(d.w) AS term, generate_subscripts(d.w, 1) - 1 AS place FROM k JOIN d ON d.doc = k.doc JOIN l ON l.item = k.item WHERE k.kind IS NOT NULL),
+v AS (SELECT DISTINCT doc, item, term, place // step - back AS passage FROM u, (VALUES (0), (1)) b(back)),
+x AS (SELECT doc, item, max(score) AS score FROM (SELECT v.doc, v.item, passage, sum(impact) AS score FROM v JOIN n ON n.item = v.item AND n.term = v.term GROUP BY ALL) GROUP BY ALL)
+SELECT d.doc_id, e.item_id, round(coalesce(x.score, 0), 6) AS score, round(whole, 6) AS overlap, round(question, 6) AS question_overlap, round(answer, 6) AS answer_overlap, k.kind
+FROM k JOIN d ON d.doc = k.doc JOIN e ON e.item = k.item LEFT JOIN x ON x.doc = k.doc AND x.item = k.item WHERE k.kind IS NOT NULL""",
     # What lies of each document's copies before its source's target, and the schedule's slots for the blocks that hold it.
     "op3_mix_sources": """
 WITH RECURSIVE d AS (
@@ -118,11 +147,15 @@ FROM y LEFT JOIN g ON g.row = y.row LEFT JOIN h ON h.row = y.row""",
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 s AS (SELECT *, 24 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<|', '<%7C')) AS chars FROM t),
-n AS (SELECT *, CAST(ceil(chars / 4) AS BIGINT) + 4 AS tokens, row_number() OVER w AS n, first_value(role) OVER w = 'system' AS led FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
-p AS (SELECT *, CASE WHEN led THEN first_value(tokens) OVER w ELSE 0 END AS lead, CASE WHEN led THEN first_value(chars) OVER w ELSE 0 END AS lead_chars, sum(tokens) OVER w AS upto FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
-q AS (SELECT *, led AND n = 1 AS is_lead, upto - lead AS done, CASE WHEN led AND n = 1 THEN 0 ELSE floor((upto - lead - tokens) / greatest(floor((2048 - 256 - lead) / 2), 1)) END AS span FROM p),
-e AS (SELECT conv_id, span, max(done) AS last, lead(span) OVER (PARTITION BY conv_id ORDER BY span) IS NOT NULL AS more, min(span) OVER (PARTITION BY conv_id) AS first FROM q GROUP BY conv_id, span),
-c AS (SELECT q.conv_id, sum(chars + CASE WHEN NOT is_lead AND more AND last - done + tokens <= 256 THEN chars ELSE 0 END) + max(lead_chars) * (count(DISTINCT q.span) - 1) AS formatted_chars FROM q JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id AND e.span = q.span GROUP BY q.conv_id)
+n AS (SELECT *, CAST(ceil(chars / 4) AS BIGINT) + 4 AS tokens, turn IS NULL AS late, CAST(coalesce(floor(turn / 1024), 0) AS BIGINT) AS step, row_number() OVER w AS n, first_value(role) OVER w = 'system' AS led FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+p AS (SELECT *, CASE WHEN led THEN first_value(tokens) OVER w ELSE 0 END AS lead, CASE WHEN led THEN first_value(chars) OVER w ELSE 0 END AS lead_chars, led AND n = 1 AS is_lead FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+o AS (SELECT *, greatest(2048 - 256 - lead, 1) AS room, greatest(greatest(2048 - 256 - lead, 1) // 4, 1) AS most FROM p),
+m AS (SELECT *, NOT is_lead AND tokens > most AS is_long, CASE WHEN is_lead OR tokens > most THEN 0 ELSE tokens END AS short FROM o),
+a AS (SELECT *, sum(tokens) OVER w AS everything, 2 * sum(is_long::INT) OVER w - is_long::INT AS cuts, sum(short) OVER w - short AS before FROM m WINDOW w AS (PARTITION BY conv_id, late, step ORDER BY n)),
+r AS (SELECT *, CASE WHEN NOT is_lead THEN cuts * 4294967296 + floor(before / greatest(room - most, 1)) END AS own FROM a),
+q AS (SELECT *, coalesce(own, lead(own) OVER (PARTITION BY conv_id, late, step ORDER BY n), 0) AS span FROM r),
+e AS (SELECT conv_id, late, step, span, max(everything) AS last, lead(span) OVER (PARTITION BY conv_id, late, step ORDER BY span) IS NOT NULL AS more FROM q GROUP BY conv_id, late, step, span),
+c AS (SELECT q.conv_id, sum(chars + CASE WHEN NOT is_lead AND more AND last - everything + tokens <= 256 THEN chars ELSE 0 END) + max(lead_chars) * (count(DISTINCT (q.late, q.step, q.span)) - 1) AS formatted_chars FROM q JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id AND e.late = q.late AND e.step = q.step AND e.span = q.span GROUP BY q.conv_id)
 SELECT n.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(any_value(c.formatted_chars) AS BIGINT) AS formatted_chars
 FROM n JOIN c ON c.conv_id IS NOT DISTINCT FROM n.conv_id GROUP BY n.conv_id""",

@@ -277,31 +277,48 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
     write_blobs(rows.mapInArrow(tidied(_files(tokenizer, end_id)), "blob binary"), path, TAIL)
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _documents(wanted: frozenset[int] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                data = memoryview(b.column("content")[k].as_buffer())
+                if not len(data):
+                    continue
+                file = TokenFile(len(data), lambda at, n, data=data: bytes(data[at : at + n]))
+                start, row = 0, 0
+                for f, (*_, docs) in enumerate(file.frames):
+                    n = docs[:, 2]
+                    ends = start + np.cumsum(n)
+                    keep = np.arange(len(docs)) if wanted is None else np.array([i for i, (known, name, _) in enumerate(docs.tolist()) if known and name in wanted], np.int64)
+                    # A frame without a wanted document is neither decompressed nor verified.
+                    if len(keep):
+                        got = [(name, zlib.crc32(ids.tobytes())) for name, ids in file.frame(f)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([file.order] * len(keep), pa.int64()), pa.array(row + keep), pa.array([got[i][0] for i in keep.tolist()], pa.int64()), pa.array((ends - n)[keep]), pa.array(n[keep]), pa.array([got[i][1] for i in keep.tolist()], pa.int64())],
+                            ["file", "row", "doc_id", "in_file", "n_tokens", "ids_crc32"],
+                        )
+                    start, row = int(ends[-1]), row + len(docs)
+
+    return run
+
+
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k in range(b.num_rows):
             data = memoryview(b.column("content")[k].as_buffer())
-            if not len(data):
-                continue
-            file = TokenFile(len(data), lambda at, n, data=data: bytes(data[at : at + n]))
-            start, row = 0, 0
-            for f in range(len(file.frames)):
-                got = [(name, len(ids), zlib.crc32(ids.tobytes())) for name, ids in file.frame(f)]
-                n = np.array([x[1] for x in got], np.int64)
-                ends = start + np.cumsum(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file.order] * len(got), pa.int64()), pa.array(np.arange(row, row + len(got))), pa.array([x[0] for x in got], pa.int64()), pa.array(ends - n), pa.array(n), pa.array([x[2] for x in got], pa.int64())],
-                    ["file", "row", "doc_id", "in_file", "n_tokens", "ids_crc32"],
-                )
-                start, row = int(ends[-1]), row + len(got)
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each document in the token files at path: how many ids stand before its own, their number, and the crc32 of those ids as little-endian unsigned 32-bit integers.
+            if len(data):
+                file = TokenFile(len(data), lambda at, n, data=data: bytes(data[at : at + n]))
+                yield pa.RecordBatch.from_arrays([pa.array([file.order]), pa.array([sum(int(docs[:, 2].sum()) for *_, docs in file.frames)])], ["file", "n"])
+
+
+def read(spark: SparkSession, path: str, wanted: Iterable[int] | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each document in the token files at path, or of the wanted doc ids alone, of which only the frames that hold them are decompressed: how many ids stand before its own, their number, and the crc32 of those ids as little-endian unsigned 32-bit integers.
 
     Files are decoded once, and summed in their order by a window over one row per file."""
-    rows = stored(read_blobs(spark, path).select("content").mapInArrow(tidied(_documents), "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"), "read")
-    sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    files = read_blobs(spark, path).select("content")
+    only = None if wanted is None else frozenset(wanted)
+    rows = stored(files.mapInArrow(tidied(_documents(only)), "file bigint, row bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"), "read")
+    sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")) if only is None else files.mapInArrow(tidied(_lengths), "file bigint, n bigint")
     before = F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return rows.join(sums.select("file", before.cast("bigint").alias("before")), "file").select("doc_id", (F.col("before") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32")
 

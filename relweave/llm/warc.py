@@ -7,17 +7,18 @@ import hashlib
 import json
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relweave.llm.common import fresh_path, read_blobs, slices, tidied, write_blobs
+from relweave.llm.common import dropped, fresh_path, read_blobs, slices, stored, tidied, write_blobs
 
 #: Record bytes in a package before the next one begins (a longer record is still whole).
 PACKAGE_BYTES = 8 << 20
+#: Payloads whose first record a task remembers.
+REMEMBERED = 500_000
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: A package ends with a comment of one byte.
 TAIL = "\n"
@@ -142,14 +143,28 @@ class Package:
                 yield parse_record(self.range(e["filename"], e["offset"], e["length"]))
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, "html"):
-        rows = []
-        for page, url, html in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-            payload = (html or "").encode()
-            digest = base32_sha1(payload)
-            rows.append((page, url, digest, hashlib.sha1(payload).hexdigest(), len(payload), record("response", page, url, digest, len(payload), payload)))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()), strict=True)], ["page_id", "url", "digest", "hex", "bytes", "member"])
+def _members(least: int):
+    """A row with its compressed record for each page that may be its payload's response: of equal payloads in a task, the first and those that come before all earlier ones. So a payload with a third of all rows is compressed and sent on a few times a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, tuple] = {}
+        for b in slices(batches, "html"):
+            rows = []
+            for page, url, html in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+                payload = (html or "").encode()
+                sha = hashlib.sha1(payload).digest()
+                if len(payload) >= least:
+                    key = (page is None, page or 0, url is not None, url or "")
+                    if sha in best and best[sha] <= key:
+                        continue
+                    if len(best) >= REMEMBERED:
+                        best.clear()
+                    best[sha] = key
+                rows.append((page, url, sha.hex(), len(payload), record("response", page, url, base64.b32encode(sha).decode(), len(payload), payload)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()), strict=True)], ["page_id", "url", "hex", "bytes", "member"])
+
+    return run
 
 
 def _packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,8 +174,8 @@ def _packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     members, index, at = [], [], 0
     for b in batches:
-        for page, url, digest, n, member, kind, refers in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "digest", "bytes", "member", "kind", "refers_to")), strict=True):
-            data = member if kind == "response" else record("revisit", page, url, digest, n, None, refers)
+        for page, url, sha, n, member, refers in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "hex", "bytes", "member", "refers_to")), strict=True):
+            data = member if member is not None else record("revisit", page, url, base64.b32encode(bytes.fromhex(sha)).decode(), n, None, refers)
             index.append({"page_id": page, "url": url, "filename": ARCHIVE, "offset": at, "length": len(data)})
             members.append(data)
             at += len(data)
@@ -174,43 +189,52 @@ def _packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write(pages: DataFrame, path: str, least: int = 0) -> None:
     """Write a record for each row of pages (page_id, url, html; other columns are ignored) into packages at path.
 
-    The payload is the html in UTF-8 (null: empty). Of records with equal payloads of `least` bytes or more, the one with the smallest page_id (null last; then by url) is a response and the others are revisits that refer to it, without a payload of their own; smaller payloads are all responses. Rows that are equal in all: one of them is the response. A null url has no header. An empty table writes no file.
+    The payload is the html in UTF-8 (null: empty). Of records with equal payloads of `least` bytes or more, the one with the smallest page_id (null last; then by url, null first) is a response and the others are revisits that refer to it, without a payload of their own; smaller payloads are all responses. Rows that are equal in all: one of them is the response. A null url has no header. An empty table writes no file.
 
-    Records are compressed before the shuffle by digest, and a response's bytes go on unchanged."""
-    spark_rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    rows = spark_rows.mapInArrow(tidied(_digests), "page_id bigint, url string, digest string, hex string, bytes bigint, member binary")
+    Which record is a response is decided on ids and hashes alone; a revisit's payload never travels. The first records are stored, a row for each payload that comes again, so that the join reads plain rows and Spark can divide a frequent payload's revisits among tasks."""
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     key = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("page_id"), F.col("url").alias("url"))
-    # A group's first record is found from ids and digests alone, aggregated before the shuffle.
-    ids = spark_rows.select("page_id", "url", F.octet_length("html").alias("n"), F.sha1(F.col("html").cast("binary")).alias("hex")).where(F.col("n") >= least)
-    groups = ids.groupBy("hex").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1").select("hex", "first")
-    # The window's key holds the join's, so it needs no shuffle; its groups are rows that are equal in all.
-    alike = F.row_number().over(W.partitionBy("hex", "page_id", "url").orderBy("bytes"))
-    response = F.col("first").isNull() | (key.eqNullSafe(F.col("first")) & (F.col("copy") == 1))
-    out = rows.join(groups, "hex", "left").withColumn("copy", alike).withColumn("response", response)
-    out = out.select("page_id", "url", "digest", "bytes", F.when(F.col("response"), F.col("member")).alias("member"), F.when(F.col("response"), "response").otherwise("revisit").alias("kind"), F.when(~F.col("response"), F.col("first.page_id")).alias("refers_to"))
-    write_blobs(out.mapInArrow(tidied(_packages), "blob binary"), path, TAIL)
-
-
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ident = lambda x: None if x in (None, "<urn:page:null>") else int(x.removeprefix("<urn:page:").removesuffix(">"))
-    for b in batches:
-        for k in range(b.num_rows):
-            data = memoryview(b.column("content")[k].as_buffer())
-            if not len(data):
-                continue
-            rows = []
-            for head, block in Package(len(data), lambda at, n, data=data: bytes(data[at : at + n])).records():
-                kind, digest, n = head["warc-type"], head["warc-payload-digest"].removeprefix("sha1:"), int(head["x-payload-length"])
-                if kind == "response" and (base32_sha1(block) != digest or len(block) != n):
-                    raise ValueError(f"record {head['warc-record-id']} is damaged")
-                rows.append((ident(head["warc-record-id"]), n, digest, kind, ident(head.get("warc-refers-to"))))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record in the packages at path; the payloads of responses are verified."""
-    return read_blobs(spark, path).select("content").mapInArrow(tidied(_pages), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    ids = rows.select("page_id", "url", F.octet_length("html").cast("bigint").alias("bytes"), F.sha1(F.col("html").cast("binary")).alias("hex")).where(F.col("bytes") >= least)
+    groups = stored(ids.groupBy("hex").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1").select("hex", "first"), "groups")
+    met = ids.join(groups, "hex").withColumn("same", key.eqNullSafe(F.col("first")))
+    # Rows equal in all to a response are revisits but for one.
+    again = met.where("same").groupBy("hex", "bytes", "page_id", "url").agg(F.count("*").alias("n")).where("n > 1").withColumn("copy", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))))
+    thin = ["page_id", "url", "hex", "bytes"]
+    revisits = met.where("not same").select(*thin, F.col("first.page_id").alias("refers_to")).unionByName(again.select(*thin, F.col("page_id").alias("refers_to")))
+    members = rows.mapInArrow(tidied(_members(least)), "page_id bigint, url string, hex string, bytes bigint, member binary")
+    whole = F.struct("page_id", "url", "hex", "bytes", "member")
+    first = members.where(F.col("bytes") >= least).groupBy(F.col("hex").alias("h")).agg(F.min_by(whole, key).alias("r")).select("r.*")
+    responses = first.unionByName(members.where(F.col("bytes") < least)) if least > 0 else first
+    records = responses.withColumn("refers_to", F.lit(None).cast("bigint")).unionByName(revisits.withColumn("member", F.lit(None).cast("binary")))
+    write_blobs(records.select(*thin, "member", "refers_to").mapInArrow(tidied(_packages), "blob binary"), path, TAIL)
+    dropped(groups)
+
+
+def _pages(wanted: frozenset[int] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ident = lambda x: None if x in (None, "<urn:page:null>") else int(x.removeprefix("<urn:page:").removesuffix(">"))
+        for b in batches:
+            for k in range(b.num_rows):
+                data = memoryview(b.column("content")[k].as_buffer())
+                if not len(data):
+                    continue
+                rows = []
+                file = Package(len(data), lambda at, n, data=data: bytes(data[at : at + n]))
+                for head, block in file.records(None if wanted is None else lambda e: e["page_id"] in wanted):
+                    kind, digest, n = head["warc-type"], head["warc-payload-digest"].removeprefix("sha1:"), int(head["x-payload-length"])
+                    if kind == "response" and (base32_sha1(block) != digest or len(block) != n):
+                        raise ValueError(f"record {head['warc-record-id']} is damaged")
+                    rows.append((ident(head["warc-record-id"]), n, digest, kind, ident(head.get("warc-refers-to"))))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+    return run
+
+
+def read(spark: SparkSession, path: str, wanted: Iterable[int] | None = None) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record in the packages at path, or of the wanted page ids alone, whose other records are not decompressed; the payloads of responses are verified."""
+    only = None if wanted is None else frozenset(wanted)
+    return read_blobs(spark, path).select("content").mapInArrow(tidied(_pages(only)), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
 def written(pages: DataFrame, least: int = 0, path: str | None = None) -> DataFrame:

@@ -106,3 +106,168 @@ def chat_rows(turns: list[tuple]) -> dict[int, tuple]:
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         out[c] = (len(ts), sha("".join(f"{r}\n{x}\n" for _, r, x in ts)), len(loss), sha(loss))
     return out
+
+
+def _mixed(h: int) -> int:
+    """The public splitmix64 finaliser on Python's own integers."""
+    m = (1 << 64) - 1
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & m
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & m
+    return h ^ h >> 31
+
+
+def trigrams(text: str | None, buckets: int) -> list[int]:
+    c = [32 if ord(x) < 33 else ord(x) for x in (text or "").lower()]
+    return [_mixed(a << 42 | b << 21 | d) % buckets for a, b, d in zip(c, c[1:], c[2:])]
+
+
+def languages(train: list[tuple[int, str, str]], texts: dict[int, str | None], buckets: int) -> dict[int, tuple[str, float]]:
+    """Naive Bayes with half a count of smoothing: id -> language and its posterior."""
+    import math
+    from collections import Counter
+
+    counts: dict[str, Counter] = {}
+    docs: Counter = Counter()
+    for _, t, g in train:
+        counts.setdefault(g, Counter()).update(trigrams(t, buckets))
+        docs[g] += 1
+    total = {g: sum(c.values()) for g, c in counts.items()}
+    out = {}
+    for i, t in texts.items():
+        if not any(x.isalpha() for x in t or ""):
+            out[i] = ("und", 0.0)
+            continue
+        seen = Counter(trigrams(t, buckets))
+        logs = {g: math.log(docs[g] / sum(docs.values())) + sum(n * math.log((c[x] + 0.5) / (total[g] + 0.5 * buckets)) for x, n in seen.items()) for g, c in sorted(counts.items())}
+        best = max(logs, key=lambda g: logs[g])
+        out[i] = (best, 1 / sum(math.exp(v - logs[best]) for v in logs.values()))
+    return out
+
+
+def shapes(text: str) -> list[str]:
+    """Words as runs of classes: letters, capitals, digits and each mark."""
+    out = []
+    for x in text:
+        for b in x.encode():
+            c = "A" if 65 <= b <= 90 else "0" if 48 <= b <= 57 else "a" if 97 <= b <= 122 or b >= 128 else chr(b)
+            if not out or out[-1] != c:
+                out.append(c)
+    return re.split(r"[\x00-\x20]+", "".join(out))
+
+
+def ngrams(text: str | None) -> dict[tuple, int]:
+    """The classifier's n-grams by name: words, pairs of words, their shapes and pairs of shapes."""
+    from collections import Counter
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = [x for x in re.split(r"[\x00-\x20]+", low) if x]
+    s = [x for x in shapes(text or "") if x]
+    out = Counter(("w", x) for x in w) + Counter(("s", x) for x in s)
+    out += Counter(("same",) if a == b else ("ww", a, b) for a, b in zip(w, w[1:]))
+    out += Counter(("ss", a, b) for a, b in zip(s, s[1:]))
+    return dict(out)
+
+
+def ftrl(examples: list[tuple[dict, int]], alpha: float, beta: float, l1: float, l2: float, epochs: int) -> dict:
+    """FTRL-proximal over named features, one weight at a time."""
+    import math
+
+    z: dict = {}
+    n: dict = {}
+
+    def weight(k):
+        a = z.get(k, 0.0)
+        return 0.0 if abs(a) <= l1 else -(a - math.copysign(l1, a)) / ((beta + math.sqrt(n.get(k, 0.0))) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in examples:
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w[k] * v for k, v in x.items())))))
+            for k, v in x.items():
+                g = (p - y) * v
+                s = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / alpha
+                z[k] = z.get(k, 0.0) + g - s * w[k]
+                n[k] = n.get(k, 0.0) + g * g
+    return {k: weight(k) for k in z}
+
+
+def values(text: str | None) -> dict:
+    """Log counts of length 1 in all, with the bias."""
+    import math
+
+    n = {k: math.log1p(c) for k, c in ngrams(text).items()}
+    length = math.sqrt(sum(v * v for v in n.values())) or 1.0
+    return {k: v / length for k, v in n.items()} | {"bias": 1.0}
+
+
+def terms_of(text: str) -> list[str]:
+    """Words of three characters or more in lower case, from the first letter or digit to the last."""
+    out = []
+    for w in WORD.findall(text.lower()):
+        at = [i for i, x in enumerate(w) if x.isalpha() or x.isnumeric()]
+        if at and at[-1] - at[0] >= 2:
+            out.append(w[at[0] : at[-1] + 1])
+    return out
+
+
+def sanitised(texts: list[str | None], reach: int = 8, support: int = 3, generalise: float = 0.75) -> list[list[tuple[int, int, str, int]]]:
+    """All spans of each text, terms that disclose its entities among them, by counting every pair."""
+    import math
+    from collections import Counter
+
+    texts = [t or "" for t in texts]
+    base = [personal(t) for t in texts]
+    name = lambda t, s: s[2] + ":" + (t[s[0] : s[3]].lower() if s[2] == "email" else re.sub(r"[^0-9.]", "", t[s[0] : s[3]]))
+    held = [{name(t, s) for s in b} for t, b in zip(texts, base)]
+    df_t = Counter(w for t in texts for w in set(terms_of(t)))
+    df_e = Counter(e for h in held for e in h)
+    c: Counter = Counter()
+    for t, b in zip(texts, base):
+        near = set()
+        for s in b:
+            left = terms_of(" ".join(t[: s[0]].split(" ")[-reach - 1 :]))[-reach:]
+            right = terms_of(" ".join(t[s[3] :].split(" ")[: reach + 1]))[:reach]
+            near |= {(name(t, s), w) for w in left + right}
+        c.update(near)
+    n, share = len(texts), {}
+    for (e, w), k in c.items():
+        content = math.log2(n / (df_e[e] if k >= support else k))
+        share[e, w] = math.log2(k * n / (df_t[w] * df_e[e])) / content if content > 0 else 0.0
+    out = []
+    for t, b, h in zip(texts, base, held):
+        more = []
+        for m in WORD.finditer(t):
+            w = (terms_of(m.group()) or [""])[0]
+            if any(share.get((e, w), 0) >= generalise for e in h) and not any(s[0] < m.end() and m.start() < s[3] for s in b):
+                more.append((m.start(), len(KINDS), "term", m.end()))
+        out.append(sorted(b + more))
+    return out
+
+
+def runs(words: list[str], n: int = 5) -> set[tuple]:
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if len(words) >= n else ({tuple(words)} if words else set())
+
+
+def plain_terms(text: str | None) -> list[str]:
+    return [w for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower()) if w]
+
+
+def holds_item(text: str | None, item: str | None, parts: tuple[str, str]) -> str | None:
+    """What of an item a text holds, by the rule that decontamination states."""
+    own = plain_terms(text)
+    told, known = f" {' '.join(own)} ", runs(own)
+
+    def share(part: str | None) -> float:
+        r = runs(plain_terms(part))
+        return sum(x in known if len(x) >= 5 else f" {' '.join(x)} " in told for x in r) / len(r) if r else 0.0
+
+    whole, question, answer = share(item), share(parts[0]), share(parts[1])
+    asked = len(plain_terms(parts[0])) >= 5 and question >= 0.8
+    answered = len(plain_terms(parts[1])) >= 5 and answer >= 0.8
+    if asked:
+        return "question and answer" if answered else "question"
+    if answered and question >= 0.5:
+        return "answer"
+    return "whole" if whole >= 0.8 else None

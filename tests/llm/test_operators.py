@@ -254,6 +254,15 @@ def test_chat(spark):
     assert got == want
     out = made.collect()
     assert any(r.repeated for r in out) and len(out) > len(want)
+    # The budget is a bound; only a turn that is longer by itself breaks it, and says so.
+    count = lambda t: sum(-(-len(x + chat.END) // 4) + 4 for x in t.split(chat.END)[:-1])
+    for r in out:
+        assert r.tokens == count(r.text) and r.over == (r.tokens > 200)
+        fresh = r.text.split(chat.END)[:-1][r.repeated :]
+        assert not r.over or len(fresh) == 1 or any(len(x) > 500 for x in fresh)
+    words = chat.windows(df, 60, 10, lambda shown: F.size(F.split(shown, " ")))
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digest(words).collect()} == want
+    assert all(r.tokens == sum(len((x + chat.END).split(" ")) for x in r.text.split(chat.END)[:-1]) for r in words.collect())
     for r in out:
         system = any(c == r.conv_id and t == 0 and role == "system" for c, t, role, _ in rows)
         assert not system or r.text.startswith("<|im_start|>system\n")
@@ -301,6 +310,47 @@ def test_pii_terms_of_rare_entities(spark):
     assert all(got[i].clean == t for i, t in rows[3:])
 
 
+def test_pii_terms_against_counting(spark):
+    """Spans of all kinds, terms among them, from the same rule by counting every pair in plain Python."""
+    rng = random.Random(32)
+    mails = [f"p{k}@corp.example" for k in range(6)]
+    texts: list[str | None] = [None, "", "a@b.example", "Zoë-Maria" * 3000 + " x@y.example " + "né " * 2000]
+    for k in range(150):
+        w = _words(rng, rng.randrange(1, 60), 60 if k % 2 else 2000)
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            m = rng.randrange(6)
+            w[rng.randrange(len(w)) :][:1] = []
+            w.insert(rng.randrange(len(w) + 1), rng.choice([f"name{m}, {mails[m]}", mails[m], f"({mails[m]}) \n NAME{m}:", "+1 (632) 555-4827 10.0.0.1"]))
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(pii.sanitise(df)).collect()}
+    want = brute.sanitised(texts)
+    assert sum(s[2] == "term" for x in want for s in x) > 30
+    assert got == {i: ",".join(f"{k}:{a}:{z}" for a, _, k, z in x) for i, x in enumerate(want)}
+
+
+def test_pii_frequent_entity(spark):
+    """An entity in 9 of 10 documents, with many terms of its own: each document gets the terms that it holds, and no task all of them."""
+    rows = [(i, f"write to all@corp.example or w{i} and v{i}" if i % 10 else f"nothing {i}") for i in range(600)]
+    out = pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string"), generalise=-5.0)
+    got = {r.doc_id: {s.value for s in r.spans if s.kind == "term"} for r in out.collect()}
+    assert all(got[i] <= set(t.split()) for i, t in rows) and {"w11", "v11"} <= got[11] and not got[10]
+
+
+def test_located_in_groups(spark, monkeypatch):
+    """Places are the same whatever the groups that matches are summed in; tens of thousands of matches in a text are no matter."""
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    texts = ["", "a1b22c333d", "1 " * 50, "é9🙂8"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [[(m.start, m.end, m.value) for m in r[0]] for r in df.select(pii.located(F.col("text"), "[0-9]+")).collect()]
+    import re
+
+    assert got == [[(m.start(), m.end(), m.group()) for m in re.finditer("[0-9]+", t)] for t in texts]
+    monkeypatch.setattr(pii, "CHUNK", 256)
+    many = spark.createDataFrame([(" ".join(f"u{i}@x.example" for i in range(40_000)),)], "text string")
+    assert many.select(F.size(pii.located(F.col("text"), pii.PATTERNS["email"]))).first()[0] == 40_000
+
+
 def test_tokens(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -312,6 +362,8 @@ def test_tokens(spark, tmp_path):
     path = f"file://{tmp_path}/tok"
     got = sorted(tuple(r) for r in tokens.written(df, tokenizer_path(), 1, path).collect())
     assert got == sorted(brute.token_rows([*rows, (200, "")], Tokenizer.from_file(tokenizer_path())))
+    some = sorted(tuple(r) for r in tokens.read(spark, path, [7, 55, 200, 10**6]).collect())
+    assert some == [r for r in got if r[0] in (7, 55, 200)] and len(some) == 5
     f = next(p for p in (tmp_path / "tok").iterdir() if p.name.startswith("part-"))
     data = f.read_bytes()
     reads: list[int] = []
@@ -372,6 +424,7 @@ def test_warc(spark, tmp_path):
         seen |= {h} if own else set()
         want.append((p, base[1], base[2], "response" if own else "revisit", None if own else first[h]))
     assert got == sorted(want, key=str)
+    assert sorted(map(str, (tuple(r) for r in warc.read(spark, path, [1, 6]).collect()))) == sorted(str(r) for r in got if r[0] in (1, 6))
     # From 5 bytes on: the two empty payloads are both responses.
     assert sum(r.record_type == "response" for r in warc.written(df, 5, f"file://{tmp_path}/warc5").collect()) == 6
     for f in (tmp_path / "warc").iterdir():
@@ -393,6 +446,19 @@ def test_warc(spark, tmp_path):
     assert warc.written(df.limit(0), 0, f"file://{tmp_path}/none").count() == 0
 
 
+def test_warc_hot_payload(spark, tmp_path, monkeypatch):
+    """A payload that most pages share is sent on once or few times a task, and its revisits bear none."""
+    rng = random.Random(2)
+    ids = rng.sample(range(4000), 900)
+    rows = [(i, f"u{i}", "<p>empty page</p>" * 50 if k % 10 else f"<p>{i}</p>") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    parts = warc._members(0)
+    sent = df.mapInArrow(parts, "page_id bigint, url string, hex string, bytes bigint, member binary").groupBy("hex").count()
+    assert sent.agg(F.max("count")).first()[0] < 60
+    got = sorted(tuple(r) for r in warc.written(df, 0, f"file://{tmp_path}/hot").collect())
+    assert got == sorted(brute.warc_rows([(i, h) for i, _, h in rows]))
+
+
 @pytest.mark.parametrize("zip64", [True, False])
 def test_zip_reader(zip64):
     members = [("archive/a.warc.gz", warc.record("response", 1, "u", "D", 2, b"hi")), ("indexes/i.cdxj", b""), ("x/ü.txt", b"PK\x05\x06 inside" * 3)]
@@ -429,25 +495,10 @@ def test_decontamination(spark):
     rows = [*clean, *leaks, (200, " ".join(near_)), (201, None), (202, ""), (203, " ".join(items[3][1].split()[:20])), (None, items[1][1]), (204, items[2][1]), (204, items[2][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, score int")
     it = spark.createDataFrame(items, "item_id bigint, text string")
-    got = sorted(((r.doc_id, r.item_id) for r in decontam.contaminated(df, it).collect()), key=str)
-
-    def terms(t):
-        import re
-
-        return [w for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").lower()) if w]
-
-    def runs(w):
-        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
-
-    want = []
-    for d, t in rows:
-        own = runs(terms(t))
-        for i, x in items:
-            r, q = runs(terms(x)), terms(decontam.question_and_answer(x or "")[0])
-            if r and (len(r & own) >= 0.8 * len(r) or (len(q) >= 5 and len(runs(q) & own) >= 0.8 * len(runs(q)))):
-                want.append((d, i))
+    got = sorted(((r.doc_id, r.item_id, r.kind) for r in decontam.contaminated(df, it).collect()), key=str)
+    want = [(d, i, kind) for d, t in rows for i, x in items if (kind := brute.holds_item(t, x, decontam.question_and_answer(x or "")))]
     assert got == sorted(want, key=str)
-    bad = {d for d, _ in want}
+    bad = {d for d, _, _ in want}
     kept = decontam.cleaned(df, it).collect()
     assert len(kept) == sum(1 for d, t in rows if d not in bad) and all(r.doc_id not in bad for r in kept)
     assert decontam.contaminated(df.limit(0), it).count() == 0 and decontam.contaminated(df, it.limit(0)).count() == 0
@@ -467,6 +518,33 @@ def test_questions_without_answers_are_found(spark):
     assert [r.doc_id for r in decontam.cleaned(df, it).collect()] == [12]
 
 
+def test_recall_over_shapes(spark):
+    """Questions and answers of 5 to 100 words, whole, apart, cut, or alone in long documents: all that the rule accepts is reported, and nothing else."""
+    rng = random.Random(23)
+    shapes = [(q, a) for q in (5, 6, 10, 24, 60, 100) for a in (1, 3, 5, 8, 20, 40, 100)]
+    items = [(i, " ".join(_words(rng, q, 9000)) + "? " + " ".join(_words(rng, a, 9000))) for i, (q, a) in enumerate(shapes)]
+    filler = lambda n: " ".join(_words(rng, n, 9000))
+    rows = []
+    for i, t in items:
+        q, a = decontam.question_and_answer(t)
+        w, v = q.split(), a.split()
+        shown = [q, a, f"{q} {filler(400)} {a}", f"{a} {filler(90)} {q}", " ".join(w[: len(w) * 2 // 3]) + f" {filler(30)} {a}", " ".join(w[: len(w) // 3]) + " " + a, " ".join([*w[:-1], "changed", *v]), t.upper()]
+        rows += [(len(shown) * i + k, f"{filler(rng.randrange(0, 700))} {x} {filler(rng.randrange(0, 700))}") for k, x in enumerate(shown)]
+    want = {(d, i, kind) for d, t in rows for i, x in items if (kind := brute.holds_item(t, x, decontam.question_and_answer(x)))}
+    assert {k for _, _, k in want} == {"question and answer", "question", "answer", "whole"}
+    df, it = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id, r.kind) for r in decontam.contaminated(df, it).collect()} == want
+
+
+def test_many_items_read_the_corpus_once(spark):
+    rng = random.Random(24)
+    items = [(i, " ".join(_words(rng, 30, 50_000))) for i in range(5000)]
+    rows = [(i, " ".join(_words(rng, 60, 50_000)) + " " + items[i * 37 % 5000][1]) for i in range(60)] + [(99, " ".join(_words(rng, 90_000, 50_000)) + " " + items[7][1]), (100, "x" * 300_000)]
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [*((i, i * 37 % 5000) for i in range(60)), (99, 7)]
+
+
 def test_parts_that_stand_apart_are_found(monkeypatch):
     """An item is held if its runs are anywhere in the document, with any number of words between its parts."""
     monkeypatch.setattr(decontam, "RUNS_AT_ONCE", 7)
@@ -544,20 +622,10 @@ def test_language(spark):
     assert all(got[i].lang_pred == g for i, _, g in rows[:200]) and got[303].lang_pred == "bb" and got[305].lang_pred == "aa"
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (300, 301, 302, 304))
     assert all(0 <= r.score <= 1 for r in got.values())
-    # The same by counting n-grams in plain Python.
-    import math
-
-    counts, n_docs = {}, {}
-    for i, t, g in rows:
-        if t is not None and g is not None and i % 3 != 1:
-            grams, _ = langid.gram_buckets(pa.array([t]))
-            counts.setdefault(g, np.zeros(langid.BUCKETS))
-            counts[g] += np.bincount(grams, minlength=langid.BUCKETS)
-            n_docs[g] = n_docs.get(g, 0) + 1
-    grams, _ = langid.gram_buckets(pa.array([rows[7][1]]))
-    logs = {g: math.log(n_docs[g] / sum(n_docs.values())) + sum(math.log((c[x] + 0.5) / (c.sum() + 0.5 * langid.BUCKETS)) for x in grams.tolist()) for g, c in counts.items()}
-    top = max(logs.values())
-    assert abs(got[7].score - 1 / sum(math.exp(v - top) for v in logs.values())) < 1e-4
+    # The same by counting n-grams in plain Python: its own n-grams and hash, all texts.
+    want = brute.languages([(i, t, g) for i, t, g in rows if t is not None and g is not None and i % 3 != 1], {i: t for i, t, _ in rows}, langid.BUCKETS)
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-4, i
     none = langid.identify(df, langid.fit(df.where("lang = 'zz'")), ["doc_id"]).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert langid.identify(df.limit(0), model).count() == 0
@@ -580,6 +648,21 @@ def test_all_languages_are_learned(spark, monkeypatch):
     assert langid.quota([600, 300, 2, 1, 3], 40, 5) == 17 and langid.quota([50] * 10, 40, 5) == 5
 
 
+def test_languages_of_many_scripts(spark):
+    """300 languages, and languages whose n-grams are of characters that take several bytes."""
+    rng = random.Random(41)
+    cjk = {"ja": "\u3042\u3044\u3046\u3048\u304a\u304b\u304d\u304f", "zh": "\u4e2d\u6587\u5b57\u7b26\u8bed\u8a00\u5b66\u4e60", "ko": "\ud55c\uad6d\uc5b4\uae00\uc790\ubb38\uc7a5\ub9d0"}
+    rows = [(g, "".join(rng.choice(cjk[g]) for _ in range(40))) for g in cjk for _ in range(6)]
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(300):
+        own = ["".join(rng.choice(latin) for _ in range(6)) for _ in range(8)]
+        rows += [(f"l{k:03}", " ".join(rng.choice(own) for _ in range(12))) for _ in range(3)]
+    df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, langid.fit(df), ["doc_id"]).collect()}
+    assert all(got[i] == g for i, (g, _) in enumerate(rows))
+    assert len(langid.gram_buckets(pa.array(["\u4e2d\u6587\u5b57\u7b26"]))[0]) == 2
+
+
 def test_gram_buckets_stay_in_their_texts():
     one = [langid.gram_buckets(pa.array([t]))[0].tolist() for t in ("abcd", "", "é", "xyz")]
     flat, at = langid.gram_buckets(pa.array(["abcd", "", "é", "xyz"]))
@@ -603,6 +686,79 @@ def test_quality(spark):
     assert (quality.fit(docs, labels.limit(0)) == 0).all() and quality.score(docs.limit(0), w).count() == 0
 
 
+def _order(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    return [r.doc_id for r in rows.orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id").collect()]
+
+
+def test_registered_queries(spark, tmp_path):
+    """The queries whose operators SQL can't express, through QUERIES, against plain Python: columns, held-out rows, scores and thresholds."""
+    import zlib
+
+    rng = random.Random(51)
+    alphabets = {"en": "abcde", "xx": "vwxyz", "yy": "äöüéè"}
+    docs = []
+    # Few words, so that no two n-grams share a hash.
+    pool = {g: ["".join(rng.choice(alphabets[g]) for _ in range(3)) for _ in range(5)] for g in alphabets}
+    for i in range(160):
+        g = rng.choice(list(alphabets))
+        docs.append((i, " ".join(rng.choice(pool[g]) + ("!!" if i % 3 == 0 else "") for _ in range(25)), g if i % 11 else None, f"s{i % 3}"))
+    docs += [(200, None, "en", "s0"), (201, "", "en", None), (202, "12 34", "xx", "s1"), (203, "abc " * 15_000, "en", "s1"), (204, "mail a@b.example now", "en", "s2")]
+    docs += [(7, docs[7][1], docs[7][2], "s1")]
+    spark.createDataFrame([(*d, len(d[1] or "")) for d in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 3 > 0), 0) for i in range(0, 160)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    item = docs[5][1] + ". A tail of six other words."
+    spark.createDataFrame([(1, item), (2, "nothing of the kind stands in here at all")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path))
+    crc = lambda i, n: zlib.crc32(str(i).encode()) % n
+
+    got = run("op10_language_id")
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    train = [(i, t, g) for i, t, g, _ in docs if t is not None and g is not None and crc(i, 3) != 1]
+    want = brute.languages(train, {i: t for i, t, _, _ in docs}, langid.BUCKETS)
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r.held_out == (crc(r.doc_id, 3) == 1) and r.lang_pred == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-4
+
+    got = run("op4_quality_classifier")
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    y = {i: q for i, q, _ in labels if crc(i, 4) != 2}
+    text: dict = {}
+    for i, t, _, _ in docs:
+        text.setdefault(i, []).append(t)
+    examples = [(brute.values(t), y[i]) for i in _order(spark, y) for t in text[i]]
+    w = brute.ftrl(examples, quality.ALPHA, quality.BETA, quality.L1, quality.L2, quality.EPOCHS)
+    for r in got.collect():
+        dot = sum(w.get(k, 0.0) * v for k, v in brute.values(text[r.doc_id][0]).items())
+        assert abs(r.score - 1 / (1 + np.exp(-dot))) < 1e-9 and r.held_out == (crc(r.doc_id, 4) == 2) and r.predicted == int(r.score >= 0.7)
+
+    got = run("op6_pii")
+    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    want = brute.sanitised([t for _, t, _, _ in docs])
+    assert sorted((r.doc_id, r.n_email, r.base_sha256, r.spans) for r in got.collect()) == sorted((d[0], sum(s[2] == "email" for s in x), brute.personal_sha(d[1]), ",".join(f"{k}:{a}:{z}" for a, _, k, z in x)) for d, x in zip(docs, want, strict=True))
+
+    got = run("op2_token_files")
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    from tokenizers import Tokenizer
+
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute.token_rows([(i, t or "") for i, t, _, _ in docs], Tokenizer.from_file(tokenizer_path())))
+
+    got = {(r.doc_id, r.item_id, r.kind) for r in run("op1_decontamination").collect()}
+    assert got == {(i, n, k) for i, t, _, _ in docs for n, x in ((1, item), (2, "nothing of the kind stands in here at all")) if (k := brute.holds_item(t, x, decontam.question_and_answer(x)))} and got
+
+
+def test_quality_threshold(spark):
+    """A score at the threshold counts as reached; very long texts are scored like others."""
+    w = np.zeros(quality.BUCKETS + 1)
+    w[-1] = 0.5
+    docs = spark.createDataFrame([(1, ""), (2, "word " * 100_000), (3, None)], "doc_id bigint, text string")
+    at = 1 / (1 + np.exp(-0.5))
+    assert [r.predicted for r in quality.score(docs, w, float(at)).orderBy("doc_id").collect()] == [1, 1, 1]
+    assert [r.predicted for r in quality.score(docs, w, float(np.nextafter(at, 1))).orderBy("doc_id").collect()] == [0, 0, 0]
+
+
 def test_ftrl_by_hand():
     """Two updates of one feature, worked out."""
     k, v = np.array([3], np.int32), np.array([1.0])
