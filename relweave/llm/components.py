@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from relweave.llm.common import dropped, stored
 
 
-def _minima(links: DataFrame) -> DataFrame:
-    """(a, m) of links (a, b): the least b of each a. The sum below hides from the planner that these rows lie by a already, so that a join with links deals both sides out anew, and adaptive execution can divide a hub's links among tasks; it could not if one side were an aggregate. The minima are a row per id."""
-    return links.groupBy("a").agg(F.min("b").alias("m")).select((F.col("a") + F.lit(0).cast("bigint")).alias("a"), "m")
+def _with_minima(links: DataFrame) -> DataFrame:
+    """links (a, b) with m, the least b of each a.
+
+    The minima are a row per id, aggregated before the shuffle. They are joined by the complement of a, so that the planner deals both sides out anew: adaptive execution then can divide a hub's links among tasks, which it could not if one side were an aggregate that lies by a already."""
+    least = links.groupBy("a").agg(F.min("b").alias("m")).select(F.bitwise_not("a").alias("k"), "m")
+    return links.join(least, F.bitwise_not(links["a"]) == least["k"]).drop("k")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,8 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     sign = None
     while True:
         both = now.union(now.select("b", "a"))
-        large = both.join(_minima(both), "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
-        small = large.join(_minima(large), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
+        large = _with_minima(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
+        small = _with_minima(large).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
         after = stored(small, "links")
         dropped(now)
         now = after
