@@ -14,6 +14,8 @@ from relweave.llm.common import mix, slices, stored, text_buffer, tidied
 
 #: Hash buckets of the n-grams; n-grams are of 3 characters of the lower-cased text, blanks and controls as blanks.
 BUCKETS = 1 << 16
+#: Characters whose n-grams are held at once.
+PIECE = 1 << 18
 #: Labelled documents that the counts come from, about. With fewer labelled documents all are used.
 TRAIN_DOCS = 20_000
 #: Labelled documents of a language that are used at least, about, however many languages there are.
@@ -23,43 +25,40 @@ MAX_LANGUAGES = 256
 SMOOTHING = 0.5
 
 
-def gram_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket numbers of all n-grams of all texts, and len(texts)+1 offsets into them."""
+def gram_buckets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text numbers and bucket numbers of all n-grams of all texts, some hundred thousand characters at a time."""
     low = pc.utf8_lower(column.fill_null("").cast(pa.large_string()))
     buf, _ = text_buffer(low)
-    chars = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
-    chars[chars < 33] = 32
-    offsets = np.concatenate([[0], np.cumsum(pc.utf8_length(low).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    if len(chars) < 3:
-        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    # Code points have 21 bits, so a run of three is a 63-bit number.
-    h = mix((chars[:-2] << np.uint64(42)) | (chars[1:-1] << np.uint64(21)) | chars[2:]) & np.uint64(BUCKETS - 1)
-    # An n-gram belongs to the text it begins in; those that run over its end are left out.
-    keep = np.ones(len(h), bool)
-    for back in (1, 2):
-        cut = offsets[1:-1] - back
-        keep[cut[(cut >= 0) & (cut < len(h))]] = False
-    before = np.concatenate([[0], np.cumsum(keep)])
-    return h[keep].astype(np.int64), before[np.minimum(offsets, len(h))]
-
-
-def gram_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse counts: distinct (text, bucket) in this order, and how often each comes."""
-    grams, at = gram_buckets(column)
-    key, n = np.unique(np.repeat(np.arange(len(column)), np.diff(at)) * BUCKETS + grams, return_counts=True)
-    return key // BUCKETS, key % BUCKETS, n
+    chars = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
+    ends = np.cumsum(pc.utf8_length(low).to_numpy(zero_copy_only=False))
+    for a in range(0, len(chars), PIECE):
+        # An n-gram belongs to the text it begins in; those that run over its end are left out.
+        c = np.maximum(chars[a : a + PIECE + 2], 32).astype(np.uint64)
+        at = np.arange(a, a + max(0, len(c) - 2))
+        text = np.searchsorted(ends, at, "right")
+        whole = at + 3 <= ends[text]
+        # Code points have 21 bits, so a run of three is a 63-bit number.
+        run = (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]
+        yield text[whole], (mix(run[whole]) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def gram_counts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sparse counts: distinct (text, bucket) in this order, and how often each comes; a text may go on in the next piece."""
+    for text, bucket in gram_buckets(column):
+        key, n = np.unique(text * BUCKETS + bucket, return_counts=True)
+        yield key // BUCKETS, key % BUCKETS, n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for b in slices(batches, "text"):
-        text, bucket, n = gram_counts(b.column("text"))
         lang = np.array(b.column("lang").to_pylist(), object)
-        for x in set(lang.tolist()):
-            mine = (lang == x)[text]
-            if x not in sums:
-                sums[x] = np.zeros(BUCKETS, np.int64)
-            sums[x] += np.bincount(bucket[mine], n[mine], minlength=BUCKETS).astype(np.int64)
+        for text, bucket, n in gram_counts(b.column("text")):
+            for x in set(lang[np.unique(text)].tolist()):
+                mine = (lang == x)[text]
+                if x not in sums:
+                    sums[x] = np.zeros(BUCKETS, np.int64)
+                sums[x] += np.bincount(bucket[mine], n[mine], minlength=BUCKETS).astype(np.int64)
     for lang, x in sums.items():
         full = np.flatnonzero(x)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(full), pa.string()), pa.array(full), pa.array(x[full])], ["lang", "bucket", "n"])
@@ -73,13 +72,13 @@ class LanguageBlock:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """A row for each text: the logarithms of the languages' probabilities with the text: its sparse n-gram counts times the matrix."""
-        text, bucket, n = gram_counts(column)
         out = np.tile(self.prior, (len(column), 1))
         step = max(1, (8 << 20) // (8 * max(1, len(self.languages))))
-        for a in range(0, len(text), step):
-            rows = text[a : a + step]
-            first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-            out[rows[first]] += np.add.reduceat(self.log_p[bucket[a : a + step]].astype(np.float64) * n[a : a + step, None], first, axis=0)
+        for text, bucket, n in gram_counts(column):
+            for a in range(0, len(text), step):
+                rows = text[a : a + step]
+                first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+                out[rows[first]] += np.add.reduceat(self.log_p[bucket[a : a + step]].astype(np.float64) * n[a : a + step, None], first, axis=0)
         return out
 
 

@@ -660,13 +660,14 @@ def test_languages_of_many_scripts(spark):
     df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(rows)], "doc_id bigint, text string, lang string")
     got = {r.doc_id: r.lang_pred for r in langid.identify(df, langid.fit(df), ["doc_id"]).collect()}
     assert all(got[i] == g for i, (g, _) in enumerate(rows))
-    assert len(langid.gram_buckets(pa.array(["\u4e2d\u6587\u5b57\u7b26"]))[0]) == 2
 
 
-def test_gram_buckets_stay_in_their_texts():
-    one = [langid.gram_buckets(pa.array([t]))[0].tolist() for t in ("abcd", "", "é", "xyz")]
-    flat, at = langid.gram_buckets(pa.array(["abcd", "", "é", "xyz"]))
-    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == one
+def test_gram_buckets_stay_in_their_texts(monkeypatch):
+    texts = ["abcd", "", "é", "xyz", "ab", "Ü12 34", "中文字"]
+    for piece in (1 << 18, 3, 1):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        got = [(t, g) for x in langid.gram_buckets(pa.array(texts)) for t, g in zip(*(y.tolist() for y in x), strict=True)]
+        assert got == [(k, g) for k, t in enumerate(texts) for g in brute.trigrams(t, langid.BUCKETS)]
 
 
 def test_quality(spark):
