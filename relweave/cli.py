@@ -6,6 +6,8 @@ import argparse
 import json
 import sys
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -13,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relweave import config as C
+from relweave.functions import sqltext
 from relweave.operators import graph as G
 from relweave.operators import merge as M
 from relweave.operators import profile as P
 from relweave.plans import phases
 from relweave.session import session
 from relweave.sources import artifacts, catalog, overrides, rdf, results, worksheets
+from relweave.sources.cache import PRINTS, Cache
 
 #: Exit codes: what went wrong.
 OK, CONFIG, PREREQUISITE, INVALID, INTERRUPTED = 0, 1, 2, 3, 130
+#: What the log has for an error that nobody foresaw, which is raised.
+FAILED = 1
 PHASES = ("query-gen", "infer", "generate", "validate", "all")
 
 
@@ -60,6 +66,10 @@ def query_gen(spark: SparkSession, cfg: C.Config, sql_dir: str | None, label: st
 
 def infer(spark: SparkSession, cfg: C.Config, sql_dir: str | None, run_dir: str | None, now: datetime | None = None) -> DataFrame:
     sheets = scanned(spark, sql_dir)
+    told = sqltext.diagnostics(sheets).cache()
+    per_file = [r.asDict() for r in told.orderBy("path").collect()]  # a row per worksheet
+    artifacts.write_report(cfg.paths.ingest_diagnostics, {**sqltext.rolled_up(told).first().asDict(), "worksheets": per_file})
+    told.unpersist()
     at = lambda name: str(Path(run_dir or "") / "results" / name)
     edges = columns = hints = None
     if run_dir:
@@ -81,32 +91,74 @@ def _relationships(spark: SparkSession, cfg: C.Config) -> DataFrame:
     return results.read_relationships(spark, cfg.paths.relationships)
 
 
-def generate(spark: SparkSession, cfg: C.Config) -> list[str]:
-    """Write the ontology; returns the tables in dependency order."""
+def generate(spark: SparkSession, cfg: C.Config, force: list[str] | None = None, now: datetime | None = None) -> dict:
+    """Write a version of the ontology. Only tables whose fingerprint changed since they were generated, and those in force, are generated again; the others' fragments come from the cache. Returns the tables in dependency order, and which were generated. All of it follows the schema, not the data."""
+    now = now or datetime.now(timezone.utc)
     rel, over = _relationships(spark, cfg), overrides.load(cfg.paths.overrides)
     tables = tables_of(spark, cfg)
+    declared, primary = catalog.declared(spark, cfg.paths.declared_keys)
+    keys = phases.used_keys(rel, overrides.frame(spark, over), catalog.pairs(declared), cfg).cache()
     classes = overrides.classification(spark, over).select(F.upper("table").alias("k"), F.col("class").alias("classification"))
-    names = spark.createDataFrame([(t,) for t in tables], "name string")
-    columns = catalog.columns_of(spark, tables)
-    triples = phases.generated(names.join(classes, F.upper("name") == F.col("k"), "left").select("name", "classification"), columns, rel, overrides.frame(spark, over), cfg)
-    rdf.write(triples, cfg.paths.ontology)
     upper = {t.upper(): t for t in tables}
-    keys = M.generation_edges(rel, cfg.profiling.match_rate_threshold).select("from_table", "to_table").distinct().collect()
-    return G.topological_order(list(tables), [(upper[r.from_table.upper()], upper[r.to_table.upper()]) for r in keys if r.from_table.upper() in upper and r.to_table.upper() in upper])
+    more = [r.from_table for r in keys.select("from_table").distinct().collect() if r.from_table.upper() not in upper]
+    names = spark.createDataFrame([(t,) for t in [*tables, *more]], "name string")
+    # A table that only relationships name has its properties, but no class of its own.
+    named = names.join(classes, F.upper("name") == F.col("k"), "left").select("name", "classification")
+    columns = catalog.columns_of(spark, tables)
+    prints = {r.table: r.asDict() for r in phases.prints(named, columns, keys, primary).collect()}
+    cache = Cache(spark, cfg.paths.generation_cache)
+    wanted = {t.upper() for t in force or []}
+    stale = sorted(t for t, p in prints.items() if t in wanted or not cache.holds(t, p))
+    if stale:
+        only = lambda df, c: df.where(F.upper(c).isin(stale))
+        made = phases.generated(only(named.where(F.col("name").isin(list(tables))), "name"), only(columns, "table"), only(keys, "from_table"), cfg)
+        lines = rdf.n_triples(made, "table").groupBy("table").agg(F.array_join(F.sort_array(F.collect_set("line")), "\n").alias("text"))
+        texts = {r.table: r.text for r in lines.collect()}
+        stamp = now.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+        for t in stale:
+            cache.put(t, prints[t], texts.get(t, ""), stamp)
+        artifacts.append_json(cfg.paths.provenance, *({"table": t, "made": stamp, "forced": t in wanted, **{k: prints[t][k] for k in PRINTS}} for t in stale))
+        cache.save()
+    lines = {x for t in prints for x in (cache.get(t) or {"content": ""})["content"].splitlines() if x}
+    artifacts.versioned(cfg.paths.ontology, "".join(f"{x}\n" for x in sorted(lines)), now, ".nt")
+    edges = [(upper[r.from_table.upper()], upper[r.to_table.upper()]) for r in keys.collect() if r.from_table.upper() in upper and r.to_table.upper() in upper]
+    keys.unpersist()
+    return {"tables": G.topological_order(list(tables), edges), "generated": stale, "cached": len(prints) - len(stale)}
+
+
+def ontology(spark: SparkSession, cfg: C.Config) -> DataFrame:
+    """The triples at paths.ontology: a version that generate wrote, line by line; a folder of such lines; or a file of people's own in the configured format."""
+    p = Path(cfg.paths.ontology)
+    if p.is_dir() or p.resolve().suffix == ".nt":
+        return rdf.read_lines(spark, str(p.resolve()))
+    return rdf.read(spark, str(p), cfg.ontology.format)
 
 
 def validate(spark: SparkSession, cfg: C.Config) -> bool:
     rel = _relationships(spark, cfg)
     if not Path(cfg.paths.ontology).exists():
         raise C.Prerequisite("no ontology; run generate first")
-    p = Path(cfg.paths.ontology)
-    triples = rdf.triples_of(spark.read.text(str(p)).groupBy().agg(F.lit("a.ttl").alias("path"), F.array_join(F.collect_list("value"), "\n").alias("text")), "turtle") if p.is_dir() else rdf.read(spark, str(p), cfg.ontology.format)
-    gates, parts = phases.validated(triples.cache(), rel, overrides.frame(spark, overrides.load(cfg.paths.overrides)), cfg)
+    gates, parts = phases.validated(ontology(spark, cfg).cache(), rel, overrides.frame(spark, overrides.load(cfg.paths.overrides)), cfg)
     row = gates.first().asDict()
     artifacts.write_report(cfg.paths.validation_report, {"gates": row, **{k: [r.asDict() for r in df.collect()] for k, df in parts.items()}})
     return row["overall"] != "fail"
 
 
+@contextmanager
+def observed(cfg: C.Config, phase: str) -> Iterator[dict]:
+    """Events at the beginning and the end of a phase, whatever ends it; what stands in the dict goes into the end's event."""
+    began, more = time.time(), {"exit_code": OK}
+    artifacts.append_json(cfg.paths.metrics, {"phase": phase, "event": "start", "status": "running"})
+    try:
+        yield more
+    except BaseException as e:
+        more |= {"exit_code": getattr(e, "code", None) or (INTERRUPTED if isinstance(e, KeyboardInterrupt) else FAILED), "error": str(e) or type(e).__name__}
+        raise
+    finally:
+        status = "failed" if more["exit_code"] else "success"
+        artifacts.append_json(cfg.paths.metrics, {"phase": phase, "event": "end", "status": status, "duration_ms": int(1000 * (time.time() - began)), "error": more.get("error"), **more})
+
+
 def run(argv: list[str], spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="relweave", description=__doc__)
     ap.add_argument("--config", required=True)
@@ -114,28 +166,32 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
     ap.add_argument("--sql-dir")
     ap.add_argument("--run-dir")
     ap.add_argument("--run-label", default="")
+    ap.add_argument("--force-regenerate", action="append", metavar="TABLE", default=[])
     args = ap.parse_args(argv)
-    cfg = None
-    began, code, error = time.time(), OK, None
+    wanted = ([p for p in ("infer", "generate", "validate") if p != "infer" or args.sql_dir]) if args.phase == "all" else [args.phase]
     try:
         cfg = C.load(args.config)
         spark = spark or session()
-        if args.phase == "query-gen":
-            print(query_gen(spark, cfg, args.sql_dir, args.run_label))
-        if args.phase in ("infer", "all") and (args.phase == "infer" or args.sql_dir):
-            infer(spark, cfg, args.sql_dir, args.run_dir)
-        if args.phase in ("generate", "all"):
-            print(json.dumps(generate(spark, cfg)))
-        if args.phase in ("validate", "all") and not validate(spark, cfg):
-            code = INVALID
+        for phase in wanted:
+            with observed(cfg, phase) as told:
+                if phase == "query-gen":
+                    print(query_gen(spark, cfg, args.sql_dir, args.run_label))
+                elif phase == "infer":
+                    infer(spark, cfg, args.sql_dir, args.run_dir)
+                elif phase == "generate":
+                    done = generate(spark, cfg, args.force_regenerate)
+                    told["counts"] = {"generated": len(done["generated"]), "cached": done["cached"]}
+                    print(json.dumps(done))
+                elif not validate(spark, cfg):
+                    told["exit_code"] = INVALID
+            if told["exit_code"]:
+                return told["exit_code"]
     except (C.ConfigError, C.Prerequisite) as e:
-        code, error = e.code, str(e)
         print(e, file=sys.stderr)
+        return e.code
     except KeyboardInterrupt:
-        code, error = INTERRUPTED, "interrupted"
-    if cfg:
-        artifacts.append_json(cfg.paths.metrics, {"phase": args.phase, "event": "end", "status": "failed" if code else "success", "duration_ms": int(1000 * (time.time() - began)), "error": error, "exit_code": code})
-    return code
+        return INTERRUPTED
+    return OK
 
 
 def main() -> None:

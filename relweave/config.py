@@ -61,6 +61,10 @@ class Paths:
     data_quality_report: str = "data/data_quality_report.json"
     validation_report: str = "data/validation_report.json"
     metrics: str = "data/metrics.jsonl"
+    ingest_diagnostics: str = "data/sql_ingest_diagnostics.json"
+    provenance: str = "data/provenance.jsonl"
+    generation_cache: str = "data/generation_cache.json"
+    declared_keys: str = "data/declared_keys.yaml"
 
 
 @dataclass

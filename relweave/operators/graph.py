@@ -33,7 +33,7 @@ def topological_order(tables: list[str], keys: Iterable[tuple[str, str]]) -> lis
 def topological_levels(tables: DataFrame, keys: DataFrame) -> DataFrame:
     """(name, level): 0 for tables that refer to none of the others, else one more than the highest level referred to; null on or behind a cycle.
 
-    A round per level, each one an anti join and an aggregate over the remaining keys; a schema's depth bounds the rounds."""
+    The names and keys of a schema, some hundreds, come to the driver, which takes off one level after another; data never does."""
     spark: SparkSession = tables.sparkSession
     names = tables.select("name").distinct()
     left = keys.select("table", "referred").distinct().join(names.select(F.col("name").alias("table")), "table", "left_semi").join(names.select(F.col("name").alias("referred")), "referred", "left_semi").select("table", "referred")

@@ -68,7 +68,10 @@ DERIVED = {
   UNION ALL SELECT '{base}dp' || c_custkey, '{type}', '{owl}DatatypeProperty' FROM {customer}
   UNION ALL SELECT '{base}dp' || c_custkey, '{rdfs}label', c_name FROM {customer} WHERE c_custkey % 3 <> 0
   UNION ALL SELECT '{base}dp' || c_custkey, '{rdfs}domain', '{base}C' || (c_custkey * 17 % 2500) FROM {customer})""".replace("{base}", BASE_IRI).replace("{type}", RDF_TYPE).replace("{owl}", OWL).replace("{rdfs}", RDFS),
-    "approved_edges": "SELECT 'c' || (s_suppkey * 3 % 250 + 1) AS from_table, 'C' || (s_suppkey % 50 + 1) AS to_table, 'OP' || s_suppkey AS relation FROM {supplier}",
+    "approved_edges": "SELECT 'c' || (s_suppkey * 3 % 250 + 1) AS from_table, 'C' || (s_suppkey % 50 + 1) AS to_table, CASE WHEN s_suppkey % 5 = 0 THEN 'other' ELSE 'OP' END || s_suppkey AS relation FROM {supplier}",
+    # A worksheet per part, of joins of all sorts.
+    "sheets": """SELECT 'p' || p_partkey || '.sql' AS path, 'WITH c' || p_partkey || ' AS (SELECT * FROM db.A' || (p_partkey % 7) || ' t) SELECT * FROM T' || (p_partkey % 23) || ' x ' || CASE p_partkey % 3 WHEN 0 THEN 'LEFT' WHEN 1 THEN 'INNER' ELSE 'FULL OUTER' END
+  || ' JOIN c' || p_partkey || ' y ON x.K' || (p_partkey % 11) || '_ID = y.ID AND ' || CASE p_partkey % 4 WHEN 0 THEN 'x.D >= y.D' WHEN 1 THEN 'CAST(x.D AS DATE) = y.D' WHEN 2 THEN 'x.D = 5' ELSE 'lower(x.D) = y.D' END || ' WHERE x.S > 1' AS sql FROM {part}""",
     # Names with endings of all sorts.
     "names": """SELECT p_partkey AS k, upper(replace(p_type, ' ', '_')) || CASE p_partkey % 9 WHEN 0 THEN 'IES' WHEN 1 THEN 'SSES' WHEN 2 THEN 'XES' WHEN 3 THEN 'CHES' WHEN 4 THEN 'SHES' WHEN 5 THEN 'S_ITEMS' WHEN 6 THEN 'SS' WHEN 7 THEN '_S' ELSE '' END AS name FROM {part}""",
 }
@@ -110,5 +113,7 @@ WORKSHEETS = [
     ("d.sql", "WITH ob AS (SELECT o.id, o.customer_id FROM SALES.PUBLIC.ORDERS o), both AS (SELECT * FROM ACCOUNTS x JOIN BRANCHES y ON x.branch_id = y.id) SELECT * FROM ob JOIN both bb ON ob.customer_id = bb.id JOIN (SELECT * FROM REGIONS) r ON bb.region_id = r.id"),
     ("e.sql", "SELECT * FROM app.events e JOIN app.windows w ON e.event_ts >= w.start_ts AND e.event_ts < w.end_ts JOIN app.users u ON LOWER(e.mail) = LOWER(u.mail) JOIN app.orders o ON CAST(e.order_id AS VARCHAR) = o.id JOIN app.tags t ON e.tag::string = t.name OR t.any = 1"),
     ("f.sql", "THIS ( IS BROKEN SELECT FROM X x JOIN Y y ON x.Y_ID = y.ID"),
+    ("h.sql", "SELECT * FROM Größen g JOIN Maße m ON g.maß_id = m.id AND g.art IS NOT DISTINCT FROM m.art WHERE EXTRACT(YEAR FROM m.tag) IS DISTINCT FROM 2020"),
+    ("i.sql", "SELECT * FROM STOCK s JOIN BINS b ON s.BIN_ID = b.ID; SELECT ( FROM BROKEN x JOIN ONES y ON x.A = y.B"),
     ("g.sql", "SELECT * FROM \"Quoted\" q JOIN T$1 t USING (id) JOIN S s ON q.id = s.q_id"),
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relweave.config import Config
 from relweave.functions import sqltext
 from relweave.operators import edges as E
+from relweave.operators import graph as G
 from relweave.operators import merge as M
 from relweave.operators import profile as P
 from relweave.operators import rdf as R
@@ -55,13 +56,27 @@ def inferred(worksheets: DataFrame, profiles: DataFrame | None, hints: DataFrame
     return M.auto_approve(M.contract(rel), config.review.auto_approve_threshold, config.review.auto_approve_confidence)
 
 
-def generated(tables: DataFrame, columns: DataFrame, relationships: DataFrame, relations: DataFrame, config: Config | None = None) -> DataFrame:
-    """Triples by fixed rules from tables (name, classification), columns (table, name) and the relationships that generation uses; relations (from_table, to_table, relation) name the properties that people named."""
+def used_keys(relationships: DataFrame, relations: DataFrame, declared: DataFrame | None = None, config: Config | None = None) -> DataFrame:
+    """(from_table, to_table, relation) of the relationships that generation uses and of declared keys (see catalog.pairs); relations (from_table, to_table, relation) name the properties that people named."""
     config = config or Config()
-    used = M.generation_edges(relationships, config.profiling.match_rate_threshold).select("from_table", "to_table").distinct()
+    used = M.generation_edges(relationships, config.profiling.match_rate_threshold).select("from_table", "to_table")
+    if declared is not None:
+        used = used.unionByName(declared.select(F.upper("table").alias("from_table"), F.upper("to_table").alias("to_table")))
     named = relations.where(F.coalesce("relation", F.lit("")) != "").select(F.upper("from_table").alias("f"), F.upper("to_table").alias("t"), "relation")
-    keys = used.join(named, (F.upper("from_table") == F.col("f")) & (F.upper("to_table") == F.col("t")), "left").select("from_table", "to_table", "relation")
-    return R.emitted(tables, columns, keys, config.ontology.base_iri)
+    return used.distinct().join(named, (F.upper("from_table") == F.col("f")) & (F.upper("to_table") == F.col("t")), "left").select("from_table", "to_table", "relation")
+
+
+def generated(tables: DataFrame, columns: DataFrame, keys: DataFrame, config: Config | None = None) -> DataFrame:
+    """Triples by fixed rules from tables (name, classification), columns (table, name) and keys (see used_keys), each with the table that it is of."""
+    return R.fragments(tables, columns, keys, (config or Config()).ontology.base_iri)
+
+
+def prints(tables: DataFrame, columns: DataFrame, keys: DataFrame, primary: DataFrame) -> DataFrame:
+    """Fingerprints of tables (name, classification), with their classification: what a generated fragment depends on."""
+    known = tables.join(primary.select(F.upper("table").alias("k"), "primary_key"), F.upper("name") == F.col("k"), "left").select(F.upper("name").alias("name"), F.lit("").alias("comment"), "primary_key")
+    cols = columns.select(F.upper("table").alias("table"), "name", "type", "nullable", "comment")
+    fks = keys.select(F.upper("from_table").alias("table"), F.array(F.coalesce("relation", F.lit(""))).alias("constrained_columns"), F.upper("to_table").alias("referred_table"), F.array().cast("array<string>").alias("referred_columns"))
+    return G.fingerprints(cols, fks, known).join(tables.select(F.upper("name").alias("table"), "classification"), "table")
 
 
 def validated(triples: DataFrame, relationships: DataFrame, relations: DataFrame, config: Config | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:

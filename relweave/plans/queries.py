@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +17,11 @@ from relweave.operators import merge as M
 from relweave.operators import profile as P
 from relweave.operators import rdf as R
 from relweave.operators import review as V
-from relweave.plans.inputs import DERIVED, KEYS, WORKSHEETS, derived, edges, oracle, relationships
+from relweave.plans.inputs import DERIVED, KEYS, TABLES, WORKSHEETS, derived, edges, oracle, relationships
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RDFS
-from relweave.session import table
+from relweave.session import put, scratch, table
 from relweave.sources import artifacts, catalog, rdf, results, worksheets
+from relweave.sources.cache import Cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +120,15 @@ def _worksheets(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(WORKSHEETS, "path string, sql string")
 
 
+def _folder(spark: SparkSession) -> str:
+    """WORKSHEETS as files, some below a folder of their own, beside one that is no worksheet."""
+    at = scratch(spark, "worksheets")
+    for k, (path, sql) in enumerate(WORKSHEETS):
+        put(spark, f"{at}/{'' if k % 2 else 'more/'}{path}", sql)
+    put(spark, f"{at}/notes.txt", "SELECT * FROM A a JOIN B b ON a.x = b.x")
+    return at
+
+
 def _values(names: str, rows: list[tuple]) -> str:
     text = lambda v: "NULL" if v is None else f"{v}::BIGINT" if isinstance(v, int) else f"{v}::DOUBLE" if isinstance(v, float) else "'" + v.replace("'", "''") + "'"
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) AS t({names})"
@@ -138,7 +150,18 @@ _EDGES = [
     ("e.sql", "EVENTS.ORDER_ID", "ORDERS.ID", "casted_eq", 0.75),
     ("f.sql", "X.Y_ID", "Y.ID", "eq_column_column", 0.95),
     ("g.sql", "QUOTED.ID", "S.Q_ID", "eq_column_column", 0.95),
+    ("h.sql", "GRÖSSEN.MASS_ID", "MASSE.ID", "eq_column_column", 0.95),
+    ("h.sql", "GRÖSSEN.ART", "MASSE.ART", "composite_predicate", 0.65),
+    ("i.sql", "STOCK.BIN_ID", "BINS.ID", "eq_column_column", 0.95),
+    ("i.sql", "BROKEN.A", "ONES.B", "eq_column_column", 0.6),
 ]
+#: Edges of the derived worksheets.
+_SHEETS = """SELECT 'p' || p_partkey || '.sql' AS path, 'T' || (p_partkey % 23) || '.K' || (p_partkey % 11) || '_ID' AS l, 'A' || (p_partkey % 7) || '.ID' AS r, 'eq_column_column' AS kind, 0.95::DOUBLE AS confidence FROM {part}
+  UNION ALL SELECT 'p' || p_partkey || '.sql', 'T' || (p_partkey % 23) || '.D', 'A' || (p_partkey % 7) || '.D', CASE p_partkey % 4 WHEN 0 THEN 'range_or_inequality' WHEN 1 THEN 'casted_eq' ELSE 'function_based' END, CASE p_partkey % 4 WHEN 0 THEN 0.55 WHEN 1 THEN 0.75 ELSE 0.5 END FROM {part} WHERE p_partkey % 4 <> 2"""
+
+
+def _sheets(spark: SparkSession, d: str) -> DataFrame:
+    return _worksheets(spark).unionByName(derived(spark, d, "sheets"))
 
 
 def _told(e: DataFrame) -> DataFrame:
@@ -146,9 +169,15 @@ def _told(e: DataFrame) -> DataFrame:
     return e.select(F.split_part("evidence", F.lit(" | "), F.lit(1)).alias("path"), end("left").alias("l"), end("right").alias("r"), F.col("predicate_type").alias("kind"), F.col("confidence").cast("double"))
 
 
-@query("join_edges", _values("path, l, r, kind, confidence", _EDGES))
+@query("join_edges", _values("path, l, r, kind, confidence", _EDGES) + " UNION ALL " + _SHEETS)
 def join_edges(spark, d):
-    return _told(sqltext.join_edges(_worksheets(spark)))
+    return _told(sqltext.join_edges(_sheets(spark, d)))
+
+
+@query("join_edges_by_statement", _values("path, l, r, kind, confidence", [e for e in _EDGES if e[1] != "BROKEN.A"]))
+def join_edges_by_statement(spark, d):
+    """A bad statement costs itself alone."""
+    return _told(sqltext.join_edges(_worksheets(spark), by_statement=True))
 
 
 @query("join_edges_multi", _values("path, l, r, kind, confidence", [e for e in _EDGES if e[0] == "b.sql"]))
@@ -161,24 +190,26 @@ def cte_lineage(spark, d):
     return _told(sqltext.join_edges(_worksheets(spark).where("path = 'd.sql'")))
 
 
-@query("predicate_types", _values("kind, n", [("eq_column_column", 10), ("range_or_inequality", 2), ("function_based", 1), ("casted_eq", 1)]))
+@query("predicate_types", f"SELECT kind, count(*) AS n FROM ({_values('path, l, r, kind, confidence', _EDGES)} UNION ALL {_SHEETS}) GROUP BY kind")
 def predicate_types(spark, d):
-    return sqltext.join_edges(_worksheets(spark)).groupBy(F.col("predicate_type").alias("kind")).agg(F.count("*").alias("n"))
+    return sqltext.join_edges(_sheets(spark, d)).groupBy(F.col("predicate_type").alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("skipped_predicates", _values("path, skipped, unresolved", [("a.sql", 0, 0), ("b.sql", 1, 0), ("c.sql", 0, 0), ("d.sql", 0, 0), ("e.sql", 1, 0), ("f.sql", 0, 0), ("g.sql", 0, 0)]))
+@query("skipped_predicates", _values("path, skipped, unresolved", [("a.sql", 0, 0), ("b.sql", 1, 0), ("c.sql", 0, 0), ("d.sql", 0, 0), ("e.sql", 1, 0), ("f.sql", 0, 0), ("g.sql", 0, 0), ("h.sql", 0, 0), ("i.sql", 0, 0)]) + " UNION ALL SELECT 'p' || p_partkey || '.sql', CASE WHEN p_partkey % 4 = 2 THEN 1 ELSE 0 END, 0 FROM {part}")
 def skipped_predicates(spark, d):
-    return sqltext.diagnostics(_worksheets(spark)).select("path", F.col("skipped_predicate_count").cast("bigint").alias("skipped"), F.col("unresolved_alias_count").cast("bigint").alias("unresolved"))
+    return sqltext.diagnostics(_sheets(spark, d)).select("path", F.col("skipped_predicate_count").cast("bigint").alias("skipped"), F.col("unresolved_alias_count").cast("bigint").alias("unresolved"))
 
 
-@query("fallback_edges", _values("path, l, r, kind, confidence", [e for e in _EDGES if e[0] == "f.sql"]))
+@query("fallback_edges", _values("path, l, r, kind, confidence", [e for e in _EDGES if e[0] in ("f.sql", "i.sql")]))
 def fallback_edges(spark, d):
     return _told(sqltext.join_edges(_worksheets(spark)).where("parser_dialect = 'fallback_regex'"))
 
 
-@query("ingest_diagnostics", "SELECT 7::BIGINT AS files, 8::BIGINT AS statement_count, 7::BIGINT AS parsed_statement_count, 1::BIGINT AS failed_statement_count, 2::BIGINT AS skipped_predicate_count, 0::BIGINT AS unresolved_alias_count, 1::BIGINT AS fallback_files, 'casted_eq=1,composite_predicate=1,eq_column_column=9,eq_expression=1,function_based=1,range_or_inequality=2' AS predicate_types")
+@query("ingest_diagnostics", """SELECT 9 + n AS files, 11 + n AS statement_count, 8 + n AS parsed_statement_count, 3::BIGINT AS failed_statement_count, 2 + n2 AS skipped_predicate_count, 0::BIGINT AS unresolved_alias_count, 2::BIGINT AS fallback_files,
+  'casted_eq=' || (1 + n1) || ',composite_predicate=2,eq_column_column=' || (10 + n) || ',eq_expression=' || (1 + n2) || ',function_based=' || (1 + n3) || ',range_or_inequality=' || (2 + n0) AS predicate_types
+  FROM (SELECT count(*) AS n, count(*) FILTER (p_partkey % 4 = 0) AS n0, count(*) FILTER (p_partkey % 4 = 1) AS n1, count(*) FILTER (p_partkey % 4 = 2) AS n2, count(*) FILTER (p_partkey % 4 = 3) AS n3 FROM {part})""")
 def ingest_diagnostics(spark, d):
-    return sqltext.rolled_up(sqltext.diagnostics(_worksheets(spark)))
+    return sqltext.rolled_up(sqltext.diagnostics(_sheets(spark, d)))
 
 
 _CONF = """least(0.95, CASE predicate_type WHEN 'eq_column_column' THEN 0.60 WHEN 'casted_eq' THEN 0.75 WHEN 'eq_expression' THEN 0.70 WHEN 'range_or_inequality' THEN 0.55 WHEN 'function_based' THEN 0.50 WHEN 'composite_predicate' THEN 0.65 ELSE 0.45 END
@@ -484,9 +515,14 @@ _GRAPH = [("orders", "customer"), ("lineitem", "orders"), ("lineitem", "part"),
 _NAMES = ["lineitem", "orders", "customer", "supplier", "nation", "region", "part", "events", "a", "b", "c", "self"]
 
 
-@query("topo_levels", _values("name, level", [("region", 0), ("part", 0), ("events", 0), ("nation", 1), ("customer", 2), ("supplier", 2), ("orders", 3), ("lineitem", 4), ("a", None), ("b", None), ("c", None), ("self", None)]))
+@query("topo_levels", _values("name, level", [("region", 0), ("part", 0), ("events", 0), ("nation", 1), ("customer", 2), ("supplier", 2), ("orders", 3), ("lineitem", 4), ("a", None), ("b", None), ("c", None), ("self", None)]) + " UNION ALL SELECT 'S' || s_suppkey, CAST(floor(log2(s_suppkey)) AS BIGINT) FROM {supplier} WHERE s_suppkey > 0")
 def topo_levels(spark, d):
-    return G.topological_levels(spark.createDataFrame([(n,) for n in _NAMES], "name string"), spark.createDataFrame(_GRAPH, "table string, referred string"))
+    """A schema with cycles, and a tree of tables that each refer to the one of half their number."""
+    k = F.col("s_suppkey")
+    tree = table(spark, d, "supplier").where(k > 0)
+    name = lambda c: F.concat(F.lit("S"), c.cast("bigint").cast("string"))
+    names = spark.createDataFrame([(n,) for n in _NAMES], "name string").unionByName(tree.select(name(k).alias("name")))
+    return G.topological_levels(names, spark.createDataFrame(_GRAPH, "table string, referred string").unionByName(tree.where(k > 1).select(name(k).alias("table"), name(F.floor(k / 2)).alias("referred"))))
 
 
 @query("topo_order", _values("position, name", [(0, "region"), (1, "part"), (2, "events"), (3, "nation"), (4, "customer"), (5, "supplier"), (6, "orders"), (7, "lineitem"), (8, "a"), (9, "b"), (10, "c"), (11, "self")]))
@@ -502,13 +538,39 @@ def _schema(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     return cols, keys, tables
 
 
-@query("schema_fingerprint", "SELECT 'T' || k AS \"table\", 16 AS l1, 16 AS l2, 16 AS l3, true AS same FROM (SELECT DISTINCT p_partkey % 97 AS k FROM {part})")
+@query("schema_fingerprint", "SELECT 'T' || k AS \"table\", 16 AS l1, 16 AS l2, 16 AS l3, true AS same, k % 2 = 0 AS schema_changed, k % 3 = 0 AS fk_changed, k % 5 = 0 AS comment_changed FROM (SELECT DISTINCT p_partkey % 97 AS k FROM {part})")
 def schema_fingerprint(spark, d):
-    """Hashes of the same schema in another order are the same."""
+    """Hashes of the same schema in another order are the same; a column's type, a further key and a comment each change their own hash alone."""
     cols, keys, tables = _schema(spark, d)
+    hashes = ["schema_hash", "fk_hash", "comment_hash"]
+    number = lambda c: F.substring(c, 2, 9).cast("int")
     a = G.fingerprints(cols, keys, tables)
-    b = G.fingerprints(cols.orderBy(F.desc("name")), keys.orderBy(F.desc("constrained_columns")), tables.withColumn("primary_key", F.reverse("primary_key"))).select("table", F.struct("schema_hash", "fk_hash", "comment_hash").alias("other"))
-    return a.join(b, "table").select("table", F.length("schema_hash").alias("l1"), F.length("fk_hash").alias("l2"), F.length("comment_hash").alias("l3"), (F.struct("schema_hash", "fk_hash", "comment_hash") == F.col("other")).alias("same"))
+    b = G.fingerprints(cols.orderBy(F.desc("name")), keys.orderBy(F.desc("constrained_columns")), tables.withColumn("primary_key", F.reverse("primary_key"))).select("table", F.struct(*hashes).alias("other"))
+    more = tables.where(number("name") % 3 == 0).select(F.col("name").alias("table"), F.array(F.lit("x")).alias("constrained_columns"), F.lit("NEW").alias("referred_table"), F.array(F.lit("ID")).alias("referred_columns"))
+    c = G.fingerprints(
+        cols.withColumn("type", F.when(number("table") % 2 == 0, "bigint").otherwise(F.col("type"))), keys.unionByName(more), tables.withColumn("comment", F.when(number("name") % 5 == 0, "another note").otherwise(F.col("comment")))
+    ).select("table", *(F.col(h).alias(f"new_{h}") for h in hashes))
+    return a.join(b, "table").join(c, "table").select(
+        "table", F.length("schema_hash").alias("l1"), F.length("fk_hash").alias("l2"), F.length("comment_hash").alias("l3"), (F.struct(*hashes) == F.col("other")).alias("same"),
+        *((F.col(h) != F.col(f"new_{h}")).alias(h.replace("hash", "changed")) for h in hashes),
+    )
+
+
+@query("cache_roundtrip", "SELECT 'T' || k AS \"table\", CASE WHEN k % 4 = 1 THEN 'fact' END AS classification, 'body ' || k AS content FROM (SELECT DISTINCT p_partkey % 97 AS k FROM {part}) WHERE k % 3 <> 0 AND k % 2 = 1")
+def cache_roundtrip(spark, d):
+    """What a cache gives back after it is written and read: all tables are put, some invalidated, some put again without a class."""
+    names = sorted(r.k for r in table(spark, d, "part").select((F.col("p_partkey") % 97).alias("k")).distinct().collect())
+    with tempfile.TemporaryDirectory() as at:  # the driver's own file
+        made = Cache(spark, f"{at}/cache.json")
+        for k in names:
+            made.put(f"t{k}", {"schema_hash": f"s{k}", "fk_hash": "f", "comment_hash": "c", "classification": "fact"}, f"body {k}")
+        for k in names:
+            if k % 3 == 0:
+                made.invalidate(f"T{k}")
+            elif k % 4 != 1:
+                made.put(f"T{k}", {"schema_hash": f"s{k}", "fk_hash": "f", "comment_hash": "c", "classification": None}, f"body {k}")
+        made.save()
+        return Cache(spark, f"{at}/cache.json").frame().where(F.substring("table", 2, 9).cast("int") % 2 == 1).select("table", "classification", "content")
 
 
 @query("stale_tables", "SELECT 't' || k AS \"table\" FROM (SELECT DISTINCT p_partkey % 97 AS k FROM {part}) WHERE k % 4 = 0 OR k % 10 = 3 OR k % 7 = 5 OR k = 1")
@@ -530,10 +592,9 @@ def schema_context(spark, d):
     return G.schema_context(tables.withColumn("comment", F.lit("")).withColumn("classification", F.lit("fact")), cols, keys)
 
 
-@query("core_snippets", "SELECT p_partkey AS ordinal, p_name AS line FROM {part} WHERE regexp_matches(p_name, '(?i)\\b(brass|1[0-9])\\b') OR p_name ILIKE '% 7' ORDER BY 1 LIMIT 10")
+@query("core_snippets", "SELECT p_partkey AS ordinal, p_name AS line FROM {part} WHERE regexp_matches(p_name, '(?i)\\b(bolt|hot ring)\\b') ORDER BY 1 LIMIT 10")
 def core_snippets(spark, d):
-    terms = ["BRASS", "", *map(str, range(10, 20)), "7"]
-    return G.core_snippets(table(spark, d, "part").select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("line")), terms)
+    return G.core_snippets(table(spark, d, "part").select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("line")), ["BOLT", "", "hot Ring", "bol"])
 
 
 # --- ontology ---------------------------------------------------------------------------------------------------
@@ -729,41 +790,65 @@ def rdf_triples(spark, d):
 # --- sources ----------------------------------------------------------------------------------------------------
 
 
-@query("scan_worksheets", _values("path, length", [(p, len(s)) for p, s in WORKSHEETS]))
+@query("scan_worksheets", _values("path, length", [(p, len(x)) for p, x in WORKSHEETS]))
 def scan_worksheets(spark, d):
-    return _worksheets(spark).select("path", F.length("sql").cast("bigint").alias("length"))
+    """Of a folder of files, the worksheets at any depth."""
+    return worksheets.scan(spark, _folder(spark)).select(F.substring_index("path", "/", -1).alias("path"), F.length("sql").cast("bigint").alias("length"))
 
 
-@query("worksheets_hash", "SELECT 'sha256:' || substr(sha256(string_agg(sql, '' ORDER BY path)), 1, 16) AS worksheets_hash FROM (" + _values("path, sql", WORKSHEETS) + ")")
+@query("worksheets_hash", "SELECT 'sha256:' || substr(sha256(string_agg(sql, '' ORDER BY path)), 1, 16) AS worksheets_hash FROM (" + _values("path, sql", [(f"{'' if k % 2 else 'more/'}{p}", x) for k, (p, x) in enumerate(WORKSHEETS)]) + ")")
 def worksheets_hash(spark, d):
-    return worksheets.content_hash(_worksheets(spark))
+    return worksheets.content_hash(worksheets.scan(spark, _folder(spark)))
+
+
+def _csv(spark: SparkSession, df: DataFrame, order: str) -> str:
+    """df as a CSV in the order of a column, which it doesn't hold."""
+    path = f"{scratch(spark, 'results')}/rows.csv"
+    df.repartition(1).sortWithinPartitions(order).drop(order).write.option("header", True).option("escape", '"').csv(path)
+    return path
 
 
 @query("load_edge_profiles", "SELECT from_table, from_column, to_table, to_column, match_rate, frequency, CAST(0 AS BIGINT) AS sample_rows FROM (SELECT *, row_number() OVER (PARTITION BY upper(from_table), upper(from_column), upper(to_table), upper(to_column) ORDER BY k DESC) AS rn FROM (SELECT * REPLACE (CAST(match_rate AS DOUBLE) AS match_rate) FROM {profiles})) WHERE rn = 1")
 def load_edge_profiles(spark, d):
     df = derived(spark, d, "profiles")
-    return results.last_rows(df.toDF(*(c.upper() if c != "k" else c for c in df.columns)), results.EDGE_PROFILE, ["from_table", "from_column", "to_table", "to_column"], "k").select("from_table", "from_column", "to_table", "to_column", "match_rate", "frequency", "sample_rows")
+    return results.edge_profiles(spark, _csv(spark, df.toDF(*(c.upper() if c != "k" else c for c in df.columns)), "k")).select("from_table", "from_column", "to_table", "to_column", "match_rate", "frequency", "sample_rows")
 
 
 @query("load_column_profiles", "SELECT table_name, column_name, CAST(null_rate AS DOUBLE) AS null_rate, CAST(0 AS BIGINT) AS total_rows FROM {column_profiles}")
 def load_column_profiles(spark, d):
-    return results.last_rows(derived(spark, d, "column_profiles"), results.COLUMN_PROFILE, ["table_name", "column_name"], "k").select("table_name", "column_name", "null_rate", "total_rows")
+    return results.column_profiles(spark, _csv(spark, derived(spark, d, "column_profiles"), "k")).select("table_name", "column_name", "null_rate", "total_rows")
 
 
 @query("load_direction_hints", "SELECT table_a, col_a, table_b, col_b, direction_suggestion FROM {hints} UNION ALL SELECT table_b, col_b, table_a, col_a, direction_suggestion FROM {hints}")
 def load_direction_hints(spark, d):
-    return results.both_ways(derived(spark, d, "hints")).select("table_a", "col_a", "table_b", "col_b", "direction_suggestion")
+    return results.direction_hints(spark, _csv(spark, derived(spark, d, "hints").withColumn("k", F.lit(0)), "k")).select("table_a", "col_a", "table_b", "col_b", "direction_suggestion")
 
 
 @query("load_comments", "SELECT 'T' || (p_partkey % 50) AS \"table\", arg_max(p_brand, p_partkey) AS comment FROM {part} WHERE p_size % 2 = 0 GROUP BY 1")
 def load_comments(spark, d):
     rows = table(spark, d, "part").select(F.concat(F.lit(" T"), (F.col("p_partkey") % 50).cast("string")).alias("table"), F.when(F.col("p_size") % 2 == 0, F.concat("p_brand", F.lit(" "))).otherwise(" ").alias("comment"), "p_partkey")
-    return results.clean_comments(rows, ["table"], "p_partkey")
+    return results.comments(spark, _csv(spark, rows, "p_partkey"), ["table"])
 
 
-@query("schema_catalog", "SELECT 'nation' AS \"table\", * FROM (VALUES ('n_nationkey', 'int', 0), ('n_name', 'string', 1), ('n_regionkey', 'int', 2)) AS t(name, type, position) UNION ALL SELECT 'region', * FROM (VALUES ('r_regionkey', 'int', 0), ('r_name', 'string', 1)) AS t(name, type, position)")
+@query("schema_catalog", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", column_name AS name, CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, row_number() OVER () - 1 AS position FROM (DESCRIBE SELECT * FROM {t})" for t in TABLES))
 def schema_catalog(spark, d):
-    return catalog.columns_of(spark, {t: table(spark, d, t) for t in ("nation", "region")}).select("table", "name", "type", "position")
+    return catalog.columns_of(spark, {t: table(spark, d, t) for t in TABLES}).select("table", "name", "type", F.col("position").cast("bigint").alias("position"))
+
+
+_DECLARED = """keys:
+- {table: orders, columns: [o_custkey], referred_table: customer, referred_columns: [c_custkey]}
+- {table: lineitem, columns: [l_orderkey, l_linenumber], referred_table: orders, referred_columns: [o_orderkey, o_line]}
+- {table: nation, columns: [n_regionkey], referred_table: " "}
+primary_keys: {orders: [o_orderkey], Region: [r_regionkey]}
+"""
+
+
+@query("declared_keys", _values('"table", from_column, to_table, to_column, confidence, evidence', [("orders", "o_custkey", "customer", "c_custkey", 1.0, "declared"), ("lineitem", "l_orderkey", "orders", "o_orderkey", 1.0, "declared"), ("lineitem", "l_linenumber", "orders", "o_line", 1.0, "declared")]))
+def declared_keys(spark, d):
+    """Foreign keys that a file declares, column by column; those without a referred table are left out."""
+    with tempfile.TemporaryDirectory() as at:  # the driver's own file
+        (Path(at) / "keys.yaml").write_text(_DECLARED)
+        return catalog.pairs(catalog.declared(spark, f"{at}/keys.yaml")[0])
 
 
 @query("schema_filter", "SELECT p_brand AS \"table\", count(*) AS n FROM {part} WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') AND p_brand <> 'Brand#12' GROUP BY 1")
@@ -772,9 +857,12 @@ def schema_filter(spark, d):
     return catalog.filtered(rows, ["Brand#11", "Brand#12", "Brand#13"], ["Brand#12"]).groupBy("table").agg(F.count("*").alias("n"))
 
 
-@query("latest_version", "SELECT 'x/core_2026-03-02T10-00-00.owl' AS path, '2026-03-02T10-00-00' AS stamp")
+@query("latest_version", "SELECT 'core_2026-03-02T10-00-00.owl' AS path, '2026-03-02T10-00-00' AS stamp")
 def latest_version(spark, d):
-    return artifacts.latest(spark.createDataFrame([(f"x/core_{s}.owl",) for s in ("2026-03-01T23-59-59", "2026-03-02T10-00-00", "2025-12-31T00-00-00", "draft")], "path string"))
+    at = scratch(spark, "versions")
+    for stamp in ("2026-03-01T23-59-59", "2026-03-02T10-00-00", "2025-12-31T00-00-00", "draft"):
+        put(spark, f"{at}/core_{stamp}.owl", stamp)
+    return artifacts.latest(artifacts.listed(spark, at)).select(F.substring_index("path", "/", -1).alias("path"), "stamp")
 
 
 @query("parse_metadata_json", "SELECT 'T' || event_id AS \"table\", event_type AS comment FROM {events} UNION ALL SELECT 'second', NULL FROM {events}")

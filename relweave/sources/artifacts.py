@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import uuid
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -19,15 +21,17 @@ def run_id(existing: list[str], now: datetime, label: str = "") -> str:
     return f"{day}_{1 + sum(x.startswith(day) for x in existing):03d}" + (f"_{label}" if label else "")
 
 
-def versioned(path: str, content: str, now: datetime) -> str:
-    """Write content beside path under a name with the time, and point a relative link of path's name at it."""
+def versioned(path: str, content: str, now: datetime, suffix: str = "") -> str:
+    """Write content beside path under a name with the time (and suffix, where path has none), and let path be a relative link to it. The link is made under another name and put in place in one step, so readers find the old version or the new one. A folder that stands at path is moved aside."""
     p = Path(path)
     p.parent.mkdir(parents=True, exist_ok=True)
-    out = p.with_name(f"{p.stem}_{now.astimezone(timezone.utc).strftime('%Y-%m-%dT%H-%M-%S')}{p.suffix}")
+    out = p.with_name(f"{p.stem}_{now.astimezone(timezone.utc).strftime('%Y-%m-%dT%H-%M-%S')}{p.suffix or suffix}")
     out.write_text(content, encoding="utf-8")
-    if p.is_symlink() or p.exists():
-        p.unlink()
-    p.symlink_to(out.name)
+    if p.is_dir() and not p.is_symlink():
+        p.rename(p.with_name(f"{p.name}.old"))
+    fresh = p.with_name(f".{p.name}.{uuid.uuid4().hex}")
+    os.symlink(out.name, fresh)
+    os.replace(fresh, p)
     return str(out)
 
 

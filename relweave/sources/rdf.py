@@ -248,13 +248,30 @@ def read(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
     return triples_of(rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")), form)
 
 
-def n_triples(triples: DataFrame) -> DataFrame:
-    """One line per triple, in N-Triples (which Turtle readers read too)."""
-    quoted = F.concat(F.lit('"'), F.replace(F.replace(F.replace(F.col("o"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit('"'))
+def n_triples(triples: DataFrame, *keep: str) -> DataFrame:
+    """One line per triple, in N-Triples (which Turtle readers read too), beside the columns to keep."""
+    quoted = F.concat(F.lit('"'), F.replace(F.replace(F.replace(F.replace(F.col("o"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit('"'))
     tail = F.when(F.col("lang").isNotNull(), F.concat(F.lit("@"), "lang")).when(F.col("datatype").isNotNull(), F.concat(F.lit("^^<"), "datatype", F.lit(">"))).otherwise("")
     ref = lambda c: F.when(F.col(c).startswith("_:"), F.col(c)).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
     obj = F.when(F.col("o_kind") == "literal", F.concat(quoted, tail)).otherwise(ref("o"))
-    return triples.select(F.concat(ref("s"), F.lit(" <"), "p", F.lit("> "), obj, F.lit(" .")).alias("line"))
+    return triples.select(*keep, F.concat(ref("s"), F.lit(" <"), "p", F.lit("> "), obj, F.lit(" .")).alias("line"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """TRIPLE rows, distinct, of N-Triples: each line is taken apart by itself, by expressions alone, wherever it lies."""
+    line = F.trim("value")
+    pattern = r"^(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(?:(<[^>]*>|_:\S+)|\"((?:[^\"\\]|\\.)*)\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*(?:#.*)?$"
+    part = lambda k: F.nullif(F.regexp_extract(line, pattern, k), F.lit(""))
+    bare = lambda c: F.regexp_replace(c, "^<|>$", "")
+    mark = "\u0000"  # stands for a backslash while other escapes are undone
+    text = F.regexp_extract(line, pattern, 4)
+    for written, meant in (("\\\\", mark), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), (mark, "\\")):
+        text = F.replace(text, F.lit(written), F.lit(meant))
+    ref = part(3)
+    kind = F.when(ref.isNull(), "literal").when(ref.startswith("_:"), "blank").otherwise("iri")
+    rows = spark.read.text(path).where((line != "") & ~line.startswith("#"))
+    checked = F.when(line.rlike(pattern), True).otherwise(F.raise_error(F.concat(F.lit("no N-Triples line: "), line)).cast("boolean"))
+    return rows.where(checked).select(bare(part(1)).alias("s"), F.regexp_extract(line, pattern, 2).alias("p"), F.when(ref.isNull(), text).otherwise(bare(ref)).alias("o"), kind.alias("o_kind"), part(6).alias("datatype"), part(5).alias("lang")).distinct()
 
 
 def write(triples: DataFrame, path: str) -> None:
