@@ -54,6 +54,18 @@ def _total(expr_: str, name: str):
     return F.coalesce(F.sum(F.expr(expr_)), F.lit(0)).cast("bigint").alias(name)
 
 
+def _met(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """(v, n, p, m): the value counts of both ends side by side. Both lie by value already, so the full join deals nothing out again, and one aggregate over it gives all figures of an edge from one pass over each column."""
+    return child.join(parent.select(F.col("v").alias("p"), F.col("n").alias("m")), F.col("v") == F.col("p"), "full")
+
+
+def _ends(e: Candidate) -> list:
+    return [F.lit(e.from_table).alias("from_table"), F.lit(e.from_column).alias("from_column"), F.lit(e.to_table).alias("to_table"), F.lit(e.to_column).alias("to_column")]
+
+
+_SUMS = {"sample_rows": "n", "fk_nonnull": "if(v is null, 0, n)", "pk_total": "m"}
+
+
 def edge_profile(tables: dict[str, DataFrame], candidates: Iterable[Candidate], sample: int | None = None) -> DataFrame:
     """EDGE_PROFILE rows, one per candidate.
 
@@ -61,18 +73,16 @@ def edge_profile(tables: dict[str, DataFrame], candidates: Iterable[Candidate],
     out = []
     for e in candidates:
         child, parent = _pair(tables, e)
-        if sample is not None:
-            looked = value_counts(tables[e.from_table].select(e.from_column).where(F.col(f"`{e.from_column}`").isNotNull()).limit(sample), e.from_column)
-            stats = child.agg(_total("n", "sample_rows"), _total("if(v is null, 0, n)", "fk_nonnull"))
-            stats = stats.crossJoin(looked.join(parent.select("v"), "v", "left_semi").agg(_total("n", "match_count")))
+        sums = [_total(x, name) for name, x in _SUMS.items()] + [F.count("p").alias("pk_distinct")]
+        if sample is None:
+            stats = _met(child, parent).agg(*sums, _total("if(p is null, 0, n)", "match_count"))
         else:
-            met = child.join(parent.select(F.col("v").alias("p")), F.col("v") == F.col("p"), "left")
-            stats = met.agg(_total("n", "sample_rows"), _total("if(v is null, 0, n)", "fk_nonnull"), _total("if(p is null, 0, n)", "match_count"))
-        keys = parent.agg(F.count("v").alias("pk_distinct"), _total("n", "pk_total"))
+            some = tables[e.from_table].select(e.from_column).where(F.col(f"`{e.from_column}`").isNotNull()).limit(sample)
+            looked = value_counts(some, e.from_column).join(parent.select("v"), "v", "left_semi").agg(_total("n", "match_count"))
+            stats = _met(child, parent).agg(*sums).crossJoin(looked)
         out.append(
-            stats.crossJoin(keys).select(
-                F.lit(e.from_table).alias("from_table"), F.lit(e.from_column).alias("from_column"), F.lit(e.to_table).alias("to_table"), F.lit(e.to_column).alias("to_column"),
-                "sample_rows", "fk_nonnull", "match_count", X.ratio(F.col("match_count"), F.col("fk_nonnull")).alias("match_rate"),
+            stats.select(
+                *_ends(e), "sample_rows", "fk_nonnull", "match_count", X.ratio(F.col("match_count"), F.col("fk_nonnull")).alias("match_rate"),
                 "pk_distinct", "pk_total", X.ratio(F.col("pk_distinct"), F.col("pk_total")).alias("pk_unique_rate"),
                 F.when(F.col("sample_rows") > 0, 1 - F.col("fk_nonnull") / F.col("sample_rows")).otherwise(F.lit(1.0)).alias("fk_null_rate"),
                 F.lit(e.confidence_sql).cast("double").alias("confidence_sql"), F.lit(e.frequency).cast("bigint").alias("frequency"), F.lit(e.evidence).alias("evidence"),
@@ -81,18 +91,22 @@ def edge_profile(tables: dict[str, DataFrame], candidates: Iterable[Candidate],
     return reduce(DataFrame.unionByName, out)
 
 
-def edge_profile_live(tables: dict[str, DataFrame], candidates: Iterable[Candidate], sample: int = 200_000) -> DataFrame:
-    """Profiles as the live profiler takes them: the limits come before the counts, and parents are not made distinct, so match_rate may exceed 1. A join of value counts gives the count of the joined rows without making them."""
+def edge_profile_live(tables: dict[str, DataFrame], candidates: Iterable[Candidate], sample: int | None = 200_000) -> DataFrame:
+    """Profiles as the live profiler takes them: the limits come before the counts, and parents are not made distinct, so match_rate may exceed 1. A join of value counts gives the count of the joined rows without making them. Without a limit (sample None) nothing is gathered; a limit brings that many rows of a column together."""
     out = []
     for e in candidates:
-        child, parent = tables[e.from_table].select(F.col(f"`{e.from_column}`").alias("x")), tables[e.to_table]
-        stats = child.limit(sample).agg(F.count("*").alias("sample_rows"), F.count("x").alias("fk_nonnull"))
-        met = value_counts(child.where("x is not null").limit(sample), "x").join(value_counts(parent, e.to_column).withColumnRenamed("n", "m"), "v").agg(_total("n * m", "match_count"))
-        keys = value_counts(parent, e.to_column).agg(F.count("v").alias("pk_distinct"), _total("n", "pk_total"))
+        child, parent = _pair(tables, e)
+        sums = [_total(x, name) for name, x in _SUMS.items()] + [F.count("p").alias("pk_distinct")]
+        if sample is None:
+            stats = _met(child, parent).agg(*sums, _total("if(v is null, 0, n * m)", "match_count"))
+        else:
+            column = tables[e.from_table].select(F.col(f"`{e.from_column}`").alias("x"))
+            first = column.limit(sample).agg(F.count("*").alias("sample_rows"), F.count("x").alias("fk_nonnull"))
+            looked = value_counts(column.where("x is not null").limit(sample), "x").join(parent.select("v", F.col("n").alias("m")), "v").agg(_total("n * m", "match_count"))
+            stats = first.crossJoin(looked).crossJoin(parent.agg(F.count("v").alias("pk_distinct"), _total("n", "pk_total")))
         out.append(
-            stats.crossJoin(met).crossJoin(keys).select(
-                F.lit(e.from_table).alias("from_table"), F.lit(e.from_column).alias("from_column"), F.lit(e.to_table).alias("to_table"), F.lit(e.to_column).alias("to_column"),
-                "sample_rows", "fk_nonnull", "match_count", X.ratio(F.col("match_count"), F.col("fk_nonnull")).alias("match_rate"), "pk_total", "pk_distinct",
+            stats.select(
+                *_ends(e), "sample_rows", "fk_nonnull", "match_count", X.ratio(F.col("match_count"), F.col("fk_nonnull")).alias("match_rate"), "pk_total", "pk_distinct",
                 X.ratio(F.col("pk_distinct"), F.col("pk_total")).alias("pk_unique_rate"), (1 - X.ratio(F.col("fk_nonnull"), F.col("sample_rows"))).alias("fk_null_rate"),
             )
         )
@@ -100,7 +114,9 @@ def edge_profile_live(tables: dict[str, DataFrame], candidates: Iterable[Candida
 
 
 def column_profile(tables: dict[str, DataFrame], columns: Iterable[tuple[str, str]]) -> DataFrame:
-    """COLUMN_PROFILE rows for (table, column) pairs; the type comes from the schema."""
+    """COLUMN_PROFILE rows for (table, column) pairs; the type comes from the schema.
+
+    All figures of a column come from its value counts, and a scan reads that column alone. One aggregate per table with a distinct count for each column would repeat each row once per column before it is aggregated: on 600,000 rows and five columns that took three times as long."""
     out = []
     for name, column in columns:
         df = tables[name]
@@ -121,8 +137,9 @@ def value_overlap(tables: dict[str, DataFrame], candidates: Iterable[Candidate],
     out = []
     for e in candidates:
         a, b = _pair(tables, e)
-        both = a.where("v is not null").join(b.select("v"), "v", "left_semi").agg(F.count("v").alias("a_in_b_count"))
-        row = a.agg(F.count("v").alias("a_distinct")).crossJoin(b.agg(F.count("v").alias("b_distinct"))).crossJoin(both).withColumn("b_in_a_count", F.col("a_in_b_count"))
+        # Values without a count: distinct ones of both sides, dealt out by value once.
+        sides = a.select("v").join(b.select(F.col("v").alias("p")), F.col("v") == F.col("p"), "full")
+        row = sides.agg(F.count("v").alias("a_distinct"), F.count("p").alias("b_distinct"), F.count_if(F.col("v").isNotNull() & F.col("p").isNotNull()).alias("a_in_b_count")).withColumn("b_in_a_count", F.col("a_in_b_count"))
         out.append(
             row.select(
                 F.lit(e.from_table).alias("table_a"), F.lit(e.from_column).alias("col_a"), F.lit(e.to_table).alias("table_b"), F.lit(e.to_column).alias("col_b"), "a_distinct", "b_distinct", "a_in_b_count", "b_in_a_count",

@@ -67,7 +67,7 @@ def edge_profile(spark, d):
 
 @query("edge_profile_live", f"SELECT * EXCLUDE (n), {_RATES}, 1 - CASE WHEN sample_rows > 0 THEN fk_nonnull / sample_rows ELSE 0 END AS fk_null_rate FROM ({_profile_sql(False)})")
 def edge_profile_live(spark, d):
-    return P.edge_profile_live(_tables(spark, d), _candidates(), sample=1 << 30)
+    return P.edge_profile_live(_tables(spark, d), _candidates(), sample=None)
 
 
 _COLUMNS = sorted({p for k in KEYS for p in ((k[0], k[1]), (k[2], k[3]))} | {("part", "p_brand"), ("lineitem", "l_returnflag")})

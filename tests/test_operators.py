@@ -126,3 +126,42 @@ def test_nothing_else_imports_llm():
     for p in root.rglob("*.py"):
         if "llm" not in p.relative_to(root).parts:
             assert "relweave.llm" not in p.read_text()
+
+
+def test_edge_profiles_read_each_column_once(spark):
+    """Both ends' value counts are dealt out once and joined as they lie: two scans and two deals an edge, and one more for the sums."""
+    import re
+
+    from relweave.operators import profile as P
+
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,)], "k int")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
+    tables, edge = {"c": child, "p": parent}, P.Candidate("c", "k", "p", "id")
+    for f, match in ((P.edge_profile, 3), (lambda t, e: P.edge_profile_live(t, e, None), 4)):
+        df = f(tables, [edge])
+        r = df.first()
+        assert (r.sample_rows, r.fk_nonnull, r.match_count, r.pk_distinct, r.pk_total) == (5, 4, match, 2, 4)
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert len(re.findall(r"Scan ExistingRDD", plan)) == 2 and "Limit" not in plan
+        assert len(re.findall(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString())) == 3
+    r = P.value_overlap(tables, [edge]).first()
+    assert (r.a_distinct, r.b_distinct, r.a_in_b_count, r.b_in_a_count) == (3, 2, 2, 2)
+    none = P.edge_profile({"c": child.limit(0), "p": parent.limit(0)}, [edge]).first()
+    assert (none.sample_rows, none.match_rate, none.pk_unique_rate, none.fk_null_rate) == (0, 0.0, 0.0, 1.0)
+
+
+def test_n_triples_lines(spark, tmp_path):
+    """What is written as N-Triples is read back line by line, odd texts too; a line of another kind is an error."""
+    import pytest as pt
+
+    from relweave.schemas import TRIPLE
+    from relweave.sources import rdf
+
+    rows = [("http://x#a", "http://x#p", o, "literal", d, lang) for o, d, lang in [("plain", None, None), ('a "b" \\ c\\n', None, "en"), ("two\nlines\r", None, None), ("", None, "de-AT"), ("5", "http://www.w3.org/2001/XMLSchema#integer", None), ("\\\\n . # no", None, None)]]
+    rows += [("_:b1", "http://x#p", "http://x#o", "iri", None, None), ("http://x#a", "http://x#p", "_:b1", "blank", None, None)]
+    df = spark.createDataFrame(rows, TRIPLE)
+    rdf.write(df, f"{tmp_path}/t")
+    assert sorted(map(str, rdf.read_lines(spark, f"{tmp_path}/t").collect())) == sorted(map(str, df.collect()))
+    (tmp_path / "u.nt").write_text("# a note\n\n<a> <b> <c> . # end\nnonsense\n")
+    with pt.raises(Exception, match="no N-Triples line"):
+        rdf.read_lines(spark, f"{tmp_path}/u.nt").collect()
