@@ -64,8 +64,8 @@ def schedule(sources: DataFrame) -> DataFrame:
     Slot i falls at frac((i + 1) * golden ratio) of the sum of all targets; the source whose interval [lo, hi) holds it gives its next block. Ranks are counted in chunks of slots and summed across chunks. Points are spread so evenly that a source's share of any first slots is its share of the whole but for a few; so a source's quota is used up some slots before the end or some blocks are left over. Slots of a source that has given its quota go to the blocks that are left, those of the first sources first; every slot below the sum of quotas has one block."""
     spark = sources.sparkSession
     total = sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
-    chunks = -(-total // CHUNK_SLOTS)
-    slots = spark.range(0, max(1, chunks)).select(F.col("id").alias("chunk"), F.explode(F.sequence(F.col("id") * CHUNK_SLOTS, F.least((F.col("id") + 1) * CHUNK_SLOTS, F.lit(total)) - 1)).alias("slot")).where((F.col("slot") >= 0) & (F.col("slot") < total))
+    # A plain range: the planner knows its size and never broadcasts it, as it would rows that it takes for few because a sequence is exploded.
+    slots = spark.range(0, total).select(F.floor(F.col("id") / CHUNK_SLOTS).alias("chunk"), F.col("id").alias("slot"))
     point = (F.col("slot") + 1) * F.lit(GOLDEN)
     slots = slots.withColumn("u", point - F.floor(point))
     # The sources' intervals are cut at a fixed grid, so that slots find theirs by an equal cell and not by a range join.
