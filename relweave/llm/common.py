@@ -110,7 +110,7 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `limit` bytes of text at most (a longer text comes alone)."""
     for batch in batches:
         if not batch.num_rows:

@@ -25,7 +25,7 @@ HALF = 0.5
 #: Items in a block, and bytes of text in an index at most (some 25,000 items of 300 bytes, about 100 MB as an index): what is beyond makes more indexes, which are broadcast one after another.
 BLOCK_ITEMS, INDEX_BYTES = 16, 8 << 20
 #: Runs of texts that are hashed at once, and entries of parts that are counted at once, about.
-RUNS_AT_ONCE, ENTRIES_AT_ONCE = 1 << 20, 1 << 21
+RUNS_AT_ONCE, ENTRIES_AT_ONCE = 1 << 19, 1 << 20
 #: Document frequencies of items' terms are counted in a table of this many hashed places.
 DF_PLACES = 1 << 20
 
