@@ -22,8 +22,8 @@ from relweave.llm.common import fresh_path, read_blobs, returned, slices, stored
 
 #: Ids in a frame before it is closed (a longer document has a frame of its own), and frame bytes in a file before the next one begins.
 FRAME_IDS, FILE_BYTES = 1 << 16, 8 << 20
-#: Words whose ids a worker keeps at most, the earliest met (about 80 MB).
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps at most, the earliest met (about 40 MB).
+CACHE_WORDS = 200_000
 
 # Fixed values of the zstandard container: numbers that begin a skippable frame, and a frame.
 SKIPPABLE, TABLE_SKIPPABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x52575453
