@@ -46,9 +46,9 @@ def _shown(role: Column, text: Column) -> Column:
 
 
 def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
-    """(conv_id, window, text, tokens, over, repeated, loss) from rows (conv_id, turn, role, text; other columns are ignored).
+    """(conv_id, window, text, tokens, over, repeated, loss, none, c, late, step, steps) from rows (conv_id, turn, role, text; other columns are ignored).
 
-    A conversation's turns stand in the order of turn (nulls last), role and text; `window` orders its windows. `tokens` counts a formatted turn's tokens. A window has `budget` tokens: the system turn (the first turn, if its role is system), as many of the last turns of the span before as fit in `history`, and its own span of whole turns. Prefix sums choose the spans: of the room that the system turn and history leave, turns up to a quarter long begin in the same three quarters; a longer turn has a span of its own. So a window keeps to the budget, unless a single turn is longer than the room: `over` tells. repeated: how many turns at its beginning came in earlier windows; loss: array<struct<start, end>> in code points, the texts of assistant turns that are not repeated.
+    A conversation's turns stand in the order of turn (nulls last), role and text; `window` orders its windows. `tokens` counts a formatted turn's tokens. A window has `budget` tokens: the system turn (the first turn, if its role is system), as many of the last turns of the span before as fit in `history`, and its own span of whole turns. Prefix sums choose the spans: of the room that the system turn and history leave, turns up to a quarter long begin in the same three quarters; a longer turn has a span of its own. So a window keeps to the budget, unless a single turn is longer than the room: `over` tells. repeated: how many turns at its beginning came in earlier windows; loss: array<struct<start, end>> in code points, the texts of assistant turns that are not repeated. none, c (whether conv_id is null, and conv_id or 0), late and step are what windows lie by in their tasks; steps: how many steps (see below) the conversation has.
 
     - null text or role: empty; null conv_id: one conversation like others
     - repeated rows: turns of their own; empty table: no rows
@@ -57,9 +57,11 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, token
     turns = turns.withColumn("late", F.col("turn").isNull()).withColumn("step", F.coalesce(F.floor(F.col("turn") / STEP), F.lit(0)).cast("bigint"))
     conv, key = ["none", "c"], ["none", "c", "late", "step"]
     # The first turn of each conversation; its text only where it is a system turn, so that what is aggregated is small.
-    heads = turns.groupBy(*conv).agg(F.min(F.struct("late", "turn", "role", F.when(F.col("role") == "system", F.col("text")).alias("text"), "step")).alias("h")).where("h.role = 'system'")
-    heads = turns.select(*key).distinct().join(heads, conv).select(*key, _shown(F.col("h.role"), F.col("h.text")).alias("head"), ((F.col("h.late") == F.col("late")) & (F.col("h.step") == F.col("step"))).alias("leads"))
-    turns = turns.join(heads, key, "left")
+    firsts = turns.groupBy(*key).agg(F.min(F.struct("late", "turn", "role", F.when(F.col("role") == "system", F.col("text")).alias("text"), "step")).alias("h"))
+    heads = firsts.groupBy(*conv).agg(F.min("h").alias("h"), F.count("*").alias("steps"))
+    system = F.col("h.role") == "system"
+    heads = turns.select(*key).distinct().join(heads, conv).select(*key, "steps", F.when(system, _shown(F.col("h.role"), F.col("h.text"))).alias("head"), (system & (F.col("h.late") == F.col("late")) & (F.col("h.step") == F.col("step"))).alias("leads"))
+    turns = turns.join(heads, key)
     shown = _shown(F.col("role"), F.col("text"))
     inside = W.partitionBy(*key).orderBy("turn", "role", "text")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -78,8 +80,8 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, token
     # part: 1 history, 2 the window's own turns.
     again = ~F.col("is_lead") & F.col("next").isNotNull() & (F.col("end") - F.col("all") + F.col("tokens") <= history)
     own = turns.withColumn("to", F.explode(F.when(again, F.array(kind(F.col("span"), 2), kind(F.col("next"), 1))).otherwise(F.array(kind(F.col("span"), 2)))))
-    own = own.select(*key, "to.span", "head", "lead", "is_lead", "tokens", F.struct("to.part", "n", shown.alias("shown"), F.length(escaped(F.col("text"))).alias("chars"), "role").alias("t"))
-    made = own.groupBy(*key, "span").agg(F.array_sort(F.collect_list("t")).alias("turns"), F.sum("tokens").alias("tokens"), F.max("lead").alias("lead"), F.when(F.max("is_lead"), "").otherwise(F.coalesce(F.first("head"), F.lit(""))).alias("head"))
+    own = own.select(*key, "steps", "to.span", "head", "lead", "is_lead", "tokens", F.struct("to.part", "n", shown.alias("shown"), F.length(escaped(F.col("text"))).alias("chars"), "role").alias("t"))
+    made = own.groupBy(*key, "span").agg(F.array_sort(F.collect_list("t")).alias("turns"), F.sum("tokens").alias("tokens"), F.max("lead").alias("lead"), F.max("steps").alias("steps"), F.when(F.max("is_lead"), "").otherwise(F.coalesce(F.first("head"), F.lit(""))).alias("head"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     end = lambda acc, t: acc.at + F.length(t.shown) - len(END)
     mask = lambda acc, t: F.when((t.part == 2) & (t.role == "assistant"), F.array(F.struct((end(acc, t) - t.chars).alias("start"), end(acc, t).alias("end")))).otherwise(none)
@@ -87,22 +89,35 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, token
     total = F.col("tokens") + F.when(F.col("head") != "", F.col("lead")).otherwise(0)
     return made.select(
         F.when(~F.col("none"), F.col("c")).alias("conv_id"), F.struct("late", "step", "span").alias("window"), F.concat("head", F.array_join(F.transform("turns", lambda t: t.shown), "")).alias("text"),
-        total.alias("tokens"), (total > budget).alias("over"), (F.size(F.filter("turns", lambda t: t.part < 2)) + (F.col("head") != "").cast("int")).alias("repeated"), loss.alias("loss"),
+        total.alias("tokens"), (total > budget).alias("over"), (F.size(F.filter("turns", lambda t: t.part < 2)) + (F.col("head") != "").cast("int")).alias("repeated"), loss.alias("loss"), *key, "steps",
     )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """(conv_id, window, turns, loss_texts) from windows' output alone: array<struct<role, text>> of the turns that are not repeated, and the texts under the mask, both unescaped."""
+    """formatted with turns, loss_texts and chars, from windows' text, repeated and loss alone: array<struct<role, text>> of the turns that are not repeated, the texts under the mask, both unescaped, and the length of the text."""
     pieces = F.split("text", r"<\|im_end\|>\n", -1)
     fresh = F.slice(pieces, F.col("repeated") + 1, F.size(pieces) - F.col("repeated") - 1)
     body = lambda p: F.substring(p, F.lit(len(START) + 1), F.length(p))
     turn = lambda p: F.struct(unescaped_role(F.substring_index(body(p), "\n", 1)).alias("role"), unescaped(F.substring(body(p), F.instr(body(p), "\n") + 1, F.length(p))).alias("text"))
-    return formatted.select("conv_id", "window", F.transform(fresh, turn).alias("turns"), F.transform("loss", lambda s: unescaped(F.substring(F.col("text"), s.start + 1, s.end - s.start))).alias("loss_texts"), F.length("text").alias("chars"))
+    return formatted.withColumns({"turns": F.transform(fresh, turn), "loss_texts": F.transform("loss", lambda s: unescaped(F.substring(F.col("text"), s.start + 1, s.end - s.start))), "chars": F.length("text")})
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """Per conversation: n_turns, turns_sha256 (role, line break, text, line break of each turn), loss_chars, loss_sha256, formatted_chars."""
-    back = read_back(formatted).select("conv_id", "window", F.size("turns").alias("n"), F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "").alias("told"), F.array_join("loss_texts", "").alias("loss"), "chars")
-    whole = back.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.array_sort(F.collect_list(F.struct("window", "told", "loss"))).alias("w"), F.sum("chars").alias("formatted_chars"))
-    told, loss = (F.array_join(F.col(f"w.{k}"), "") for k in ("told", "loss"))
-    return whole.select("conv_id", F.col("n_turns").cast("bigint").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"), F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"), F.col("formatted_chars").cast("bigint").alias("formatted_chars"))
+    """Per conversation: n_turns, turns_sha256 (role, line break, text, line break of each turn), loss_chars, loss_sha256, formatted_chars.
+
+    Windows are put together where they lie, step by step. A conversation of one step, as nearly all are, is hashed there, so that no text is dealt out again; only those of several steps are sent on, as their hash is one over all their texts."""
+    key = ["none", "c", "late", "step"]
+    back = read_back(formatted).select(*key, "steps", F.size("turns").alias("n"), F.struct("window", F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "").alias("told"), F.array_join("loss_texts", "").alias("loss")).alias("w"), "chars")
+    parts = back.groupBy(*key).agg(F.max("steps").alias("steps"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.array_sort(F.collect_list("w")).alias("w"))
+    parts = parts.select(*key, "steps", "n", "chars", F.array_join("w.told", "").alias("told"), F.array_join("w.loss", "").alias("loss"))
+    hashed = lambda text: F.sha2(text.cast("binary"), 256)
+    alone, more = F.col("steps") == 1, F.col("steps") > 1
+    parts = parts.select(
+        "none", "c", "n", "chars", F.length("loss").alias("loss_chars"), F.when(alone, hashed(F.col("told"))).alias("told_hash"), F.when(alone, hashed(F.col("loss"))).alias("loss_hash"),
+        F.when(more, F.struct("late", "step", "told", "loss")).alias("w"),
+    )
+    whole = parts.groupBy("none", "c").agg(*[F.sum(k).cast("bigint").alias(k) for k in ("n", "chars", "loss_chars")], F.max("told_hash").alias("told_hash"), F.max("loss_hash").alias("loss_hash"), F.array_sort(F.collect_list("w")).alias("w"))
+    joined = lambda name: F.coalesce(f"{name}_hash", hashed(F.array_join(F.col(f"w.{name}"), "")))
+    return whole.select(
+        F.when(~F.col("none"), F.col("c")).alias("conv_id"), F.col("n").alias("n_turns"), joined("told").alias("turns_sha256"), "loss_chars", joined("loss").alias("loss_sha256"), F.col("chars").alias("formatted_chars"),
+    )
