@@ -44,13 +44,18 @@ def located(text: Column, pattern: str, wanted: Callable[[Column], Column] = lam
         F.when(wanted(x.value), F.concat(acc.out, F.array(F.struct((acc.at + x.gap).alias("start"), (acc.at + x.gap + F.length(x.value)).alias("end"), x.value.alias("value"))))).otherwise(acc.out).alias("out"),
     )
     chunk = lambda acc, x: F.aggregate(x, F.struct(acc.at.alias("at"), empty.alias("out")), step, lambda got: F.struct(got.at.alias("at"), F.concat(acc.out, F.array(got.out)).alias("out")))
-    chunks = lambda both: F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / CHUNK).cast("int")), lambda i: F.slice(both, i * CHUNK + 1, F.lit(CHUNK)))
     none = F.array().cast("array<array<struct<start:int,end:int,value:string>>>")
-    summed = lambda both: F.flatten(F.aggregate(chunks(both), F.struct(F.lit(0).alias("at"), none.alias("out")), chunk, lambda acc: acc.out))
+    summed = lambda both: F.flatten(F.aggregate(chunked(both), F.struct(F.lit(0).alias("at"), none.alias("out")), chunk, lambda acc: acc.out))
     pairs = lambda found: F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(g.alias("gap"), m.alias("value")))
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) == 0, empty).otherwise(let(pairs(found), summed)))
 
 
+def chunked(items: Column) -> Column:
+    """An array's elements in arrays of CHUNK; one empty array for none."""
+    last = lambda x: F.greatest(F.floor((F.size(x) - 1) / CHUNK), F.lit(0)).cast("int")
+    return let(items, lambda x: F.transform(F.sequence(F.lit(0), last(x)), lambda i: F.slice(x, i * CHUNK + 1, F.lit(CHUNK))))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is computed once, however often body names it."""
     return F.transform(F.array(value), body)[0]
@@ -160,20 +165,36 @@ def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, genera
     wanted = wanted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("wanted"))
     hit = lambda w: F.element_at(F.col("wanted"), F.lower(trimmed(w)))
     words = located(F.col("text"), WORD, lambda w: hit(w).isNotNull())
-    clear = lambda w: ~F.exists("base", lambda s: (s.start < w.end) & (w.start < s.end))
+    # Only base spans within a chunk's reach are held against its words.
+    meets = lambda s, start, end: (s.start < end) & (start < s.end)
+    clear = lambda ws: let(F.filter("base", lambda s: meets(s, F.get(ws, F.lit(0)).start, F.get(ws, F.size(ws) - 1).end)), lambda near: F.filter(ws, lambda w: ~F.exists(near, lambda s: meets(s, w.start, w.end))))
     kind = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
-    marked = F.transform(F.filter(words, clear), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
+    marked = F.transform(F.flatten(F.transform(chunked(words), clear)), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
     out = found.join(wanted, "key", "left").select("doc_id", "text", "wanted", F.array_sort(F.concat("base", F.when(F.col("wanted").isNotNull(), marked).otherwise(F.array().cast(kind)))).alias("spans"))
     mark = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])
     term_mark = lambda s: F.when(F.element_at(F.col("wanted"), F.lower(trimmed(s.value))) >= remove, F.lit("")).otherwise(F.when(s.value.rlike("[0-9]"), "[NUMBER]").otherwise("[WORD]"))
-    step = lambda acc, s: F.when(
-        s.start >= acc.at, F.struct(s.end.alias("at"), F.concat(acc.out, F.array(F.substring(F.col("text"), acc.at + 1, s.start - acc.at), F.when(s.kind == "term", term_mark(s)).otherwise(mark[s.kind]))).alias("out"))
-    ).otherwise(acc)
-    clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc.out, ""), F.substring(F.col("text"), acc.at + 1, F.lit(2**31 - 1))))
+    clean = _replaced(F.col("text"), F.col("spans"), lambda s: F.when(s.kind == "term", term_mark(s)).otherwise(mark[s.kind]))
     none = based.where(F.size("base") == 0).select("doc_id", F.col("base").cast(kind).alias("spans"), F.col("text").alias("clean"))
     return none.unionByName(out.select("doc_id", "spans", clean.alias("clean")))
 
 
+def _replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
+    """The text with a mark in place of each span (by start; one that begins within a span before it is left out).
+
+    Cutting a piece out of a text costs its place in it, and appending a copy of what there is; so each chunk of spans is cut out of the text once, and its spans out of that."""
+    none = F.array().cast("array<string>")
+
+    def chunk(acc: Column, part: Column) -> Column:
+        upto = F.greatest(F.array_max(F.transform(part, lambda s: s.end)), acc.at)
+        cut = lambda piece, got, to: F.substring(piece, got.at - acc.at + 1, to - got.at)
+        step = lambda piece: lambda got, s: F.when(s.start >= got.at, F.struct(s.end.alias("at"), F.concat(got.out, F.array(cut(piece, got, s.start), mark(s))).alias("out"))).otherwise(got)
+        done = lambda got: F.struct(got.at.alias("at"), F.concat(acc.out, F.array(F.array_join(got.out, ""))).alias("out"))
+        return let(F.substring(text, acc.at + 1, upto - acc.at), lambda piece: F.aggregate(part, F.struct(acc.at.alias("at"), none.alias("out")), step(piece), done))
+
+    rest = lambda acc: F.concat(F.array_join(acc.out, ""), F.substring(text, acc.at + 1, F.lit(2**31 - 1)))
+    return F.aggregate(chunked(spans), F.struct(F.lit(0).alias("at"), none.alias("out")), chunk, rest)
+
+
 def digest(rows: DataFrame) -> DataFrame:
     """Per document the counts by kind, a hash of the base spans, and all spans as text."""
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import struct
 import zipfile
 from io import BytesIO
@@ -284,6 +285,24 @@ def test_pii(spark):
     assert pii.sanitise(df.limit(0)).count() == 0
 
 
+def test_pii_many_spans(spark):
+    """More spans than a chunk holds, some of them over one another, and terms between them."""
+    numbers = "+4111 1111 1111 1111 é "
+    texts = ["".join(f"🙂 u{i}@x.org vexillum {numbers if i % 3 == 0 else ''}" for i in range(n)) + "end" for n in (1, 256, 257, 700)]
+    got = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame([*enumerate(texts), *((9 + i, "plain words") for i in range(40))], "doc_id bigint, text string")).collect()}
+    for i, text in enumerate(texts):
+        out, at = [], 0
+        for s in got[i].spans:
+            assert text[s.start : s.end] == s.value
+            if s.start >= at:
+                out += [text[at : s.start], pii.MARKS.get(s.kind, "")]
+                at = s.end
+        assert [s.kind for s in got[i].spans].count("email") == text.count("@")
+        assert any(s.kind == "term" and s.value == "vexillum" for s in got[i].spans)
+        clean = re.sub(r"\[(WORD|NUMBER)\]", "", got[i].clean)
+        assert clean == "".join(out) + text[at:]
+
+
 def test_pii_terms(spark):
     """A word that occurs near one entity only gives it away; a frequent one doesn't, and texts without entities stay."""
     rows = [(i, f"the clerk zanzibar wrote to bob@corp.example about the {i}th case") for i in range(6)]
