@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relweave.llm import chat, decontam, embeddings, langid, minhash, mixing, pii, quality, tokens, warc
+from relweave.llm import chat, decontam, embeddings, langid, merkle, minhash, mixing, pii, quality, rules, spelling, tokens, warc
 from relweave.llm.common import crc_mod, table
 
 
@@ -68,6 +68,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = lambda text: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    leaves = docs.select("doc_id", "source", made(F.col("text")).alias("leaf"), F.when(crc_mod(F.col("doc_id"), 5) == 0, made(tampered)).alias("tampered"))
+    rows = merkle.manifest(leaves, "source", ["doc_id"], ["doc_id", "tampered"])
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.hashed(merkle.siblings(F.col("path"))).alias("proof_sha256"), merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents")).drop("distance")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
@@ -79,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -183,4 +204,43 @@ l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.d
   UNION SELECT a.doc_id, b.doc_id FROM (SELECT m, min(doc_id) AS doc_id FROM k WHERE n > 0 GROUP BY m) a JOIN k b ON a.m = b.m AND b.n > 0 UNION SELECT b.doc_id, a.doc_id FROM (SELECT m, min(doc_id) AS doc_id FROM k WHERE n > 0 GROUP BY m) a JOIN k b ON a.m = b.m AND b.n > 0),
 r AS (SELECT doc_id, doc_id AS reached FROM k UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
 SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, min(reached) AS component_id, min(reached) = k.doc_id AS kept FROM r JOIN k ON k.doc_id = r.doc_id GROUP BY k.doc_id, k.n""",
+    # All nodes of all trees (-1: the tree of subroots), their runs, and a walk from each leaf to the root.
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, * FROM documents),
+f AS (SELECT row, doc_id, source, tamper,
+  concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS head,
+  text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS other
+  FROM (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda a, b: xor(a >> 1, (a & 1) * 3988292384))), 4294967295) % 5 = 0 AS tamper FROM d) q),
+l AS (SELECT row, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, CASE WHEN tamper THEN sha256(head || coalesce(strlen(other) || ':' || other, '-')) END AS tampered FROM f),
+r AS (SELECT *, dense_rank() OVER (ORDER BY source IS NOT NULL, source) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id IS NOT NULL, doc_id, leaf) - 1 AS place FROM l),
+n(level, tree, place, node, size) AS (SELECT 0, tree, place, leaf, count(*) OVER (PARTITION BY tree) FROM r
+  UNION ALL SELECT level, tree, place, node, count(*) OVER (PARTITION BY tree) FROM (SELECT level + 1 AS level, tree, place // 16 AS place, sha256(string_agg(node, '' ORDER BY n.place)) AS node FROM n WHERE size > 1 GROUP BY level, tree, n.place // 16) q),
+t(level, tree, place, node, size) AS (SELECT 0, -1, tree, node, count(*) OVER () FROM n WHERE size = 1
+  UNION ALL SELECT level, tree, place, node, count(*) OVER () FROM (SELECT level + 1 AS level, tree, place // 16 AS place, sha256(string_agg(node, '' ORDER BY t.place)) AS node FROM t WHERE size > 1 GROUP BY level, tree, t.place // 16) q),
+a AS (SELECT * FROM n UNION ALL SELECT * FROM t),
+h AS (SELECT tree, max(level) AS top FROM a GROUP BY tree),
+g AS (SELECT tree, level, place // 16 AS run, array_agg(node ORDER BY place) AS nodes FROM a GROUP BY ALL),
+w(row, tree, level, place, node, proof) AS (SELECT row, tree, 0, place, coalesce(tampered, leaf), '' FROM r
+  UNION ALL SELECT row, CASE WHEN w.level < top THEN w.tree ELSE -1 END, CASE WHEN w.level < top THEN w.level + 1 ELSE 0 END, CASE WHEN w.level < top THEN place // 16 ELSE w.tree END,
+    CASE WHEN w.level < top THEN sha256(concat(array_to_string(nodes[1:place % 16], ''), node, array_to_string(nodes[place % 16 + 2:], ''))) ELSE node END,
+    CASE WHEN w.level < top THEN concat(proof, array_to_string(nodes[1:place % 16], ''), array_to_string(nodes[place % 16 + 2:], '')) ELSE proof END
+  FROM w JOIN h ON h.tree = w.tree LEFT JOIN g ON g.tree = w.tree AND g.level = w.level AND g.run = w.place // 16 WHERE w.level < top OR w.tree >= 0)
+SELECT r.doc_id, r.leaf, s.node AS subroot, o.node AS root, sha256(proof) AS proof_sha256, w.node AS folded_root, w.node = o.node AS verified
+FROM r JOIN n s ON s.tree = r.tree AND s.size = 1 JOIN t o ON o.size = 1 JOIN w ON w.row = r.row AND w.tree = -1 JOIN h ON h.tree = -1 AND w.level = h.top""",
+    # Checksums byte by byte from a table; words one edit apart have a code point less in common at one place, or one is the other with one less.
+    "op13_spelling_variants": r"""
+WITH RECURSIVE b AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda a, z: xor(a >> 1, (a & 1) * 3988292384))) AS t),
+d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+') AS w FROM documents),
+o AS (SELECT row, doc_id, word, count(*) AS n FROM (SELECT row, doc_id, unnest(w) AS word FROM d) q WHERE length(word) >= 7 GROUP BY ALL),
+c AS (SELECT *, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word, ''), lambda x: CAST(unicode(x) AS BIGINT)) AS codes FROM o),
+h AS (SELECT word, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(codes, lambda x: CASE WHEN x < 128 THEN [x] ELSE [195, x - 64] END))), lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1])), 4294967295) AS h FROM c, b),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(word, 1, CAST(h % length(word) AS BIGINT)) || substr(word, CAST(h % length(word) AS BIGINT) + 2) ELSE word END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v) q),
+p AS (SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.less UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.less),
+k AS (SELECT a, count(*) AS n_near, arg_min(b, (-v.n, b)) AS form, max(v.n) AS form_n FROM p JOIN v ON v.word = p.b GROUP BY a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form END AS form, CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n FROM v LEFT JOIN k ON k.a = v.word),
+r AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.next)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL""",
 }

@@ -791,7 +791,7 @@ def test_ftrl_by_hand():
 
 
 def test_registered(spark, sf_dir):
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
