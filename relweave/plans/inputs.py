@@ -25,13 +25,23 @@ KEYS = [
     ("events", "user_id", "customer", "c_custkey"),
     ("orders_gaps", "customer_id", "customer_some", "id"),
     ("orders", "o_custkey", "customer_twice", "c_custkey"),
+    # Keys of different types: bigint and decimal, double and int, date and timestamp, text and bigint.
+    ("orders", "o_custkey", "customer_typed", "as_decimal"),
+    ("customer_typed", "as_double", "nation", "n_nationkey"),
+    ("orders_typed", "as_date", "orders_typed", "as_time"),
+    ("customer_typed", "as_text", "customer", "c_custkey"),
 ]
 
+#: How DuckDB is to read a key that it would not compare with the other end by itself.
+READ_AS = {("customer_typed", "as_text"): "TRY_CAST({} AS BIGINT)"}
+
 DERIVED = {
     # Keys with nulls, parents that lack some keys, parents that have each key twice.
     "orders_gaps": "SELECT nullif(o_custkey, o_custkey - o_orderkey % 5) AS customer_id FROM {orders}",
     "customer_some": "SELECT c_custkey AS id FROM {customer} WHERE c_custkey % 10 <> 0",
     "customer_twice": "SELECT c_custkey FROM {customer} UNION ALL SELECT c_custkey FROM {customer}",
+    "customer_typed": "SELECT CAST(c_custkey * 2 AS DECIMAL(12, 2)) AS as_decimal, c_nationkey + CASE WHEN c_custkey % 4 = 0 THEN 0.5e0 ELSE 0e0 END AS as_double, CASE WHEN c_custkey % 5 = 0 THEN 'no ' || c_custkey WHEN c_custkey % 7 = 0 THEN '0' || c_custkey WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey * 2 AS VARCHAR(20)) END AS as_text FROM {customer}",
+    "orders_typed": "SELECT CAST(o_orderdate AS DATE) AS as_date, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + CASE WHEN o_custkey % 3 = 0 THEN INTERVAL '1' HOUR ELSE INTERVAL '0' HOUR END AS as_time FROM {orders}",
     # An edge per event, with identifiers of all sorts.
     "edges": """SELECT 'T' || (user_id % 23) AS left_table,
   CASE event_id % 5 WHEN 0 THEN 'ID' WHEN 1 THEN 'CUSTOMER_ID' WHEN 2 THEN 'ORDER_ID' WHEN 3 THEN 'CODE' ELSE 'REF' END AS left_column,

@@ -13,11 +13,12 @@ from relweave.functions import expr as X
 from relweave.functions import sqltext
 from relweave.operators import edges as E
 from relweave.operators import graph as G
+from relweave.operators import inclusion as I
 from relweave.operators import merge as M
 from relweave.operators import profile as P
 from relweave.operators import rdf as R
 from relweave.operators import review as V
-from relweave.plans.inputs import DERIVED, KEYS, TABLES, WORKSHEETS, derived, edges, oracle, relationships
+from relweave.plans.inputs import DERIVED, KEYS, READ_AS, TABLES, WORKSHEETS, derived, edges, oracle, relationships
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RDFS
 from relweave.session import put, scratch, table
 from relweave.sources import artifacts, catalog, rdf, results, worksheets
@@ -48,13 +49,17 @@ def _candidates() -> list[P.Candidate]:
     return [P.Candidate(*k, 0.6, i + 1, f"it's {i}") for i, k in enumerate(KEYS)]
 
 
+def _read(name: str, column: str) -> str:
+    return READ_AS.get((name, column), "{}").format(column)
+
+
 def _profile_sql(distinct: bool) -> str:
     parent = "(SELECT DISTINCT {tc} AS p FROM {{{tt}}})" if distinct else "(SELECT {tc} AS p FROM {{{tt}}})"
     block = (
         "SELECT '{ft}' AS from_table, '{fc}' AS from_column, '{tt}' AS to_table, '{tc}' AS to_column, (SELECT count(*) FROM {{{ft}}}) AS sample_rows, (SELECT count({fc}) FROM {{{ft}}}) AS fk_nonnull, "
-        "(SELECT count(*) FROM {{{ft}}} a JOIN " + parent + " b ON a.{fc} = b.p) AS match_count, (SELECT count(DISTINCT {tc}) FROM {{{tt}}}) AS pk_distinct, (SELECT count(*) FROM {{{tt}}}) AS pk_total, {n} AS n"
+        "(SELECT count(*) FROM {{{ft}}} a JOIN " + parent + " b ON {fv} = b.p) AS match_count, (SELECT count(DISTINCT {tc}) FROM {{{tt}}}) AS pk_distinct, (SELECT count(*) FROM {{{tt}}}) AS pk_total, {n} AS n"
     )
-    return " UNION ALL ".join(block.format(ft=k[0], fc=k[1], tt=k[2], tc=k[3], n=i) for i, k in enumerate(KEYS))
+    return " UNION ALL ".join(block.format(ft=k[0], fc=k[1], fv=_read(*k[:2]), tt=k[2], tc=k[3], n=i) for i, k in enumerate(KEYS))
 
 
 _RATES = "CASE WHEN fk_nonnull > 0 THEN match_count / fk_nonnull ELSE 0 END AS match_rate, CASE WHEN pk_total > 0 THEN pk_distinct / pk_total ELSE 0 END AS pk_unique_rate"
@@ -71,7 +76,7 @@ def edge_profile_live(spark, d):
 
 
 _COLUMNS = sorted({p for k in KEYS for p in ((k[0], k[1]), (k[2], k[3]))} | {("part", "p_brand"), ("lineitem", "l_returnflag")})
-_TYPE = {"p_brand": "string", "l_returnflag": "string", "c_nationkey": "int", "n_nationkey": "int", "s_nationkey": "int", "n_regionkey": "int", "r_regionkey": "int"}
+_TYPE = {"p_brand": "string", "l_returnflag": "string", "c_nationkey": "int", "n_nationkey": "int", "s_nationkey": "int", "n_regionkey": "int", "r_regionkey": "int", "as_decimal": "decimal(12,2)", "as_double": "double", "as_text": "string", "as_date": "date", "as_time": "timestamp"}
 
 
 @query(
@@ -86,7 +91,7 @@ def column_profile(spark, d):
 
 
 _OVERLAP = " UNION ALL ".join(
-    f"SELECT '{k[0]}' AS table_a, '{k[1]}' AS col_a, '{k[2]}' AS table_b, '{k[3]}' AS col_b, (SELECT count(DISTINCT {k[1]}) FROM {{{k[0]}}}) AS a_distinct, (SELECT count(DISTINCT {k[3]}) FROM {{{k[2]}}}) AS b_distinct, (SELECT count(DISTINCT {k[1]}) FROM {{{k[0]}}} WHERE {k[1]} IN (SELECT {k[3]} FROM {{{k[2]}}})) AS a_in_b_count, (SELECT count(DISTINCT {k[3]}) FROM {{{k[2]}}} WHERE {k[3]} IN (SELECT {k[1]} FROM {{{k[0]}}})) AS b_in_a_count"
+    f"SELECT '{k[0]}' AS table_a, '{k[1]}' AS col_a, '{k[2]}' AS table_b, '{k[3]}' AS col_b, (SELECT count(DISTINCT {k[1]}) FROM {{{k[0]}}}) AS a_distinct, (SELECT count(DISTINCT {k[3]}) FROM {{{k[2]}}}) AS b_distinct, (SELECT count(DISTINCT {k[1]}) FROM {{{k[0]}}} WHERE {_read(*k[:2])} IN (SELECT {k[3]} FROM {{{k[2]}}})) AS a_in_b_count, (SELECT count(DISTINCT {k[3]}) FROM {{{k[2]}}} WHERE {k[3]} IN (SELECT {_read(*k[:2])} FROM {{{k[0]}}})) AS b_in_a_count"
     for k in KEYS
 )
 _SUGGEST = "CASE WHEN b_distinct < a_distinct AND b_coverage > 0.9 THEN table_b WHEN a_distinct < b_distinct AND a_coverage > 0.9 THEN table_a END"
@@ -97,6 +102,63 @@ def value_overlap(spark, d):
     return P.value_overlap(_tables(spark, d), _candidates())
 
 
+# Columns whose pairs compare alike in both engines: those of text are left to edges that say how they are read.
+_KEY_COLUMNS = sorted({p for k in KEYS for p in ((k[0], k[1]), (k[2], k[3]))} | {("part", "p_brand"), ("part", "p_name"), ("customer", "c_name"), ("lineitem", "l_quantity")})
+_FAMILY = {"as_text": "t", "p_brand": "t", "p_name": "t", "c_name": "t", "as_date": "d", "as_time": "d"}
+_VALUES = " UNION ALL ".join(f"SELECT '{_FAMILY.get(c, 'n')}' AS family, '{t}' AS t, '{c}' AS c, CAST({c} AS {dict(t='VARCHAR', d='TIMESTAMP', n='DOUBLE')[_FAMILY.get(c, 'n')]}) AS v{_FAMILY.get(c, 'n')} FROM {{{t}}} WHERE {c} IS NOT NULL" for t, c in _KEY_COLUMNS)
+
+
+def _pairs_sql() -> str:
+    value = lambda kind: f"(SELECT DISTINCT family, t, c, v FROM ({' UNION ALL '.join(x.replace(f'AS v{kind}', 'AS v') for x in _VALUES.split(' UNION ALL ') if f'AS v{kind} ' in x)}))"
+    blocks = [f"SELECT a.t AS table_a, a.c AS col_a, b.t AS table_b, b.c AS col_b, count(*) AS common FROM {value(k)} a JOIN {value(k)} b ON a.v = b.v AND (a.t, a.c) <> (b.t, b.c) GROUP BY ALL" for k in "ntd"]
+    own = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, count(DISTINCT {c}) AS n FROM {{{t}}}" for t, c in _KEY_COLUMNS)
+    return f"SELECT p.*, x.n AS a_distinct, y.n AS b_distinct, p.common / x.n AS a_in_b FROM ({' UNION ALL '.join(blocks)}) p JOIN ({own}) x ON x.t = table_a AND x.c = col_a JOIN ({own}) y ON y.t = table_b AND y.c = col_b"
+
+
+@query("inclusion_matrix", _pairs_sql())
+def inclusion_matrix(spark, d):
+    return I.inclusion_matrix({t: derived(spark, d, t) for t, _ in _KEY_COLUMNS}, _KEY_COLUMNS)
+
+
+_SKETCHED = [k for k in KEYS if k[1] != "as_text"]
+
+
+@query("sketch_profile", " UNION ALL ".join(f"SELECT '{k[0]}' AS from_table, '{k[1]}' AS from_column, '{k[2]}' AS to_table, '{k[3]}' AS to_column, true AS within" for k in _SKETCHED))
+def sketch_profile(spark, d):
+    """Sketches of two halves of each table, merged; their figures beside the exact ones, and whether they are within the stated bounds."""
+    tables = {t: derived(spark, d, t) for k in _SKETCHED for t in (k[0], k[2])}
+    columns = [p for k in _SKETCHED for p in ((k[0], k[1]), (k[2], k[3]))]
+    half = lambda odd: {t: df.where((F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 1) == odd) for t, df in tables.items()}
+    found = [P.Candidate(*k) for k in _SKETCHED]
+    about = I.sketch_profile(tables, I.merged(I.column_sketches(half(True), columns).unionByName(I.column_sketches(half(False), columns))), found)
+    exact = P.value_overlap(tables, found).select(F.col("table_a").alias("from_table"), F.col("col_a").alias("from_column"), F.col("table_b").alias("to_table"), F.col("col_b").alias("to_column"), F.col("a_distinct").alias("a"), F.col("b_distinct").alias("b"), F.col("a_in_b_count").alias("c"))
+    ends = ["from_table", "from_column", "to_table", "to_column"]
+    bound = I.ERRORS * 1.04 / 2 ** (I.LG_ENTRIES / 2)
+    near = lambda x, y: F.abs(F.col(x) - F.col(y)) <= F.col(y) * bound
+    return about.join(exact, ends).select(*ends, (near("a_distinct", "a") & near("b_distinct", "b") & (F.abs(F.col("common") - F.col("c")) <= F.col("common_error"))).alias("within"))
+
+
+_SAMPLE = 300
+
+
+def _sampled_sql() -> str:
+    blocks = []
+    for t, c, pt, pc in _SKETCHED:
+        kind = "DECIMAL(22,2)" if "as_decimal" in (c, pc) else "DOUBLE" if "as_double" in (c, pc) else "TIMESTAMP" if "as_time" in (c, pc) else "BIGINT"
+        # The text that Spark gives a value of the type.
+        text = lambda x: {"DOUBLE": f"CASE WHEN {x} = floor({x}) THEN CAST({x} AS BIGINT) || '.0' ELSE CAST({x} AS VARCHAR) END"}.get(kind, f"CAST(CAST({x} AS {kind}) AS VARCHAR)")
+        side = lambda t, c: f"(SELECT md5({text(c)}) AS h FROM {{{t}}} WHERE {c} IS NOT NULL)"
+        cut = f"(SELECT max(h) FROM (SELECT DISTINCT h FROM {side(t, c)} ORDER BY h LIMIT {_SAMPLE}))"
+        blocks.append(f"SELECT '{t}' AS from_table, '{c}' AS from_column, '{pt}' AS to_table, '{pc}' AS to_column, (SELECT count(DISTINCT h) FROM {side(t, c)} WHERE h <= {cut}) AS sample_values, (SELECT count(*) FROM {side(t, c)} WHERE h <= {cut}) AS sample_rows, (SELECT count(*) FROM {side(t, c)} WHERE h <= {cut} AND h IN (SELECT h FROM {side(pt, pc)})) AS match_count, (SELECT count(DISTINCT h) FROM {side(pt, pc)} WHERE h <= {cut}) AS pk_distinct, (SELECT count(*) FROM {side(pt, pc)} WHERE h <= {cut}) AS pk_total, (SELECT 1 - count({c}) / count(*) FROM {{{t}}}) AS fk_null_rate")
+    return f"SELECT *, match_count / sample_rows AS match_rate, CASE WHEN pk_total > 0 THEN pk_distinct / pk_total ELSE 0 END AS pk_unique_rate FROM ({' UNION ALL '.join(blocks)})"
+
+
+@query("edge_profile_sampled", _sampled_sql())
+def edge_profile_sampled(spark, d):
+    tables = {t: derived(spark, d, t) for k in _SKETCHED for t in (k[0], k[2])}
+    return I.edge_profile_sampled(tables, [P.Candidate(*k) for k in _SKETCHED], _SAMPLE)
+
+
 @query("direction_suggestion", "SELECT parent, count(*) AS n FROM (SELECT CASE WHEN b < a AND bc > 0.9 THEN 'b' WHEN a < b AND ac > 0.9 THEN 'a' ELSE 'unclear' END AS parent FROM (SELECT event_id % 50 AS a, event_id % 47 AS b, (event_id % 101) / 100.0 AS ac, (event_id % 89) / 88.0 AS bc FROM {events})) GROUP BY parent")
 def direction_suggestion(spark, d):
     rows = table(spark, d, "events").select(F.lit("a").alias("table_a"), F.lit("b").alias("table_b"), (F.col("event_id") % 50).alias("a_distinct"), (F.col("event_id") % 47).alias("b_distinct"), (F.col("event_id") % 101 / 100.0).alias("a_coverage"), (F.col("event_id") % 89 / 88.0).alias("b_coverage"))
@@ -108,8 +170,8 @@ def emitted_sql(spark, d):
     """Runs the emitted text."""
     import re
 
-    text = P.emitted_sql(_candidates()).rsplit("\nORDER BY", 1)[0]
     tables = _tables(spark, d)
+    text = P.emitted_sql(_candidates(), types=P.types_of(tables)).rsplit("\nORDER BY", 1)[0]
     return spark.sql(re.sub(r"FROM `(\w+)`", r"FROM {\1}", text), **tables)
 
 
