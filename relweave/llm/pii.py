@@ -31,6 +31,7 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 WORD = r"[^\x20\x09-\x0D]+"
+TERM = r"[\p{L}\p{N}][^\x20\x09-\x0D]+[\p{L}\p{N}]"
 
 
 def located(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
@@ -106,7 +107,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def terms(text: Column) -> Column:
     """The text's words in lower case without marks at their ends, those of three characters or more: each from its first letter or digit to its last."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}][^\x20\x09-\x0D]+[\p{L}\p{N}]"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def trimmed(word: Column) -> Column:
@@ -118,22 +119,34 @@ def entity(span: Column) -> Column:
     return F.concat_ws(":", span.kind, F.when(span.kind == "email", F.lower(span.value)).otherwise(F.regexp_replace(span.value, "[^0-9.]", "")))
 
 
-def contexts(text: Column, span: Column, reach: int) -> Column:
-    """The distinct terms within `reach` words on either side of a span."""
-    left = terms(F.substring_index(F.substring(text, F.lit(1), span.start), " ", -(reach + 1)))
-    right = terms(F.substring_index(F.substring(text, span.end + 1, F.lit(2**31 - 1)), " ", reach + 1))
-    return F.array_distinct(F.concat(F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(right, F.lit(1), F.lit(reach))))
+def contexts(text: Column, spans: Column, reach: int) -> Column:
+    """For each span the distinct terms of the `reach` words on either side, words that overlap it left out; spans and what comes back in one order.
+
+    Words are located once. How many begin before a place is found among the first words of chunks, and then within one chunk, so a span costs a chunk and a CHUNKth of the words, not the text."""
+    term = lambda w: F.regexp_extract(F.lower(w.value), TERM, 0)
+
+    def around(words: Column) -> Column:
+        def of(chunks: Column, heads: Column) -> Column:
+            begun = lambda place: let(F.size(F.filter(heads, lambda h: h < place)), lambda c: F.when(c == 0, 0).otherwise((c - 1) * CHUNK + F.size(F.filter(F.get(chunks, c - 1), lambda w: w.start < place))))
+            left = lambda s: let(begun(s.start), lambda i: i - F.when((i > 0) & (F.get(words, i - 1).end > s.start), 1).otherwise(0))
+            cut = lambda s: F.concat(let(left(s), lambda i: F.slice(words, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)))), let(begun(s.end), lambda j: F.slice(words, j + 1, F.lit(reach))))
+            return F.transform(spans, lambda s: F.array_distinct(F.filter(F.transform(cut(s), term), lambda t: t != "")))
+
+        return let(chunked(words), lambda chunks: let(F.filter(F.transform(chunks, lambda c: F.get(c, F.lit(0)).start), lambda h: h.isNotNull()), lambda heads: of(chunks, heads)))
+
+    return let(located(text, WORD), around)
 
 
 def disclosing(docs: DataFrame, found: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, share): terms near an entity that give it away, from counts over all docs; every pair is judged.
+    """(entity, term, share, df_e, df_t): terms near an entity that give it away, from counts over all docs; every pair is judged.
 
     docs (text) is the corpus, found (key, text, base) its documents with entities. With N documents, of which df(t) hold the term, df(e) the entity, and c hold the term within `reach` words of the entity, the disclosed information is log2(c * N / (df(t) * df(e))) and the entity's content log2(N / df(e)); share is their ratio. Few documents are weak evidence: where c is below `support`, the content is that of the pair, log2(N / c), instead. That is the same if all the entity's documents hold the term, as with an entity of one document, and more, hence a smaller share, the more of them don't. Counts of words are aggregated before each shuffle, and a window of words bounds the pairs that a mention gives; texts stay where they are."""
-    mentions = found.select("key", F.explode(F.transform("base", lambda s: F.struct(entity(s).alias("entity"), contexts(F.col("text"), s, reach).alias("near")))).alias("m")).select("key", "m.entity", "m.near")
+    both = F.zip_with("base", contexts(F.col("text"), F.col("base"), reach), lambda s, near: F.struct(entity(s).alias("entity"), near.alias("near")))
+    mentions = found.select("key", F.explode(both).alias("m")).select("key", "m.entity", "m.near")
     near = mentions.select("key", "entity", F.explode("near").alias("term")).distinct()
     pairs = stored(near.groupBy("entity", "term").agg(F.count("*").alias("c")), "pairs")
     if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("share"))
+        return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.col("c").alias("df_e"), F.col("c").alias("df_t"))
     n = docs.count()
     of_entity = entities(found).groupBy("entity").agg(F.count("*").alias("df_e"))
     of_term = docs.select(F.explode(F.array_distinct(terms(F.coalesce("text", F.lit(""))))).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
@@ -142,7 +155,7 @@ def disclosing(docs: DataFrame, found: DataFrame, reach: int = REACH, support: i
     judged = pairs.join(of_term, "term").join(of_entity, "entity")
     content = F.log2(F.lit(float(n)) / F.when(F.col("c") >= support, F.col("df_e")).otherwise(F.col("c")))
     share = F.when(content > 0, F.log2(F.col("c") * F.lit(float(n)) / (F.col("df_t") * F.col("df_e"))) / content).otherwise(0.0)
-    return judged.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
+    return judged.select("entity", "term", share.alias("share"), "df_e", "df_t").where(F.col("share") >= generalise)
 
 
 def entities(found: DataFrame) -> DataFrame:
@@ -153,33 +166,38 @@ def entities(found: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(doc_id, spans, clean): one row for each row of docs (doc_id, text; other columns are ignored).
 
-    spans: array<struct<start, rank, end, kind, value>> in code points, by start and then kind: the personal data that patterns find, and kind `term` for words (not overlapping those) that disclose an entity of the same document. clean: the text in which personal data became its kind's mark, terms that disclose `generalise` of an entity's information or more a mark of their sort ([NUMBER] or [WORD]), and those that disclose `remove` or more are gone.
+    spans: array<struct<start, rank, end, kind, value, mark>> in code points, by start and then kind: the personal data that patterns find, and kind `term` for words (not overlapping those) that disclose an entity of the same document. mark: what takes a span's place: its kind's mark for personal data; for terms that disclose `generalise` of an entity's information or more a mark of their sort ([NUMBER] or [WORD]), and nothing for those that disclose `remove` or more. clean: the text with the marks.
 
     - null text: as empty; null doc_id: a row like others; repeated rows count as documents; an empty table gives no rows
-    Patterns are looked for once, and their spans stored with the texts. A document meets the terms that it holds and that disclose an entity that it holds, not all terms of its entities."""
+    Patterns are looked for once, and their spans stored with the texts. A document meets the terms that it holds and that disclose an entity that it holds: of a term and its entity, the one that fewer documents hold brings the documents."""
     based = stored(base_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))).withColumn("key", F.monotonically_increasing_id()), "based")
     found = based.where(F.size("base") > 0)
     judged = stored(disclosing(based, found, reach, support, generalise), "judged")
     held = found.select("key", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    wanted = held.join(judged, "term").join(entities(found), ["key", "entity"], "left_semi").groupBy("key", "term").agg(F.max("share").alias("share"))
-    wanted = wanted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("wanted"))
-    hit = lambda w: F.element_at(F.col("wanted"), F.lower(trimmed(w)))
+    by_term = held.join(judged.where("df_t <= df_e"), "term").join(entities(found), ["key", "entity"], "left_semi")
+    by_entity = entities(found).join(judged.where("df_t > df_e"), "entity").join(held, ["key", "term"], "left_semi")
+    wanted = by_term.select("key", "term", "share").unionByName(by_entity.select("key", "term", "share")).groupBy("key", "term").agg(F.max("share").alias("share"))
+    # In each text the terms are looked up by a hash, in about as many lists as each list has terms.
+    wanted = wanted.groupBy("key").agg(F.collect_list(F.struct("term", "share")).alias("w")).select("key", let(F.ceil(F.sqrt(F.size("w"))).cast("int"), lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter("w", lambda x: F.pmod(F.xxhash64(x.term), n) == b))).alias("wanted"))
+    listed = lambda t: F.get(F.col("wanted"), F.pmod(F.xxhash64(t), F.size("wanted")).cast("int"))
+    hit = lambda w: let(F.lower(trimmed(w)), lambda t: F.get(F.filter(listed(t), lambda x: x.term == t), F.lit(0)).share)
     words = located(F.col("text"), WORD, lambda w: hit(w).isNotNull())
     # Only base spans within a chunk's reach are held against its words.
     meets = lambda s, start, end: (s.start < end) & (start < s.end)
     clear = lambda ws: let(F.filter("base", lambda s: meets(s, F.get(ws, F.lit(0)).start, F.get(ws, F.size(ws) - 1).end)), lambda near: F.filter(ws, lambda w: ~F.exists(near, lambda s: meets(s, w.start, w.end))))
-    kind = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
-    marked = F.transform(F.flatten(F.transform(chunked(words), clear)), lambda w: F.struct(w.start.alias("start"), F.lit(len(KINDS)).alias("rank"), w.end.alias("end"), F.lit("term").alias("kind"), w.value.alias("value")))
-    out = found.join(wanted, "key", "left").select("doc_id", "text", "wanted", F.array_sort(F.concat("base", F.when(F.col("wanted").isNotNull(), marked).otherwise(F.array().cast(kind)))).alias("spans"))
-    mark = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])
-    term_mark = lambda s: F.when(F.element_at(F.col("wanted"), F.lower(trimmed(s.value))) >= remove, F.lit("")).otherwise(F.when(s.value.rlike("[0-9]"), "[NUMBER]").otherwise("[WORD]"))
-    clean = _replaced(F.col("text"), F.col("spans"), lambda s: F.when(s.kind == "term", term_mark(s)).otherwise(mark[s.kind]))
-    none = based.where(F.size("base") == 0).select("doc_id", F.col("base").cast(kind).alias("spans"), F.col("text").alias("clean"))
-    return none.unionByName(out.select("doc_id", "spans", clean.alias("clean")))
+    kind = "array<struct<start:int,rank:int,end:int,kind:string,value:string,mark:string>>"
+    span = lambda s, rank, name, mark: F.struct(s.start.alias("start"), rank.alias("rank"), s.end.alias("end"), name.alias("kind"), s.value.alias("value"), mark.alias("mark"))
+    term_mark = lambda w: F.when(hit(w.value) >= remove, F.lit("")).otherwise(F.when(w.value.rlike("[0-9]"), "[NUMBER]").otherwise("[WORD]"))
+    marked = F.transform(F.flatten(F.transform(chunked(words), clear)), lambda w: span(w, F.lit(len(KINDS)), F.lit("term"), term_mark(w)))
+    marks = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])
+    base = F.transform("base", lambda s: span(s, s.rank, s.kind, marks[s.kind]))
+    out = found.join(wanted, "key", "left").select("doc_id", "text", F.array_sort(F.concat(base, F.when(F.col("wanted").isNotNull(), marked).otherwise(F.array().cast(kind)))).alias("spans"))
+    none = based.where(F.size("base") == 0).select("doc_id", F.array().cast(kind).alias("spans"), F.col("text").alias("clean"))
+    return none.unionByName(out.select("doc_id", "spans", _replaced(F.col("text"), F.col("spans")).alias("clean")))
 
 
-def _replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) -> Column:
-    """The text with a mark in place of each span (by start; one that begins within a span before it is left out).
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with its mark in place of each span (by start; one that begins within a span before it is left out).
 
     Cutting a piece out of a text costs its place in it, and appending a copy of what there is; so each chunk of spans is cut out of the text once, and its spans out of that."""
     none = F.array().cast("array<string>")
@@ -187,7 +205,7 @@ def _replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) ->
     def chunk(acc: Column, part: Column) -> Column:
         upto = F.greatest(F.array_max(F.transform(part, lambda s: s.end)), acc.at)
         cut = lambda piece, got, to: F.substring(piece, got.at - acc.at + 1, to - got.at)
-        step = lambda piece: lambda got, s: F.when(s.start >= got.at, F.struct(s.end.alias("at"), F.concat(got.out, F.array(cut(piece, got, s.start), mark(s))).alias("out"))).otherwise(got)
+        step = lambda piece: lambda got, s: F.when(s.start >= got.at, F.struct(s.end.alias("at"), F.concat(got.out, F.array(cut(piece, got, s.start), s.mark)).alias("out"))).otherwise(got)
         done = lambda got: F.struct(got.at.alias("at"), F.concat(acc.out, F.array(F.array_join(got.out, ""))).alias("out"))
         return let(F.substring(text, acc.at + 1, upto - acc.at), lambda piece: F.aggregate(part, F.struct(acc.at.alias("at"), none.alias("out")), step(piece), done))
 
@@ -196,6 +214,8 @@ def _replaced(text: Column, spans: Column, mark: Callable[[Column], Column]) ->
 
 
 def digest(rows: DataFrame) -> DataFrame:
-    """Per document the counts by kind, a hash of the base spans, and all spans as text."""
+    """Per document the counts by kind, a hash of the base spans, and all spans as text; n_generalised and n_removed (terms), and clean_sha256, the hash of the sanitised text."""
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
-    return rows.select("doc_id", *map(_count_of, KINDS), F.sha2(told(F.filter("spans", lambda s: s.kind != "term")).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+    hashed = lambda text: F.sha2(text.cast("binary"), 256)
+    terms_with = lambda empty: F.size(F.filter("spans", lambda s: (s.kind == "term") & ((s.mark == "") == empty))).cast("bigint")
+    return rows.select("doc_id", *map(_count_of, KINDS), hashed(told(F.filter("spans", lambda s: s.kind != "term"))).alias("base_sha256"), told(F.col("spans")).alias("spans"), terms_with(False).alias("n_generalised"), terms_with(True).alias("n_removed"), hashed(F.col("clean")).alias("clean_sha256"))

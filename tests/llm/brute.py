@@ -212,8 +212,11 @@ def terms_of(text: str) -> list[str]:
     return out
 
 
-def sanitised(texts: list[str | None], reach: int = 8, support: int = 3, generalise: float = 0.75) -> list[list[tuple[int, int, str, int]]]:
-    """All spans of each text, terms that disclose its entities among them, by counting every pair."""
+MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
+
+
+def sanitised(texts: list[str | None], reach: int = 8, support: int = 3, generalise: float = 0.75, remove: float = 0.999) -> list[tuple[list[tuple[int, int, str, int]], int, int, str]]:
+    """Of each text all spans, terms that disclose its entities among them, by counting every pair; how many terms are generalised and removed, and the clean text."""
     import math
     from collections import Counter
 
@@ -226,10 +229,11 @@ def sanitised(texts: list[str | None], reach: int = 8, support: int = 3, general
     c: Counter = Counter()
     for t, b in zip(texts, base):
         near = set()
+        words = [(m.start(), m.end(), (terms_of(m.group()) or [""])[0]) for m in WORD.finditer(t)]
         for s in b:
-            left = terms_of(" ".join(t[: s[0]].split(" ")[-reach - 1 :]))[-reach:]
-            right = terms_of(" ".join(t[s[3] :].split(" ")[: reach + 1]))[:reach]
-            near |= {(name(t, s), w) for w in left + right}
+            left = [w for a, z, w in words if z <= s[0]][-reach:]
+            right = [w for a, z, w in words if a >= s[3]][:reach]
+            near |= {(name(t, s), w) for w in left + right if w}
         c.update(near)
     n, share = len(texts), {}
     for (e, w), k in c.items():
@@ -237,12 +241,19 @@ def sanitised(texts: list[str | None], reach: int = 8, support: int = 3, general
         share[e, w] = math.log2(k * n / (df_t[w] * df_e[e])) / content if content > 0 else 0.0
     out = []
     for t, b, h in zip(texts, base, held):
-        more = []
+        more, mark = [], {}
         for m in WORD.finditer(t):
             w = (terms_of(m.group()) or [""])[0]
-            if any(share.get((e, w), 0) >= generalise for e in h) and not any(s[0] < m.end() and m.start() < s[3] for s in b):
+            most = max((share.get((e, w), -1e9) for e in h), default=-1e9)
+            if most >= generalise and not any(s[0] < m.end() and m.start() < s[3] for s in b):
                 more.append((m.start(), len(KINDS), "term", m.end()))
-        out.append(sorted(b + more))
+                mark[m.start()] = "" if most >= remove else "[NUMBER]" if re.search("[0-9]", m.group()) else "[WORD]"
+        spans, clean, at = sorted(b + more), "", 0
+        for a, _, kind, z in spans:
+            if a >= at:
+                clean += t[at:a] + (mark[a] if kind == "term" else MARKS[kind])
+                at = z
+        out.append((spans, sum(x != "" for x in mark.values()), sum(x == "" for x in mark.values()), clean + t[at:]))
     return out
 
 

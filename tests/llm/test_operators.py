@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import struct
@@ -14,7 +15,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from relweave.llm import chat, components, decontam, embeddings, langid, minhash, mixing, pii, quality, tokens, warc
+from relweave.llm import chat, components, decontam, embeddings, langid, minhash, mixing, pii, quality, rules, tokens, warc
 from relweave.llm.queries import QUERIES, ORACLE_SQL, tokenizer_path
 from tests.compare import connect, same
 from tests.llm import brute
@@ -329,7 +330,7 @@ def test_pii_terms_of_rare_entities(spark):
     assert all(got[i].clean == t for i, t in rows[3:])
 
 
-def test_pii_terms_against_counting(spark):
+def test_pii_terms_against_counting(spark, monkeypatch):
     """Spans of all kinds, terms among them, from the same rule by counting every pair in plain Python."""
     rng = random.Random(32)
     mails = [f"p{k}@corp.example" for k in range(6)]
@@ -342,10 +343,37 @@ def test_pii_terms_against_counting(spark):
             w.insert(rng.randrange(len(w) + 1), rng.choice([f"name{m}, {mails[m]}", mails[m], f"({mails[m]}) \n NAME{m}:", "+1 (632) 555-4827 10.0.0.1"]))
         texts.append(" ".join(w))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r.doc_id: r.spans for r in pii.digest(pii.sanitise(df)).collect()}
     want = brute.sanitised(texts)
-    assert sum(s[2] == "term" for x in want for s in x) > 30
-    assert got == {i: ",".join(f"{k}:{a}:{z}" for a, _, k, z in x) for i, x in enumerate(want)}
+    assert sum(s[2] == "term" for x in want for s in x[0]) > 30
+    for chunk in (256, 3):
+        monkeypatch.setattr(pii, "CHUNK", chunk)
+        rows = pii.sanitise(df)
+        got = {r.doc_id: (r.spans, r.n_generalised, r.n_removed) for r in pii.digest(rows).collect()}
+        assert got == {i: (",".join(f"{k}:{a}:{z}" for a, _, k, z in x), n, gone) for i, (x, n, gone, _) in enumerate(want)}
+        assert {r.doc_id: r.clean for r in rows.collect()} == {i: x[3] for i, x in enumerate(want)}
+
+
+def test_pii_is_linear_in_entities(spark):
+    """Thousands of addresses in one text, a line each, and thousands of terms that give them away: seconds, not minutes."""
+    import time
+
+    text = "\n".join(f"name{i} u{i}@x.example" for i in range(6000))
+    df = spark.createDataFrame([(0, text), *((1 + i, "plain words") for i in range(50))], "doc_id bigint, text string")
+    began = time.time()
+    r = pii.digest(pii.sanitise(df)).where("doc_id = 0").first()
+    assert (r.n_email, r.n_generalised + r.n_removed) == (6000, 6000) and time.time() - began < 60
+
+
+@pytest.mark.parametrize("name", ["op3_mix_sources", "op5_chat_format", "op6_pii", "op12_quality_rules"])
+def test_native(name, spark, sf_dir, monkeypatch):
+    """Nothing on the main path of a native operator runs Python, pandas, Arrow or RDD code: neither what it returns nor any table that it writes on the way."""
+    from relweave.llm import common
+
+    plans = []
+    for module in (mixing, pii, rules):
+        monkeypatch.setattr(module, "stored", lambda df, what: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), common.stored(df, what))[1])
+    plans.append(QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString())
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD", "".join(plans)) and (name == "op5_chat_format" or len(plans) > 2)
 
 
 def test_pii_frequent_entity(spark):
@@ -755,9 +783,11 @@ def test_registered_queries(spark, tmp_path):
         assert abs(r.score - 1 / (1 + np.exp(-dot))) < 1e-9 and r.held_out == (crc(r.doc_id, 4) == 2) and r.predicted == int(r.score >= 0.7)
 
     got = run("op6_pii")
-    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_generalised", "n_removed", "clean_sha256"]
     want = brute.sanitised([t for _, t, _, _ in docs])
-    assert sorted((r.doc_id, r.n_email, r.base_sha256, r.spans) for r in got.collect()) == sorted((d[0], sum(s[2] == "email" for s in x), brute.personal_sha(d[1]), ",".join(f"{k}:{a}:{z}" for a, _, k, z in x)) for d, x in zip(docs, want, strict=True))
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expect = sorted((d[0], sum(s[2] == "email" for s in x), brute.personal_sha(d[1]), ",".join(f"{k}:{a}:{z}" for a, _, k, z in x), n, gone, sha(clean)) for d, (x, n, gone, clean) in zip(docs, want, strict=True))
+    assert sorted((r.doc_id, r.n_email, r.base_sha256, r.spans, r.n_generalised, r.n_removed, r.clean_sha256) for r in got.collect()) == expect and any(x[4] + x[5] for x in expect)
 
     got = run("op2_token_files")
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
