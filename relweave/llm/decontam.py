@@ -1,4 +1,4 @@
-"""Benchmark decontamination: a BM25 index of test items with block maxima, queried by every passage; then question and answer overlap."""
+"""Benchmark decontamination: a BM25 index of test items, their questions and answers with block maxima, queried by every document; then question and answer overlap."""
 
 from __future__ import annotations
 
@@ -16,16 +16,14 @@ from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, tidie
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
-#: Share of an item's greatest possible score from which a passage retrieves it. An item whose parts stand apart, or a question without its answer, can stay below it: items and questions are also retrieved by their runs.
-RETRIEVE = 0.6
 #: Words in a run, and share of an item's runs (or of its question's) that a document must hold.
 RUN, OVERLAP = 5, 0.8
 #: Share of a question's runs that is enough where the answer has OVERLAP of its own.
 HALF = 0.5
-#: Items in a block, and bytes of text in an index at most (some 25,000 items of 300 bytes, about 100 MB as an index): what is beyond makes more indexes, which are broadcast one after another.
-BLOCK_ITEMS, INDEX_BYTES = 16, 8 << 20
-#: Runs of texts that are hashed at once, and entries of parts that are counted at once, about.
-RUNS_AT_ONCE, ENTRIES_AT_ONCE = 1 << 19, 1 << 20
+#: Entries in a block, and bytes of text in an index at most (some 25,000 items of 300 bytes, about 100 MB as an index): what is beyond makes more indexes, which are broadcast one after another.
+BLOCK_ENTRIES, INDEX_BYTES = 16, 8 << 20
+#: Cells of the table of texts and blocks that bounds are summed in at once, about.
+CELLS_AT_ONCE = 1 << 20
 #: Document frequencies of items' terms are counted in a table of this many hashed places.
 DF_PLACES = 1 << 20
 
@@ -47,47 +45,27 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text[: m[-1].end()], text[m[-1].end() :]) if m else (text, "")
 
 
-@dataclass
-class LengthClass:
-    """Items of similar length: passages of twice the longest one, in steps of it, hold any of them whole."""
-
-    words: int
-    top: np.ndarray  # by term: the greatest impact in any item
-    block_ptr: np.ndarray  # by term: its blocks, and the greatest impact in each
-    block_id: np.ndarray
-    block_top: np.ndarray
-    ptr: np.ndarray  # by term: its items, and its impact in each
-    item: np.ndarray
-    impact: np.ndarray
-    items: np.ndarray  # numbers of the class's items in the index
-    n_blocks: int
-
-
-@dataclass
-class Parts:
-    """Runs of items and of their questions, by which a text retrieves an item wherever in it they stand."""
-
-    lengths: list[int]  # words of the runs
-    runs: np.ndarray
-    maybe: np.ndarray  # by the runs' low bits: whether there is any
-    ptr: np.ndarray  # by run: the parts that it is of
-    part: np.ndarray
-    item: np.ndarray  # by part: its item, the runs that a text must hold for the part alone, and those for it as one of a question and its answer (0: not such a part)
-    alone: np.ndarray
-    half: np.ndarray
-    answer: np.ndarray  # by part: whether it is an answer
-
-
 @dataclass
 class Index:
+    """BM25 postings of entries: items, and their questions and answers where those count by themselves. An impact is a share of what its entry needs to be retrieved, so an entry is retrieved at 1."""
+
     terms: np.ndarray
     maybe: np.ndarray  # by the terms' low bits: whether there is any
     ids: list[int | None]
     runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: runs of the whole, the question and the answer
     long_question: list[bool]
     long_answer: list[bool]
-    classes: list[LengthClass]
-    parts: Parts
+    top: np.ndarray  # by term: the greatest impact in any entry
+    block_ptr: np.ndarray  # by term: its blocks, and the greatest impact in each
+    block_id: np.ndarray
+    block_top: np.ndarray
+    ptr: np.ndarray  # by term: its entries, and its impact in each
+    entry: np.ndarray
+    impact: np.ndarray
+    item: np.ndarray  # by entry: its item
+    n_blocks: int
+    weights: list[tuple[np.ndarray, np.ndarray]]  # of each item: its terms, and their shares of its score with itself
+    step: np.ndarray  # of each item: the words of the longest one of its class of lengths
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that are terms, and the terms' numbers."""
@@ -127,137 +105,96 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
     parts = [question_and_answer(t) for t in texts]
     q, qa = term_hashes(pa.array([x for x, _ in parts], pa.large_string()))
     s, sa = term_hashes(pa.array([x for _, x in parts], pa.large_string()))
-    runs = [(np.unique(shingles(w, RUN)), np.unique(shingles(q[qa[i] : qa[i + 1]], RUN)), np.unique(shingles(s[sa[i] : sa[i + 1]], RUN))) for i, w in enumerate(per)]
-    sizes = np.array([len(w) for w in per])
-    classes = []
-    level = np.maximum(np.ceil(np.log2(np.maximum(sizes, 1))), 4).astype(int)
-    for c in np.unique(level):
-        mine = np.flatnonzero(level == c)
-        t_all, i_all, w_all = [], [], []
-        for k, i in enumerate(mine):
-            t, tf = np.unique(np.searchsorted(terms, per[i]), return_counts=True)
-            w = np.maximum(idf[t], 1e-6) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[i] / mean_words))
-            t_all.append(t)
-            i_all.append(np.full(len(t), k))
-            w_all.append(w / w.sum())  # an item scores 1 with itself
-        t, i, w = map(np.concatenate, (t_all, i_all, w_all))
-        order = np.lexsort((i, t))
-        t, i, w = t[order], i[order], w[order]
-        ptr = np.searchsorted(t, np.arange(len(terms) + 1))
-        pair, start = np.unique(t * (len(mine) // BLOCK_ITEMS + 1) + i // BLOCK_ITEMS, return_index=True)
-        block_t, block_id = np.divmod(pair, len(mine) // BLOCK_ITEMS + 1)
-        top = np.zeros(len(terms))
-        np.maximum.at(top, t, w)
-        classes.append(LengthClass(int(sizes[mine].max()), top, np.searchsorted(block_t, np.arange(len(terms) + 1)), block_id, np.maximum.reduceat(w, start), ptr, i, w, mine, len(mine) // BLOCK_ITEMS + 1))
-    long_question, long_answer = ([bool(z - a >= RUN) for a, z in zip(x[:-1], x[1:], strict=True)] for x in (qa, sa))
-    return Index(terms, maybe, [i for i, _ in items], runs, long_question, long_answer, classes, parts_of(runs, sizes, np.diff(qa), long_question, long_answer))
-
-
-def parts_of(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], sizes: np.ndarray, asked: np.ndarray, long_question: list[bool], long_answer: list[bool]) -> Parts:
-    """Items, questions and answers by their runs; an answer counts only beside its question, and a short one not at all."""
-    rows: list[tuple[int, np.ndarray, int, float, float, bool]] = []
-    for i, (whole, question, answer) in enumerate(runs):
-        rows.append((i, whole, min(RUN, int(sizes[i])), OVERLAP, 0.0, False))
-        if long_question[i] or (long_answer[i] and len(question)):
-            rows.append((i, question, min(RUN, int(asked[i])), OVERLAP if long_question[i] else 2.0, HALF if long_answer[i] else 0.0, False))
-        if long_answer[i] and len(question):
-            rows.append((i, answer, RUN, 2.0, OVERLAP, True))
-    size = np.array([len(x[1]) for x in rows], np.int64)
-    every = np.concatenate([np.zeros(0, np.uint64), *(x[1] for x in rows)])
-    known, number = np.unique(every, return_inverse=True)
-    order = np.argsort(number, kind="stable")
-    part = np.repeat(np.arange(len(rows)), size)[order]
-    least = lambda k: np.ceil(np.array([x[k] for x in rows]) * size - 1e-9).astype(np.int64)
-    return Parts(sorted({x[2] for x in rows}), known, low_bits(known), np.searchsorted(number[order], np.arange(len(known) + 1)), part, np.array([x[0] for x in rows], np.int64), least(3), least(4), np.array([x[5] for x in rows], bool))
-
-
-def retrieve(index: Index, words: np.ndarray, at: np.ndarray, threshold: float = RETRIEVE) -> dict[tuple[int, int], float]:
-    """(text, item) -> the best score of a passage of the text, for all at or above threshold.
-
-    Block-max WAND for many passages at once: passages whose terms' greatest impacts together stay below the threshold have no pivot and are left; of the others, blocks of items whose maxima stay below it are skipped; only what is left is scored. Half a passage is summed once for both passages it is in; a term that is in both halves counts twice in the bounds and once in the scores."""
-    out: dict[tuple[int, int], float] = {}
+    asked, told = ([x[a:z] for a, z in zip(at[:-1], at[1:], strict=True)] for x, at in ((q, qa), (s, sa)))
+    runs = [tuple(np.unique(shingles(x, RUN)) for x in three) for three in zip(per, asked, told, strict=True)]
+    long_question, long_answer = [len(x) >= RUN for x in asked], [len(x) >= RUN for x in told]
+
+    def weighed(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of words, and the share that each has of the BM25 score of the words with themselves."""
+        t, tf = np.unique(np.searchsorted(terms, words), return_counts=True)
+        w = np.maximum(idf[t], 1e-6) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean_words))
+        return t, w / w.sum()
+
+    t_all, e_all, w_all, item = [], [], [], []
+    for i, (whole, question, answer) in enumerate(zip(per, asked, told, strict=True)):
+        # What kind_of() accepts: OVERLAP of the whole, of the question, or of the answer beside its question.
+        for words in (whole, question if long_question[i] else None, answer if long_answer[i] and len(question) else None):
+            if words is not None:
+                t, w = weighed(words)
+                t_all.append(t)
+                e_all.append(np.full(len(t), len(item)))
+                w_all.append(w / least_score(np.searchsorted(terms, words), t, w))
+                item.append(i)
+    t, e, w = map(np.concatenate, (t_all, e_all, w_all))
+    order = np.lexsort((e, t))
+    t, e, w = t[order], e[order], w[order]
+    n_blocks = len(item) // BLOCK_ENTRIES + 1
+    pair, start = np.unique(t * n_blocks + e // BLOCK_ENTRIES, return_index=True)
+    block_t, block_id = np.divmod(pair, n_blocks)
+    top = np.zeros(len(terms))
+    np.maximum.at(top, t, w)
+    level = np.maximum(np.ceil(np.log2(np.maximum([len(x) for x in per], 1))), 4).astype(int)
+    step = np.array([max(len(x) for x, k in zip(per, level, strict=True) if k == c) for c in range(level.max() + 1) if c in level])[np.searchsorted(np.unique(level), level)]
+    by_term = np.arange(len(terms) + 1)
+    return Index(terms, maybe, [i for i, _ in items], runs, long_question, long_answer, top, np.searchsorted(block_t, by_term), block_id, np.maximum.reduceat(w, start), np.searchsorted(t, by_term), e, w, np.array(item), n_blocks, [weighed(x) for x in per], step)
+
+
+def least_score(words: np.ndarray, terms: np.ndarray, shares: np.ndarray) -> float:
+    """The score that an entry (its words as numbers of terms; its terms and their shares of its own score) has at least with any text that holds OVERLAP of its runs.
+
+    Of m distinct runs, u = m - OVERLAP * m may be missing. A term is missing from the text only if all runs with it are, so only if they are u or fewer; and as a run has RUN words, the runs of all missing terms together, counted term by term, are RUN * u or fewer. What can be lost is then at most what the terms give that have the greatest share for each run, until so many runs are used up."""
+    k = min(RUN, len(words))
+    windows = np.unique(np.lib.stride_tricks.sliding_window_view(words, k), axis=0)
+    missing = len(windows) - int(np.ceil(OVERLAP * len(windows) - 1e-9))
+    member = np.unique(np.stack([np.repeat(np.arange(len(windows)), k), windows.ravel()]), axis=1)[1]
+    n = np.bincount(np.searchsorted(terms, member), minlength=len(terms))
+    can = np.flatnonzero(n <= missing)
+    order = can[np.argsort(-shares[can] / n[can], kind="stable")]
+    used = np.cumsum(n[order])
+    whole = used <= k * missing
+    lost = float(shares[order][whole].sum())
+    if not whole.all():
+        j = int(np.argmin(whole))
+        lost += float(shares[order[j]]) * (k * missing - (int(used[j - 1]) if j else 0)) / int(n[order[j]])
+    return max(1 - lost - 1e-9, 1e-6)
+
+
+def retrieve(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """(text, item) of all items of which an entry reaches its least score with a text.
+
+    Block-max WAND for many texts at once: texts whose terms' greatest impacts together stay below 1 have no pivot and are left; of the others, blocks of entries whose maxima stay below it are skipped; only what is left is scored. A text counts as a whole, however far apart in it an item's parts stand."""
     place, term = index.lookup(words)
     if not len(place):
-        return out
-    text = np.searchsorted(at, place, "right") - 1
+        return []
     n_terms = len(index.terms)
-    for c in index.classes:
-        step = c.words
-        halves = np.concatenate([[0], np.cumsum((np.diff(at) + step - 1) // step + 1)])  # an empty half follows each text
-        half = halves[text] + (place - at[text]) // step
-        keep = c.top[term] > 0
-        pair = np.unique(half[keep] * n_terms + term[keep])
-        h, t = np.divmod(pair, n_terms)
-        bound = np.bincount(h, c.top[t], minlength=int(halves[-1]) + 1)
-        both = bound[:-1] + bound[1:]
-        both[halves[1:] - 1] = 0  # the empty half of a text begins no passage
-        passage = np.flatnonzero(both >= threshold)
-        if not len(passage):
-            continue
-        first = np.searchsorted(h, np.arange(int(halves[-1]) + 2))
-        for a in range(0, len(passage), 1024):
-            some = passage[a : a + 1024]
-            wanted = np.unique(np.concatenate([some, some + 1]))
-            rows, where = spread(first, wanted)
-            owner, entry = spread(c.block_ptr, t[where])
-            sums = np.bincount(rows[owner] * c.n_blocks + c.block_id[entry], c.block_top[entry], minlength=len(wanted) * c.n_blocks).reshape(len(wanted), c.n_blocks)
-            left = np.searchsorted(wanted, some)
-            right = np.searchsorted(wanted, some + 1)
-            open_ = sums[left] + sums[right] >= threshold
-            for k in np.flatnonzero(open_.any(1)).tolist():
-                p = int(some[k])
-                own = np.unique(t[first[p] : first[p + 2]])
-                _, e = spread(c.ptr, own)
-                e = e[open_[k][c.item[e] // BLOCK_ITEMS]]
-                score = np.bincount(c.item[e], c.impact[e], minlength=len(c.items))
-                doc = int(np.searchsorted(halves, p, "right") - 1)
-                for j in np.flatnonzero(score >= threshold).tolist():
-                    key = (doc, int(c.items[j]))
-                    out[key] = max(out.get(key, 0.0), float(score[j]))
-    return out
-
-
-def evidence(index: Index, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-    """(text, item) of all items, questions, and questions with their answers, that a text holds enough runs of, in whatever passages: runs are looked up one by one and joined per text."""
-    p = index.parts
-    texts, runs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k in p.lengths:
-        for a in range(0, len(words) - k + 1, RUNS_AT_ONCE):
-            place, run = looked_up(p.runs, p.maybe, shingles(words[a : min(a + RUNS_AT_ONCE + k - 1, len(words))], k))
-            place += a
-            text = np.searchsorted(at, place, "right") - 1
-            whole = place + k <= at[text + 1]
-            texts.append(text[whole])
-            runs.append(run[whole])
-    text, run = np.divmod(np.unique(np.concatenate(texts) * max(len(p.runs), 1) + np.concatenate(runs)), max(len(p.runs), 1))
-    before = np.concatenate([[0], np.cumsum(p.ptr[run + 1] - p.ptr[run])])
-    bounds = np.append(np.flatnonzero(np.diff(text, prepend=-1)), len(text))
-    out: list[tuple[int, int]] = []
-    a = 0
-    while a < len(text):
-        # Whole texts, of about ENTRIES_AT_ONCE entries together.
-        z = int(bounds[max(np.searchsorted(before[bounds], before[a] + ENTRIES_AT_ONCE, "right") - 1, np.searchsorted(bounds, a, "right"))])
-        rows, entry = spread(p.ptr, run[a:z])
-        key, n = np.unique(text[a:z][rows] * len(p.item) + p.part[entry], return_counts=True)
-        doc, part = np.divmod(key, len(p.item))
-        pair = doc * (int(p.item.max()) + 1) + p.item[part]
-        half = (p.half[part] > 0) & (n >= p.half[part])
-        both = np.intersect1d(pair[half & p.answer[part]], pair[half & ~p.answer[part]])
-        got = np.unique(np.concatenate([pair[n >= p.alone[part]], both]))
-        out += zip((got // (int(p.item.max()) + 1)).tolist(), (got % (int(p.item.max()) + 1)).tolist(), strict=True)
-        a = z
-    return out
+    h, t = np.divmod(np.unique((np.searchsorted(at, place, "right") - 1) * n_terms + term), n_terms)
+    bound = np.bincount(h, index.top[t], minlength=len(at) - 1)
+    texts = np.flatnonzero(bound >= 1)
+    first = np.searchsorted(h, np.arange(len(at)))
+    out: set[tuple[int, int]] = set()
+    many = max(1, CELLS_AT_ONCE // index.n_blocks)
+    for a in range(0, len(texts), many):
+        some = texts[a : a + many]
+        rows, where = spread(first, some)
+        owner, posting = spread(index.block_ptr, t[where])
+        sums = np.bincount(rows[owner] * index.n_blocks + index.block_id[posting], index.block_top[posting], minlength=len(some) * index.n_blocks).reshape(len(some), index.n_blocks)
+        open_ = sums >= 1
+        for k in np.flatnonzero(open_.any(1)).tolist():
+            d = int(some[k])
+            _, e = spread(index.ptr, t[first[d] : first[d + 1]])
+            e = e[open_[k][index.entry[e] // BLOCK_ENTRIES]]
+            score = np.bincount(index.entry[e], index.impact[e])
+            out |= {(d, int(i)) for i in index.item[np.flatnonzero(score >= 1)]}
+    return sorted(out)
 
 
 def best_score(index: Index, words: np.ndarray, item: int) -> float:
-    """The best score of a passage of one text with an item."""
-    c = next(c for c in index.classes if item in c.items)
-    entry = np.flatnonzero(c.item == np.flatnonzero(c.items == item)[0])
+    """The best BM25 score of a passage of one text with an item, as a share of the item's own. Passages are twice as long as the longest item of the class, in steps of that length, so any item of it is whole in one of them."""
     impact = np.zeros(len(index.terms))
-    impact[np.searchsorted(c.ptr, entry, "right") - 1] = c.impact[entry]
+    impact[index.weights[item][0]] = index.weights[item][1]
     place, term = index.lookup(words)
     place, term = place[impact[term] > 0], term[impact[term] > 0]
-    half = place // c.words
+    half = place // int(index.step[item])
     # A half is in the passage that it begins and in the one before.
     passage, term = np.divmod(np.unique(np.concatenate([half, half + 1]) * len(index.terms) + np.concatenate([term, term])), len(index.terms))
     return float(np.bincount(passage, impact[term]).max()) if len(passage) else 0.0
@@ -277,20 +214,16 @@ def kind_of(index: Index, item: int, whole: float, question: float, answer: floa
 def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float, float, str]]:
     """(text, item, score, overlap, question overlap, answer overlap, kind) of the items that a text holds."""
     words, at = term_hashes(column)
-    found = retrieve(index, words, at)
-    for doc, item in set(evidence(index, words, at)):
-        if (doc, item) not in found:
-            found[doc, item] = best_score(index, words[at[doc] : at[doc + 1]], item)
     out = []
     runs: dict[int, np.ndarray] = {}
-    for (doc, item), score in sorted(found.items()):
+    for doc, item in retrieve(index, words, at):
         own = words[at[doc] : at[doc + 1]]
-        if len(index.runs[item][0]) and doc not in runs:
-            runs[doc] = np.unique(shingles(own, RUN))
+        if doc not in runs:
+            runs = {doc: np.unique(shingles(own, RUN))}
         share = [held(runs[doc], own, x) for x in index.runs[item]]
         kind = kind_of(index, item, *share)
         if kind:
-            out.append((doc, item, score, *share, kind))
+            out.append((doc, item, best_score(index, own, item), *share, kind))
     return out
 
 
@@ -350,7 +283,7 @@ def _matches(shared):
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, overlap, question_overlap, answer_overlap, kind): a row for each row of docs (doc_id, text) and each row of items (item_id, text) that it holds; other columns are ignored.
 
-    Each passage of a document is a query; an item is retrieved if the passage has RETRIEVE or more of the score that the item has with itself, or the document enough of its runs, in whatever passages. What is retrieved is verified: by the shares of the distinct runs of RUN words of the item, of its question and of its answer that are in the whole document, it is held if the question is (OVERLAP or more), or the answer with HALF of its question, or else OVERLAP or more of the whole (see kind_of). Case and marks between words don't matter.
+    Each document is a query; an item is retrieved if the document has the score with it, with its question or with its answer that any text must have which holds OVERLAP of its runs (least_score). What is retrieved is verified: by the shares of the distinct runs of RUN words of the item, of its question and of its answer that are in the whole document, it is held if the question is (OVERLAP or more), or the answer with HALF of its question, or else OVERLAP or more of the whole (see kind_of). Case and marks between words don't matter.
 
     - null or empty texts, and items without words: no rows; null ids stay null; repeated rows: a row each; an empty table on either side: no rows
     The corpus is read once for every INDEX_BYTES of items' text."""
