@@ -11,13 +11,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from relweave.llm.common import grouped, stored, tidied
 from relweave.llm.components import components
 
 #: Vectors that the centroids are fitted on: so many per cell, and at most so many bytes of them on the driver.
 FIT_PER_CELL, FIT_BYTES = 32, 64 << 20
-#: Vectors of the largest label in a cell on average; cells at most, which bounds the centroids broadcast (1 MB for 64 dimensions).
+#: Vectors of the largest label in a cell on average, where that makes more cells than half the root of their number; cells at most, which bounds the centroids broadcast (1 MB for 64 dimensions).
 CELL_ROWS, MAX_CELLS = 2500, 2048
 #: Rows in a block of a cell at most, about, and bytes of a block's vectors in double precision.
 BLOCK_ROWS, BLOCK_BYTES = 4096, 64 << 20
@@ -258,10 +259,8 @@ def _fitted(usable: DataFrame, cosine: float) -> Cells:
     if not sizes or not sizes[0].dim:
         return Cells(0, np.zeros((0, 1)), np.zeros((0, 1)), reach)
     dim, n, most = sizes[0]
-    k = min(MAX_CELLS, max(1, round(most / CELL_ROWS)), max(1, (8 << 20) // (8 * dim)))
+    k = min(MAX_CELLS, max(2, round(most**0.5 / 2), round(most / CELL_ROWS)), max(2, (8 << 20) // (8 * dim)))
     projection = np.linalg.qr(np.random.default_rng(1).normal(size=(dim, min(SKETCH, dim))))[0]
-    if k == 1:
-        return Cells(dim, np.zeros((1, dim)), projection, reach)
     want = max(64, min(FIT_PER_CELL * k, FIT_BYTES // (8 * dim)))
     at = usable.where(F.size("embedding") == dim)
     if n > want:
@@ -271,10 +270,19 @@ def _fitted(usable: DataFrame, cosine: float) -> Cells:
     return Cells(dim, spherical_kmeans(np.unique(np.stack(x), axis=0), k) if x else np.zeros((1, dim)), projection, reach)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows with labels that are numbers: whole ones as they are, others (text, say) by a table of the distinct ones."""
+    if isinstance(rows.schema["label"].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return rows.withColumn("label", F.col("label").cast("bigint"))
+    names = stored(rows.select("label").where("label is not null").distinct().withColumn("number", F.monotonically_increasing_id()), "labels")
+    return rows.join(names, "label", "left").select("vec_id", F.col("number").alias("label"), "embedding")
+
+
 def near_duplicates(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one for each row of rows (vec_id, embedding, label; other columns are ignored).
 
     Vectors are linked when their labels are equal and not null, their lengths are equal, and their cosine in double precision is at least `cosine`.
+    - labels of any type that can be compared: equal values are equal labels
     - vectors that are null, empty, zero, or hold null or non-finite parts: no links, kept
     - null vec_id: no links, component_id and kept null
     - a vec_id on several rows: each row counts as a vector, with its own n_links; what any of them is linked with is in the id's component
@@ -283,7 +291,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     Cells only spread the work: a vector is also a guest in each lower cell whose border is nearer than the distance that `cosine` allows, so that no pair is lost. Guests are first met by their sketches, of a byte a dimension, and only those near some vector of the cell are compared with it. Cells are compared in pairs of blocks; of the links only counts and one link per row and block are written. Vectors travel once, in the type they came in, and once more for each further block of their cell."""
     spark = rows.sparkSession
-    base = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("bigint").alias("label"), "embedding")
+    base = numbered(rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "label", "embedding"))
     usable = base.where("vec_id is not null and label is not null and embedding is not null")
     cells = _fitted(usable, cosine)
     shared = spark.sparkContext.broadcast(cells)

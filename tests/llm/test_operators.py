@@ -131,8 +131,30 @@ def _vectors():
     return rows
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_embeddings_have_cells(spark, sf):
+    """Spherical k-means divides every given table: several cells of a label hold vectors."""
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    cells = embeddings._fitted(rows.where("label is not null and embedding is not null"), 0.98)
+    assert len(cells.centroids) >= 2
+    shared = spark.sparkContext.broadcast(cells)
+    placed = rows.select("vec_id", F.col("label").cast("bigint").alias("label"), "embedding").mapInArrow(embeddings._place(shared), "vec_id bigint, label bigint, dim int, cell int, digest binary")
+    assert placed.where("cell is not null and label is not null").groupBy("label").agg(F.countDistinct("cell").alias("n")).agg(F.max("n")).first()[0] >= 2
+
+
+def test_embeddings_of_named_labels(spark):
+    """Labels may be words, dates or fractions; the result is that of numbers."""
+    rows = _vectors()
+    name = {0: "zero", 1: "one", 2: "a much longer name", None: None}
+    named = spark.createDataFrame([(i, v, name[lab]) for i, v, lab in rows], "vec_id bigint, embedding array<double>, label string")
+    plain = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    take = lambda df: sorted(tuple(r) for r in embeddings.near_duplicates(df).collect())
+    assert take(named) == take(plain)
+
+
 @pytest.mark.parametrize(("cell_rows", "block"), [(2500, 4096), (20, 16)])
 def test_embeddings(spark, monkeypatch, cell_rows, block):
+    """Cells by the root of a label's vectors, or smaller ones still."""
     monkeypatch.setattr(embeddings, "CELL_ROWS", cell_rows)
     monkeypatch.setattr(embeddings, "BLOCK_ROWS", block)
     rows = _vectors()
