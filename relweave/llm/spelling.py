@@ -100,26 +100,26 @@ def gram_ranks(words: DataFrame) -> np.ndarray:
 def _postings(shared):
     """A row for each list that a word is in: of its rarest grams, enough that words one edit apart share a list.
 
-    Lists are kept by gram, length and place. A word is in those of its own length (`own`) and, as the shorter one of a pair, in those of words longer by one, at its gram's place and the next. Of two words one edit apart, the longer (or either) with m code points, m - 1 grams are the same: so all but Q of its own grams, and all but Q - 1 of a shorter one's. One more than that in the order of rarity must meet."""
+    Lists are kept by gram, length and place. A word is in those of its own length (`own`) and, as the shorter one of a pair, in those of words longer by one, at its gram's place and the next. Of two words one edit apart, the longer (or either) with m code points, m - 1 grams are the same: so all but Q of its own grams, and all but Q - 1 of a shorter one's. One more than that in the order of rarity must meet. at: the gram's place in the word; earlier: the places of its rarer grams, as 32-bit numbers."""
 
     def prefix(word: str, rank: np.ndarray, size: int) -> tuple[list[int], list[int]]:
         g = grams(word)
-        order = sorted(range(len(g)), key=lambda i: rank[g[i]])
+        order = sorted(range(len(g)), key=lambda i: (rank[g[i]], i))
         last = rank[g[order[size - 1]]]
         return g, [i for i in order if rank[g[i]] <= last]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
         for b in batches:
-            out: list[tuple[int, int, int, bool, str, int]] = []
+            out: list[tuple[int, int, int, bool, str, int, int, bytes]] = []
             for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
                 m = len(word)
                 g, own = prefix(word, rank, Q + 1)
-                out += [(g[i], m, i, True, word, n) for i in own]
-                g, guest = prefix(word, rank, Q)
-                out += {(g[i], m + 1, k, False, word, n) for i in guest for k in (i, i + 1)}
-            cols = list(zip(*out, strict=True)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int64()), strict=True)], ["gram", "length", "place", "own", "word", "n"])
+                rarer = np.array(own, "<i4").tobytes()
+                out += [(g[i], m, i, True, word, n, i, rarer[: 4 * r]) for r, i in enumerate(own[: Q + 1])]
+                out += [(g[i], m + 1, k, False, word, n, i, rarer[: 4 * r]) for r, i in enumerate(own[:Q]) for k in (i, i + 1)]
+            cols = list(zip(*out, strict=True)) if out else [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["gram", "length", "place", "own", "word", "n", "at", "earlier"])
 
     return run
 
@@ -136,30 +136,49 @@ def one_edit(a: str, b: str) -> bool:
     return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
 
 
-def near_in(words: list[tuple[bool, str, int, int]], length: int, key: tuple[int, int], apart: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of places in one list (own, word, n, side) of words one edit apart; own ones have `length` code points, others one less, and all have the list's gram at its place.
-
-    Own words are indexed by gram and place. A probe's other grams each have a posting list of ascending numbers; all but Q of them (Q - 1 for shorter probes) must be those of a partner, so any partner is in one of the Q + 1 (or Q) shortest. Those are merged by a heap; a word met there is a candidate if it has as many grams at the probe's places as one edit leaves; candidates are verified."""
-    index: dict[tuple[int, int], list[int]] = {}
-    of = [grams(w[1]) for w in words]
-    for k, (own, *_) in enumerate(words):
+def near_in(words: list[tuple[bool, str, int, int, int, bytes]], length: int, apart: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of places in one list (own, word, n, side, at, earlier) of words one edit apart; own ones have `length` code points, others one less, and all have the list's gram.
+
+    Own words are indexed by gram and place. A pair is met in the list of the first of the probe's rare grams that its partner has: so the list's gram is the same, the earlier ones are not, and of the others so many fewer may differ - Q, or Q - 1 for shorter probes, without the earlier ones. Any partner is then in one of that many posting lists and one more, so the shortest are taken. They hold ascending numbers and are merged by a heap; a word met there is a candidate if it has as many grams at the probe's places as one edit leaves; candidates are verified."""
+    padded = [("\0" * (Q - 1) + w[1] + "\0" * (Q - 1)) for w in words]
+    of = [[p[i : i + Q] for i in range(len(p) - Q + 1)] for p in padded]
+    index: list[dict[str, list[int]]] = [{} for _ in range(length + Q - 1)]
+    for k, w in enumerate(words):
+        if w[0]:
+            for at, g in zip(index, of[k], strict=True):
+                if g in at:
+                    at[g].append(k)
+                else:
+                    at[g] = [k]
+    for k, (own, word, _, side, at, earlier) in enumerate(words):
+        rarer = memoryview(earlier).cast("i").tolist() if earlier else []
+        left = (Q if own else Q - 1) - len(rarer) + 1
+        if left < 1:
+            continue
+        a = of[k]
         if own:
-            for i, g in enumerate(of[k]):
-                index.setdefault((g, i), []).append(k)
-    for k, (own, word, _, side) in enumerate(words):
-        lists: list[list[list[int]]] = []
-        for i, g in enumerate(of[k]):
-            here = [(g, i)] if own else [(g, i), (g, i + 1)]
-            if key not in here:
-                lists.append([x for x in map(index.get, here) if x])
-        lists.sort(key=lambda ls: sum(map(len, ls)))
-        shortest = [x for ls in lists[: Q + 1 if own else Q] for x in ls]
+            lists = [[p[g]] for p, g in zip(index, a, strict=True)]
+        else:
+            lists = [[p[g] for p in (here, after) if g in p] for here, after, g in zip(index, index[1:], a, strict=False)]
+        known = {at, *rarer}
+        rest = sorted((sum(map(len, x)), i) for i, x in enumerate(lists) if i not in known)[:left]
+        # Of two own words the first probes.
+        shortest = [x for _, i in rest for x in lists[i] if not own or x[-1] > k]
+        if not shortest:
+            continue
         for j, _ in groupby(heapq.merge(*shortest)):
-            # Of two own words the first probes; parts of a divided list only meet each other.
+            # Parts of a divided list only meet each other.
             if (own and j <= k) or (apart and words[j][3] == side):
                 continue
-            a, b = of[k], of[j]
-            same = sum(map(int.__eq__, a, b)) if own else sum(x == y or x == z for x, y, z in zip(a, b, b[1:], strict=False))
+            b = of[j]
+            if own:
+                if any(a[i] == b[i] for i in rarer):
+                    continue
+                same = sum(map(str.__eq__, a, b))
+            else:
+                if any(a[i] == b[i] or a[i] == b[i + 1] for i in rarer):
+                    continue
+                same = sum(x == y or x == z for x, y, z in zip(a, b, b[1:], strict=False))
             if same >= length - 1 and one_edit(word, words[j][1]):
                 yield k, j
 
@@ -167,21 +186,21 @@ def near_in(words: list[tuple[bool, str, int, int]], length: int, key: tuple[int
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, n_a, b, n_b) of pairs of words one edit apart, list by list."""
     key: tuple | None = None
-    words: list[tuple[bool, str, int, int]] = []
+    words: list[tuple[bool, str, int, int, int, bytes]] = []
     out: list[tuple[str, int, str, int]] = []
 
     def done() -> None:
         if len(words) > 1 and any(w[0] for w in words):
-            _, length, _, x, y = key
-            out.extend((words[i][1], words[i][2], words[j][1], words[j][2]) for i, j in near_in(words, length, (key[0], key[2]), x != y))
+            out.extend((words[i][1], words[i][2], words[j][1], words[j][2]) for i, j in near_in(words, key[1], key[3] != key[4]))
 
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("gram", "length", "place", "x", "y", "own", "word", "n", "side")]
-        for row in zip(*cols, strict=True):
-            if row[:5] != key:
+        cols = [b.column(c).to_pylist() for c in ("gram", "length", "place", "x", "y")]
+        rest = [b.column(c).to_pylist() for c in ("own", "word", "n", "side", "at", "earlier")]
+        for now, row in zip(zip(*cols, strict=True), zip(*rest, strict=True), strict=True):
+            if now != key:
                 done()
-                key, words = row[:5], []
-            words.append(row[5:])
+                key, words = now, []
+            words.append(row)
         if len(out) >= 10_000:
             yield _pairs(out)
             out.clear()
@@ -201,14 +220,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     spark = words.sparkSession
     words = words.where(F.length("word") > 2 * Q)
     shared = spark.sparkContext.broadcast(gram_ranks(words))
-    lists = stored(words.mapInArrow(tidied(_postings(shared)), "gram int, length int, place int, own boolean, word string, n bigint"), "postings")
+    lists = stored(words.mapInArrow(tidied(_postings(shared)), "gram int, length int, place int, own boolean, word string, n bigint, at int, earlier binary"), "postings")
     key = ["gram", "length", "place"]
     # Lists without two words, or without one of their length, have no pairs.
     sizes = lists.groupBy(*key).agg(F.count("*").alias("c"), F.max("own").alias("any")).where("c > 1 and any")
     parts = sizes.select(*key, F.ceil(F.col("c") / LIST_WORDS).cast("int").alias("parts"))
     side = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("side")).alias("x"), F.greatest(k, F.col("side")).alias("y")))
-    placed = lists.join(stored(parts, "parts"), key).withColumn("side", side).withColumn("p", F.explode(met)).select(*key, "p.x", "p.y", "own", "word", "n", "side")
+    placed = lists.join(stored(parts, "parts"), key).withColumn("side", side).withColumn("p", F.explode(met)).select(*key, "p.x", "p.y", "own", "word", "n", "side", "at", "earlier")
     placed = placed.repartition(*key, "x", "y").sortWithinPartitions(*key, "x", "y", "word")
     return stored(placed.mapInArrow(tidied(_near), "a string, n_a bigint, b string, n_b bigint").distinct(), "near")
 
