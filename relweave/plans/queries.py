@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,15 @@ from relweave.functions import sqltext
 from relweave.operators import edges as E
 from relweave.operators import graph as G
 from relweave.operators import inclusion as I
+from relweave.operators import levels
 from relweave.operators import merge as M
 from relweave.operators import profile as P
 from relweave.operators import rdf as R
 from relweave.operators import review as V
 from relweave.plans.inputs import DERIVED, KEYS, READ_AS, TABLES, WORKSHEETS, derived, edges, oracle, relationships
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RDFS
-from relweave.session import put, scratch, table
-from relweave.sources import artifacts, catalog, rdf, results, worksheets
+from relweave.session import filesystem, put, scratch, table
+from relweave.sources import artifacts, catalog, increment, rdf, results, snapshots, worksheets
 from relweave.sources.cache import Cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -587,6 +589,29 @@ def topo_levels(spark, d):
     return G.topological_levels(names, spark.createDataFrame(_GRAPH, "table string, referred string").unionByName(tree.where(k > 1).select(name(k).alias("table"), name(F.floor(k / 2)).alias("referred"))))
 
 
+_LEVELS = "SELECT 'P' || p_partkey AS name, CAST(floor(log2(p_partkey // 3 + 1)) AS BIGINT) AS level, members FROM {part} JOIN (SELECT p_partkey // 3 AS g, count(*) AS members FROM {part} GROUP BY 1) ON g = p_partkey // 3"
+
+
+@query("dependency_levels", f"{_LEVELS} UNION ALL SELECT 'S' || s_suppkey, CAST(floor(log2(s_suppkey // 3 + 1)) + 1 AS BIGINT), 1 FROM {{supplier}}")
+def dependency_levels(spark, d):
+    """Parts by threes refer to each other round a cycle, each three to the one of half their number; suppliers stand behind parts."""
+    part, supplier = table(spark, d, "part").select(F.col("p_partkey").alias("k")), table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
+    named = lambda letter, k: F.concat(F.lit(letter), k.cast("bigint").cast("string"))
+    group = F.floor(F.col("k") / 3)
+    rings = part.groupBy(group.alias("g")).agg(F.min("k").alias("a"), F.max("k").alias("z"))
+    pairs = [
+        part.join(part.select((F.col("k") - 1).alias("k")), "k").where(F.col("k") % 3 < 2).select(named("P", F.col("k")), named("P", F.col("k") + 1)),
+        rings.select(named("P", F.col("z")), named("P", F.col("a"))),
+        rings.where("g > 0").select(named("P", F.col("a")), named("P", (F.floor((F.col("g") + 1) / 2) - 1) * 3)),
+        supplier.select(named("S", F.col("k")), named("P", F.col("k"))),
+    ]
+    keys = pairs[0].toDF("table", "referred")
+    for more in pairs[1:]:
+        keys = keys.unionByName(more.toDF("table", "referred"))
+    names = part.select(named("P", F.col("k")).alias("name")).unionByName(supplier.select(named("S", F.col("k")).alias("name")))
+    return levels.dependency_levels(names, keys).select("name", "level", "members")
+
+
 @query("topo_order", _values("position, name", [(0, "region"), (1, "part"), (2, "events"), (3, "nation"), (4, "customer"), (5, "supplier"), (6, "orders"), (7, "lineitem"), (8, "a"), (9, "b"), (10, "c"), (11, "self")]))
 def topo_order(spark, d):
     return spark.createDataFrame(list(enumerate(G.topological_order(_NAMES, _GRAPH))), "position bigint, name string")
@@ -927,6 +952,41 @@ def latest_version(spark, d):
     return artifacts.latest(artifacts.listed(spark, at)).select(F.substring_index("path", "/", -1).alias("path"), "stamp")
 
 
+@query("snapshot_as_of", "SELECT o_orderkey, o_custkey, o_orderpriority FROM {orders} WHERE o_orderkey % 3 <> 2")
+def snapshot_as_of(spark, d):
+    """Three writes of growing parts of a table, read as of a time between the second and the third."""
+    orders, at = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), scratch(spark, "snapshots")
+    day = lambda n: datetime(2026, 3, n, tzinfo=timezone.utc)
+    for n, rows in ((1, orders.where("o_orderkey % 3 = 0")), (2, orders.where("o_orderkey % 3 <> 2")), (3, orders)):
+        snapshots.write_snapshot(rows, at, day(n))
+    return snapshots.as_of(spark, at, day(2).replace(hour=9))
+
+
+_DELTA = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+@query(
+    "profile_delta",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS total_rows, count({c}) AS non_null_count, CASE WHEN count(*) > 0 THEN 1 - count({c}) / count(*) ELSE 1 END AS null_rate, count(DISTINCT {c}) AS distinct_count, CASE WHEN count({c}) > 0 THEN count(DISTINCT {c}) / count({c}) ELSE 0 END AS cardinality_ratio, {'CAST(min(o_custkey) AS VARCHAR)' if c == 'o_custkey' else 'NULL'} AS min_custkey, true AS only_changed FROM {{orders}} WHERE o_orderkey % 4 <> 0"
+        for c in _DELTA
+    ),
+)
+def profile_delta(spark, d):
+    """A state of three quarters of a table; then one quarter goes and another comes: the profile is that of what is there, and only the files that came are read."""
+    orders, at = table(spark, d, "orders").select(*_DELTA), scratch(spark, "increment")
+    part = lambda k: orders.where(F.col("o_orderkey") % 4 == k).write.parquet(f"{at}/files/part{k}")
+    for k in (0, 1, 2):
+        part(k)
+    first = increment.refreshed(spark, f"{at}/files", _DELTA, f"{at}/state")
+    part(3)
+    fs, gone = filesystem(spark, f"{at}/files/part0")
+    fs.delete(gone, True)
+    delta = increment.refreshed(spark, f"{at}/files", _DELTA, f"{at}/state")
+    changed = delta.read == increment.files(spark, f"{at}/files/part3").count() and first.gone == 0 < delta.gone
+    return delta.profile.select("column_name", "total_rows", "non_null_count", "null_rate", "distinct_count", "cardinality_ratio", F.when(F.col("column_name") == "o_custkey", F.col("min_val")).alias("min_custkey"), F.lit(changed).alias("only_changed"))
+
+
 @query("parse_metadata_json", "SELECT 'T' || event_id AS \"table\", event_type AS comment FROM {events} UNION ALL SELECT 'second', NULL FROM {events}")
 def parse_metadata_json(spark, d):
     text = F.concat(F.lit('Sure: {"tables": [{"name": "T'), F.col("event_id").cast("string"), F.lit('", "comment": "'), "event_type", F.lit('"}, {"name": "second"}]} done'))

@@ -37,6 +37,19 @@ def scratch(spark: SparkSession, what: str) -> str:
     return path
 
 
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system that path is in, and the path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df, written to a folder that driver and executors share and read again: its lineage ends there, so a lost executor costs nothing."""
+    path = scratch(df.sparkSession, what) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def put(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file through Spark's own file systems."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
