@@ -6,6 +6,7 @@ from collections import deque
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -109,3 +110,27 @@ def core_snippets(lines: DataFrame, terms: list[str], k: int = 10) -> DataFrame:
         if t:
             found = found | F.col("line").rlike(r"(?i)\b\Q" + t.replace(r"\E", r"\E\\E\Q") + r"\E\b")
     return lines.where(found).orderBy("ordinal").limit(k)
+
+
+#: What separates words: everything but letters, digits and the underscore.
+_GAP = r"[^\p{L}\p{N}_]+"
+
+
+def word_index(lines: DataFrame) -> DataFrame:
+    """(word, ordinal, pos): the words of lines (ordinal, line) in lower case, by place."""
+    words = F.filter(F.split(F.lower("line"), _GAP), lambda w: w != "")
+    return lines.select("ordinal", F.posexplode(words).alias("pos", "word")).select("word", "ordinal", "pos")
+
+
+def snippets_by_table(lines: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
+    """(table, ordinal, line): for each table of terms (table, term) the first k lines (ordinal, line) that hold one of its terms: the term's words side by side, in any case and whatever stands between them.
+
+    An index of words with their places is joined with the words of all terms at once; a term is found where all of its words give the same beginning. Per table only the first k ordinals are kept, in each task before they are dealt out.
+    - null or blank terms, and lines without words, find nothing; repeated terms and several terms in a line give it once; ordinals that several lines have give each line; no lines or terms: no rows"""
+    words = F.filter(F.split(F.lower("term"), _GAP), lambda w: w != "")
+    asked = terms.select("table", words.alias("words")).distinct().withColumn("n", F.size("words")).where("n > 0")
+    asked = asked.select("table", "n", F.concat_ws(" ", "words").alias("term"), F.posexplode("words").alias("i", "word"))
+    met = word_index(lines).join(asked, "word").groupBy("table", "term", "n", "ordinal", (F.col("pos") - F.col("i")).alias("begin")).agg(F.count("*").alias("found")).where("found = n")
+    first = F.row_number().over(W.partitionBy("table").orderBy("ordinal"))
+    kept = met.select("table", "ordinal").distinct().withColumn("r", first).where(F.col("r") <= k)
+    return kept.select("table", "ordinal").join(lines.select("ordinal", "line"), "ordinal").select("table", "ordinal", "line")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from relweave.functions import expr as X
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RDFS
+from relweave.session import stored
 
 CLASS, OBJECT_PROPERTY, DATATYPE_PROPERTY = (f"{OWL}{x}" for x in ("Class", "ObjectProperty", "DatatypeProperty"))
 LABEL, DOMAIN, RANGE, SUBCLASS = (f"{RDFS}{x}" for x in ("label", "domain", "range", "subClassOf"))
@@ -19,6 +21,37 @@ def merged(*fragments: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, fragments).distinct()
 
 
+def canonical(triples: DataFrame) -> DataFrame:
+    """TRIPLE rows, distinct, in which blank nodes (`_:name@file`, as rdf.read names them) are named by what is said of them, so that the same fragment read from two files comes once.
+
+    Each round gives a node a hash of its last one and of its triples, in which blank neighbours stand by their last hashes; rounds go on until they tell no more nodes apart, or as many as there are. The hash over a node's triples is summed without regard to order, so a node with very many is no more than a row a task.
+    - nodes of one file that are alike in every round, as on a ring, can't be told apart: they keep apart by their names' order within the file. Rings whose nodes say nothing of their own may then be matched crosswise with another file's and come twice; they never merge with each other
+    - triples without blank nodes stay as they are; no triples: no rows; the names hold for one result, not from one to the next"""
+    rows = stored(triples.distinct(), "triples")
+    blank_s, blank_o = F.col("s").startswith("_:"), F.col("o_kind") == "blank"
+    nodes = rows.where(blank_s).select(F.col("s").alias("node")).unionByName(rows.where(blank_o).select(F.col("o").alias("node"))).distinct()
+    now = stored(nodes.withColumn("hash", F.lit("")), "nodes")
+    count = 0
+    while True:
+        of = lambda x: now.select(F.col("node").alias(x), F.col("hash").alias(f"{x}_hash"))
+        met = rows.where(blank_s | blank_o).join(of("s"), "s", "left").join(of("o"), "o", "left")
+        told = lambda side, other: F.struct(F.lit(side).alias("way"), "p", F.coalesce(f"{other}_hash", other).alias("other"), F.col(f"{other}_hash").isNull().alias("named"), "o_kind", "datatype", "lang")
+        ends = F.filter(F.array(F.when(blank_s, F.struct(F.col("s").alias("node"), told("out", "o").alias("x"))), F.when(blank_o, F.struct(F.col("o").alias("node"), told("in", "s").alias("x")))), lambda e: e.isNotNull())
+        parts = met.select(F.explode(ends).alias("e")).select("e.node", F.to_json("e.x").alias("x"))
+        summed = parts.groupBy("node").agg(F.concat_ws(":", F.count("*").cast("string"), *[F.bit_xor(F.xxhash64(F.lit(k), F.col("x"))).cast("string") for k in (1, 2)]).alias("sum"))
+        now = stored(now.join(summed, "node").select("node", F.sha2(F.concat_ws(":", "hash", "sum"), 256).alias("hash")), "nodes")
+        groups = now.agg(F.count_distinct("hash")).first()[0]
+        if groups <= count:
+            break
+        count = groups
+    alike = W.partitionBy(F.substring_index("node", "@", -1), "hash").orderBy("node")
+    rank = F.row_number().over(alike)
+    names = stored(now.select("node", F.concat(F.lit("_:"), F.substring("hash", 1, 32), F.when(rank > 1, F.concat(F.lit("-"), rank.cast("string"))).otherwise("")).alias("name")), "names")
+    of = lambda x: names.select(F.col("node").alias(x), F.col("name").alias(f"{x}_name"))
+    out = rows.join(of("s"), "s", "left").join(of("o"), "o", "left")
+    return out.select(F.coalesce("s_name", "s").alias("s"), "p", F.when(blank_o, F.coalesce("o_name", "o")).otherwise(F.col("o")).alias("o"), "o_kind", "datatype", "lang").distinct()
+
+
 def emitted(tables: DataFrame, columns: DataFrame, keys: DataFrame, base: str = BASE_IRI) -> DataFrame:
     """Triples of a schema by fixed rules: a class per table (name, classification), a datatype property per column (table, name), an object property per key (from_table, to_table, relation); each with its label."""
     return fragments(tables, columns, keys, base).drop("table").distinct()

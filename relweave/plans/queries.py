@@ -23,7 +23,7 @@ from relweave.operators import review as V
 from relweave.plans.inputs import DERIVED, KEYS, READ_AS, TABLES, WORKSHEETS, derived, edges, oracle, relationships
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RDFS
 from relweave.session import filesystem, put, scratch, table
-from relweave.sources import artifacts, catalog, increment, rdf, results, snapshots, worksheets
+from relweave.sources import artifacts, catalog, graphsource, increment, rdf, results, snapshots, worksheets
 from relweave.sources.cache import Cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -684,6 +684,17 @@ def core_snippets(spark, d):
     return G.core_snippets(table(spark, d, "part").select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("line")), ["BOLT", "", "hot Ring", "bol"])
 
 
+_ASKED = "(SELECT DISTINCT 'T' || (p_partkey % 7) AS t, CASE WHEN p_partkey % 5 = 0 THEN p_name ELSE split_part(p_name, ' ', 1) END AS term FROM {part} WHERE p_partkey % 3 = 0 OR p_partkey < 20)"
+
+
+@query("snippets_by_table", f"SELECT t AS \"table\", ordinal, line FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY ordinal) AS r FROM (SELECT DISTINCT t, p_partkey AS ordinal, upper(p_name) AS line FROM {{part}} JOIN {_ASKED} a ON contains(' ' || p_name || ' ', ' ' || term || ' '))) WHERE r <= 10")
+def snippets_by_table(spark, d):
+    k = F.col("p_partkey")
+    part = table(spark, d, "part")
+    terms = part.where((k % 3 == 0) | (k < 20)).select(F.concat(F.lit("T"), (k % 7).cast("string")).alias("table"), F.when(k % 5 == 0, F.col("p_name")).otherwise(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("term"))
+    return G.snippets_by_table(part.select(k.alias("ordinal"), F.upper("p_name").alias("line")), terms, 10)
+
+
 # --- ontology ---------------------------------------------------------------------------------------------------
 
 _T = "{triples}"
@@ -874,6 +885,26 @@ def rdf_triples(spark, d):
     return rdf.triples_of(spark.createDataFrame([("a.ttl", _TURTLE), ("b.owl", _RDFXML)], "path string, text string"))
 
 
+@query("canonical_triples", "SELECT p, CAST(n AS BIGINT) AS n, CAST(nodes AS BIGINT) AS nodes FROM (VALUES ('name', (SELECT count(*) FROM {nation}), (SELECT count(*) FROM {nation})), ('in', (SELECT count(*) FROM {nation}), (SELECT count(*) FROM {nation})), ('called', (SELECT count(*) FROM {region}), (SELECT count(*) FROM {region})), ('next', (SELECT count(*) FROM {supplier}), (SELECT count(*) FROM {supplier})), ('is', (SELECT count(*) FROM {supplier}), (SELECT count(*) FROM {supplier}))) v(p, n, nodes)")
+def canonical_triples(spark, d):
+    """The same blank nodes in two files, under other names: nations that refer to regions, and suppliers on one ring."""
+    nation, region, supplier = (table(spark, d, x) for x in ("nation", "region", "supplier"))
+    suppliers = supplier.count()
+
+    def in_file(file: str, named) -> DataFrame:
+        node = lambda kind, k: F.concat(F.lit(f"_:{kind}"), named(k.cast("bigint")).cast("string"), F.lit(f"@{file}"))
+        row = lambda s, p, o, kind: (s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+        k = F.col("s_suppkey")
+        parts = [
+            nation.select(*row(node("n", F.col("n_nationkey")), "name", F.col("n_name"), "literal")), nation.select(*row(node("n", F.col("n_nationkey")), "in", node("r", F.col("n_regionkey")), "blank")),
+            region.select(*row(node("r", F.col("r_regionkey")), "called", F.col("r_name"), "literal")), supplier.select(*row(node("s", k), "next", node("s", (k + 1) % suppliers), "blank")), supplier.select(*row(node("s", k), "is", F.col("s_name"), "literal")),
+        ]
+        return R.merged(*parts)
+
+    both = R.canonical(R.merged(in_file("a.ttl", lambda k: k), in_file("b.ttl", lambda k: 1_000_000 - k)))
+    return both.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("nodes"))
+
+
 # --- sources ----------------------------------------------------------------------------------------------------
 
 
@@ -952,6 +983,23 @@ def latest_version(spark, d):
     return artifacts.latest(artifacts.listed(spark, at)).select(F.substring_index("path", "/", -1).alias("path"), "stamp")
 
 
+@query("graph_source", f"SELECT p, count(*) AS n, min(s) AS first_s, max(o) AS last_o FROM {{triples}} WHERE p IN ('{RDFS}label', '{RDFS}domain') GROUP BY p")
+def graph_source(spark, d):
+    """Triples of the test tables, written and read by the source; two predicates of them are asked for."""
+    at = f"{scratch(spark, 'graph')}/triples"
+    triples = derived(spark, d, "triples").withColumns({"o_kind": F.when(F.col("p") == f"{RDFS}label", "literal").otherwise("iri"), "datatype": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")})
+    graphsource.write_graph(triples, at)
+    return graphsource.read_graph(spark, at, 64 << 10).where(F.col("p").isin(f"{RDFS}label", f"{RDFS}domain")).groupBy("p").agg(F.count("*").alias("n"), F.min("s").alias("first_s"), F.max("o").alias("last_o"))
+
+
+@query("observed_counts", "SELECT count(*) AS rows, count(*) FILTER (status = 'approved') AS approved, count(*) FILTER (match_rate IS NULL) AS not_profiled, count(*) FILTER (match_rate < 0.5) AS low_match, max(frequency) AS most FROM {rels}")
+def observed_counts(spark, d):
+    """Figures of relationships, taken while they are written."""
+    rels = relationships(spark, d)
+    got = artifacts.write_observed(rels, f"{scratch(spark, 'observed')}/rels", approved=F.count_if(F.col("status") == "approved"), not_profiled=F.count_if(F.col("match_rate").isNull()), low_match=F.count_if(F.col("match_rate") < 0.5), most=F.max("frequency"))
+    return spark.createDataFrame([tuple(got[k] for k in ("rows", "approved", "not_profiled", "low_match", "most"))], "rows bigint, approved bigint, not_profiled bigint, low_match bigint, most bigint")
+
+
 @query("snapshot_as_of", "SELECT o_orderkey, o_custkey, o_orderpriority FROM {orders} WHERE o_orderkey % 3 <> 2")
 def snapshot_as_of(spark, d):
     """Three writes of growing parts of a table, read as of a time between the second and the third."""
