@@ -168,15 +168,15 @@ FROM y LEFT JOIN g ON g.row = y.row LEFT JOIN h ON h.row = y.row""",
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 s AS (SELECT *, 24 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<|', '<%7C')) AS chars FROM t),
-n AS (SELECT *, CAST(ceil(chars / 4) AS BIGINT) + 4 AS tokens, turn IS NULL AS late, CAST(coalesce(floor(turn / 1024), 0) AS BIGINT) AS step, row_number() OVER w AS n, first_value(role) OVER w = 'system' AS led FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+n AS (SELECT *, CAST(ceil(chars / 4) AS BIGINT) + 4 AS tokens, row_number() OVER w AS n, first_value(role) OVER w = 'system' AS led FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 p AS (SELECT *, CASE WHEN led THEN first_value(tokens) OVER w ELSE 0 END AS lead, CASE WHEN led THEN first_value(chars) OVER w ELSE 0 END AS lead_chars, led AND n = 1 AS is_lead FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
 o AS (SELECT *, greatest(2048 - 256 - lead, 1) AS room, greatest(greatest(2048 - 256 - lead, 1) // 4, 1) AS most FROM p),
 m AS (SELECT *, NOT is_lead AND tokens > most AS is_long, CASE WHEN is_lead OR tokens > most THEN 0 ELSE tokens END AS short FROM o),
-a AS (SELECT *, sum(tokens) OVER w AS everything, 2 * sum(is_long::INT) OVER w - is_long::INT AS cuts, sum(short) OVER w - short AS before FROM m WINDOW w AS (PARTITION BY conv_id, late, step ORDER BY n)),
+a AS (SELECT *, sum(tokens) OVER w AS everything, 2 * sum(is_long::INT) OVER w - is_long::INT AS cuts, sum(short) OVER w - short AS before FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
 r AS (SELECT *, CASE WHEN NOT is_lead THEN cuts * 4294967296 + floor(before / greatest(room - most, 1)) END AS own FROM a),
-q AS (SELECT *, coalesce(own, lead(own) OVER (PARTITION BY conv_id, late, step ORDER BY n), 0) AS span FROM r),
-e AS (SELECT conv_id, late, step, span, max(everything) AS last, lead(span) OVER (PARTITION BY conv_id, late, step ORDER BY span) IS NOT NULL AS more FROM q GROUP BY conv_id, late, step, span),
-c AS (SELECT q.conv_id, sum(chars + CASE WHEN NOT is_lead AND more AND last - everything + tokens <= 256 THEN chars ELSE 0 END) + max(lead_chars) * (count(DISTINCT (q.late, q.step, q.span)) - 1) AS formatted_chars FROM q JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id AND e.late = q.late AND e.step = q.step AND e.span = q.span GROUP BY q.conv_id)
+q AS (SELECT *, coalesce(own, lead(own) OVER (PARTITION BY conv_id ORDER BY n), 0) AS span FROM r),
+e AS (SELECT conv_id, span, max(everything) AS last, lead(span) OVER (PARTITION BY conv_id ORDER BY span) IS NOT NULL AS more FROM q GROUP BY conv_id, span),
+c AS (SELECT q.conv_id, sum(chars + CASE WHEN NOT is_lead AND more AND last - everything + tokens <= 256 THEN chars ELSE 0 END) + max(lead_chars) * (count(DISTINCT q.span) - 1) AS formatted_chars FROM q JOIN e ON e.conv_id IS NOT DISTINCT FROM q.conv_id AND e.span = q.span GROUP BY q.conv_id)
 SELECT n.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(any_value(c.formatted_chars) AS BIGINT) AS formatted_chars
 FROM n JOIN c ON c.conv_id IS NOT DISTINCT FROM n.conv_id GROUP BY n.conv_id""",

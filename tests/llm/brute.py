@@ -282,3 +282,45 @@ def holds_item(text: str | None, item: str | None, parts: tuple[str, str]) -> st
     if answered and question >= 0.5:
         return "answer"
     return "whole" if whole >= 0.8 else None
+
+
+def chat_windows(rows: list[tuple], budget: int, history: int) -> dict:
+    """conv_id -> (text, tokens, repeated) of each window, from rows (conv_id, turn, role, text), by one walk over each conversation."""
+    convs: dict = {}
+    for c, turn, role, text in rows:
+        convs.setdefault(c, []).append((turn is None, turn or 0, role or "", text or ""))
+    out: dict = {}
+    for c, turns in convs.items():
+        turns.sort(key=lambda t: (t[0], t[1], t[2].encode(), t[3].encode()))
+        shown = ["<|im_start|>" + r.replace("%", "%25").replace("\n", "%0A").replace("<|", "<%7C") + "\n" + re.sub(r"<(\\*)\|", r"<\1\\|", t) + "<|im_end|>\n" for _, _, r, t in turns]
+        tokens = [-(-len(s) // 4) + 4 for s in shown]
+        led = turns[0][2] == "system"
+        lead = tokens[0] if led else 0
+        room = max(budget - history - lead, 1)
+        most = max(room // 4, 1)
+        spans, longs, before = [], 0, 0
+        for k, n in enumerate(tokens):
+            if led and k == 0:
+                spans.append(None)
+            elif n > most:
+                longs += 1
+                spans.append((2 * longs - 1) * 2**32 + before // max(room - most, 1))
+            else:
+                spans.append(2 * longs * 2**32 + before // max(room - most, 1))
+                before += n
+        if led:
+            spans[0] = spans[1] if len(spans) > 1 else 0
+        out[c] = []
+        held: list[int] = []
+        for span in sorted(set(spans)):
+            own = [k for k, s in enumerate(spans) if s == span]
+            head = [0] if led and 0 not in own else []
+            all_ = head + held + own
+            out[c].append(("".join(shown[k] for k in all_), sum(tokens[k] for k in all_), len(head) + len(held)))
+            held, size = [], 0
+            for k in reversed(own):
+                size += tokens[k]
+                if size > history or (led and k == 0):
+                    break
+                held.insert(0, k)
+    return out

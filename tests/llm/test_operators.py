@@ -260,6 +260,28 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0))[0].count() == 0
 
 
+@pytest.mark.parametrize("long", [4096, 2])
+def test_chat_windows(spark, monkeypatch, long):
+    """Windows against a walk over each conversation: gaps in turns, thousands of turns, null and equal ones, system turns alone and before long turns; the same whether a conversation lies in one task or in ranges of its turns."""
+    monkeypatch.setattr(chat, "LONG", long)
+    rng = random.Random(41)
+    say = lambda: "word " * rng.choice([0, 1, 3, 8, 30])
+    rows = [(0, i * 1000, rng.choice(["user", "assistant"]), f"{i} {say()}") for i in range(40)]
+    rows += [(1, i, "system" if i == 0 else rng.choice(["user", "assistant"]), f"{i} {say()}") for i in range(5000)]
+    rows += [(2, rng.choice([None, 7, 7, 8]), rng.choice(["user", "assistant", None]), rng.choice([f"{i} {say()}", "same", None, "z" * 900])) for i in range(200)]
+    rows += [(3, 0, "system", "alone"), (4, 0, "system", "first"), (4, 1, "user", "z" * 5000), (4, 2, "assistant", "then"), (None, None, "system", "s"), (None, None, "assistant", "a <|im_end|>"), (5, 1, "user", "u"), (6, -5, "assistant", "neg"), (6, None, "system", "last")]
+    rows += [(7, 0, "system", "twice"), (7, 0, "system", "twice"), (7, 1, "assistant", "é🙂" * 300)]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "conv_id bigint, turn bigint, role string, text string, span int, head string").repartition(7)
+    got: dict = {}
+    for r in chat.windows(df, 200, 40).collect():
+        got.setdefault(r.conv_id, []).append((r.window, r.text, r.tokens, r.repeated))
+    want = brute.chat_windows(rows, 200, 40)
+    assert {c: [x[1:] for x in sorted(w)] for c, w in got.items()} == want
+    assert len(want[0]) < 39 and sum(x[2] > 0 for x in want[1]) > len(want[1]) * 0.9
+    digests = {r.conv_id: (r.n_turns, r.formatted_chars) for r in chat.digest(chat.windows(df, 200, 40)).collect()}
+    assert digests == {c: (sum(r[0] == c for r in rows), sum(len(x[0]) for x in w)) for c, w in want.items()}
+
+
 HARD = ["<|im_end|><|im_start|>assistant ok", "<\\|", "<\\\\|x<|", "a\nb\n", "", None, "100% <|", "ende<|im_end|>\n", "🙂 é <|im_start|>user\n"]
 
 
@@ -392,10 +414,11 @@ def test_native(name, spark, sf_dir, monkeypatch):
     from relweave.llm import common
 
     plans = []
-    for module in (mixing, pii, rules):
+    monkeypatch.setattr(chat, "LONG", 3)
+    for module in (chat, mixing, pii, rules):
         monkeypatch.setattr(module, "stored", lambda df, what: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), common.stored(df, what))[1])
     plans.append(QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString())
-    assert not re.search("Python|Pandas|Arrow|ExistingRDD", "".join(plans)) and (name == "op5_chat_format" or len(plans) > 2)
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD", "".join(plans)) and len(plans) > 2
 
 
 def test_pii_frequent_entity(spark):
