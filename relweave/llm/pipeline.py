@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relweave.llm import decontam, langid, minhash, mixing, tokens
@@ -13,10 +13,15 @@ from relweave.llm.queries import tokenizer_path
 LANGUAGE_SCORE = 0.5
 
 
+def whole(docs: DataFrame) -> Column:
+    """A row with all its columns as one, so that no name of theirs meets one of an operator's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language: those without a letter, and those that no learned language fits with LANGUAGE_SCORE, go. The model is learned from these documents' lang."""
-    found = langid.identify(docs, langid.fit(docs), out=("_stage_lang", "_stage_score"))
-    return found.where((F.col("_stage_lang") != "und") & (F.col("_stage_score") >= LANGUAGE_SCORE)).select(*docs.columns)
+    found = langid.identify(docs.select(whole(docs), "text"), langid.fit(docs.select("doc_id", "text", "lang")), ["row"], out=("lang", "score"))
+    return found.where((F.col("lang") != "und") & (F.col("score") >= LANGUAGE_SCORE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +37,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in the order of its schedule: a row for each repeat of which half of the words or more are taken, at the first slot that holds some of it. Each row of docs is counted by itself, also where ids, sizes or texts are equal; documents without words are in no block and go."""
-    rows = stored(docs.withColumn("_stage_row", F.monotonically_increasing_id()), "keyed")
-    _, blocks = mixing.mix(rows, key="_stage_row")
-    sizes = rows.select(F.col("_stage_row").alias("_stage_at"), mixing.words(F.col("text")).alias("_stage_size"))
-    passes = blocks.groupBy(F.col("row").alias("_stage_at"), "pass").agg(F.sum("n_words").alias("_stage_taken"), F.min("slot").alias("_stage_slot"))
-    wanted = passes.join(sizes, "_stage_at").where("2 * _stage_taken >= _stage_size").select("_stage_at", "_stage_slot")
-    met = rows.join(wanted, rows["_stage_row"] == wanted["_stage_at"])
-    return met.repartitionByRange("_stage_slot").sortWithinPartitions("_stage_slot").select(*docs.columns)
+    rows = stored(docs.select(whole(docs), F.monotonically_increasing_id().alias("at")), "keyed")
+    _, blocks = mixing.mix(rows.select("at", "row.doc_id", "row.text", "row.source"), key="at")
+    sizes = rows.select("at", mixing.words(F.col("row.text")).alias("size"))
+    passes = blocks.groupBy(F.col("row").alias("at"), "pass").agg(F.sum("n_words").alias("taken"), F.min("slot").alias("slot"))
+    wanted = passes.join(sizes, "at").where("2 * taken >= size").select("at", "slot")
+    return rows.join(wanted, "at").repartitionByRange("slot").sortWithinPartitions("slot").select("row.*")
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

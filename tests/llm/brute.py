@@ -324,3 +324,52 @@ def chat_windows(rows: list[tuple], budget: int, history: int) -> dict:
                     break
                 held.insert(0, k)
     return out
+
+
+def mixed(rows: list[tuple], block: int = 512, repeats: int = 3) -> list[tuple[int, int]]:
+    """(slot, doc_id) of each repeat of a document of which half of the words or more are taken, by the schedule's slots; rows (doc_id, text, source)."""
+    import math
+
+    sizes: dict = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(WORD.findall(t or ""))
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    left, target = set(names), {}
+    while left:
+        share = (sum(sizes.values()) - sum(target.values())) / sum(weight[s] for s in left)
+        full = {s for s in left if share * weight[s] > repeats * sizes[s]}
+        if not full:
+            target |= {s: share * weight[s] for s in left}
+            break
+        target |= {s: float(repeats * sizes[s]) for s in full}
+        left -= full
+    goal = {s: math.floor(target[s] + 0.5) for s in names}
+    quota = {s: -(-goal[s] // block) for s in names}
+    ends, at = {}, 0.0
+    for s in names:
+        at += target[s]
+        ends[s] = at / max(sum(target.values()), 1)
+    ends[names[-1]] = 1.0
+    slot_of, given, free = {}, dict.fromkeys(names, 0), []
+    for slot in range(sum(quota.values())):
+        u = (slot + 1) * 0.6180339887498949
+        u -= math.floor(u)
+        s = next(s for s in names if u < ends[s])
+        if given[s] < quota[s]:
+            slot_of[s, given[s]] = slot
+        else:
+            free.append(slot)
+        given[s] += 1
+    rest = [(s, r) for s in names for r in range(given[s], quota[s])]
+    slot_of |= dict(zip(rest, free))
+    out, start = [], dict.fromkeys(names, 0)
+    for i, t, s in sorted(rows, key=lambda r: (hashlib.md5(f"mix:{r[0]}".encode()).hexdigest(), r[0])):
+        n = len(WORD.findall(t or ""))
+        for k in range(repeats):
+            a = start[s] + k * sizes[s]
+            z = min(a + n, goal[s])
+            if a < z and 2 * (z - a) >= n:
+                out.append((min(slot_of[s, r] for r in range(a // block, (z - 1) // block + 1)), i))
+        start[s] += n
+    return sorted(out)
