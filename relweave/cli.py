@@ -105,10 +105,12 @@ def generate(spark: SparkSession, cfg: C.Config, force: list[str] | None = None,
     # A table that only relationships name has its properties, but no class of its own.
     named = names.join(classes, F.upper("name") == F.col("k"), "left").select("name", "classification")
     columns = catalog.columns_of(spark, tables)
-    prints = {r.table: r.asDict() for r in phases.prints(named, columns, keys, primary).collect()}
+    now_prints = phases.prints(named, columns, keys, primary).cache()
+    prints = {r.table: r.asDict() for r in now_prints.collect()}
     cache = Cache(spark, cfg.paths.generation_cache)
     wanted = {t.upper() for t in force or []}
-    stale = sorted(t for t, p in prints.items() if t in wanted or not cache.holds(t, p))
+    stale = sorted(r.table for r in G.stale_tables(now_prints, cache.frame(), spark.createDataFrame([(t,) for t in wanted], "table string")).collect())
+    now_prints.unpersist()
     if stale:
         only = lambda df, c: df.where(F.upper(c).isin(stale))
         made = phases.generated(only(named.where(F.col("name").isin(list(tables))), "name"), only(columns, "table"), only(keys, "from_table"), cfg)

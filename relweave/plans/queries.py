@@ -1041,10 +1041,10 @@ def parse_metadata_json(spark, d):
     return artifacts.metadata_tables(table(spark, d, "events").select(text.alias("answer")), "answer")
 
 
-@query("extract_content", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a' || event_id WHEN 1 THEN 'b' || event_id END AS content FROM {events}")
+@query("extract_content", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a' || event_id WHEN 1 THEN 'b' || event_id ELSE 'nothing' END AS content FROM {events}")
 def extract_content(spark, d):
     n = F.col("event_id").cast("string")
-    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('x {"result": {"content": "a'), n, F.lit('"}} y'))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"text": "b'), n, F.lit('"}'))).otherwise("nothing")
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('x { no object, {"result": {"content": "a'), n, F.lit('"}} y'))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"result": {"content": " "}, "text": "b'), n, F.lit('"} } {"text": "later"}'))).otherwise(" nothing ")
     return artifacts.extracted(table(spark, d, "events").select("event_id", text.alias("answer")), "answer", "$.result.content", "$.text").select("event_id", "content")
 
 

@@ -93,14 +93,20 @@ def first_json(text: str) -> dict | None:
     return None
 
 
+def first_object(text: Column) -> Column:
+    """The first JSON object in a text, whatever stands around it, braces that begin none among it; null if there is none."""
+    begins = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.lit(1)) == "{")
+    parsed = F.transform(begins, lambda i: F.get_json_object(F.substring(text, i, F.lit(2**31 - 1)), "$"))
+    return F.get(F.filter(parsed, lambda x: x.startswith("{")), F.lit(0))
+
+
 def extracted(rows: DataFrame, column: str, *paths: str) -> DataFrame:
-    """rows with `content`: the value at the first JSON path that has one, in the text from its first brace to its last."""
-    body = F.regexp_extract(F.col(column), r"(?s)\{.*\}", 0)
-    return rows.withColumn("content", F.coalesce(*(F.get_json_object(body, p) for p in paths)))
+    """rows with `content`: the value at the first JSON path that has one which isn't blank, in the text's first object; the text itself, without blanks at its ends, where no path has any. Null stays null."""
+    body = F.transform(F.array(first_object(F.col(column))), lambda x: F.coalesce(*(F.nullif(F.trim(F.get_json_object(x, p)), F.lit("")) for p in paths)))[0]
+    return rows.withColumn("content", F.coalesce(body, F.trim(F.col(column))))
 
 
 def metadata_tables(rows: DataFrame, column: str, most: int = 200) -> DataFrame:
-    """(table, comment) of a metadata service's answer {"tables": [{"name", "comment"}]}, of at most so many tables per answer."""
-    body = F.regexp_extract(F.col(column), r"(?s)\{.*\}", 0)
-    got = F.from_json(body, "tables array<struct<name:string,comment:string>>")
+    """(table, comment) of a metadata service's answer {"tables": [{"name", "comment"}]}, the text's first object, of at most so many tables per answer."""
+    got = F.from_json(first_object(F.col(column)), "tables array<struct<name:string,comment:string>>")
     return rows.select(F.explode(F.slice(F.coalesce(got.tables, F.array().cast("array<struct<name:string,comment:string>>")), 1, most)).alias("t")).select(F.col("t.name").alias("table"), F.col("t.comment").alias("comment"))

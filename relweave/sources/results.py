@@ -25,8 +25,8 @@ def _csv(spark: SparkSession, path: str, warn: str | None = None) -> DataFrame |
         if warn:
             warnings.warn(f"{path}: {warn}", stacklevel=3)
         return None
-    # Files are read in order: a partition's rows keep it, and a result file is one partition.
-    return df.withColumn("_at", F.monotonically_increasing_id())
+    # By the file's name, then by place: a file is one partition, whose rows keep their order; of several files tasks take the largest first.
+    return df.withColumn("_at", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
 
 
 def last_rows(df: DataFrame, schema: StructType, keys: list[str], order: str = "_at") -> DataFrame:

@@ -106,3 +106,20 @@ def test_catalog(spark):
     assert [(r.name, r.type) for r in df.orderBy("position").collect()] == [("a", "int"), ("b", "string")]
     keys = spark.createDataFrame([("a", "B"), ("a", None), ("a", " ")], "table string, referred_table string")
     assert catalog.usable_keys(keys).count() == 1 and catalog.filtered(df, exclude=["t"]).count() == 0
+
+
+def test_results_in_a_folder_by_file_name(spark, tmp_path):
+    """Of equal keys the last row of the last file by name counts, however large the files are."""
+    head = "from_table,from_column,to_table,to_column,match_rate\n"
+    (tmp_path / "b.csv").write_text(head + "T,C,U,ID,0.5\n")
+    (tmp_path / "a.csv").write_text(head + "T,C,U,ID,0.1\n" * 3000 + "V,C,U,ID,0.2\n")
+    got = {r.from_table: r.match_rate for r in results.edge_profiles(spark, str(tmp_path)).collect()}
+    assert got == {"T": 0.5, "V": 0.2}
+
+
+def test_first_object_of_answers(spark):
+    """Stray braces, nested objects and a later object don't matter; blank values are passed over; the text itself comes last."""
+    texts = ['a { b {"content": "x"}', '{"x": {"text": "inner"}}', '{"text": " ", "content": " y "} {"text": "z"}', " raw ", None, "{", '{"a": "}{"} {"content": "no"}', "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.content for r in artifacts.extracted(df, "t", "$.text", "$.content").orderBy("i").collect()]
+    assert got == ["x", '{"x": {"text": "inner"}}', "y", "raw", None, "{", '{"a": "}{"} {"content": "no"}', "{}"]
