@@ -216,7 +216,8 @@ def manifest(leaves: DataFrame, tree: str, by: list[str], keep: list[str]) -> Da
 
     - a null tree is a tree like others; repeated rows: leaves of their own; a tree of one leaf: the leaf is its subroot; one tree: its subroot is the root; an empty table: no rows
     Leaves are ranked by ranges and their trees cut into aligned blocks, each of which one task holds at a time and traverses; upper levels are reduced and proved as tables, and reach each block with its first leaf."""
-    first = ranked(leaves.select(*dict.fromkeys([*keep, tree, *by, "leaf"])), [*by, "leaf"], tree)
+    # Stored, as dealing out by ranges reads its rows twice.
+    first = ranked(stored(leaves.select(*dict.fromkeys([*keep, tree, *by, "leaf"])), "leaves"), [*by, "leaf"], tree)
     first = stored(first, "ranked")
     names = first.groupBy(F.col(tree).alias("name")).agg(F.count("*").alias("leaves"))
     names = stored(ranked(names, ["name"], None).select("name", "leaves", F.col("rank").alias("tree")), "trees")
