@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,11 @@ def _counted(changed: int, least: int):
                 if not text:
                     continue
                 begun = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-                for word, n in Counter(runs.findall(text.translate(FOLD))).items():
+                # Plain texts are folded at once; in others only their distinct words, as each code point is looked up.
+                plain = text.isascii()
+                for word, n in Counter(runs.findall(text.lower() if plain else text)).items():
+                    if not plain:
+                        word = word.lower() if word.isascii() else word.translate(FOLD)
                     h = zlib.crc32(word.encode(), begun) if changed else 1
                     if changed and h % changed == 0:
                         at = h % len(word)
@@ -155,32 +160,30 @@ def near_in(words: list[tuple[bool, str, int, int, int, bytes]], length: int, ap
         left = (Q if own else Q - 1) - len(rarer) + 1
         if left < 1:
             continue
-        a = of[k]
+        a, known = of[k], {at, *rarer}
         if own:
-            lists = [[p[g]] for p, g in zip(index, a, strict=True)]
+            lists = [p[g] for p, g in zip(index, a, strict=True)]
+            rest = sorted([(len(x), i) for i, x in enumerate(lists) if i not in known])[:left]
+            # Of two own words the first probes.
+            shortest = [lists[i] for _, i in rest if lists[i][-1] > k]
         else:
-            lists = [[p[g] for p in (here, after) if g in p] for here, after, g in zip(index, index[1:], a, strict=False)]
-        known = {at, *rarer}
-        rest = sorted((sum(map(len, x)), i) for i, x in enumerate(lists) if i not in known)[:left]
-        # Of two own words the first probes.
-        shortest = [x for _, i in rest for x in lists[i] if not own or x[-1] > k]
+            pairs = [(p.get(g, ()), q.get(g, ())) for p, q, g in zip(index, index[1:], a, strict=False)]
+            rest = sorted([(len(x) + len(y), i) for i, (x, y) in enumerate(pairs) if i not in known])[:left]
+            shortest = [x for _, i in rest for x in pairs[i] if x]
         if not shortest:
             continue
-        for j, _ in groupby(heapq.merge(*shortest)):
+        for j, _ in groupby(heapq.merge(*shortest) if len(shortest) > 1 else shortest[0]):
             # Parts of a divided list only meet each other.
             if (own and j <= k) or (apart and words[j][3] == side):
                 continue
             b = of[j]
-            if own:
-                if any(a[i] == b[i] for i in rarer):
-                    continue
-                same = sum(map(str.__eq__, a, b))
+            for i in rarer:
+                if a[i] == b[i] or (not own and a[i] == b[i + 1]):
+                    break
             else:
-                if any(a[i] == b[i] or a[i] == b[i + 1] for i in rarer):
-                    continue
-                same = sum(x == y or x == z for x, y, z in zip(a, b, b[1:], strict=False))
-            if same >= length - 1 and one_edit(word, words[j][1]):
-                yield k, j
+                same = sum(map(eq, a, b)) if own else sum(x == y or x == z for x, y, z in zip(a, b, b[1:], strict=False))
+                if same >= length - 1 and one_edit(word, words[j][1]):
+                    yield k, j
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,13 +197,17 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.extend((words[i][1], words[i][2], words[j][1], words[j][2]) for i, j in near_in(words, key[1], key[3] != key[4]))
 
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("gram", "length", "place", "x", "y")]
-        rest = [b.column(c).to_pylist() for c in ("own", "word", "n", "side", "at", "earlier")]
-        for now, row in zip(zip(*cols, strict=True), zip(*rest, strict=True), strict=True):
+        if not b.num_rows:
+            continue
+        cols = [b.column(c).to_numpy() for c in ("gram", "length", "place", "x", "y")]
+        rows = list(zip(*(b.column(c).to_pylist() for c in ("own", "word", "n", "side", "at", "earlier")), strict=True))
+        cuts = [0, *(1 + np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0))).tolist(), len(rows)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            now = tuple(int(c[a]) for c in cols)
             if now != key:
                 done()
                 key, words = now, []
-            words.append(row)
+            words += rows[a:z]
         if len(out) >= 10_000:
             yield _pairs(out)
             out.clear()
