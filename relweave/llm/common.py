@@ -202,9 +202,18 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
         return words
     k = min(n, len(words))
     size = len(words) - k + 1
-    h = np.full(size, k, np.uint64) * _TURN[-1]
-    for i in range(k):
-        h += mix(words[i : i + size] ^ _TURN[i % 8]) * _TURN[(i + 1) % 8]
+    return _run_hashes([words[i : i + size] for i in range(k)])
+
+
+def shingles_at(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """The hashes that shingles() gives for the runs of n words that begin at starts."""
+    return _run_hashes([words[starts + i] for i in range(n)])
+
+
+def _run_hashes(columns: list[np.ndarray]) -> np.ndarray:
+    h = np.full(len(columns[0]), len(columns), np.uint64) * _TURN[-1]
+    for i, w in enumerate(columns):
+        h += mix(w ^ _TURN[i % 8]) * _TURN[(i + 1) % 8]
     return mix(h)
 
 

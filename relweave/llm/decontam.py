@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relweave.llm.common import TERM_SPACE, shingles, slices, text_buffer, tidied, word_hashes
+from relweave.llm.common import TERM_SPACE, shingles, shingles_at, slices, text_buffer, tidied, word_hashes
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
@@ -53,8 +54,7 @@ class Index:
     maybe: np.ndarray  # by the terms' low bits: whether there is any
     ids: list[int | None]
     runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each item: runs of the whole, the question and the answer
-    long_question: list[bool]
-    long_answer: list[bool]
+    sizes: list[tuple[int, int, int]]  # and how many words these have
     top: np.ndarray  # by term: the greatest impact in any entry
     block_ptr: np.ndarray  # by term: its blocks, and the greatest impact in each
     block_id: np.ndarray
@@ -107,7 +107,7 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
     s, sa = term_hashes(pa.array([x for _, x in parts], pa.large_string()))
     asked, told = ([x[a:z] for a, z in zip(at[:-1], at[1:], strict=True)] for x, at in ((q, qa), (s, sa)))
     runs = [tuple(np.unique(shingles(x, RUN)) for x in three) for three in zip(per, asked, told, strict=True)]
-    long_question, long_answer = [len(x) >= RUN for x in asked], [len(x) >= RUN for x in told]
+    lengths = [tuple(map(len, three)) for three in zip(per, asked, told, strict=True)]
 
     def weighed(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The terms of words, and the share that each has of the BM25 score of the words with themselves."""
@@ -118,7 +118,7 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
     t_all, e_all, w_all, item = [], [], [], []
     for i, (whole, question, answer) in enumerate(zip(per, asked, told, strict=True)):
         # What kind_of() accepts: OVERLAP of the whole, of the question, or of the answer beside its question.
-        for words in (whole, question if long_question[i] else None, answer if long_answer[i] and len(question) else None):
+        for words in (whole, question if len(question) >= RUN else None, answer if len(answer) >= RUN and len(question) else None):
             if words is not None:
                 t, w = weighed(words)
                 t_all.append(t)
@@ -136,7 +136,7 @@ def build(items: list[tuple[int | None, str]], df: np.ndarray, n_items: int, mea
     level = np.maximum(np.ceil(np.log2(np.maximum([len(x) for x in per], 1))), 4).astype(int)
     step = np.array([max(len(x) for x, k in zip(per, level, strict=True) if k == c) for c in range(level.max() + 1) if c in level])[np.searchsorted(np.unique(level), level)]
     by_term = np.arange(len(terms) + 1)
-    return Index(terms, maybe, [i for i, _ in items], runs, long_question, long_answer, top, np.searchsorted(block_t, by_term), block_id, np.maximum.reduceat(w, start), np.searchsorted(t, by_term), e, w, np.array(item), n_blocks, [weighed(x) for x in per], step)
+    return Index(terms, maybe, [i for i, _ in items], runs, lengths, top, np.searchsorted(block_t, by_term), block_id, np.maximum.reduceat(w, start), np.searchsorted(t, by_term), e, w, np.array(item), n_blocks, [weighed(x) for x in per], step)
 
 
 def least_score(words: np.ndarray, terms: np.ndarray, shares: np.ndarray) -> float:
@@ -202,8 +202,9 @@ def best_score(index: Index, words: np.ndarray, item: int) -> float:
 
 def kind_of(index: Index, item: int, whole: float, question: float, answer: float) -> str | None:
     """What of an item a text holds, by the shares of runs: `question and answer`, the `question`, the `answer` with half of its question, or the `whole` in another way; None if it is not held. A question or answer of fewer than RUN words is no evidence by itself."""
-    asked = index.long_question[item] and question >= OVERLAP
-    told = index.long_answer[item] and answer >= OVERLAP
+    _, n_question, n_answer = index.sizes[item]
+    asked = n_question >= RUN and question >= OVERLAP
+    told = n_answer >= RUN and answer >= OVERLAP
     if asked:
         return "question and answer" if told else "question"
     if told and question >= HALF:
@@ -214,27 +215,36 @@ def kind_of(index: Index, item: int, whole: float, question: float, answer: floa
 def verified(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float, float, str]]:
     """(text, item, score, overlap, question overlap, answer overlap, kind) of the items that a text holds."""
     words, at = term_hashes(column)
+    found = retrieve(index, words, at)
+    if not found:
+        return []
+    # Only runs all of whose words are terms can be an item's.
+    place, _ = index.lookup(words)
+    start = place[: 1 - RUN][place[RUN - 1 :] - place[: 1 - RUN] == RUN - 1] if len(place) >= RUN else place[:0]
+    text = np.searchsorted(at, start, "right") - 1
+    start = start[start + RUN <= at[text + 1]]
+    runs, first = shingles_at(words, start, RUN), np.searchsorted(start, at)
     out = []
-    runs: dict[int, np.ndarray] = {}
-    for doc, item in retrieve(index, words, at):
-        own = words[at[doc] : at[doc + 1]]
-        if doc not in runs:
-            runs = {doc: np.unique(shingles(own, RUN))}
-        share = [held(runs[doc], own, x) for x in index.runs[item]]
-        kind = kind_of(index, item, *share)
-        if kind:
-            out.append((doc, item, best_score(index, own, item), *share, kind))
+    for doc, group in groupby(found, lambda x: x[0]):
+        own, known = words[at[doc] : at[doc + 1]], np.sort(runs[first[doc] : first[doc + 1]])
+        for _, item in group:
+            share = [held(known, own, x, n) for x, n in zip(index.runs[item], index.sizes[item], strict=True)]
+            kind = kind_of(index, item, *share)
+            if kind:
+                out.append((doc, item, best_score(index, own, item), *share, kind))
     return out
 
 
-def held(runs: np.ndarray, words: np.ndarray, wanted: np.ndarray) -> float:
-    """Share of the wanted runs among a text's; fewer than RUN words make one run, which is looked for at its own length."""
-    if not len(wanted):
+def held(runs: np.ndarray, words: np.ndarray, wanted: np.ndarray, size: int) -> float:
+    """Share of a part's runs among a text's sorted ones; a part of fewer than RUN words (size) is one run, which is looked for at its own length."""
+    if not size:
+        return 0.0
+    if size < RUN:
+        return float(len(words) >= size and wanted[0] in shingles(words, size))
+    if not len(runs):
         return 0.0
-    share = float(np.isin(wanted, runs, assume_unique=True).mean())
-    if len(wanted) == 1 and share == 0:
-        share = float(any(np.isin(wanted, shingles(words, k)).any() for k in range(1, RUN)))
-    return share
+    at = np.minimum(np.searchsorted(runs, wanted), len(runs) - 1)
+    return float((runs[at] == wanted).mean())
 
 
 def indexes(items: DataFrame) -> Iterator[Index]:
