@@ -19,7 +19,11 @@ BUCKET_BITS, MANTISSA_BITS = 7, 10
 BAND_ROWS = 4
 #: A cluster of more documents or shingles than this is compared in blocks.
 BLOCK_DOCS, BLOCK_SHINGLES = 2000, 2_000_000
+#: Sets of up to SHORT shingles leave registers empty, and a band with one filled register is met by all that share one shingle. They have bands of whole minima; longer ones have bands of registers, and those that may link across the border have both.
+SHORT = 512
 _VALUE_BITS = 53
+#: Odd factors: each orders the hashes of a set anew.
+_FACTORS = np.random.default_rng(9).integers(1 << 62, 1 << 63, 32 * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -45,7 +49,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and 64-bit keys of all bands in which at least one register is filled."""
-    parts = regs.astype(np.uint64).reshape(len(regs), -1, BAND_ROWS)
+    parts = regs.astype(np.uint64).reshape(len(regs), regs.shape[1] // BAND_ROWS, BAND_ROWS)
     key = np.zeros(parts.shape[:2], np.uint64)
     for i in range(BAND_ROWS):
         key = key << np.uint64(16) | parts[:, :, i]
@@ -53,6 +57,23 @@ def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, mix(mix(key[row, band]) + band.astype(np.uint64)).view(np.int64)
 
 
+def short_keys(sets: list[np.ndarray], percent: int) -> list[bytes]:
+    """Of each set the 64-bit keys of its bands of whole minima: two sets of similarity s share a band with probability s^4, however few shingles they have and however common those are. Empty for sets that link with none of up to SHORT shingles, and for those without any."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    some = np.flatnonzero((sizes > 0) & (sizes * percent <= SHORT * 100))
+    out = [b""] * len(sets)
+    if len(some):
+        flat = np.concatenate([sets[i] for i in some])
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        keys = np.zeros((len(some), len(_FACTORS) // BAND_ROWS), np.uint64)
+        for k, factor in enumerate(_FACTORS):
+            keys[:, k // BAND_ROWS] = mix(keys[:, k // BAND_ROWS] + np.minimum.reduceat(flat * factor, starts))
+        keys = mix(keys + np.arange(1, keys.shape[1] + 1, dtype=np.uint64))
+        for i, row in zip(some.tolist(), keys, strict=True):
+            out[i] = row.tobytes()
+    return out
+
+
 def estimate(one: np.ndarray, others: np.ndarray, n: int | np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of one sketch with others, less the matches expected by collision of compressed registers; and the number of buckets filled in either."""
     filled = ((others != 0) | (one != 0)).sum(1)
@@ -101,14 +122,14 @@ def linked(sets: list[np.ndarray], regs: np.ndarray, percent: int, labels: np.nd
     return comp
 
 
-def _sign(n: int):
+def _sign(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             sets = shingle_sets(b.column("text"), n)
             regs = registers(sets)
             digest = [s.tobytes() for s in sets]
             digest = [hashlib.blake2b(d, digest_size=16).digest() if d else None for d in digest]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())], ["doc_id", "n_shingles", "digest", "regs"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(short_keys(sets, percent), pa.binary())], ["doc_id", "n_shingles", "digest", "regs", "keys"])
 
     return run
 
@@ -118,7 +139,11 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, b.num_rows, 4096):
             part = b.slice(at, 4096)
             regs = np.frombuffer(b"".join(part.column("regs").to_pylist()), np.uint16).reshape(part.num_rows, -1)
-            row, key = band_keys(regs)
+            long = np.flatnonzero(part.column("n").to_numpy() > SHORT)
+            row, key = band_keys(regs[long])
+            short = part.column("keys").to_pylist()
+            key = np.concatenate([key, np.frombuffer(b"".join(short), np.int64)])
+            row = np.concatenate([long[row], np.repeat(np.arange(len(short)), [len(k) // 8 for k in short])])
             yield pa.RecordBatch.from_arrays([pa.array(key), part.column("rep").take(pa.array(row))], ["band", "rep"])
 
 
@@ -196,12 +221,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     - equal texts: one class, of which only the smallest doc_id is compared; nothing is paired within it
     - empty table: no rows
 
-    Sketches: 128 registers of 16 bits; 32 bands of 4 propose clusters; in a cluster the corrected estimate, six standard errors below the bound, goes before confirmation. Clusters beyond a block are compared block by block with their first member in each, and then pairs of blocks where more than one component is left."""
+    Sketches: 128 registers of 16 bits; 32 bands of 4 propose clusters, of registers or, in sets of up to SHORT shingles, of whole minima, so that what many short texts share brings none together; in a cluster the corrected estimate, six standard errors below the bound, goes before confirmation. Clusters beyond a block are compared block by block with their first member in each, and then pairs of blocks where more than one component is left."""
     spark = docs.sparkSession
-    signed = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(_sign(n)), "doc_id bigint, n_shingles bigint, digest binary, regs binary"), "signed")
+    signed = stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(_sign(n, percent)), "doc_id bigint, n_shingles bigint, digest binary, regs binary, keys binary"), "signed")
     usable = signed.where("digest is not null and doc_id is not null")
-    classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
-    bands = classes.select("rep", "regs").mapInArrow(tidied(_bands), "band bigint, rep bigint")
+    classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("keys").alias("keys")), "classes")
+    bands = classes.select("rep", "n", "regs", "keys").mapInArrow(tidied(_bands), "band bigint, rep bigint")
     shared = bands.groupBy("band").agg(F.min("rep").alias("b"), F.max("rep").alias("top"), F.count("*").alias("rows")).where("b <> top").drop("top")
     met = stored(bands.join(shared, "band"), "met")
     # Estimates refine buckets of up to a block; what lies in a larger one goes on as it is.
@@ -241,7 +266,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     tops = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("root"))
     direct = roots.select(F.col("id").alias("doc_id"), F.col("root").alias("own_root"))
     # Classes of one document and no link need no lookup; the join is on the digest, whose hot values adaptive joins split.
-    out = signed.drop("regs").join(tops, "digest", "left").join(direct, "doc_id", "left")
+    out = signed.drop("regs", "keys").join(tops, "digest", "left").join(direct, "doc_id", "left")
     component = F.least(F.col("doc_id"), F.coalesce("own_root", "root", "doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))

@@ -7,6 +7,7 @@ import random
 import re
 import struct
 import zipfile
+from collections import Counter
 from io import BytesIO
 
 import numpy as np
@@ -78,6 +79,21 @@ def test_minhash_repeated_and_empty(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_minhash_common_phrase():
+    """Short sets that share one hash and little else don't come into one bucket; those that are near do."""
+    rng = np.random.default_rng(5)
+    own = lambda n: rng.integers(1, 1 << 63, n, np.uint64)
+    sets = [np.unique(np.append(own(20), np.uint64(12345))) for _ in range(3000)]
+    near = np.unique(own(20))
+    sets += [near, near[1:], np.unique(own(minhash.SHORT + 1)), np.zeros(0, np.uint64), np.unique(own(SHORT * 2))]
+    regs, keys = minhash.registers(sets), minhash.short_keys(sets, 80)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array([len(x) for x in sets]), pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(keys, pa.binary())], ["rep", "n", "regs", "keys"])
+    bands = [(b, r) for t in minhash._bands(iter([batch])) for b, r in zip(t["band"].to_pylist(), t["rep"].to_pylist(), strict=True)]
+    assert max(Counter(b for b, _ in bands).values()) < 10
+    of = lambda i: {b for b, r in bands if r == i}
+    assert of(3000) & of(3001) and len(of(3002)) > 32 and not of(3003) and not keys[3003] and not keys[3004] and of(3004)
+
+
 def test_registers_estimate():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64))
