@@ -85,7 +85,7 @@ def test_minhash_common_phrase():
     own = lambda n: rng.integers(1, 1 << 63, n, np.uint64)
     sets = [np.unique(np.append(own(20), np.uint64(12345))) for _ in range(3000)]
     near = np.unique(own(20))
-    sets += [near, near[1:], np.unique(own(minhash.SHORT + 1)), np.zeros(0, np.uint64), np.unique(own(SHORT * 2))]
+    sets += [near, near[1:], np.unique(own(minhash.SHORT + 1)), np.zeros(0, np.uint64), np.unique(own(minhash.SHORT * 2))]
     regs, keys = minhash.registers(sets), minhash.short_keys(sets, 80)
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array([len(x) for x in sets]), pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(keys, pa.binary())], ["rep", "n", "regs", "keys"])
     bands = [(b, r) for t in minhash._bands(iter([batch])) for b, r in zip(t["band"].to_pylist(), t["rep"].to_pylist(), strict=True)]
