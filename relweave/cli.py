@@ -75,7 +75,7 @@ def infer(spark: SparkSession, cfg: C.Config, sql_dir: str | None, run_dir: str
     if run_dir:
         if not Path(run_dir).exists():
             raise C.Prerequisite(f"no run at {run_dir}")
-        edges, columns, hints = results.edge_profiles(spark, at("profiling_edges.csv")), results.column_profiles(spark, at("column_profiles.csv")), results.direction_hints(spark, at("value_overlap.csv"))
+        edges, columns, hints = results.edge_profiles(spark, at("profiling_edges.csv")), results.column_profiles(spark, at("column_profiles.csv")), results.last_direction_hints(spark, at("value_overlap.csv"))
     rel = phases.inferred(sheets, edges, hints, overrides.frame(spark, overrides.load(cfg.paths.overrides)), cfg)
     results.write_relationships(rel, cfg.paths.relationships)
     if edges is not None and columns is not None:

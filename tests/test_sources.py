@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from relweave.schemas import BASE_IRI, OWL, RDF_TYPE, RELATIONSHIP, XSD
 from relweave.sources import artifacts, catalog, overrides, rdf, results, worksheets
@@ -42,6 +43,15 @@ def test_hints_and_comments(spark, tmp_path):
     assert [(r.table, r.comment) for r in results.comments(spark, str(tmp_path / "c.csv"), ["table"]).collect()] == [("T", "second")]
 
 
+def test_hints_told_twice(spark, tmp_path):
+    """All rows of a pair come from the loader; for corrections the last one."""
+    (tmp_path / "h.csv").write_text("table_a,col_a,table_b,col_b,a_coverage,b_coverage,direction_suggestion\na,x,b,y,1,0.5,A is likely the PARENT\na,x,b,y,1,0.5,unclear\nA,x,b,y,1,0.5,B is likely the PARENT\n")
+    got = sorted((r.table_a, r.direction_suggestion) for r in results.direction_hints(spark, str(tmp_path / "h.csv")).collect())
+    assert got == [(t, x) for t in "AB" for x in ("A is likely the PARENT", "B is likely the PARENT", "unclear")]
+    last = sorted((r.table_a, r.direction_suggestion) for r in results.last_direction_hints(spark, str(tmp_path / "h.csv")).collect())
+    assert last == [("A", "B is likely the PARENT"), ("B", "B is likely the PARENT")]
+
+
 def test_relationships_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("A", "x", "x", "B", "y", "y", 0.9, 1, "", "", "", "", "", None, 0.5, 0.0, "proposed", 'say "hi", you', "")], RELATIONSHIP)
     results.write_relationships(df, str(tmp_path / "r"))
