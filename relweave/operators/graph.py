@@ -116,21 +116,17 @@ def core_snippets(lines: DataFrame, terms: list[str], k: int = 10) -> DataFrame:
 _GAP = r"[^\p{L}\p{N}_]+"
 
 
-def word_index(lines: DataFrame) -> DataFrame:
-    """(word, ordinal, pos): the words of lines (ordinal, line) in lower case, by place."""
-    words = F.filter(F.split(F.lower("line"), _GAP), lambda w: w != "")
-    return lines.select("ordinal", F.posexplode(words).alias("pos", "word")).select("word", "ordinal", "pos")
-
-
 def snippets_by_table(lines: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
     """(table, ordinal, line): for each table of terms (table, term) the first k lines (ordinal, line) that hold one of its terms: the term's words side by side, in any case and whatever stands between them.
 
-    An index of words with their places is joined with the words of all terms at once; a term is found where all of its words give the same beginning. Per table only the first k ordinals are kept, in each task before they are dealt out.
-    - null or blank terms, and lines without words, find nothing; repeated terms and several terms in a line give it once; ordinals that several lines have give each line; no lines or terms: no rows"""
-    words = F.filter(F.split(F.lower("term"), _GAP), lambda w: w != "")
-    asked = terms.select("table", words.alias("words")).distinct().withColumn("n", F.size("words")).where("n > 0")
-    asked = asked.select("table", "n", F.concat_ws(" ", "words").alias("term"), F.posexplode("words").alias("i", "word"))
-    met = word_index(lines).join(asked, "word").groupBy("table", "term", "n", "ordinal", (F.col("pos") - F.col("i")).alias("begin")).agg(F.count("*").alias("found")).where("found = n")
-    first = F.row_number().over(W.partitionBy("table").orderBy("ordinal"))
-    kept = met.select("table", "ordinal").distinct().withColumn("r", first).where(F.col("r") <= k)
-    return kept.select("table", "ordinal").join(lines.select("ordinal", "line"), "ordinal").select("table", "ordinal", "line")
+    Lines are dealt out, and their runs of as many words as some term has are looked up among the distinct terms, whichever tables ask for them. Of each term, and then of each table, only the first k ordinals are kept, in each task before they are dealt out, so frequent terms cost a look-up a line and no more.
+    - null or blank terms, lines without words and lines without ordinal find nothing; repeated terms and several terms in a line give it once; ordinals that several lines have give each line; no lines or terms: no rows"""
+    words = lambda c: F.filter(F.split(F.lower(c), _GAP), lambda w: w != "")
+    asked = terms.select("table", words("term").alias("words")).where(F.size("words") > 0).select("table", F.array_join("words", " ").alias("term"), F.size("words").alias("n")).distinct()
+    runs = F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: F.array_join(F.slice("words", i, F.col("n")), " "))
+    dealt = lines.where("ordinal is not null").repartition("ordinal").select("ordinal", words("line").alias("words"))
+    found = dealt.join(F.broadcast(asked.select("n").distinct()), F.size("words") >= F.col("n")).select("ordinal", F.explode(F.array_distinct(runs)).alias("term"))
+    first = lambda key: F.dense_rank().over(W.partitionBy(key).orderBy("ordinal"))
+    met = found.join(asked.select("term").distinct(), "term").withColumn("r", first("term")).where(F.col("r") <= k).select("term", "ordinal").distinct()
+    kept = met.join(asked.select("table", "term"), "term").withColumn("r", first("table")).where(F.col("r") <= k).select("table", "ordinal").distinct()
+    return kept.join(lines.select("ordinal", "line"), "ordinal").select("table", "ordinal", "line")

@@ -138,6 +138,16 @@ def test_snippets(spark):
     assert graph.snippets_by_table(none, spark.createDataFrame(terms, "table string, term string")).count() == 0
 
 
+def test_snippets_of_frequent_terms(spark):
+    """Many tables ask for a word of every line: first ordinals are kept by term before tables meet lines, and lines without ordinal take no place."""
+    lines = [(None if k % 2 else k, f"hot bolt {k}") for k in range(60)]
+    terms = [(f"T{t}", term) for t in range(30) for term in ("bolt", "hot bolt", "hot")]
+    out = graph.snippets_by_table(spark.createDataFrame(lines, "ordinal int, line string"), spark.createDataFrame(terms, "table string, term string"), 4)
+    assert sorted(map(tuple, out.collect())) == sorted((f"T{t}", k, f"hot bolt {k}") for t in range(30) for k in (0, 2, 4, 6))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("WindowGroupLimit") >= 2
+
+
+
 def test_figures_of_a_write(spark):
     """The figures come with the rows: the write has as many jobs with them as without."""
     rows = spark.range(100).select("id", F.when(F.col("id") % 4 == 0, "a").alias("k"))
