@@ -919,10 +919,12 @@ def worksheets_hash(spark, d):
     return worksheets.content_hash(worksheets.scan(spark, _folder(spark)))
 
 
-def _csv(spark: SparkSession, df: DataFrame, order: str) -> str:
-    """df as a CSV in the order of a column, which it doesn't hold."""
+def _csv(spark: SparkSession, df: DataFrame, order: str | None = None) -> str:
+    """df as CSV files; if asked, in the order of a column, which they don't hold: ranges of it are files whose names follow each other."""
     path = f"{scratch(spark, 'results')}/rows.csv"
-    df.repartition(1).sortWithinPartitions(order).drop(order).write.option("header", True).option("escape", '"').csv(path)
+    if order:
+        df = df.repartitionByRange(order).sortWithinPartitions(order).drop(order)
+    df.write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -939,7 +941,7 @@ def load_column_profiles(spark, d):
 
 @query("load_direction_hints", "SELECT table_a, col_a, table_b, col_b, direction_suggestion FROM {hints} UNION ALL SELECT table_b, col_b, table_a, col_a, direction_suggestion FROM {hints}")
 def load_direction_hints(spark, d):
-    return results.direction_hints(spark, _csv(spark, derived(spark, d, "hints").withColumn("k", F.lit(0)), "k")).select("table_a", "col_a", "table_b", "col_b", "direction_suggestion")
+    return results.direction_hints(spark, _csv(spark, derived(spark, d, "hints"))).select("table_a", "col_a", "table_b", "col_b", "direction_suggestion")
 
 
 @query("load_comments", "SELECT 'T' || (p_partkey % 50) AS \"table\", arg_max(p_brand, p_partkey) AS comment FROM {part} WHERE p_size % 2 = 0 GROUP BY 1")

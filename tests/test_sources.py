@@ -52,6 +52,20 @@ def test_hints_told_twice(spark, tmp_path):
     assert last == [("A", "B is likely the PARENT"), ("B", "B is likely the PARENT")]
 
 
+def test_ordered_files_in_pieces(spark, tmp_path, monkeypatch):
+    """A result table is written in several tasks, and the last row by the order still wins, though its files are several."""
+    from relweave.plans import queries
+
+    rows = spark.range(4000).select(F.concat(F.lit("T"), (F.col("id") % 3).cast("string")).alias("from_table"), F.lit("a").alias("from_column"), F.lit("U").alias("to_table"), F.lit("b").alias("to_column"), F.col("id").alias("frequency"), (F.lit(4000) - F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        path = queries._csv(spark, rows, "k")
+        assert spark.read.option("header", True).csv(path).select(F.input_file_name()).distinct().count() > 1
+        assert sorted((r.from_table, r.frequency) for r in results.edge_profiles(spark, path).collect()) == [("T0", 0), ("T1", 1), ("T2", 2)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_relationships_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("A", "x", "x", "B", "y", "y", 0.9, 1, "", "", "", "", "", None, 0.5, 0.0, "proposed", 'say "hi", you', "")], RELATIONSHIP)
     results.write_relationships(df, str(tmp_path / "r"))
