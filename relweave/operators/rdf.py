@@ -54,24 +54,30 @@ def canonical(triples: DataFrame) -> DataFrame:
 
 def emitted(tables: DataFrame, columns: DataFrame, keys: DataFrame, base: str = BASE_IRI) -> DataFrame:
     """Triples of a schema by fixed rules: a class per table (name, classification), a datatype property per column (table, name), an object property per key (from_table, to_table, relation); each with its label."""
-    return fragments(tables, columns, keys, base).drop("table").distinct()
+    return merged(*(part.drop("table") for part in _emitted(tables, columns, keys, base)))
 
 
 def fragments(tables: DataFrame, columns: DataFrame, keys: DataFrame, base: str = BASE_IRI) -> DataFrame:
     """The same, with `table`: the table in upper case that each triple is of, which for a key is the one that refers."""
+    return merged(*_emitted(tables, columns, keys, base))
+
+
+def _emitted(tables: DataFrame, columns: DataFrame, keys: DataFrame, base: str) -> list[DataFrame]:
+    """Triples with `table` of tables, columns and keys, repeated ones too. Rows are dealt out before they become triples: a schema is small in bytes, and a task or two would hold all of its triples to tell them apart."""
     iri = lambda c: F.concat(F.lit(base), c)
 
-    def rows(df: DataFrame, table: str, parts: list[tuple[Column, str, Column, str]]) -> DataFrame:
+    def rows(df: DataFrame, table: str, used: list[str], parts: list[tuple[Column, str, Column, str]]) -> DataFrame:
         arr = F.array(*(F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind")) for s, p, o, kind in parts))
-        return df.select(F.upper(table).alias("table"), F.explode(arr).alias("t")).select("table", "t.*", F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang")).where("o is not null")
+        dealt = df.select(*used).repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *used)
+        return dealt.select(F.upper(table).alias("table"), F.explode(arr).alias("t")).select("table", "t.*", F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang")).where("o is not null")
 
     c = iri(X.class_name(F.col("name")))
-    a = rows(tables, "name", [(c, RDF_TYPE, F.lit(CLASS), "iri"), (c, LABEL, X.class_name(F.col("name")), "literal"), (c, f"{base}classification", F.col("classification"), "literal")])
+    a = rows(tables, "name", ["name", "classification"], [(c, RDF_TYPE, F.lit(CLASS), "iri"), (c, LABEL, X.class_name(F.col("name")), "literal"), (c, f"{base}classification", F.col("classification"), "literal")])
     name = F.concat(F.lower("table"), F.lit("_"), F.lower("name"))
-    b = rows(columns, "table", [(iri(name), RDF_TYPE, F.lit(DATATYPE_PROPERTY), "iri"), (iri(name), LABEL, F.col("name"), "literal"), (iri(name), DOMAIN, iri(X.class_name(F.col("table"))), "iri")])
+    b = rows(columns, "table", ["table", "name"], [(iri(name), RDF_TYPE, F.lit(DATATYPE_PROPERTY), "iri"), (iri(name), LABEL, F.col("name"), "literal"), (iri(name), DOMAIN, iri(X.class_name(F.col("table"))), "iri")])
     rel = iri(F.coalesce("relation", F.concat(F.lit("has"), X.class_name(F.col("to_table")))))
-    d = rows(keys, "from_table", [(rel, RDF_TYPE, F.lit(OBJECT_PROPERTY), "iri"), (rel, LABEL, F.coalesce("relation", F.col("to_table")), "literal"), (rel, DOMAIN, iri(X.class_name(F.col("from_table"))), "iri"), (rel, RANGE, iri(X.class_name(F.col("to_table"))), "iri")])
-    return merged(a, b, d)
+    d = rows(keys, "from_table", ["from_table", "to_table", "relation"], [(rel, RDF_TYPE, F.lit(OBJECT_PROPERTY), "iri"), (rel, LABEL, F.coalesce("relation", F.col("to_table")), "literal"), (rel, DOMAIN, iri(X.class_name(F.col("from_table"))), "iri"), (rel, RANGE, iri(X.class_name(F.col("to_table"))), "iri")])
+    return [a, b, d]
 
 
 class Ontology:

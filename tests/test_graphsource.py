@@ -161,3 +161,14 @@ def test_figures_of_a_write(spark):
     assert got == {"rows": 100, "held": 25, "most": 99} and jobs("observed") == jobs("plain") == 1
     assert spark.read.parquet(f"{at}/rows").count() == 100
     assert artifacts.write_observed(rows.limit(0), f"{at}/none", most=F.max("id")) == {"rows": 0, "most": None}
+
+
+def test_emitted_is_dealt_out(spark):
+    """Names in one piece become triples in many tasks, and triples are told apart once."""
+    from relweave.operators import rdf as R
+
+    names = spark.range(0, 300, 1, 1).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("name"), F.lit("fact").alias("classification"))
+    columns, keys = names.select(F.col("name").alias("table"), F.lit("x").alias("name")), spark.createDataFrame([("T1", "T2", None)] * 3, "from_table string, to_table string, relation string")
+    assert all(part.select(F.spark_partition_id()).distinct().count() > 1 for part in R._emitted(names, columns, keys, R.BASE_IRI)[:2])
+    out = R.emitted(names, columns, keys)
+    assert out.count() == 300 * 6 + 4 and out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
