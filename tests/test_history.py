@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,32 @@ def test_levels_of_many_names(spark):
     while (k := k // 16) > 0:
         top += 1
     assert counts == want | {(top, 50): 50}
+
+
+def test_levels_in_few_rounds(spark):
+    """A ring of 120, and 255 rings of three of which each refers to the one of half its number: tables are stored as the logarithm of the ring and the levels say, not for each step round."""
+    rings = spark.range(120).select(F.concat(F.lit("r"), F.col("id")).alias("table"), F.concat(F.lit("r"), (F.col("id") + 1) % 120).alias("referred"))
+    node = lambda g, i: F.concat(F.lit("n"), g.cast("bigint"), F.lit("-"), i.cast("string"))
+    g, i = F.floor(F.col("id") / 3), F.col("id") % 3
+    threes = spark.range(3, 768).select(node(g, i).alias("table"), node(g, (F.col("id") + 1) % 3).alias("referred"))
+    up = spark.range(6, 768, 3).select(node(g, i), node(F.floor(g / 2), F.lit(0)))
+    keys = rings.unionByName(threes).unionByName(up.toDF("table", "referred"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = len(list(shared.rglob("_SUCCESS")))
+    out = levels.dependency_levels(keys.select(F.col("table").alias("name")), keys)
+    got = {(r.level, r.members): r.n for r in out.groupBy("level", "members").agg(F.count("*").alias("n")).collect()}
+    assert got == {(k, 3): 3 * 2**k for k in range(8)} | {(0, 120): 120}
+    assert len(list(shared.rglob("_SUCCESS"))) - before < 90
+
+
+def test_levels_of_a_large_group(spark, monkeypatch):
+    """Where references that are followed close few rings: a group that holds most of the names, with names before and behind it and small rings, some of them behind each other."""
+    rng = random.Random(3)
+    core = [f"c{i:03}" for i in range(200)]
+    keys = [(n, m) for n in core for m in rng.sample(core, 3)]
+    keys += [(f"w{i}", f"w{i + 1}") for i in range(4)] + [("c007", "w0"), ("v1", "c003"), ("v2", "v1"), ("x1", "x2"), ("x2", "x1"), ("x2", "v2"), ("y1", "y2"), ("y2", "y3"), ("y3", "y1"), ("y3", "x1"), ("w4", "z1"), ("z1", "z2"), ("z2", "z1")]
+    names = sorted({n for k in keys for n in k})
+    called, real = [], levels._coloured
+    monkeypatch.setattr(levels, "_coloured", lambda *a: called.append(1) or real(*a))
+    got = {tuple(r) for r in levels.dependency_levels(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(keys, "table string, referred string")).collect()}
+    assert got == _levels(names, keys) and called
